@@ -378,7 +378,7 @@ SELECT c_mktsegment AS bu, 'ARM' || cast(c_custkey AS string) AS numero_armac, c
        'LOC-' || cast(c_nationkey AS string) AS local_instalacao
 FROM {{customer}}"""
 
-VIEWS["yard_events"] = f"""
+VIEWS["uca_yard"] = f"""
 SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL
             WHEN o_orderkey % 9 = 0 THEN lower('arm' || cast(o_custkey AS string)) || ' '
             ELSE 'ARM' || cast(o_custkey AS string) END AS n_armac,
