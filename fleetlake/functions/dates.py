@@ -79,7 +79,7 @@ def stamp_dmy(c, zero: str = "0.0000000") -> Column:
     """SC-25: change stamp ``YYYYMMDD...`` to ``DD-MM-YYYY``; the zero stamp gives ''."""
     s = as_col(c).cast("string")
     return F.when(s == zero, F.lit("")).otherwise(
-        F.concat_ws("-", F.substring(s, 7, 2), F.substring(s, 5, 2), F.substring(s, 1, 4)))
+        F.concat(F.substring(s, 7, 2), F.lit("-"), F.substring(s, 5, 2), F.lit("-"), F.substring(s, 1, 4)))
 
 
 def day_windows(total_days: int, step: int, as_of: dt.date) -> list[tuple[int, dt.date, dt.date]]:
