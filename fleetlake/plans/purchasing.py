@@ -241,6 +241,17 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     )
 
 
+def requisition_flow_with_window(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J3 rows after guard and dedup, with the window each was first kept in."""
+    rows = requisition_rows(t, p)
+    rows = rows.filter((K.py_strip(F.coalesce("num_rc", F.lit(""))) != "")
+                       & (K.py_strip(F.coalesce("item_rc", F.lit(""))) != "")
+                       & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
+    return first_per_key(rows, ["num_rc", "item_rc"],
+                         [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last()],
+                         [F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last()])
+
+
 def requisition_flow(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Requisition-to-order flow, one row per requisition item (the flagship).
 
@@ -252,14 +263,7 @@ def requisition_flow(t: dict[str, DataFrame], p: Params) -> DataFrame:
     per-window seen-set of the reference is one dedup on (RC, item): oldest
     window, then RC number, then PO and PO item as tie-breakers (S-3).
     """
-    rows = requisition_rows(t, p)
-    rows = rows.filter((K.py_strip(F.coalesce("num_rc", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("item_rc", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
-    best = first_per_key(rows, ["num_rc", "item_rc"],
-                         [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last()],
-                         [F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last()])
-    return best.select(*RC_COLUMNS)
+    return requisition_flow_with_window(t, p).select(*RC_COLUMNS)
 
 
 def requisition_status_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
