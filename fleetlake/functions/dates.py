@@ -13,6 +13,10 @@ from fleetlake.functions.keys import digits
 # Text forms that mean "no date".
 NO_DATE_WORDS = ("none", "null", "nan", "nat", "infinity", "-infinity")
 
+# ISO date/time shapes accepted by Python's ``datetime.fromisoformat``
+# (two-digit month and day; optional time, fraction and offset).
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,6})?)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
+
 
 def sap_timestamp(c) -> Column:
     """SC-17 as a TIMESTAMP_NTZ.
@@ -29,7 +33,8 @@ def sap_timestamp(c) -> Column:
     empty = (s.isNull() | (s == "") | F.lower(s).isin(*NO_DATE_WORDS)
              | (d == "") | (F.regexp_replace(d, "0", "") == ""))
     compact = F.to_timestamp_ntz(F.try_to_timestamp(d, F.lit("yyyyMMdd")))
-    iso = F.try_to_timestamp(F.regexp_replace(s, "Z$", "+00:00")).cast("timestamp_ntz")
+    iso = F.when(s.rlike(ISO_SHAPE),
+                 F.try_to_timestamp(F.regexp_replace(s, "Z$", "+00:00")).cast("timestamp_ntz"))
     return (F.when(empty, F.lit(None).cast("timestamp_ntz"))
             .when(F.length(d) == 8, compact)
             .otherwise(iso))

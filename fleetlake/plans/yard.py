@@ -113,8 +113,8 @@ def merge_feeds(valid: DataFrame, rejected: DataFrame, valid_cols: list[str], re
     def norm(c):
         return F.upper(K.py_strip(F.coalesce(F.col(c), F.lit(""))))
 
-    v_order = [F.col(c).desc_nulls_last() for c in valid_cols]
-    r_order = [F.col(c).desc_nulls_last() for c in [key] + rejected_cols]
+    v_order = [F.col(c).desc_nulls_last() for c in [c for c in valid_cols if c != key] + [key]]
+    r_order = [F.col(c).desc_nulls_last() for c in rejected_cols + [key]]
     v = valid.withColumn("__k", norm(key)).withColumn(
         "__last", F.row_number().over(Window.partitionBy("__k").orderBy(*v_order)) == 1)
     r = first_per_key(rejected.withColumn("__k", norm(key)).filter(F.col("__k") != ""), "__k", r_order)

@@ -417,6 +417,7 @@ WHERE l.l_returnflag <> 'R'"""
 
 VIEWS["hourmeter_invalid"] = f"""
 SELECT CASE WHEN l.l_linenumber = 2 THEN 'arm' || cast(o.o_custkey AS string) || ' '
+            WHEN l.l_suppkey % 10 = 0 THEN 'TRK' || cast(l.l_suppkey AS string)
             ELSE 'ARM' || cast(o.o_custkey AS string) END AS armac_code,
        o.o_orderdate AS event_datetime,
        cast(0 - l.l_quantity AS decimal(12,2)) AS hourmeter,
