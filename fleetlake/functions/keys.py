@@ -119,3 +119,16 @@ def digits(c) -> Column:
 def flag01(c, mark: str = "X") -> Column:
     """SC-28: 1 when the trimmed mark equals ``mark``, else 0."""
     return F.when(F.trim(F.coalesce(as_col(c), F.lit(""))) == mark, 1).otherwise(0)
+
+
+def desc_text_key(c) -> Column:
+    """A key whose ascending order is the descending (NULLs first) order of text ``c``.
+
+    The UTF-8 bytes as hex digits, each digit complemented (0<->F ...), and a
+    closing 'Z' above every digit, so that a longer text sorts before its
+    own prefix. Lets ``min``/``min_by`` pick "latest by text" with a plain
+    ascending struct key instead of a window.
+    """
+    col = as_col(c).cast("string")
+    comp = F.translate(F.hex(F.encode(col, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
+    return F.struct(col.isNotNull().alias("present"), F.concat(comp, F.lit("Z")).alias("key"))

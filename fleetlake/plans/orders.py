@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
-from fleetlake.operators.dedup import best_per_key, first_non_blank, first_per_key, latest_per_key
+from fleetlake.operators.dedup import best_per_key, first_per_key
 from fleetlake.operators.lookups import agg_lookup, semi, text_lookup
-from fleetlake.operators.nesting import nest_children
 from fleetlake.params import Params
 from fleetlake.plans.yard import like_any
 
@@ -163,6 +162,11 @@ EWO_HEADER = ["ordem", "ativo", "situacao_os", "status_usuario", "status_usuario
               "data_inicio_programada", "data_fim_programada", "data_inicio_real", "data_fim_real",
               "data_enc_tecnico", "data_enc_comercial"]
 OP_FIELDS = ["num_operacao", "descricao_operacao", "centro_trabalho_operacao", "tempo_previsto_h"]
+EWO_ROW_HEADER = ["ativo", "situacao_os", "status_os_usuario", "status_os_usuario_descricao", "status_os_sistema",
+                  "tipo_manutencao", "tipo_manutencao_real", "descricao_os", "centro_trabalho_responsavel",
+                  "cod_responsavel", "responsavel", "autor_os", "data_criacao", "data_liberacao",
+                  "data_inicio_programada", "data_fim_programada", "data_inicio_real", "data_fim_real",
+                  "data_enc_tecnico", "data_enc_comercial"]
 
 
 def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
@@ -235,54 +239,60 @@ def external_work_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
     non-blank value, so a later row can fill a blank one (AG-17, CL-12).
     Operations are made unique per trimmed number, first row wins, and
     nested sorted by number (SO-5).
+
+    Plan: the flat rows are read once by a two-level aggregation, first per
+    (order, operation number) then per order. Every "first row" is a
+    ``min_by`` over one ascending sort key (the descending order number is
+    encoded by ``desc_text_key``), so both levels combine map-side, no
+    window sorts a whole order in one task, and the nested list is bounded
+    by the distinct operation numbers of an order.
     """
     r = external_order_rows(t, p)
     r = r.withColumn("k", F.ltrim(K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))), F.lit("0"))).filter(
         F.col("k") != "")
-    order = [F.col("ativo").asc_nulls_last(), F.col("_aufnr").desc_nulls_first(),
-             F.col("num_operacao").asc_nulls_last()]
-    tie = [F.col(c).asc_nulls_last() for c in ("descricao_operacao", "centro_trabalho_operacao",
-                                                 "tempo_previsto_h")]
-    hdr = first_per_key(r, "k", order, tie)
-    # AG-17: the first non-blank priority code / text in that order. The
-    # header position of (asset, order number) is ranked on the distinct
-    # headers only (a handful per stripped order), then min_by over an
-    # ascending struct picks the value in one map-side combinable aggregate,
-    # so a parent with very many rows is never sorted in one task.
-    hp = r.select("k", "ativo", "_aufnr").distinct().withColumn(
-        "_hpos", F.row_number().over(Window.partitionBy("k").orderBy(
-            F.col("ativo").asc_nulls_last(), F.col("_aufnr").desc_nulls_first())))
-    hp = hp.select(F.col("k").alias("h_k"), F.col("ativo").alias("h_ativo"),
-                   F.col("_aufnr").alias("h_aufnr"), "_hpos")
-    r2 = r.join(hp, (F.col("k") == F.col("h_k")) & F.col("ativo").eqNullSafe(F.col("h_ativo"))
-                & F.col("_aufnr").eqNullSafe(F.col("h_aufnr")))
-    pos = [F.col("_hpos"), F.col("num_operacao").isNull(), F.col("num_operacao"),
-           *[c for n in ("descricao_operacao", "centro_trabalho_operacao", "tempo_previsto_h")
-             for c in (F.col(n).isNull(), F.col(n))]]
-    fill = r2.groupBy("k").agg(first_non_blank(F.col("priok"), pos).alias("f_priok"),
-                               first_non_blank(F.col("desc_prioridade"), pos).alias("f_desc"))
-    ops = r.withColumn("_raw_op", F.col("num_operacao")).withColumn(
-        "num_operacao", K.py_strip(F.col("num_operacao").cast("string")))
-    ops = ops.filter(F.col("num_operacao").isNotNull() & (F.col("num_operacao") != ""))
-    op_order = [F.col("ativo").asc_nulls_last(), F.col("_aufnr").desc_nulls_first(),
-                F.col("_raw_op").asc_nulls_last()]
-    nested = nest_children(ops, ["k"], "num_operacao", OP_FIELDS, op_order + tie, out="operacoes")
-    h = hdr.join(fill, "k", "left")
+    r = r.withColumn("op_key", K.py_strip(F.col("num_operacao").cast("string")))
+    sort_key = F.struct(
+        F.col("ativo").isNull(), F.col("ativo"), K.desc_text_key(F.col("_aufnr")),
+        F.col("num_operacao").isNull(), F.col("num_operacao"),
+        *[c for n in ("descricao_operacao", "centro_trabalho_operacao", "tempo_previsto_h")
+          for c in (F.col(n).isNull(), F.col(n))])
+    header = F.struct(*[F.col(c) for c in EWO_ROW_HEADER])
+    op = F.struct(*[F.col(c) for c in OP_FIELDS[1:]])
+
+    def nb(c):
+        v = F.col(c)
+        return v.isNotNull() & (F.trim(v.cast("string")) != "")
+
+    lvl1 = r.withColumn("_o", sort_key).groupBy("k", "op_key").agg(
+        F.min_by(header, F.col("_o")).alias("h"), F.min("_o").alias("hk"),
+        F.min_by(F.when(nb("priok"), F.col("priok")), F.when(nb("priok"), F.col("_o"))).alias("fp"),
+        F.min(F.when(nb("priok"), F.col("_o"))).alias("fpk"),
+        F.min_by(F.when(nb("desc_prioridade"), F.col("desc_prioridade")),
+                 F.when(nb("desc_prioridade"), F.col("_o"))).alias("fd"),
+        F.min(F.when(nb("desc_prioridade"), F.col("_o"))).alias("fdk"),
+        F.min_by(op, F.col("_o")).alias("op"))
+    has_op = F.col("op_key").isNotNull() & (F.col("op_key") != "")
+    item = F.when(has_op, F.struct(F.col("op_key").alias("num_operacao"),
+                                   *[F.col(f"op.{c}").alias(c) for c in OP_FIELDS[1:]]))
+    lvl2 = lvl1.groupBy("k").agg(
+        F.min_by(F.col("h"), F.col("hk")).alias("h"),
+        F.min_by(F.col("fp"), F.col("fpk")).alias("f_priok"),
+        F.min_by(F.col("fd"), F.col("fdk")).alias("f_desc"),
+        F.array_sort(F.collect_list(item)).alias("operacoes"))
     crit = S.criticality(F.col("f_priok"), F.col("f_desc"))
-    out = h.join(nested, "k", "left").select(
-        F.col("k").alias("ordem"), "ativo", "situacao_os",
-        F.col("status_os_usuario").alias("status_usuario"),
-        F.col("status_os_usuario_descricao").alias("status_usuario_desc"),
-        F.col("status_os_sistema").alias("status_sistema"),
-        "tipo_manutencao", "tipo_manutencao_real", "descricao_os",
+    return lvl2.select(
+        F.col("k").alias("ordem"), "h.ativo", "h.situacao_os",
+        F.col("h.status_os_usuario").alias("status_usuario"),
+        F.col("h.status_os_usuario_descricao").alias("status_usuario_desc"),
+        F.col("h.status_os_sistema").alias("status_sistema"),
+        "h.tipo_manutencao", "h.tipo_manutencao_real", "h.descricao_os",
         crit.alias("criticidade"), crit.alias("desc_prioridade"), K.py_text(F.col("f_priok")).alias("priok"),
-        F.col("centro_trabalho_responsavel").alias("centro_trabalho"),
-        F.nullif(F.ltrim(K.py_strip(F.coalesce(F.col("cod_responsavel").cast("string"), F.lit(""))), F.lit("0")),
+        F.col("h.centro_trabalho_responsavel").alias("centro_trabalho"),
+        F.nullif(F.ltrim(K.py_strip(F.coalesce(F.col("h.cod_responsavel").cast("string"), F.lit(""))), F.lit("0")),
                  F.lit("")).alias("cod_responsavel"),
-        "responsavel", "autor_os", "data_criacao", "data_liberacao", "data_inicio_programada",
-        "data_fim_programada", "data_inicio_real", "data_fim_real", "data_enc_tecnico", "data_enc_comercial",
-        F.coalesce(F.col("operacoes"), F.array().cast(nested.schema["operacoes"].dataType)).alias("operacoes"))
-    return out
+        "h.responsavel", "h.autor_os", "h.data_criacao", "h.data_liberacao", "h.data_inicio_programada",
+        "h.data_fim_programada", "h.data_inicio_real", "h.data_fim_real", "h.data_enc_tecnico",
+        "h.data_enc_comercial", "operacoes")
 
 
 def external_work_orders_flat(t: dict[str, DataFrame], p: Params) -> DataFrame:

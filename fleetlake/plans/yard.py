@@ -119,12 +119,12 @@ def merge_feeds(valid: DataFrame, rejected: DataFrame, valid_cols: list[str], re
         "__last", F.row_number().over(Window.partitionBy("__k").orderBy(*v_order)) == 1)
     r = first_per_key(rejected.withColumn("__k", norm(key)).filter(F.col("__k") != ""), "__k", r_order)
     r = r.select(F.col("__k").alias("__rk"), *[F.col(c) for c in rejected_cols])
-    last, rest = v.filter("__last"), v.filter(~F.col("__last"))
-    joined = last.join(r, last["__k"] == r["__rk"], "full_outer").select(
+    # one full outer join: only the last valid row of a key can match, the
+    # other valid rows and unmatched rejected keys come through unmatched
+    joined = v.join(r, (v["__k"] == r["__rk"]) & v["__last"], "full_outer")
+    return joined.select(
         F.coalesce(F.col(key), F.col("__rk")).alias(key), *[F.col(c) for c in valid_cols if c != key],
         *[F.col(c) for c in rejected_cols])
-    rest = rest.select(*valid_cols, *[F.lit(None).cast(rejected.schema[c].dataType).alias(c) for c in rejected_cols])
-    return joined.unionByName(rest)
 
 
 def hourmeter_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:

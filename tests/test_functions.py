@@ -161,3 +161,11 @@ def test_kinds_and_phases(spark):
     assert one_col(spark, ["PRP1", "OFI1", "OUT", None], S.maintenance_kind_code) == [
         "Preparação", "Oficina", "Outro", "Outro"]
     assert one_col(spark, ["BHZ1", "xBETy", "OTH"], lambda c: S.branch(c, ["BHZ", "BET"])) == ["BHZ", "BET", "OTH"]
+
+
+def test_desc_text_key_reverses_order(spark):
+    vals = ["123", "12", "000123", " 123", "9", "10", "abc", "ab", "é", None, ""]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = [r[0] for r in df.orderBy(K.desc_text_key(F.col("x"))).collect()]
+    want = [r[0] for r in df.orderBy(F.col("x").desc_nulls_first()).collect()]
+    assert got == want
