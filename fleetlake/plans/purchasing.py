@@ -191,12 +191,14 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
                          & (K.strip_key(F.col("matnr")) != "")).alias("e")
     po = t["ekpo"].select(*[F.col(c).alias(f"p_{c}") for c in t["ekpo"].columns])
     hd = t["ekko"].select(*[F.col(c).alias(f"k_{c}") for c in t["ekko"].columns])
-    x = (e.join(po, (F.col("banfn") == F.col("p_banfn")) & (F.col("bnfpo") == F.col("p_bnfpo")), "left")
-         .join(hd, F.col("p_ebeln") == F.col("k_ebeln"), "left"))
-    x = x.filter(owned_by([F.col("ekgrp"), F.col("k_ekgrp")], F.col("k_ernam"), p))
     ebkn, ekkn, ekbe, eket, makt = t["ebkn"], t["ekkn"], t["ekbe"], t["eket"], t["makt"]
+    x = e.join(po, (F.col("banfn") == F.col("p_banfn")) & (F.col("bnfpo") == F.col("p_bnfpo")), "left")
+    # the requisition assignment is keyed like the PO-item join: it reuses
+    # that partitioning before the header join re-partitions on the PO
     x = agg_lookup(x, ebkn, [F.col("banfn"), F.col("bnfpo")], [ebkn.banfn, ebkn.bnfpo],
                    [F.max("aufnr").alias("acc_aufnr"), F.max("kostl").alias("acc_kostl")], name="acc")
+    x = x.join(hd, F.col("p_ebeln") == F.col("k_ebeln"), "left")
+    x = x.filter(owned_by([F.col("ekgrp"), F.col("k_ekgrp")], F.col("k_ernam"), p))
     po_key = [F.col("p_ebeln"), F.col("p_ebelp")]
     x = agg_lookup(x, ekkn, po_key, [ekkn.ebeln, ekkn.ebelp], [F.max("kostl").alias("pk_kostl")], name="pk")
     x = agg_lookup(x, ekbe, po_key, [ekbe.ebeln, ekbe.ebelp], [F.sum("menge").alias("qtd_recebida")],
