@@ -139,3 +139,11 @@ def desc_text_key(c) -> Column:
     col = as_col(c).cast("string")
     comp = F.translate(F.hex(F.encode(col, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
     return F.struct(col.isNotNull().alias("present"), F.concat(comp, F.lit("Z")).alias("key"))
+
+
+def require_keys(df, cols):
+    """PF-19: drop rows where any of ``cols`` is blank after a Python-style strip."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & (py_strip(F.coalesce(as_col(c).cast("string"), F.lit(""))) != "")
+    return df.filter(cond)

@@ -81,3 +81,14 @@ def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
             out.append((name, "error", None, (str(e).splitlines() or [repr(e)])[0][:500]))
             traceback.print_exc()
     return spark.createDataFrame(out, MANIFEST_SCHEMA)
+
+
+def write_windows(df: DataFrame, path: str, window_col: str = "janela", fmt: str = "parquet") -> None:
+    """BF-3: write rows partitioned by window with dynamic partition overwrite.
+
+    Re-running a window (after it failed, or to refresh it) replaces only
+    the folders of the windows present in ``df``; the others stay. A re-run
+    is idempotent.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(window_col).format(fmt).save(path))

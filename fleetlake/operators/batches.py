@@ -159,3 +159,13 @@ def write_batches(batches: DataFrame, path: str, started_at: str | None = None,
         *([F.lit(started_at).alias("started_at")] if started_at else []),
         "batch_index", "is_last", "rows")
     env.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def clean_fields(df: DataFrame, cols) -> DataFrame:
+    """JS-2: read the SAP date texts of ``cols`` with SC-17 (invalid -> NULL)."""
+    return df.select(*[D.sap_date(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def write_rows(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
+    """DL-6: a single unbatched list is just the DataFrame written as it is."""
+    df.write.mode(mode).format(fmt).save(path)

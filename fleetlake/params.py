@@ -42,3 +42,5 @@ class Params:
     text_langs: tuple[str, ...] = ("P", "PT")
     # S-11: 'collapse' joins texts through max() per key, 'keep' fans out
     fanout: str = "collapse"
+    # S-9 / PF-16 / PF-18: date texts compared as dates ('date') or as raw text ('text')
+    date_mode: str = "date"

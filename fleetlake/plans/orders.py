@@ -9,7 +9,8 @@ from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import best_per_key, first_per_key
-from fleetlake.operators.lookups import agg_lookup, semi, text_lookup
+from fleetlake.operators.batches import clean_fields
+from fleetlake.operators.lookups import semi, text_lookup
 from fleetlake.params import Params
 from fleetlake.plans.yard import like_any
 
@@ -117,6 +118,8 @@ def _detail_tie() -> list[Column]:
 
 HEADER_EXTRA = ["descricao_os", "centro_trabalho_responsavel", "data_inicio_programada", "data_fim_programada",
                 "data_liberacao", "autor_os"]
+# SAP date fields cleaned in the work-order payload (JS-2).
+SAP_DATE_FIELDS = ("data_criacao", "data_inicio_programada", "data_fim_programada", "data_liberacao")
 
 
 def work_order_operations(t: dict[str, DataFrame], p: Params) -> DataFrame:
@@ -146,10 +149,8 @@ def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
         "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))
     d = d.filter((F.col("k_ativo") != "") & (F.col("k_ordem") != ""))
     hdr = first_per_key(d, ["k_ativo", "k_ordem"], _detail_order(), _detail_tie()).select(
-        "k_ativo", "k_ordem", "descricao_os", "centro_trabalho_responsavel",
-        D.sap_date(F.col("data_inicio_programada")).alias("data_inicio_programada"),
-        D.sap_date(F.col("data_fim_programada")).alias("data_fim_programada"),
-        D.sap_date(F.col("data_liberacao")).alias("data_liberacao"), "autor_os")
+        "k_ativo", "k_ordem", *HEADER_EXTRA)
+    hdr = clean_fields(hdr, SAP_DATE_FIELDS)
     r = rows.withColumn("k_ativo", K.py_strip(F.coalesce(F.col("ativo"), F.lit("")))).withColumn(
         "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))
     return r.join(hdr, ["k_ativo", "k_ordem"], "left").drop("k_ativo", "k_ordem")

@@ -24,10 +24,29 @@ def _consumption(t: dict[str, DataFrame], p: Params) -> DataFrame:
         K.strip_key(F.col("equnr")).alias("ativo"))
     resb = t["resb"].filter(F.col("matnr").isNotNull() & (F.col("matnr") != "")).select(
         K.strip_key(F.col("aufnr")).alias("okey"), K.strip_key(F.col("matnr")).alias("cod_sap"), "bdmng")
-    aufk = t["aufk"].select(K.strip_key(F.col("aufnr")).alias("okey"), D.sap_date(F.col("erdat")).alias("erdat"))
+    aufk = t["aufk"].select(K.strip_key(F.col("aufnr")).alias("okey"), D.sap_date(F.col("erdat")).alias("erdat"),
+                            F.col("erdat").alias("erdat_text"))
     return afih.join(resb, "okey").join(aufk, "okey", "left")
 
 
+def _in_periods(rows: DataFrame, p: Params) -> DataFrame:
+    """Rows created inside the half-years ``parts_first_year`` .. year of ``as_of``.
+
+    ``date_mode='text'`` compares the raw ``YYYYMMDD`` text with the period
+    bounds as the reference does (PF-18, S-9); the period is then taken from
+    the text's first six characters.
+    """
+    lo, hi = dt.date(p.parts_first_year, 1, 1), dt.date(p.as_of.year, 12, 31)
+    if p.date_mode == "text":
+        t = F.col("erdat_text")
+        rows = rows.filter((t >= lo.strftime("%Y%m%d")) & (t <= hi.strftime("%Y%m%d")))
+        year, month = F.substring(t, 1, 4), F.substring(t, 5, 2).cast("int")
+    else:
+        rows = rows.filter(F.col("erdat").between(F.lit(lo), F.lit(hi)))
+        year, month = F.year("erdat").cast("string"), F.month("erdat")
+    return rows.withColumn("periodo", F.concat(year, F.when(month <= 6, F.lit("H1")).otherwise(F.lit("H2"))))
+
+
 def _with_texts(g: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Asset text, component text and material group, one value per key (S-11 collapse)."""
     eqkt, makt, mara = t["eqkt"], t["makt"], t["mara"]
@@ -65,19 +84,13 @@ def parts_history(t: dict[str, DataFrame], p: Params) -> DataFrame:
     per key, so they do not multiply sums (S-11). Creation dates are read as
     dates (SC-17), not compared as text (S-9).
     """
-    rows = _consumption(t, p)
-    lo, hi = dt.date(p.parts_first_year, 1, 1), dt.date(p.as_of.year, 12, 31)
-    rows = rows.filter(F.col("erdat").between(F.lit(lo), F.lit(hi)))
-    rows = rows.withColumn("periodo", F.concat(F.year("erdat").cast("string"),
-                                               F.when(F.month("erdat") <= 6, F.lit("H1")).otherwise(F.lit("H2"))))
+    rows = _in_periods(_consumption(t, p), p)
     g = rows.groupBy("periodo", "ativo", "cod_sap").agg(*_aggs())
     return _with_texts(g, t, p).select("periodo", *OUT)
 
 
 def parts_history_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J15 with the periods merged: one row per (asset, part) over the whole range."""
-    rows = _consumption(t, p)
-    lo, hi = dt.date(p.parts_first_year, 1, 1), dt.date(p.as_of.year, 12, 31)
-    rows = rows.filter(F.col("erdat").between(F.lit(lo), F.lit(hi)))
+    rows = _in_periods(_consumption(t, p), p)
     g = rows.groupBy("ativo", "cod_sap").agg(*_aggs())
     return _with_texts(g, t, p).select(*OUT)

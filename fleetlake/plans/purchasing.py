@@ -127,7 +127,7 @@ def date_in_range(c, total_days: int, as_of, mode: str = "date") -> Column:
 
 
 # --------------------------------------------------------------------- J2
-def purchase_history(t: dict[str, DataFrame], p: Params, mode: str = "date") -> DataFrame:
+def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None) -> DataFrame:
     """PO items of the last ``hist_total_days`` days, first window wins.
 
     The reference runs one query per 30-day window, oldest first, and keeps
@@ -137,6 +137,7 @@ def purchase_history(t: dict[str, DataFrame], p: Params, mode: str = "date") ->
     Delivery date is the earliest schedule line, the text the max of the
     P/PT material texts (JN-10, JN-19).
     """
+    mode = mode or p.date_mode
     ekpo, ekko = t["ekpo"].alias("p"), t["ekko"].alias("k")
     base = ekpo.join(ekko, F.col("p.ebeln") == F.col("k.ebeln"), "inner").filter(
         date_in_range(F.col("k.bedat"), p.hist_total_days, p.as_of, mode)
@@ -169,9 +170,7 @@ def purchase_history(t: dict[str, DataFrame], p: Params, mode: str = "date") ->
                              p.as_of).alias("janela"),
         F.col("ebeln").alias("_ebeln"), F.col("ebelp").alias("_ebelp"),
     )
-    rows = rows.filter((K.py_strip(F.coalesce("pedido", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("item_pc", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
+    rows = K.require_keys(rows, ["pedido", "item_pc", "cod_sap"])
     best = first_per_key(rows, ["pedido", "item_pc"],
                          [F.col("janela").asc_nulls_last(), F.col("_ebeln").asc_nulls_last()],
                          [F.col("_ebelp").asc_nulls_last(), F.col("cod_sap").asc_nulls_last()])
@@ -246,9 +245,7 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
 def requisition_flow_with_window(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J3 rows after guard and dedup, with the window each was first kept in."""
     rows = requisition_rows(t, p)
-    rows = rows.filter((K.py_strip(F.coalesce("num_rc", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("item_rc", F.lit(""))) != "")
-                       & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
+    rows = K.require_keys(rows, ["num_rc", "item_rc", "cod_sap"])
     return first_per_key(rows, ["num_rc", "item_rc"],
                          [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last()],
                          [F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last()])
