@@ -66,7 +66,7 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
     kind) by creation date then order number (WN-2). Operation status is the
     sorted, space-joined list of active system status texts (AG-13, S-10).
     """
-    aufk, afih = t["aufk"], t["afih"]
+    aufk, afih = t["aufk"].select("aufnr", "ktext", "erdat", "ernam", "idat1"), t["afih"]
     crhd = t["crhd"].select(F.col("objid"), F.col("arbpl"))
     base = aufk.join(afih.select("aufnr", "equnr", "gewrk", "ilart"), "aufnr")
     base = base.join(crhd.withColumnRenamed("objid", "gewrk").withColumnRenamed("arbpl", "centro_trabalho_cabecalho"),
@@ -81,23 +81,26 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
     base = base.filter(F.col("tipo_manutencao").isin(S.KIND_SHOP, S.KIND_PREP))
     champ = first_per_key(base, ["equnr", "tipo_manutencao"],
                           [D.sap_date(F.col("erdat")).desc_nulls_first(), F.col("aufnr").desc_nulls_first()])
-    afko = t["afko"]
-    plan = champ.select("aufnr").join(afko, "aufnr").groupBy("aufnr").agg(
+    # plan values per order: the join and the aggregation share the
+    # partitioning on the order number (an order is champion of one group
+    # only), so grouping by all champion columns needs no extra shuffle and
+    # the champions are read once for header, plan and operations
+    afko = t["afko"].select("aufnr", "gstrp", "gltrp", "rsnum", "aufpl")
+    x = champ.join(afko, "aufnr").groupBy(*champ.columns).agg(
         F.max("gstrp").alias("data_inicio_programada"), F.max("gltrp").alias("data_fim_programada"),
         F.max("rsnum").alias("rsnum"), F.max("aufpl").alias("aufpl"))
     afvc, afvv = t["afvc"], t["afvv"]
-    ops = plan.select("aufnr", "aufpl").join(afvc, "aufpl")
+    ops = x.join(afvc, "aufpl")
     ops = ops.join(afvv, ["aufpl", "aplzl"], "left")
     ops = ops.join(crhd.withColumnRenamed("objid", "arbid").withColumnRenamed("arbpl", "centro_trabalho_operacao"),
                    "arbid", "left")
-    ops = ops.select("aufnr", F.col("vornr").alias("num_operacao"), F.col("ltxa1").alias("descricao_operacao"),
-                     "centro_trabalho_operacao", F.col("arbei").alias("tempo_previsto_h"), "objnr")
+    ops = ops.withColumnRenamed("vornr", "num_operacao").withColumnRenamed(
+        "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h")
     jest = t["jest"].filter(F.col("inact") == "")
     tj02t = t["tj02t"].filter(F.col("spras").isin("P", "PT", "pt", "p"))
     st = (ops.select("objnr").join(jest, "objnr").join(tj02t, F.col("stat") == F.col("istat"))
           .groupBy("objnr").agg(join_sorted(F.col("txt04"), " ").alias("status_operacao")))
-    ops = ops.join(st, "objnr", "left").drop("objnr")
-    out = champ.join(plan, "aufnr").join(ops, "aufnr")
+    out = ops.join(st, "objnr", "left")
     return out.select(
         F.col("equnr").alias("ativo"), K.strip_zeros(F.col("aufnr")).alias("ordem"), "tipo_manutencao",
         F.col("ktext").alias("descricao_os"), F.col("centro_trabalho_cabecalho").alias("centro_trabalho_responsavel"),
@@ -194,17 +197,21 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
         S.maintenance_kind_code(F.col("ilart")).alias("tipo_manutencao"),
         S.order_situation(F.col("loekz"), F.col("phas3"), F.col("phas2"), F.col("phas1"),
                           F.col("phas0")).alias("situacao_os"))
-    afko = t["afko"]
-    plan = base.select("aufnr").join(afko, "aufnr", "left").groupBy("aufnr").agg(
+    afko = t["afko"].select("aufnr", "gstrp", "gltrp", "gstri", "getri", "aufpl")
+    # plan values per order; grouping by all base columns right after the
+    # join on the order number needs no extra shuffle (base is one row per
+    # order), so the base orders flow through plan and operations once
+    x = base.join(afko, "aufnr", "left").groupBy(*base.columns).agg(
         F.max("gstrp").alias("data_inicio_programada"), F.max("gltrp").alias("data_fim_programada"),
         F.max("gstri").alias("data_inicio_real"), F.max("getri").alias("data_fim_real"),
         F.max("aufpl").alias("aufpl"))
-    ops = plan.select("aufnr", "aufpl").join(t["afvc"], "aufpl", "left")
+    ops = x.join(t["afvc"].select("aufpl", "aplzl", "vornr", "ltxa1", "arbid"), "aufpl", "left")
     ops = ops.join(t["afvv"], ["aufpl", "aplzl"], "left")
     ops = ops.join(crhd.select(F.col("objid").alias("arbid"), F.col("arbpl").alias("centro_trabalho_operacao")),
                    "arbid", "left")
-    ops = ops.select("aufnr", F.col("vornr").alias("num_operacao"), F.col("ltxa1").alias("descricao_operacao"),
-                     "centro_trabalho_operacao", F.col("arbei").alias("tempo_previsto_h"))
+    ops = ops.withColumnRenamed("vornr", "num_operacao").withColumnRenamed(
+        "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h").drop(
+        "aplzl", "arbid", "aufpl")
     # order status: active statuses of the base orders, with texts (AG-12)
     jest = t["jest"].filter(F.coalesce(F.col("inact").cast("string"), F.lit("")) != "X")
     jest = semi(jest, base, [F.trim(F.col("objnr"))], [F.trim(F.col("objnr"))])
@@ -220,8 +227,7 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
         join_sorted(F.col("su_txt04"), " ", distinct=True).alias("status_os_usuario"),
         join_sorted(F.col("su_txt30"), " | ", distinct=True).alias("status_os_usuario_descricao"),
         join_sorted(F.col("st_txt04"), " ", distinct=True).alias("status_os_sistema"))
-    rows = (base.join(plan.drop("aufpl"), "aufnr", "left").join(ops, "aufnr", "left")
-            .join(so, F.trim(F.col("objnr")) == F.col("so_objnr"), "left"))
+    rows = ops.join(so, F.trim(F.col("objnr")) == F.col("so_objnr"), "left")
     return rows.select(
         "ativo", K.strip_zeros(F.col("aufnr")).alias("ordem"), "situacao_os", "status_os_usuario",
         "status_os_usuario_descricao", "status_os_sistema", "tipo_manutencao", "tipo_manutencao_real",
