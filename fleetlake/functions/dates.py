@@ -24,7 +24,9 @@ def sap_timestamp(c) -> Column:
     Blank text, the words in NO_DATE_WORDS and all-zero digit strings give
     NULL. When the digits of the text are exactly eight, they are read as
     ``yyyyMMdd`` (so ``x2024-01-31`` is a date, ``2024-1-31`` is not).
-    Otherwise the text is read as an ISO timestamp; anything invalid is NULL.
+    Otherwise the text is read as an ISO timestamp, keeping the written wall
+    clock (an offset is not applied); anything invalid is NULL. The result
+    does not depend on the session time zone.
     Date and timestamp inputs pass through.
     """
     col = as_col(c)
@@ -32,9 +34,11 @@ def sap_timestamp(c) -> Column:
     d = digits(s)
     empty = (s.isNull() | (s == "") | F.lower(s).isin(*NO_DATE_WORDS)
              | (d == "") | (F.regexp_replace(d, "0", "") == ""))
-    compact = F.to_timestamp_ntz(F.try_to_timestamp(d, F.lit("yyyyMMdd")))
-    iso = F.when(s.rlike(ISO_SHAPE),
-                 F.try_to_timestamp(F.regexp_replace(s, "Z$", "+00:00")).cast("timestamp_ntz"))
+    # parsed without the session time zone: a compact text is a date (a
+    # timestamp parse would move midnight inside old DST gaps), an ISO text
+    # keeps the wall clock as written, like Python's fromisoformat
+    compact = F.try_to_date(d, "yyyyMMdd").cast("timestamp_ntz")
+    iso = F.when(s.rlike(ISO_SHAPE), s.try_cast("timestamp_ntz"))
     return (F.when(empty, F.lit(None).cast("timestamp_ntz"))
             .when(F.length(d) == 8, compact)
             .otherwise(iso))
