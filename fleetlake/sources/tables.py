@@ -16,6 +16,7 @@ left out; jobs that need it are then skipped by the run manifest (SRC-4).
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,3 +74,24 @@ def load_tables(spark: SparkSession, specs: dict[str, dict]) -> dict[str, DataFr
 def missing(tables: dict[str, DataFrame], needed) -> list[str]:
     """Names of ``needed`` sources that were not loaded."""
     return [n for n in needed if n not in tables]
+
+
+def jdbc_date_predicates(column: str, total_days: int, step: int, as_of: dt.date,
+                         fmt: str = "%Y%m%d") -> list[str]:
+    """SRC-5: one JDBC partition predicate per day slice of the range.
+
+    The slices follow the backfill windows (BF-1) but are half-open, so the
+    partitions are disjoint and cover ``as_of - total_days .. as_of`` once:
+    a row on a day shared by two windows is read once, not twice. ``fmt`` is
+    the text form of the date column in the source.
+    """
+    out = []
+    ini = total_days
+    while ini > 0:
+        fim = max(0, ini - step)
+        lo = (as_of - dt.timedelta(days=ini)).strftime(fmt)
+        hi = (as_of - dt.timedelta(days=fim)).strftime(fmt)
+        last = fim == 0
+        out.append(f"{column} >= '{lo}' AND {column} {'<=' if last else '<'} '{hi}'")
+        ini -= step
+    return out

@@ -30,3 +30,29 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # orders is read for key, customer, priority and status only
     assert "o_totalprice" not in plan
+
+
+# a single-partition exchange is allowed only for a one-row global aggregate
+# and for the per-partition offset table of the batch index
+SINGLE_OK = {"external_work_orders_summary", "delivery_batches", "delivery_envelopes"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n not in ("run_manifest",)))
+def test_no_single_partition_stage(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = plan_of(df)
+    if name not in SINGLE_OK:
+        assert "Exchange SinglePartition" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["requisition_flow", "external_work_orders", "order_supplies", "hourmeter_merged",
+                                  "picking_reservations"])
+def test_result_independent_of_partitioning(spark, name):
+    out = []
+    for n in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        df = E.queries()[name](spark, SF)
+        out.append(sorted(repr(tuple(r)) for r in df.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert out[0] == out[1]

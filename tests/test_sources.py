@@ -12,3 +12,13 @@ def test_load_parquet_and_optional(spark):
     assert set(t) == {"orders", "orders_again"}
     assert t["orders"].columns == [c.lower() for c in t["orders"].columns]
     assert missing(t, ["orders", "nope"]) == ["nope"]
+
+
+def test_jdbc_date_predicates_disjoint_cover():
+    import datetime as dt
+
+    from fleetlake.sources.tables import jdbc_date_predicates
+    preds = jdbc_date_predicates("BADAT", 30, 14, dt.date(2024, 3, 1))
+    assert preds == ["BADAT >= '20240131' AND BADAT < '20240214'",
+                     "BADAT >= '20240214' AND BADAT < '20240228'",
+                     "BADAT >= '20240228' AND BADAT <= '20240301'"]
