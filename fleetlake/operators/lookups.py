@@ -17,10 +17,29 @@ from pyspark.sql import functions as F
 from fleetlake.functions._util import as_col
 
 
-def _keyed(right: DataFrame, right_on: Sequence, prefix: str) -> tuple[DataFrame, list[str]]:
-    names = [f"{prefix}{i}" for i in range(len(right_on))]
-    cols = [as_col(c).alias(n) for c, n in zip(right_on, names)]
-    return right.select(*cols, "*"), names
+SALT = "__salt"
+
+
+def with_salt(df: DataFrame, cols: Sequence, buckets: int = 1024) -> DataFrame:
+    """Add a deterministic spread value from columns that identify a row.
+
+    Used by ``spread_nulls``: it depends only on the row's own values, so a
+    retried task sends each row to the same place.
+    """
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*[as_col(c) for c in cols]), F.lit(buckets)))
+
+
+def spread_nulls(key, salt: Column | None = None) -> Column:
+    """Left join key whose NULLs are spread over many shuffle partitions.
+
+    A NULL key never matches, but a hash shuffle sends every NULL to one
+    task: with a third of the rows lacking the key (requisitions without a
+    PO, reservations without a requisition) that task would hold a third of
+    the data. NULL becomes '\\0' + a salt value, which no real key equals.
+    """
+    k = as_col(key)
+    s = salt if salt is not None else F.col(SALT)
+    return F.coalesce(k, F.concat(F.lit("\u0000"), s.cast("string")))
 
 
 def _cond(left_on: Sequence, names: Sequence[str], alias: str) -> Column:

@@ -10,7 +10,7 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import best_per_key, first_per_key
 from fleetlake.operators.batches import clean_fields
-from fleetlake.operators.lookups import semi, text_lookup
+from fleetlake.operators.lookups import semi, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 from fleetlake.plans.yard import like_any
 
@@ -354,10 +354,12 @@ def order_supplies(t: dict[str, DataFrame], p: Params) -> DataFrame:
                      K.strip_key(F.col("p_ebeln")).alias("pedido"),
                      F.lit(None).cast("string").alias("num_reserva"), F.lit("compra").alias("origem"), "knttp")
     e2 = eban.select(F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), F.col("knttp"))
-    res = (os_.join(resb.filter(F.col("xloek").isNull() | (F.trim(F.col("xloek")) == "")),
-                    F.col("ordem_sap") == F.col("aufnr"))
-           .join(e2, (F.col("banfn") == F.col("e_banfn")) & (F.col("bnfpo") == F.col("e_bnfpo")), "left")
-           .join(po, (F.col("e_banfn") == F.col("p_banfn")) & (F.col("e_bnfpo") == F.col("p_bnfpo")), "left"))
+    res = os_.join(resb.filter(F.col("xloek").isNull() | (F.trim(F.col("xloek")) == "")),
+                   F.col("ordem_sap") == F.col("aufnr"))
+    # most reservations have no requisition: spread their NULL keys
+    res = with_salt(res, ["rsnum", "rspos"])
+    res = (res.join(e2, (spread_nulls("banfn") == F.col("e_banfn")) & (F.col("bnfpo") == F.col("e_bnfpo")), "left")
+           .join(po, (spread_nulls("e_banfn") == F.col("p_banfn")) & (F.col("e_bnfpo") == F.col("p_bnfpo")), "left"))
     res = res.select("ativo", "ordem", K.strip_key(F.col("matnr")).alias("cod_sap"),
                      F.lit(None).cast("string").alias("desc_compra_direta"), F.col("bdmng").alias("qtd_req"),
                      K.strip_key(F.col("p_ebeln")).alias("pedido"),

@@ -15,7 +15,7 @@ from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import first_per_key
-from fleetlake.operators.lookups import agg_lookup, text_lookup
+from fleetlake.operators.lookups import agg_lookup, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 
 
@@ -196,18 +196,21 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     # that partitioning before the header join re-partitions on the PO
     x = agg_lookup(x, ebkn, [F.col("banfn"), F.col("bnfpo")], [ebkn.banfn, ebkn.bnfpo],
                    [F.max("aufnr").alias("acc_aufnr"), F.max("kostl").alias("acc_kostl")], name="acc")
-    x = x.join(hd, F.col("p_ebeln") == F.col("k_ebeln"), "left")
+    # items without a PO (possibly most of them) carry NULL PO keys through
+    # the header join and the PO-item lookups: spread them (see spread_nulls)
+    x = with_salt(x, ["banfn", "bnfpo"])
+    x = x.join(hd, spread_nulls("p_ebeln") == F.col("k_ebeln"), "left")
     x = x.filter(owned_by([F.col("ekgrp"), F.col("k_ekgrp")], F.col("k_ernam"), p))
-    po_key = [F.col("p_ebeln"), F.col("p_ebelp")]
+    po_key = [spread_nulls("p_ebeln"), F.col("p_ebelp")]
     x = agg_lookup(x, ekkn, po_key, [ekkn.ebeln, ekkn.ebelp], [F.max("kostl").alias("pk_kostl")], name="pk")
     x = agg_lookup(x, ekbe, po_key, [ekbe.ebeln, ekbe.ebelp], [F.sum("menge").alias("qtd_recebida")],
                    where=ekbe.vgabe == "1", name="h")
     x = agg_lookup(x, eket, po_key, [eket.ebeln, eket.ebelp], [F.min("eindt").alias("data_remessa")],
                    name="sch")
     afih = t["afih"].select(F.col("aufnr").alias("a_aufnr"), F.col("equnr").alias("a_equnr"))
-    x = x.join(afih, F.col("acc_aufnr") == F.col("a_aufnr"), "left")
+    x = x.join(afih, spread_nulls("acc_aufnr") == F.col("a_aufnr"), "left")
     vend = t["lfa1"].select(F.col("lifnr").alias("v_lifnr"), F.col("name1").alias("v_name1"))
-    x = x.join(vend, F.col("k_lifnr") == F.col("v_lifnr"), "left")
+    x = x.join(vend, spread_nulls("k_lifnr") == F.col("v_lifnr"), "left")
     x = text_lookup(x, makt, F.col("matnr"), makt.matnr, "maktx", "m_maktx", langs=p.text_langs,
                     fanout=p.fanout, name="m")
     cat = S.category(F.col("p_knttp"), F.col("knttp"))
