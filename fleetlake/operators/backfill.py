@@ -13,7 +13,7 @@ import datetime as dt
 import traceback
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,19 +39,32 @@ def window_memberships(d: Column, total_days: int, step: int, as_of: dt.date) ->
         edge, F.array(first, first + 1)).otherwise(F.array(first))
 
 
-def window_counts(spark: SparkSession, fetched: DataFrame, kept: DataFrame, date_col: str,
-                  total_days: int, step: int, as_of: dt.date) -> DataFrame:
-    """BF-3 counters per window: rows a window query returns and rows first kept there.
+def window_counts(spark: SparkSession, rows: DataFrame, date_col: str, key: list[str], order: list[Column],
+                  guard: Column, total_days: int, step: int, as_of: dt.date) -> DataFrame:
+    """BF-3 counters per window, in one pass over the window query rows.
 
-    ``fetched`` are the rows before the guard and dedup, ``kept`` after,
-    with a ``janela`` column (first window). Neighbouring windows share a
-    day, so ``linhas`` may count a row twice (S-17); ``novas`` never does.
+    ``linhas``: rows each window query returns (a row on a shared edge day
+    counts in both windows, S-17). ``novas``: rows first kept in the window,
+    i.e. rows passing ``guard`` that come first for their ``key`` under
+    ``order`` (whose first sort key is the window index). One window ranks
+    the rows; rows failing the guard are ranked on a spread key so they do
+    not gather in one task; then one aggregation over the exploded window
+    memberships.
     """
     w = window_table(spark, total_days, step, as_of)
-    f = fetched.select(F.explode(window_memberships(D.sap_date(F.col(date_col)), total_days, step, as_of))
-                       .alias("janela")).groupBy("janela").agg(F.count(F.lit(1)).alias("linhas"))
-    k = kept.groupBy("janela").agg(F.count(F.lit(1)).alias("novas"))
-    return (w.join(f, "janela", "left").join(k, "janela", "left")
+    d = D.sap_date(F.col(date_col))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(1024))
+    keyed = rows.withColumn("__ok", F.coalesce(guard, F.lit(False)))
+    parts = [F.when(F.col("__ok"), F.col(k).cast("string")).otherwise(
+        F.concat(F.lit("\u0000"), spread.cast("string"))) for k in key]
+    ranked = keyed.withColumn("__rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
+    kept = F.col("__ok") & (F.col("__rn") == 1)
+    first = D.first_window_index(d, total_days, step, as_of)
+    per = ranked.select(kept.alias("__kept"), first.alias("__first"),
+                        F.explode(window_memberships(d, total_days, step, as_of)).alias("janela"))
+    c = per.groupBy("janela").agg(F.count(F.lit(1)).alias("linhas"),
+                                  F.count_if(F.col("__kept") & (F.col("__first") == F.col("janela"))).alias("novas"))
+    return (w.join(c, "janela", "left")
             .select("janela", "inicio", "fim", F.coalesce("linhas", F.lit(0)).alias("linhas"),
                     F.coalesce("novas", F.lit(0)).alias("novas")))
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.functions import keys as K
 from fleetlake.operators.backfill import run_jobs, window_counts
 from fleetlake.operators.batches import serialise, to_batches
 from fleetlake.params import Params
@@ -55,11 +56,14 @@ def job_batches(name: str, t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 
 def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """BF-3 counters of the requisition flow per 14-day window."""
+    """BF-3 counters of the requisition flow per 14-day window (one pass)."""
     spark = next(iter(t.values())).sparkSession
-    fetched = purchasing.requisition_rows(t, p).select(F.col("data_requisicao"))
-    kept = purchasing.requisition_flow_with_window(t, p)
-    return window_counts(spark, fetched, kept, "data_requisicao", p.rc_total_days, p.rc_step_days, p.as_of)
+    rows = purchasing.requisition_rows(t, p)
+    guard = ((K.py_strip(F.coalesce("num_rc", F.lit(""))) != "")
+             & (K.py_strip(F.coalesce("item_rc", F.lit(""))) != "")
+             & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
+    return window_counts(spark, rows, "data_requisicao", ["num_rc", "item_rc"], purchasing.RC_ORDER(), guard,
+                         p.rc_total_days, p.rc_step_days, p.as_of)
 
 
 def hourly_manifest(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> DataFrame:

@@ -245,13 +245,17 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     )
 
 
+def RC_ORDER() -> list[Column]:
+    """Seen-set order of J3: oldest window, RC number, then PO and PO item (S-3)."""
+    return [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last(),
+            F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last()]
+
+
 def requisition_flow_with_window(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J3 rows after guard and dedup, with the window each was first kept in."""
     rows = requisition_rows(t, p)
     rows = K.require_keys(rows, ["num_rc", "item_rc", "cod_sap"])
-    return first_per_key(rows, ["num_rc", "item_rc"],
-                         [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last()],
-                         [F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last()])
+    return first_per_key(rows, ["num_rc", "item_rc"], RC_ORDER())
 
 
 def requisition_flow(t: dict[str, DataFrame], p: Params) -> DataFrame:

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of the batch index are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
