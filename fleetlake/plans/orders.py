@@ -173,6 +173,41 @@ EWO_ROW_HEADER = ["ativo", "situacao_os", "status_os_usuario", "status_os_usuari
                   "data_enc_tecnico", "data_enc_comercial"]
 
 
+def order_status_texts(t: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
+    """AG-12, CL-9 texts: active user and system statuses of the given orders.
+
+    Status rows of the orders' objects (semi join on the trimmed object
+    number), not inactive (NULL-safe, S-6), with system texts and the user
+    texts of the object's status profile; per object the distinct texts
+    sorted and joined ('' separators as the reference), NULL when none.
+    """
+    jest = t["jest"].filter(F.coalesce(F.col("inact").cast("string"), F.lit("")) != "X")
+    jest = semi(jest, orders, [F.trim(F.col("objnr"))], [F.trim(F.col("objnr"))])
+    st = t["tj02t"].filter(F.col("spras") == "P").select("istat", F.col("txt04").alias("st_txt04"))
+    js = t["jsto"].select(F.trim(F.col("objnr")).alias("js_objnr"), F.trim(F.col("stsma")).alias("js_stsma"))
+    su = t["tj30t"].filter(F.col("spras") == "P").select(
+        "estat", F.trim(F.col("stsma")).alias("su_stsma"), F.col("txt04").alias("su_txt04"),
+        F.col("txt30").alias("su_txt30"))
+    j = (jest.join(st, F.col("stat") == F.col("istat"), "left")
+         .join(js, F.trim(F.col("objnr")) == F.col("js_objnr"), "left")
+         .join(su, (F.col("stat") == F.col("estat")) & (F.col("su_stsma") == F.col("js_stsma")), "left"))
+    return j.groupBy(F.trim(F.col("objnr")).alias("so_objnr")).agg(
+        join_sorted(F.col("su_txt04"), " ", distinct=True).alias("status_os_usuario"),
+        join_sorted(F.col("su_txt30"), " | ", distinct=True).alias("status_os_usuario_descricao"),
+        join_sorted(F.col("st_txt04"), " ", distinct=True).alias("status_os_sistema"))
+
+
+def order_status_text(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """AG-12 / CL-9 on all orders: life-cycle situation and status texts per order."""
+    aufk = t["aufk"]
+    so = order_status_texts(t, aufk.select("objnr"))
+    o = aufk.select("aufnr", "objnr", S.order_situation(F.col("loekz"), F.col("phas3"), F.col("phas2"),
+                                                        F.col("phas1"), F.col("phas0")).alias("situacao_os"))
+    return o.join(so, F.trim(F.col("objnr")) == F.col("so_objnr"), "left").select(
+        K.strip_zeros(F.col("aufnr")).alias("ordem"), "situacao_os", "status_os_usuario",
+        "status_os_usuario_descricao", "status_os_sistema")
+
+
 def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J6 flat rows: order x operation, as the SQL of the reference returns them."""
     aufk, afih = t["aufk"], t["afih"]
@@ -212,21 +247,7 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     ops = ops.withColumnRenamed("vornr", "num_operacao").withColumnRenamed(
         "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h").drop(
         "aplzl", "arbid", "aufpl")
-    # order status: active statuses of the base orders, with texts (AG-12)
-    jest = t["jest"].filter(F.coalesce(F.col("inact").cast("string"), F.lit("")) != "X")
-    jest = semi(jest, base, [F.trim(F.col("objnr"))], [F.trim(F.col("objnr"))])
-    st = t["tj02t"].filter(F.col("spras") == "P").select("istat", F.col("txt04").alias("st_txt04"))
-    js = t["jsto"].select(F.trim(F.col("objnr")).alias("js_objnr"), F.trim(F.col("stsma")).alias("js_stsma"))
-    su = t["tj30t"].filter(F.col("spras") == "P").select(
-        "estat", F.trim(F.col("stsma")).alias("su_stsma"), F.col("txt04").alias("su_txt04"),
-        F.col("txt30").alias("su_txt30"))
-    j = (jest.join(st, F.col("stat") == F.col("istat"), "left")
-         .join(js, F.trim(F.col("objnr")) == F.col("js_objnr"), "left")
-         .join(su, (F.col("stat") == F.col("estat")) & (F.col("su_stsma") == F.col("js_stsma")), "left"))
-    so = j.groupBy(F.trim(F.col("objnr")).alias("so_objnr")).agg(
-        join_sorted(F.col("su_txt04"), " ", distinct=True).alias("status_os_usuario"),
-        join_sorted(F.col("su_txt30"), " | ", distinct=True).alias("status_os_usuario_descricao"),
-        join_sorted(F.col("st_txt04"), " ", distinct=True).alias("status_os_sistema"))
+    so = order_status_texts(t, base)
     rows = ops.join(so, F.trim(F.col("objnr")) == F.col("so_objnr"), "left")
     return rows.select(
         "ativo", K.strip_zeros(F.col("aufnr")).alias("ordem"), "situacao_os", "status_os_usuario",
