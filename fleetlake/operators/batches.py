@@ -26,32 +26,49 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 
 def row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
-              index_col: str = "row_idx") -> DataFrame:
-    """Add a 0-based gapless index following ``order`` (must be unique).
-
-    ``repartitionByRange`` samples the data to pick bounds, so the ranged
-    frame is checkpointed to the session's reliable checkpoint folder before
-    the two reads (counts, rows): a lost executor then recomputes nothing
-    that could move a row to another partition.
+              index_col: str = "row_idx", group: Sequence | None = None) -> DataFrame:
+    """Add a 0-based gapless index following ``order`` (unique within a group).
+
+    Without ``group`` the index is global; with ``group`` it restarts at 0 in
+    every group. The rows are range-partitioned on (group, order) and sorted
+    inside each partition, so a group's rows are contiguous and a large group
+    spans many partitions: no task holds a whole hot group. Per (partition,
+    group) the rows are counted; a group's offset in a partition is the sum
+    of its counts in the partitions before (a window over the small counts
+    table). ``repartitionByRange`` samples the data to pick bounds, so the
+    ranged frame is checkpointed to the session's reliable checkpoint folder
+    before it is read twice (counts, rows): a lost executor then cannot move
+    a row to another partition.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = _order_cols(order)
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    gcols = _order_cols(group or [])
+    cols = gcols + _order_cols(order)
+    gnames = [f"__g{i}" for i in range(len(gcols))]
+    ranged = (df.select("*", *[c.alias(g) for c, g in zip(gcols, gnames)])
+              .repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__local", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition << 33) + position in partition
     ranged = ranged.withColumn("__local", F.col("__local") - F.shiftleft(F.col("__pid").cast("long"), 33))
     ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("__pid", (F.sum("__n").over(w) - F.col("__n")).alias("__off"),
-                            F.sum("__n").over(Window.partitionBy()).alias("__total"))
-    # one row per partition: a proven size bound for the broadcast
-    out = ranged.join(F.broadcast(offsets), "__pid")
-    return out.withColumn(index_col, F.col("__off") + F.col("__local")).withColumnRenamed(
-        "__total", f"{index_col}_total").drop("__pid", "__local", "__off")
+    keys = ["__pid", *gnames]
+    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__local").alias("__start"))
+    w = Window.partitionBy(*gnames).orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select(*keys, "__start", (F.sum("__n").over(w) - F.col("__n")).alias("__off"),
+                            F.sum("__n").over(Window.partitionBy(*gnames)).alias("__total"))
+    if not gnames:
+        # one row per partition: a proven size bound for the broadcast
+        offsets = F.broadcast(offsets)
+    cond = None
+    for k in keys:  # group values may be NULL
+        e = F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}"))
+        cond = e if cond is None else cond & e
+    out = ranged.alias("r").join(offsets.alias("o"), cond)
+    out = out.select("r.*", "o.__start", "o.__off", "o.__total")
+    return out.withColumn(index_col, F.col("__off") + F.col("__local") - F.col("__start")).withColumnRenamed(
+        "__total", f"{index_col}_total").drop("__pid", "__local", "__off", "__start", *gnames)
 
 
 def to_batches(df: DataFrame, size: int, order: Sequence, tail: str = "none",

@@ -1,4 +1,4 @@
-"""Parent/child nesting (AG-16, DL-5)."""
+"""Parent/child nesting (AG-16)."""
 
 from __future__ import annotations
 
@@ -27,21 +27,3 @@ def nest_children(children: DataFrame, parent_key: Sequence[str], child_key: str
                          [*parent_key, child_key], order)
     item = F.struct(*[F.col(c) for c in [child_key, *[c for c in child_cols if c != child_key]]])
     return uniq.groupBy(*parent_key).agg(F.array_sort(F.collect_list(item)).alias(out))
-
-
-def bundle(key_df: DataFrame, key: str, **sections: DataFrame) -> DataFrame:
-    """DL-5: one row per key with one ``array<struct>`` column per section.
-
-    Each section DataFrame must have ``key`` and a ``__ord`` column that
-    fixes the order of rows inside the list. A key without rows in a section
-    gets an empty list.
-    """
-    out = key_df.select(key).distinct()
-    for name, df in sections.items():
-        rest = [c for c in df.columns if c not in (key, "__ord")]
-        g = df.groupBy(key).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("__ord"), *[F.col(c) for c in rest]))).alias(name))
-        g = g.select(key, F.transform(F.col(name), lambda s: s.dropFields("__ord")).alias(name))
-        out = out.join(g, key, "left").withColumn(
-            name, F.coalesce(F.col(name), F.array().cast(g.schema[name].dataType)))
-    return out

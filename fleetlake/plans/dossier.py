@@ -4,8 +4,8 @@ movements and material texts of assets.
 The reference builds one document for one asset given on the command line.
 Re-aimed for scale: the job takes a DataFrame of asset codes (or all assets)
 and returns each section as a DataFrame keyed by asset, so the work is joins
-on order and material keys. ``documents`` bundles the sections into one row
-per asset (DL-5) for delivery.
+on order and material keys. ``documents`` cuts each section into ordered,
+bounded pages per asset for delivery (DL-5).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
-from fleetlake.operators.nesting import bundle
+from fleetlake.operators.batches import row_index
 from fleetlake.params import Params
 
 
@@ -108,19 +108,33 @@ def section_counts(sections: dict[str, DataFrame]) -> DataFrame:
     return out.select("ativo", *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in sections])
 
 
-def documents(sections: dict[str, DataFrame]) -> DataFrame:
-    """DL-5: one row per asset with one ``array<struct>`` per section.
+# Fixed order of the rows of each section (the ORDER BY of each dossier query).
+SECTION_ORDER = {
+    "ordens": ["criada_em", "ordem"], "pedidos": ["data_pc", "pedido", "item"],
+    "reservas": ["ordem", "reserva", "item"], "consumo": ["data", "doc"], "makt": ["cod_sap", "maktx"],
+}
 
-    Rows inside a list follow the reference's ORDER BY of each section. A
-    document holds all rows of one asset by definition, so use it for
-    delivery of bounded per-asset sizes; the sections stay the scalable form.
+
+def documents(sections: dict[str, DataFrame], max_items: int = 1000) -> dict[str, DataFrame]:
+    """DL-5: the dossier as ordered pages per asset and section.
+
+    For each section: one row per (asset, page) with ``itens`` holding at
+    most ``max_items`` rows in the section's order, plus ``pagina`` and
+    ``paginas``. The position of a row inside its asset comes from the
+    grouped ``row_index`` (range partitioning on asset and order), so an
+    asset with a third of all rows is spread over many tasks and no list
+    grows past ``max_items``.
     """
-    order = {
-        "ordens": ["criada_em", "ordem"], "pedidos": ["data_pc", "pedido", "item"],
-        "reservas": ["ordem", "reserva", "item"], "consumo": ["data", "doc"], "makt": ["cod_sap", "maktx"],
-    }
-    keyed = {}
+    out = {}
     for name, df in sections.items():
         rest = [c for c in df.columns if c != "ativo"]
-        keyed[name] = df.select("ativo", F.struct(*[F.col(c) for c in order[name]], *rest).alias("__ord"), *rest)
-    return bundle(sections["ordens"].select("ativo"), "ativo", **keyed)
+        order = [F.col(c).asc_nulls_first() for c in SECTION_ORDER[name]] + \
+                [F.col(c).asc_nulls_first() for c in rest if c not in SECTION_ORDER[name]]
+        idx = row_index(df, order, group=["ativo"], index_col="__i")
+        pages = idx.groupBy("ativo", F.floor(F.col("__i") / max_items).cast("int").alias("pagina")).agg(
+            F.array_sort(F.collect_list(F.struct(F.col("__i"), *[F.col(c) for c in rest]))).alias("itens"),
+            F.first("__i_total").alias("__t"))
+        out[name] = pages.select(
+            "ativo", "pagina", F.ceil(F.col("__t") / max_items).cast("int").alias("paginas"),
+            F.transform("itens", lambda x: x.dropFields("__i")).alias("itens"))
+    return out

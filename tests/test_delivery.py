@@ -13,18 +13,25 @@ from fleetlake.sources.star import star_tables
 SF = "/root/testdata/sf0.001"
 
 
-def test_documents_one_row_per_asset_with_sorted_sections(spark):
+def test_documents_pages_bounded_and_ordered(spark):
     t = star_tables(spark, SF, SQ.DO_VIEWS)
-    assets = spark.createDataFrame([("000000000000000001",), (" 2 ",)], "a string")
+    assets = spark.createDataFrame([("000000000000000001",), (" 2 ",), ("7",)], "a string")
     sec = DO.asset_dossier(t, SQ.STAR, assets)
-    docs = DO.documents(sec).collect()
-    assert sorted(d["ativo"] for d in docs) == ["1", "2"]
     counts = {r["ativo"]: r for r in DO.section_counts(sec).collect()}
-    for d in docs:
-        assert len(d["ordens"]) == counts[d["ativo"]]["ordens"]
-        assert len(d["pedidos"]) == counts[d["ativo"]]["pedidos"]
-        keys = [(p["data_pc"], p["pedido"], p["item"]) for p in d["pedidos"]]
-        assert keys == sorted(keys)
+    docs = DO.documents(sec, max_items=3)
+    for name in ("ordens", "pedidos", "reservas"):
+        pages = sorted(docs[name].collect(), key=lambda r: (r["ativo"], r["pagina"]))
+        by_asset = {}
+        for pg in pages:
+            assert 0 < len(pg["itens"]) <= 3
+            by_asset.setdefault(pg["ativo"], []).append(pg)
+        for a, pgs in by_asset.items():
+            assert [p["pagina"] for p in pgs] == list(range(pgs[0]["paginas"]))
+            items = [i for p in pgs for i in p["itens"]]
+            assert len(items) == counts[a][name]
+            key = DO.SECTION_ORDER[name]
+            seq = [tuple("" if i[k] is None else str(i[k]) for k in key) for i in items]
+            assert seq == sorted(seq)
 
 
 def test_write_batches_envelopes(spark, tmp_path):
