@@ -59,38 +59,42 @@ SELECT {lp('o_orderkey', 10)} AS ebeln,
        CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE '' END AS frgrl
 FROM {{orders}}"""
 
+# Item grain of lineitem, aggregated with numeric buffers only (so the
+# aggregation is hash based): quantities are whole numbers, so their double
+# sum is exact; amounts are summed in cents; the return flag is ranked A<N<R.
+ITEM_AGG = """SELECT l_orderkey, l_linenumber, max(l_partkey) AS mp, sum(l_quantity) AS q,
+         min(l_extendedprice) AS minp, sum(cast(round(l_extendedprice * 100) AS bigint)) AS cents,
+         max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS rf
+  FROM {lineitem}"""
+
 VIEWS["ekpo"] = f"""
 SELECT {lp('l_orderkey', 10)} AS ebeln,
        {lp('l_linenumber * 10', 5)} AS ebelp,
        {lp('l_orderkey + 5000000', 10)} AS banfn,
        {lp('l_linenumber * 10', 5)} AS bnfpo,
-       CASE WHEN l_orderkey % 31 = 0 THEN '000000000000000000' ELSE {lp('max(l_partkey)', 18)} END AS matnr,
-       'item ' || cast(max(l_partkey) AS string) AS txz01,
-       cast(sum(cast(l_quantity AS decimal(13,3))) AS decimal(13,3)) AS menge,
+       CASE WHEN l_orderkey % 31 = 0 THEN '000000000000000000' ELSE {lp('mp', 18)} END AS matnr,
+       'item ' || cast(mp AS string) AS txz01,
+       cast(q AS decimal(13,3)) AS menge,
        'UN' AS meins,
-       CASE WHEN l_orderkey % 23 = 0 THEN NULL
-            ELSE cast(min(l_extendedprice) AS decimal(11,2)) END AS netpr,
-       cast(sum(cast(l_extendedprice AS decimal(13,2))) AS decimal(13,2)) AS netwr,
-       CASE max(l_returnflag) WHEN 'A' THEN 'K' WHEN 'N' THEN '' ELSE 'F' END AS knttp,
+       CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE cast(minp AS decimal(11,2)) END AS netpr,
+       cast(cast(cents AS decimal(18,0)) / 100 AS decimal(13,2)) AS netwr,
+       CASE rf WHEN 1 THEN 'K' WHEN 2 THEN '' ELSE 'F' END AS knttp,
        CASE (l_orderkey + l_linenumber) % 11 WHEN 0 THEN 'L' WHEN 1 THEN NULL ELSE '' END AS loekz
-FROM {{lineitem}}
-WHERE l_linenumber <> 7
-GROUP BY l_orderkey, l_linenumber"""
+FROM ({ITEM_AGG} WHERE l_linenumber <> 7 GROUP BY l_orderkey, l_linenumber) g"""
 
 VIEWS["eban"] = f"""
-SELECT {lp('l.l_orderkey + 5000000', 10)} AS banfn,
-       {lp('l.l_linenumber * 10', 5)} AS bnfpo,
-       CASE WHEN l.l_orderkey % 31 = 0 THEN '000000000000000000' ELSE {lp('max(l.l_partkey)', 18)} END AS matnr,
-       'req item ' || cast(max(l.l_partkey) AS string) AS txz01,
-       cast(sum(cast(l.l_quantity AS decimal(13,3))) AS decimal(13,3)) AS menge,
-       cast(min(l.l_extendedprice) AS decimal(11,2)) AS preis,
-       '20' || cast(l.l_orderkey % 5 + 1 AS string) AS ekgrp,
-       max('U' || cast((o.o_custkey + 1) % 10 AS string)) AS ernam,
-       max({mixed('o.o_orderkey', 'o.o_orderdate')}) AS badat,
-       CASE max(l.l_returnflag) WHEN 'A' THEN 'A' WHEN 'N' THEN 'P' ELSE NULL END AS knttp,
-       CASE WHEN l.l_orderkey % 13 = 0 THEN 'X' ELSE '' END AS loekz
-FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
-GROUP BY l.l_orderkey, l.l_linenumber"""
+SELECT {lp('g.l_orderkey + 5000000', 10)} AS banfn,
+       {lp('g.l_linenumber * 10', 5)} AS bnfpo,
+       CASE WHEN g.l_orderkey % 31 = 0 THEN '000000000000000000' ELSE {lp('g.mp', 18)} END AS matnr,
+       'req item ' || cast(g.mp AS string) AS txz01,
+       cast(g.q AS decimal(13,3)) AS menge,
+       cast(g.minp AS decimal(11,2)) AS preis,
+       '20' || cast(g.l_orderkey % 5 + 1 AS string) AS ekgrp,
+       'U' || cast((o.o_custkey + 1) % 10 AS string) AS ernam,
+       {mixed('o.o_orderkey', 'o.o_orderdate')} AS badat,
+       CASE g.rf WHEN 1 THEN 'A' WHEN 2 THEN 'P' ELSE NULL END AS knttp,
+       CASE WHEN g.l_orderkey % 13 = 0 THEN 'X' ELSE '' END AS loekz
+FROM ({ITEM_AGG} GROUP BY l_orderkey, l_linenumber) g JOIN {{orders}} o ON g.l_orderkey = o.o_orderkey"""
 
 VIEWS["ebkn"] = f"""
 SELECT {lp('l_orderkey + 5000000', 10)} AS banfn, {lp('l_linenumber * 10', 5)} AS bnfpo,
