@@ -82,7 +82,8 @@ def parts_history(t: dict[str, DataFrame], p: Params) -> DataFrame:
     the reference (S-15: '9' > '10'); ``ultima_ordem_por_data`` is the order
     of the newest creation date. Texts are joined after the aggregation, one
     per key, so they do not multiply sums (S-11). Creation dates are read as
-    dates (SC-17), not compared as text (S-9).
+    dates (SC-17) by default; ``date_mode='text'`` compares the raw text with
+    the period bounds as the reference does (S-9).
     """
     rows = _in_periods(_consumption(t, p), p)
     g = rows.groupBy("periodo", "ativo", "cod_sap").agg(*_aggs())
