@@ -147,3 +147,15 @@ def require_keys(df, cols):
     for c in cols:
         cond = cond & (py_strip(F.coalesce(as_col(c).cast("string"), F.lit(""))) != "")
     return df.filter(cond)
+
+
+def requisition_ref(own, generated) -> Column:
+    """SC-23: the receipt's own requisition reference, else the generated PO
+    number, else '' (``NULLIF`` only skips ''), leading zeros stripped (SC-3)."""
+    return strip_zeros(F.coalesce(F.nullif(as_col(own), F.lit("")), as_col(generated), F.lit("")))
+
+
+def label(lot, positions) -> Column:
+    """SC-14: 'lot - positions', or only the positions when the lot is blank."""
+    return F.when(F.nullif(as_col(lot), F.lit("")).isNull(), as_col(positions)).otherwise(
+        F.concat(as_col(lot), F.lit(" - "), as_col(positions)))

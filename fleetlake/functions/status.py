@@ -188,6 +188,12 @@ def supply_origin(postp) -> Column:
     return F.when(as_col(postp) == "N", F.lit("compra")).otherwise(F.lit("reserva"))
 
 
+def asset_text(cost_centre, profit_centre_text, asset_text_) -> Column:
+    """CL-14: asset description by cost-centre key length (10: profit centre, 7: asset); no default."""
+    n = F.length(as_col(cost_centre))
+    return F.when(n == 10, as_col(profit_centre_text)).when(n == 7, as_col(asset_text_))
+
+
 def stock_asset(equnr) -> Column:
     """CL-16: asset of a requisition, 'ESTOQUE' when there is none."""
     return F.coalesce(F.nullif(strip_key(equnr), F.lit("")), F.lit("ESTOQUE"))

@@ -66,7 +66,12 @@ def prefer(df: DataFrame, key, pred: Column, out_col: str) -> DataFrame:
 
     One partial + final hash aggregation; a hot key is folded map-side.
     """
-    return df.groupBy(*_cols(key)).agg(F.bool_or(F.coalesce(pred, F.lit(False))).alias(out_col))
+    return df.groupBy(*_cols(key)).agg(any_match(pred).alias(out_col))
+
+
+def any_match(pred: Column) -> Column:
+    """AG-5: aggregate 'any row satisfies pred' (NULL counts as no)."""
+    return F.bool_or(F.coalesce(pred, F.lit(False)))
 
 
 def first_non_blank(value, order: Sequence) -> Column:

@@ -110,3 +110,38 @@ def anti(df: DataFrame, keys: DataFrame, left_on: Sequence, right_on: Sequence)
     """Rows of ``df`` whose key is not in ``keys`` (left anti join)."""
     k = keys.select(*[as_col(c).alias(f"__a{i}") for i, c in enumerate(right_on)]).alias("ak")
     return df.join(k, _cond(left_on, [f"__a{i}" for i in range(len(right_on))], "ak"), "left_anti")
+
+
+def join_on_key(left: DataFrame, right: DataFrame, left_key, right_key, norm, how: str = "inner",
+                name: str = "jk") -> DataFrame:
+    """JN-6/JN-7/JN-8: join on normalised keys derived once per side.
+
+    ``norm`` is a Column function (``strip_key``, ``as_long``, ``as_text``,
+    ``pad_key``...). The key is computed as a column on each side and the
+    join is a plain equi-join on it, so it can be hash-partitioned (a join
+    condition wrapped in functions of both sides could not). The right key
+    column is dropped after the join.
+    """
+    r = right.withColumn(f"__{name}", norm(as_col(right_key)))
+    out = left.join(r, norm(as_col(left_key)) == F.col(f"__{name}"), how)
+    return out.drop(f"__{name}")
+
+
+def enrich_header(rows: DataFrame, header: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """JN-18: overwrite/add header ``fields`` on ``rows`` matching on ``keys``.
+
+    ``header`` must hold one row per key (use ``first_per_key`` first).
+    Rows without a match keep their own values of the fields (or NULL when
+    they have none); matched rows take the header's values.
+    """
+    h = header.select(*[F.col(k).alias(f"__h_{k}") for k in keys], *[F.col(f).alias(f"__h_{f}") for f in fields])
+    cond = None
+    for k in keys:
+        e = F.col(k) == F.col(f"__h_{k}")
+        cond = e if cond is None else cond & e
+    out = rows.join(h, cond, "left")
+    matched = F.col(f"__h_{keys[0]}").isNotNull()
+    for f in fields:
+        own = F.col(f) if f in rows.columns else F.lit(None)
+        out = out.withColumn(f, F.when(matched, F.col(f"__h_{f}")).otherwise(own))
+    return out.drop(*[f"__h_{k}" for k in keys], *[f"__h_{f}" for f in fields])

@@ -10,9 +10,9 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import best_per_key, first_per_key
 from fleetlake.operators.batches import clean_fields
-from fleetlake.operators.lookups import semi, spread_nulls, text_lookup, with_salt
+from fleetlake.operators.lookups import enrich_header, semi, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
-from fleetlake.plans.yard import like_any
+from fleetlake.functions.predicates import in_any, like_any, since
 
 
 def join_sorted(values: Column, sep: str, distinct: bool = False) -> Column:
@@ -30,7 +30,7 @@ def join_sorted(values: Column, sep: str, distinct: bool = False) -> Column:
 def _pm_branch_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
     pm = t["pm_order_view"]
     return pm.filter(like_any("cod_centro_trabalho", p.branch_codes)
-                     & (D.sap_date(F.col("data_criacao")) >= F.lit(p.orders_since)))
+                     & since(F.col("data_criacao"), p.orders_since))
 
 
 def work_orders_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
@@ -71,8 +71,7 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
     base = aufk.join(afih.select("aufnr", "equnr", "gewrk", "ilart"), "aufnr")
     base = base.join(crhd.withColumnRenamed("objid", "gewrk").withColumnRenamed("arbpl", "centro_trabalho_cabecalho"),
                      "gewrk", "left")
-    base = base.filter((D.sap_date(F.col("erdat")) >= F.lit(p.orders_since))
-                       & like_any("centro_trabalho_cabecalho", p.branch_codes))
+    base = base.filter(since(F.col("erdat"), p.orders_since) & like_any("centro_trabalho_cabecalho", p.branch_codes))
     il = F.col("ilart")
     base = base.withColumn("tipo_manutencao",
                            F.when((il == "PRP") | il.contains("PRP"), F.lit(S.KIND_PREP))
@@ -156,7 +155,7 @@ def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
     hdr = clean_fields(hdr, SAP_DATE_FIELDS)
     r = rows.withColumn("k_ativo", K.py_strip(F.coalesce(F.col("ativo"), F.lit("")))).withColumn(
         "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))
-    return r.join(hdr, ["k_ativo", "k_ordem"], "left").drop("k_ativo", "k_ordem")
+    return enrich_header(r, hdr, ["k_ativo", "k_ordem"], HEADER_EXTRA).drop("k_ativo", "k_ordem")
 
 
 # --------------------------------------------------------------------- J6
@@ -216,8 +215,8 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.max("ename").alias("responsavel"))
     base = aufk.join(afih.select("aufnr", "equnr", "gewrk", "ilart", "priok", "maintordpersonresponsible"),
                      "aufnr")
-    base = base.filter((D.sap_date(F.col("erdat")) >= F.lit(p.orders_since))
-                       & K.strip_key(F.col("maintordpersonresponsible").cast("string")).isin(*p.responsibles))
+    base = base.filter(since(F.col("erdat"), p.orders_since)
+                       & in_any(K.strip_key(F.col("maintordpersonresponsible").cast("string")), p.responsibles))
     base = base.join(crhd.select(F.col("objid").alias("gewrk"), F.col("arbpl").alias("centro_trabalho_cabecalho")),
                      "gewrk", "left")
     base = base.join(resp, F.col("maintordpersonresponsible").cast("string") == F.col("pernr"), "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
-from fleetlake.operators.lookups import text_lookup
+from fleetlake.operators.lookups import join_on_key, text_lookup
 from fleetlake.params import Params
 
 
@@ -20,13 +20,14 @@ def _consumption(t: dict[str, DataFrame], p: Params) -> DataFrame:
     equi-join, instead of wrapping the join condition in functions.
     """
     afih = t["afih"].filter(F.col("equnr").isNotNull() & (F.col("equnr") != "")).select(
-        K.strip_key(F.col("aufnr")).alias("okey"), F.col("aufnr").alias("afih_aufnr"),
-        K.strip_key(F.col("equnr")).alias("ativo"))
+        F.col("aufnr").alias("afih_aufnr"), K.strip_key(F.col("equnr")).alias("ativo"))
     resb = t["resb"].filter(F.col("matnr").isNotNull() & (F.col("matnr") != "")).select(
-        K.strip_key(F.col("aufnr")).alias("okey"), K.strip_key(F.col("matnr")).alias("cod_sap"), "bdmng")
-    aufk = t["aufk"].select(K.strip_key(F.col("aufnr")).alias("okey"), D.sap_date(F.col("erdat")).alias("erdat"),
+        F.col("aufnr").alias("resb_aufnr"), K.strip_key(F.col("matnr")).alias("cod_sap"), "bdmng")
+    aufk = t["aufk"].select(F.col("aufnr").alias("aufk_aufnr"), D.sap_date(F.col("erdat")).alias("erdat"),
                             F.col("erdat").alias("erdat_text"))
-    return afih.join(resb, "okey").join(aufk, "okey", "left")
+    x = join_on_key(afih, resb, "afih_aufnr", "resb_aufnr", K.strip_key)
+    x = join_on_key(x, aufk, "afih_aufnr", "aufk_aufnr", K.strip_key, how="left")
+    return x.withColumn("okey", K.strip_key(F.col("afih_aufnr")))
 
 
 def _in_periods(rows: DataFrame, p: Params) -> DataFrame:

@@ -13,20 +13,16 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
+from fleetlake.functions import predicates as PR
 from fleetlake.functions import status as S
-from fleetlake.operators.dedup import first_per_key
+from fleetlake.operators.dedup import any_match, first_per_key
 from fleetlake.operators.lookups import agg_lookup, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 
 
 def owned_by(groups_cols: list[Column], users_col: Column | None, p: Params) -> Column:
-    """PF-5: any group column in the buyer groups, or the creator in the buyer users."""
-    cond = F.lit(False)
-    for g in groups_cols:
-        cond = cond | F.coalesce(g.isin(*p.buyer_groups), F.lit(False))
-    if users_col is not None:
-        cond = cond | F.coalesce(users_col.isin(*p.buyer_users), F.lit(False))
-    return cond
+    """PF-5 with the job's buyer groups and users."""
+    return PR.owned_by(groups_cols, users_col, p.buyer_groups, p.buyer_users)
 
 
 def py_key(c) -> Column:
@@ -51,7 +47,7 @@ def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
                        [F.lit(True).alias("has_invoice")], where=inv.vgabe == "2", name="inv")
     out = (items.withColumn("pedido", py_key("ebeln"))
            .filter(F.col("pedido") != "")
-           .groupBy("pedido").agg(F.bool_or(F.coalesce("has_invoice", F.lit(False))).alias("paid")))
+           .groupBy("pedido").agg(any_match(F.col("has_invoice")).alias("paid")))
     return out.select("pedido", S.payment_status(F.col("paid")).alias("status_pagamento"))
 
 
@@ -98,8 +94,7 @@ def goods_receipt_status(t: dict[str, DataFrame], p: Params) -> DataFrame:
     er, rc = t["receipts"].alias("er"), t["requisitions"].alias("rc")
     m = er.join(rc, F.col("er.requisicao_de_compra_id") == F.col("rc.id"), "left").select(
         F.col("er.pedido").alias("pedido"),
-        K.strip_zeros(F.coalesce(F.nullif(F.col("er.requisicao_de_compra_os"), F.lit("")),
-                                 F.col("rc.numero_pedido_gerado"), F.lit(""))).alias("requisicao"),
+        K.requisition_ref(F.col("er.requisicao_de_compra_os"), F.col("rc.numero_pedido_gerado")).alias("requisicao"),
         F.col("er.data_recebimento").alias("data_do_recebimento_fisico"),
     ).withColumn("status_migo", S.receipt_status(F.col("data_do_recebimento_fisico")))
     m = m.withColumn("pedido_key", K.py_strip(F.coalesce("pedido", F.lit("")))).filter(F.col("pedido_key") != "")
@@ -111,19 +106,8 @@ def goods_receipt_status(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 # --------------------------------------------------------------------- shared
 def date_in_range(c, total_days: int, as_of, mode: str = "date") -> Column:
-    """PF-16/PF-17: ``as_of - total_days <= c <= as_of``.
-
-    ``mode='date'`` reads the text as a date first (SC-17), so compact and
-    dashed rows both count; ``mode='text'`` compares the raw text with
-    compact bounds, as the purchase-history query does (S-9).
-    """
-    import datetime as dt
-    lo, hi = as_of - dt.timedelta(days=total_days), as_of
-    if mode == "text":
-        col = F.col(c) if isinstance(c, str) else c
-        return (col >= lo.strftime("%Y%m%d")) & (col <= hi.strftime("%Y%m%d"))
-    d = D.sap_date(c)
-    return (d >= F.lit(lo)) & (d <= F.lit(hi))
+    """PF-16/PF-17 over the whole backfill range: ``as_of - total_days .. as_of``."""
+    return PR.between_days(c, total_days, 0, as_of, mode)
 
 
 # --------------------------------------------------------------------- J2
@@ -141,7 +125,7 @@ def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None
     ekpo, ekko = t["ekpo"].alias("p"), t["ekko"].alias("k")
     base = ekpo.join(ekko, F.col("p.ebeln") == F.col("k.ebeln"), "inner").filter(
         date_in_range(F.col("k.bedat"), p.hist_total_days, p.as_of, mode)
-        & (F.trim(F.coalesce(F.col("p.loekz"), F.lit(""))) != "L")
+        & PR.not_flag(F.col("p.loekz"), "L")
         & (K.strip_key(F.coalesce(F.col("p.matnr"), F.lit(""))) != "")
         & (F.coalesce(F.col("p.netpr"), F.lit(0)) > 0))
     base = base.select(

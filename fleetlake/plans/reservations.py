@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
+from fleetlake.functions import predicates as PR
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import first_per_key
 from fleetlake.operators.lookups import semi
@@ -34,9 +35,9 @@ def base_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
     ``sgtxt <> ...`` and ``xloek <> 'X'`` drop NULLs on purpose (PF-9, S-6).
     """
     r = t["resb"]
-    r = r.filter(F.col("lgort").isin(*p.storage_locations) & (F.col("sgtxt") != NOT_STOCKED)
-                 & ((F.col("postp") == "L") | F.col("postp").isNull() | (F.col("postp") == ""))
-                 & (F.col("xloek") != "X") & F.col("bwart").isin(*p.movement_types))
+    r = r.filter(PR.in_any(F.col("lgort"), p.storage_locations) & (F.col("sgtxt") != NOT_STOCKED)
+                 & PR.blank_or(F.col("postp"), "L")
+                 & (F.col("xloek") != "X") & PR.in_any(F.col("bwart"), p.movement_types))
     return r.withColumn("chave_reserva", K.concat_key(F.col("rsnum"), 10, F.col("rspos"), 4))
 
 
@@ -63,8 +64,7 @@ def stock_by_material(t: dict[str, DataFrame], p: Params, materials: DataFrame |
     per_lot = e.groupBy("material", "lote").agg(
         F.sum("quantidade").alias("qtd_lote"),
         F.array_join(F.array_sort(F.collect_set("posicao")), " | ").alias("posicoes"))
-    label = F.when(F.nullif(F.col("lote"), F.lit("")).isNull(), F.col("posicoes")).otherwise(
-        F.concat(F.col("lote"), F.lit(" - "), F.col("posicoes")))
+    label = K.label(F.col("lote"), F.col("posicoes"))
     return per_lot.groupBy("material").agg(
         F.sum("qtd_lote").alias("saldo_estoque"),
         F.when(F.count(label) > 0, F.array_join(F.array_sort(F.collect_list(label)), " / ")).alias(
@@ -173,8 +173,7 @@ def picking_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
         S.movement_label(F.col("bwart")).alias("descricao_movimentacao"),
         F.coalesce(F.col("t_txt"), F.lit("")).alias("tipo_ordem"),
         F.coalesce(F.col("c_kostl"), F.lit("")).alias("centro_custo"),
-        F.when(F.length(F.col("k_kostl")) == 10, F.col("ltext"))
-        .when(F.length(F.col("k_kostl")) == 7, F.col("anlhtxt")).alias("descricao_ativo"),
+        S.asset_text(F.col("k_kostl"), F.col("ltext"), F.col("anlhtxt")).alias("descricao_ativo"),
         F.col("usnam").alias("criador_reserva"),
         "nome_criador_reserva",
         F.col("lastchangedbyuser").alias("ult_mod_reserva"),

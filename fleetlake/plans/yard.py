@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
+from fleetlake.functions.predicates import like_any
 from fleetlake.operators.dedup import first_per_key, latest_per_key
 from fleetlake.operators.lookups import semi
 from fleetlake.params import Params
@@ -18,15 +19,6 @@ from fleetlake.params import Params
 YARD_REPORT_TYPES = ("Entrada", "Saída", "Saida")
 
 
-def like_any(c, needles) -> Column:
-    """PF-6: text contains any of the substrings (``LIKE '%x%' OR ...``)."""
-    col = F.col(c) if isinstance(c, str) else c
-    cond = F.lit(False)
-    for n in needles:
-        cond = cond | col.contains(n)
-    return cond
-
-
 # --------------------------------------------------------------------- J8
 def yard_entries(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Assets whose newest yard report is an entry at a branch.
