@@ -75,17 +75,25 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
-             sink: Callable[[str, DataFrame], DataFrame | None] | None = None) -> DataFrame:
+             sink: Callable[[str, DataFrame], DataFrame | None] | None = None,
+             available: set[str] | None = None, needs: dict[str, list[str]] | None = None) -> DataFrame:
     """BF-4: run independent jobs; one failing job does not stop the next.
 
     Each job builds a DataFrame; ``sink(name, df)`` writes it and may return
     a DataFrame over what it wrote, which is then counted instead of running
-    the job twice (default: the job is only counted). The manifest has one row per job: status ``ok``/``error``, rows
-    and the error text. It holds one row per job, built on the driver from
-    the outcomes; no job data passes through the driver.
+    the job twice (default: the job is only counted). The manifest has one
+    row per job: status ``ok``, ``error`` or ``skipped`` (SRC-4: a source
+    named in ``needs`` is not in ``available``), rows and the error text.
+    It is built on the driver from the outcomes; no job data passes through
+    the driver.
     """
     out = []
     for name, job in jobs.items():
+        lacking = [n for n in (needs or {}).get(name, []) if available is not None and n not in available]
+        if lacking:
+            # SRC-4: an optional source is not configured; the job is skipped
+            out.append((name, "skipped", None, "missing sources: " + ", ".join(lacking)))
+            continue
         try:
             df = job()
             written = sink(name, df) if sink is not None else None
