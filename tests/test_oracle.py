@@ -30,6 +30,21 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(srows, scols) == digest(drows, dcols)
 
 
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+         "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    duck = {c: str(t).upper().replace(" ", "") for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        want = t.upper().replace(" ", "") if t.startswith("decimal") else TYPES.get(t, t.upper())
+        assert duck[f.name] == want, (name, f.name)
+
+
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
