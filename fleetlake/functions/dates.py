@@ -85,7 +85,11 @@ def date_text(c) -> Column:
 
 
 def stamp_dmy(c, zero: str = "0.0000000") -> Column:
-    """SC-25: change stamp ``YYYYMMDD...`` to ``DD-MM-YYYY``; the zero stamp gives ''."""
+    """SC-25: change stamp ``YYYYMMDD...`` to ``DD-MM-YYYY``; the zero stamp gives ''.
+
+    SC-12: the year is ``substring(s, 1, 4)``; PostgreSQL's ``substring(s, 0, 5)``
+    means the same four characters.
+    """
     s = as_col(c).cast("string")
     return F.when(s == zero, F.lit("")).otherwise(
         F.concat(F.substring(s, 7, 2), F.lit("-"), F.substring(s, 5, 2), F.lit("-"), F.substring(s, 1, 4)))

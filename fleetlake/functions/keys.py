@@ -19,7 +19,7 @@ def strip_key_or_null(c) -> Column:
 
 
 def strip_zeros(c) -> Column:
-    """SC-3: strip leading zeros only; a leading blank stops the strip."""
+    """SC-3: strip leading zeros only; a leading blank stops the strip (S-5: keep SC-1/2/3 apart)."""
     return F.ltrim(as_col(c), F.lit("0"))
 
 

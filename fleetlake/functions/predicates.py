@@ -62,7 +62,7 @@ def since(c, first_day: dt.date) -> Column:
 
 
 def between_days(c, ini: int, fim: int, as_of: dt.date, mode: str = "date") -> Column:
-    """PF-16/PF-17: ``as_of - ini <= c <= as_of - fim``.
+    """PF-16/PF-17, SC-20: ``as_of - ini <= c <= as_of - fim`` (``as_of`` replaces CURRENT_DATE).
 
     ``mode='date'`` reads the text as a date first (SC-17), so compact and
     dashed rows both count; ``mode='text'`` compares the raw text with

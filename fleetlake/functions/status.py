@@ -189,7 +189,7 @@ def supply_origin(postp) -> Column:
 
 
 def asset_text(cost_centre, profit_centre_text, asset_text_) -> Column:
-    """CL-14: asset description by cost-centre key length (10: profit centre, 7: asset); no default."""
+    """CL-14 / SC-13: asset description by cost-centre key length (10: profit centre, 7: asset); no default."""
     n = F.length(as_col(cost_centre))
     return F.when(n == 10, as_col(profit_centre_text)).when(n == 7, as_col(asset_text_))
 

@@ -28,7 +28,9 @@ def _cols(x) -> list[Column]:
 
 
 def first_per_key(df: DataFrame, key, order: Sequence, tiebreak: Sequence | None = None) -> DataFrame:
-    """AG-8/AG-9/AG-10: keep the first row per ``key`` under ``order``.
+    """AG-8/AG-9/AG-10, SO-3: keep the first row per ``key`` under ``order``.
+
+    The DataFrame form needs no ``QUALIFY`` (S-23: not parsed by Spark SQL).
 
     ``order`` holds sort columns with explicit null placement
     (``F.col(x).desc_nulls_first()`` ...). ``tiebreak`` adds columns that

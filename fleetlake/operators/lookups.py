@@ -88,7 +88,7 @@ def text_lookup(df: DataFrame, texts: DataFrame, left_on, right_on, text_col: st
                 fanout: str = "collapse", name: str = "tx") -> DataFrame:
     """JN-19 / S-11: text of a code in the given languages.
 
-    ``fanout='collapse'`` takes ``max(text)`` per key (one row per key, as the
+    ``fanout='collapse'`` takes ``max(text)`` per key (AG-2: MAX as pick-one; one row per key, as the
     lateral form); ``'keep'`` joins every language row, as a plain left join
     on ``spras IN (...)`` does.
     """

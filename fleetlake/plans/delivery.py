@@ -23,6 +23,7 @@ DELIVERY = {
     "parts_history": (500, "trailer", "text_isots"),
 }
 
+# SO-1/SO-2: presentation order is applied only at the sink, as the batch order
 ORDER = {
     "po_approval": ["pedido"],
     "goods_receipt_status": ["pedido_key"],

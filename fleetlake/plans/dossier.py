@@ -27,7 +27,7 @@ def orders(t: dict[str, DataFrame], p: Params, assets: DataFrame | None = None)
     """Orders of the assets with type, text and creation date."""
     afih, aufk = t["afih"], t["aufk"]
     o = afih.select(asset_key(F.col("equnr")).alias("ativo"), "aufnr").filter(F.col("ativo") != "")
-    if assets is not None:
+    if assets is not None:  # PF-20 / JN-15: restrict to the given assets (left semi)
         o = o.join(assets.select(asset_key(F.col(assets.columns[0])).alias("ativo")).distinct(), "ativo", "left_semi")
     k = aufk.select(F.col("aufnr").alias("k_aufnr"), "auart", "ktext", "erdat")
     o = o.join(k, F.col("aufnr") == F.col("k_aufnr"), "left")
@@ -47,6 +47,7 @@ def purchase_items(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataF
     n = ekkn.select(K.strip_key(F.col("aufnr")).alias("okey"), F.col("ebeln").alias("n_ebeln"),
                     F.col("ebelp").alias("n_ebelp"))
     n = n.join(_order_keys(ords), "okey")
+    # JN-2: inner join on the composite PO item key
     x = n.join(ekpo, (F.col("n_ebeln") == ekpo.ebeln) & (F.col("n_ebelp") == ekpo.ebelp))
     x = x.join(ekko.select(F.col("ebeln").alias("k_ebeln"), "bedat", F.col("lifnr").alias("k_lifnr")),
                F.col("ebeln") == F.col("k_ebeln"), "left")

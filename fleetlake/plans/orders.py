@@ -40,6 +40,7 @@ def work_orders_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
     the order number breaking ties (WN-1, S-3); phase (CL-10) and branch
     (CL-11) derived. The creation date is read with SC-17.
     """
+    # PF-2: all columns plus a computed one
     c = _pm_branch_orders(t, p).withColumn(
         "tipo_manutencao", S.maintenance_kind(F.col("cod_tipo_atividade"), F.col("tipo_atividade")))
     c = c.filter(F.col("tipo_manutencao").isin(S.KIND_SHOP, S.KIND_PREP))
@@ -363,7 +364,7 @@ def order_supplies(t: dict[str, DataFrame], p: Params) -> DataFrame:
     last = first_per_key(pm, ["n_equipamento", "_kind"], [F.col("_d").desc_nulls_first()],
                          [F.col("n_ordem").desc_nulls_first()])
     os_ = last.select(F.col("n_equipamento").alias("ativo"), K.strip_zeros(F.col("n_ordem")).alias("ordem"),
-                      K.pad_key(F.col("n_ordem"), 12).alias("ordem_sap"))
+                      K.pad_key(F.col("n_ordem"), 12).alias("ordem_sap"))  # JN-9
     eban, ekpo, ebkn, resb = t["eban"], t["ekpo"], t["ebkn"], t["resb"]
     po = ekpo.select(F.col("banfn").alias("p_banfn"), F.col("bnfpo").alias("p_bnfpo"), F.col("ebeln").alias("p_ebeln"))
     buy = (os_.join(ebkn.select("aufnr", "banfn", "bnfpo"), F.col("ordem_sap") == F.col("aufnr"))
@@ -372,6 +373,7 @@ def order_supplies(t: dict[str, DataFrame], p: Params) -> DataFrame:
     buy = buy.select("ativo", "ordem", K.strip_key(F.col("matnr")).alias("cod_sap"),
                      F.col("txz01").alias("desc_compra_direta"), F.col("menge").alias("qtd_req"),
                      K.strip_key(F.col("p_ebeln")).alias("pedido"),
+                     # PF-21: constant and typed-NULL columns line the branches up (ST-1)
                      F.lit(None).cast("string").alias("num_reserva"), F.lit("compra").alias("origem"), "knttp")
     e2 = eban.select(F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), F.col("knttp"))
     res = os_.join(resb.filter(F.col("xloek").isNull() | (F.trim(F.col("xloek")) == "")),

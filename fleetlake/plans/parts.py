@@ -19,6 +19,8 @@ def _consumption(t: dict[str, DataFrame], p: Params) -> DataFrame:
     The trim + zero-strip key is derived once per table and joined as a plain
     equi-join, instead of wrapping the join condition in functions.
     """
+    # PF-13: not NULL and not empty; JN-17: the left join of the reference is
+    # made inner by its WHERE, so it is written as inner
     afih = t["afih"].filter(F.col("equnr").isNotNull() & (F.col("equnr") != "")).select(
         F.col("aufnr").alias("afih_aufnr"), K.strip_key(F.col("equnr")).alias("ativo"))
     resb = t["resb"].filter(F.col("matnr").isNotNull() & (F.col("matnr") != "")).select(
@@ -61,6 +63,7 @@ def _with_texts(g: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 
 def _aggs():
+    # AG-4 COUNT(DISTINCT), AG-3 SUM, AG-1/AG-2 MAX; grouped by derived keys (AG-6)
     okey = F.col("okey")
     return [F.count_distinct(F.col("afih_aufnr")).alias("qtd_ocorrencias"),
             F.sum("bdmng").alias("qtd_total"),

@@ -47,7 +47,7 @@ def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
                        [F.lit(True).alias("has_invoice")], where=inv.vgabe == "2", name="inv")
     out = (items.withColumn("pedido", py_key("ebeln"))
            .filter(F.col("pedido") != "")
-           .groupBy("pedido").agg(any_match(F.col("has_invoice")).alias("paid")))
+           .groupBy("pedido").agg(any_match(F.col("has_invoice")).alias("paid")))  # AG-6: group on the derived key
     return out.select("pedido", S.payment_status(F.col("paid")).alias("status_pagamento"))
 
 
@@ -98,6 +98,7 @@ def goods_receipt_status(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.col("er.data_recebimento").alias("data_do_recebimento_fisico"),
     ).withColumn("status_migo", S.receipt_status(F.col("data_do_recebimento_fisico")))
     m = m.withColumn("pedido_key", K.py_strip(F.coalesce("pedido", F.lit("")))).filter(F.col("pedido_key") != "")
+    # SO-3/SO-4: the order by the derived status decides which row is kept
     order = [F.col("status_migo").asc_nulls_first(), F.col("data_do_recebimento_fisico").desc_nulls_last()]
     tie = [F.col("requisicao").asc_nulls_last(), F.col("pedido").asc_nulls_last()]
     return first_per_key(m, "pedido_key", order, tie).select(
@@ -127,7 +128,7 @@ def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None
         date_in_range(F.col("k.bedat"), p.hist_total_days, p.as_of, mode)
         & PR.not_flag(F.col("p.loekz"), "L")
         & (K.strip_key(F.coalesce(F.col("p.matnr"), F.lit(""))) != "")
-        & (F.coalesce(F.col("p.netpr"), F.lit(0)) > 0))
+        & (F.coalesce(F.col("p.netpr"), F.lit(0)) > 0))  # PF-14
     base = base.select(
         F.col("p.ebeln").alias("ebeln"), F.col("p.ebelp").alias("ebelp"), F.col("p.matnr").alias("matnr"),
         F.col("p.txz01").alias("txz01"), F.col("k.lifnr").alias("lifnr"), F.col("k.bedat").alias("bedat"),
@@ -187,6 +188,7 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     x = x.filter(owned_by([F.col("ekgrp"), F.col("k_ekgrp")], F.col("k_ernam"), p))
     po_key = [spread_nulls("p_ebeln"), F.col("p_ebelp")]
     x = agg_lookup(x, ekkn, po_key, [ekkn.ebeln, ekkn.ebelp], [F.max("kostl").alias("pk_kostl")], name="pk")
+    # AG-3 / S-16: received quantity sums every type-1 history row, no sign is read
     x = agg_lookup(x, ekbe, po_key, [ekbe.ebeln, ekbe.ebelp], [F.sum("menge").alias("qtd_recebida")],
                    where=ekbe.vgabe == "1", name="h")
     x = agg_lookup(x, eket, po_key, [eket.ebeln, eket.ebelp], [F.min("eindt").alias("data_remessa")],
@@ -216,7 +218,7 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.col("k_bedat").alias("data_emissao_pc"),
         F.col("data_remessa").alias("data_remessa_pc"),
         F.coalesce(F.col("p_netpr"), F.col("preis")).alias("vlr_unit"),
-        F.coalesce(F.col("p_netwr"), F.col("menge") * F.col("preis")).alias("vlr_total"),
+        F.coalesce(F.col("p_netwr"), F.col("menge") * F.col("preis")).alias("vlr_total"),  # SC-26
         F.nullif(F.trim(F.coalesce(F.col("p_knttp"), F.col("knttp"), F.lit(""))), F.lit("")).alias("knttp"),
         S.destination(cat).alias("destinacao"),
         S.consumption_type(cat).alias("tipo_consumo"),

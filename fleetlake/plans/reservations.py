@@ -61,6 +61,7 @@ def stock_by_material(t: dict[str, DataFrame], p: Params, materials: DataFrame |
                  F.coalesce(F.col("quan"), F.lit(0)).alias("quantidade"))
     if materials is not None:
         e = semi(e, materials, [F.col("material")], [F.col(materials.columns[0])])
+    # AG-14: STRING_AGG(DISTINCT ...) without order -> distinct bins, sorted (S-10)
     per_lot = e.groupBy("material", "lote").agg(
         F.sum("quantidade").alias("qtd_lote"),
         F.array_join(F.array_sort(F.collect_set("posicao")), " | ").alias("posicoes"))
@@ -167,6 +168,7 @@ def picking_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
         K.int_text(F.col("rspos")).alias("numero_item"),
         F.col("chave_reserva").alias("chave"),
         K.int_text(F.col("k_aufnr")).alias("numero_ordem"),
+        # SC-27: creation date from the item addition, else the header
         F.when(F.col("creadat").isNotNull(), F.col("creadat")).otherwise(F.col("rsdat")).alias("data"),
         F.col("werks").alias("centro"),
         F.col("lgort").alias("deposito"),

@@ -28,6 +28,7 @@ def yard_entries(t: dict[str, DataFrame], p: Params) -> DataFrame:
     type and branch are tested (S-13), so an asset that later left does not
     show. The key is the raw code, the output code is upper-trimmed (S-14).
     """
+    # S-8: codes are compared binary after upper(trim()); the source collation is unknown
     u = t["uca_yard"].filter(F.col("n_armac").isNotNull())
     newest = latest_per_key(u, "n_armac", "created_at_form", ties="all")
     newest = newest.filter((F.col("tipo_relatorio") == "Entrada") & like_any("filial", p.yard_branches))
@@ -127,7 +128,7 @@ def hourmeter_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:
 # --------------------------------------------------------------------- J12
 def equipment(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Active equipment with renamed columns (SRC-3, PF-10)."""
-    a = t["fi_ativos"].filter(F.col("status_ativo") == "Ativo")
+    a = t["fi_ativos"].filter(F.col("status_ativo") == "Ativo")  # PF-3
     return a.select(
         F.col("bu").alias("tipo_holo"), F.col("numero_armac").alias("ativo"), "descricao", "chassi", "marca",
         "modelo", F.col("tipo").alias("tipo_equipamento"), F.col("grupo").alias("porte_tonelagem"),
