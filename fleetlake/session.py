@@ -48,8 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local runs and tests) a fresh scratch folder
-    is created here.
+    as is (unset there is an error). Only in local mode, when it is unset
+    (local runs and tests), a fresh scratch folder is created here.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a folder local to the driver
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
