@@ -63,7 +63,8 @@ def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
     guard = ((K.py_strip(F.coalesce("num_rc", F.lit(""))) != "")
              & (K.py_strip(F.coalesce("item_rc", F.lit(""))) != "")
              & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
-    return window_counts(spark, rows, "data_requisicao", ["num_rc", "item_rc"], purchasing.RC_ORDER(), guard,
+    rows = rows.withColumn("_k_rc", K.py_strip(F.col("num_rc"))).withColumn("_k_item", K.py_strip(F.col("item_rc")))
+    return window_counts(spark, rows, "data_requisicao", ["_k_rc", "_k_item"], purchasing.RC_ORDER(), guard,
                          p.rc_total_days, p.rc_step_days, p.as_of)
 
 

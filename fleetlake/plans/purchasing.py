@@ -231,6 +231,11 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     )
 
 
+def RC_KEY() -> list[Column]:
+    """Seen-set key of J3: RC number and item as Python ``str.strip()`` leaves them."""
+    return [K.py_strip(F.col("num_rc")), K.py_strip(F.col("item_rc"))]
+
+
 def RC_ORDER() -> list[Column]:
     """Seen-set order of J3: oldest window, RC number, then PO and PO item (S-3)."""
     return [F.col("janela").asc_nulls_last(), F.col("_banfn").asc_nulls_last(),
@@ -241,7 +246,8 @@ def requisition_flow_with_window(t: dict[str, DataFrame], p: Params) -> DataFram
     """J3 rows after guard and dedup, with the window each was first kept in."""
     rows = requisition_rows(t, p)
     rows = K.require_keys(rows, ["num_rc", "item_rc", "cod_sap"])
-    return first_per_key(rows, ["num_rc", "item_rc"], RC_ORDER())
+    # the seen-set key is the Python-stripped (RC, item) pair
+    return first_per_key(rows, RC_KEY(), RC_ORDER())
 
 
 def requisition_flow(t: dict[str, DataFrame], p: Params) -> DataFrame:
