@@ -16,9 +16,11 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # A broadcast only happens below this size, measured by AQE at run time;
-    # larger sides stay on sort-merge join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcasts are size-checked: at planning time against file-size
+    # estimates (kept at Spark's small default, as compressed parquet
+    # understates the in-memory size), at run time by AQE against the
+    # measured shuffle size of the side. Larger sides stay on sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoints of the batch index are removed once no longer referenced
