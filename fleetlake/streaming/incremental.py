@@ -8,9 +8,11 @@ new rows into the previous latest-state table. The state keeps only the
 newest row(s) per key, so each micro-batch handles (state + new rows), not
 the whole history.
 
-State versions are written to ``{state_dir}/v{batch_id}``: a replayed batch
-rewrites the same folder with the same rows, so a restart after a failure
-is idempotent. Both folders must be on shared storage.
+State versions are written to ``{state_dir}/v{batch_id}`` and each batch
+merges into the newest version *before* its own id: a replayed batch reads
+the same input state and rewrites the same folder with the same rows, so a
+restart after a failure is idempotent. Both folders must be on shared
+storage.
 """
 
 from __future__ import annotations
@@ -23,14 +25,8 @@ from pyspark.sql.types import StructType
 from fleetlake.operators.dedup import latest_per_key
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def latest_state_path(spark: SparkSession, state_dir: str) -> str | None:
-    """Folder of the newest state version, or None before the first batch."""
+def latest_state_path(spark: SparkSession, state_dir: str, before: int | None = None) -> str | None:
+    """Folder of the newest complete state version (below ``before`` if given), or None."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(state_dir)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,6 +34,7 @@ def latest_state_path(spark: SparkSession, state_dir: str) -> str | None:
         return None
     versions = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
     ids = sorted(int(v[1:]) for v in versions if v.startswith("v") and v[1:].isdigit()
+                 and (before is None or int(v[1:]) < before)
                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_dir}/{v}/_SUCCESS")))
     return f"{state_dir}/v{ids[-1]}" if ids else None
 
@@ -62,7 +59,8 @@ def run_latest_feed(spark: SparkSession, source_dir: str, schema: StructType, st
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = prepare(df) if prepare else df
-        prev = latest_state_path(spark, state_dir)
+        # a replayed batch must not read its own earlier output
+        prev = latest_state_path(spark, state_dir, before=batch_id)
         state = spark.read.schema(rows.schema).parquet(prev) if prev else None
         merge(rows, state).write.mode("overwrite").parquet(f"{state_dir}/v{batch_id}")
 
