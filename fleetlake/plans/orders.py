@@ -121,6 +121,7 @@ def _detail_tie() -> list[Column]:
 
 HEADER_EXTRA = ["descricao_os", "centro_trabalho_responsavel", "data_inicio_programada", "data_fim_programada",
                 "data_liberacao", "autor_os"]
+DETAIL_SOURCES = ("aufk", "afih", "crhd", "afko", "afvc", "afvv", "jest", "tj02t")
 # SAP date fields cleaned in the work-order payload (JS-2).
 SAP_DATE_FIELDS = ("data_criacao", "data_inicio_programada", "data_fim_programada", "data_liberacao")
 
@@ -147,6 +148,10 @@ def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
     enriched. SAP date fields are read with SC-17 (JS-2).
     """
     rows = work_orders_latest(t, p)
+    if any(n not in t for n in DETAIL_SOURCES):
+        # BF-4: the details query is optional; without it the rows go out as they are
+        return rows.select("*", *[F.lit(None).cast("date" if c.startswith("data_") else "string").alias(c)
+                                  for c in HEADER_EXTRA])
     d = work_order_details(t, p)
     d = d.withColumn("k_ativo", K.py_strip(F.coalesce(F.col("ativo"), F.lit("")))).withColumn(
         "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))

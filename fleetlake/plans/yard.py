@@ -63,6 +63,8 @@ def yard_events(t: dict[str, DataFrame], p: Params) -> DataFrame:
 # --------------------------------------------------------------------- J10
 VALID_COLS = ["n_armac", "data_comunicacao", "horimetro_sistema", "contrato", "atualizado_em"]
 REJECTED_COLS = ["comunicacao_rastreador_em", "horimetro_rastreador", "fonte_rastreador", "motivo_rastreador"]
+REJECTED_TYPES = {"comunicacao_rastreador_em": "timestamp_ntz", "horimetro_rastreador": "decimal(12,2)",
+                  "fonte_rastreador": "string", "motivo_rastreador": "string"}
 
 
 def hourmeter_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
@@ -121,8 +123,15 @@ def merge_feeds(valid: DataFrame, rejected: DataFrame, valid_cols: list[str], re
 
 
 def hourmeter_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """Newest valid readings merged with the newest rejected ones."""
-    return merge_feeds(hourmeter_latest(t, p), hourmeter_rejected(t, p), VALID_COLS, REJECTED_COLS)
+    """Newest valid readings merged with the newest rejected ones.
+
+    The rejected feed is optional (BF-4): without ``hourmeter_invalid`` the
+    valid readings are delivered with empty rejected columns.
+    """
+    valid = hourmeter_latest(t, p)
+    if "hourmeter_invalid" not in t:
+        return valid.select(*VALID_COLS, *[F.lit(None).cast(T).alias(c) for c, T in REJECTED_TYPES.items()])
+    return merge_feeds(valid, hourmeter_rejected(t, p), VALID_COLS, REJECTED_COLS)
 
 
 # --------------------------------------------------------------------- J12

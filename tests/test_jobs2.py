@@ -92,3 +92,21 @@ def test_require_keys_and_clean_fields(spark):
                                "a string, b string, d string")
     assert [r["a"] for r in require_keys(df, ["a", "b"]).collect()] == ["1"]
     assert [r["d"] for r in clean_fields(df, ["d"]).collect()] == [dt.date(2024, 1, 31), None, None]
+
+
+def test_optional_sources_degrade(spark):
+    import star_queries as SQ
+    from fleetlake.plans import orders as OR
+    from fleetlake.plans import yard as YA
+    from fleetlake.sources.star import star_tables
+    sf = "/root/testdata/sf0.001"
+    t = star_tables(spark, sf, ["hourmeter"])
+    only_valid = YA.hourmeter_merged(t, SQ.STAR)
+    assert only_valid.columns == YA.VALID_COLS + YA.REJECTED_COLS
+    assert only_valid.count() == YA.hourmeter_latest(t, SQ.STAR).count()
+    full = YA.hourmeter_merged(star_tables(spark, sf, ["hourmeter", "hourmeter_invalid"]), SQ.STAR)
+    assert full.schema == only_valid.schema
+    t = star_tables(spark, sf, ["pm_order_view"])
+    rows = OR.work_order_enriched(t, SQ.STAR)
+    full = OR.work_order_enriched(star_tables(spark, sf, ["pm_order_view"] + list(OR.DETAIL_SOURCES)), SQ.STAR)
+    assert rows.schema == full.schema and rows.count() == full.count()
