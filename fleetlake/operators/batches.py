@@ -129,12 +129,15 @@ def run_summary(df: DataFrame, counters: dict[str, Column]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- JS-1
-PROFILES = ("iso_float", "text", "text_isots", "br_offset", "utc_offset")
+# The value profiles of SURVEY 2.11. 'iso_float_strict' (the
+# dossier's) equals 'iso_float' here: its only difference, failing on a
+# time-of-day value, cannot arise as Spark has no time-of-day column type.
+PROFILES = ("iso_float", "iso_float_strict", "text", "text_isots", "br_offset", "utc_offset")
 
 
 def _serialise_value(c: Column, dt: T.DataType, profile: str) -> Column:
     if isinstance(dt, T.DecimalType):
-        return c.cast("double") if profile == "iso_float" else c.cast("string")
+        return c.cast("double") if profile.startswith("iso_float") else c.cast("string")
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
         ntz = c.cast("timestamp_ntz")
         if profile == "br_offset":

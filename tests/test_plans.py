@@ -56,3 +56,9 @@ def test_result_independent_of_partitioning(spark, name):
         out.append(sorted(repr(tuple(r)) for r in df.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[0] == out[1]
+
+
+def test_job_filter_reaches_parquet_scan(spark):
+    # the yard history's "report time is not NULL" is pushed through the view into the scan
+    plan = plan_of(E.queries()["yard_events"](spark, SF))
+    assert "PushedFilters: [IsNotNull(o_orderdate)]" in plan
