@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import traceback
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,31 +77,36 @@ MANIFEST_SCHEMA = T.StructType([
 
 def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
              sink: Callable[[str, DataFrame], DataFrame | None] | None = None,
-             available: set[str] | None = None, needs: dict[str, list[str]] | None = None) -> DataFrame:
+             available: set[str] | None = None, needs: dict[str, list[str]] | None = None,
+             parallel: int = 4) -> DataFrame:
     """BF-4: run independent jobs; one failing job does not stop the next.
 
     Each job builds a DataFrame; ``sink(name, df)`` writes it and may return
     a DataFrame over what it wrote, which is then counted instead of running
-    the job twice (default: the job is only counted). The manifest has one
-    row per job: status ``ok``, ``error`` or ``skipped`` (SRC-4: a source
-    named in ``needs`` is not in ``available``), rows and the error text.
-    It is built on the driver from the outcomes; no job data passes through
-    the driver.
+    the job twice (default: the job is only counted). The jobs are
+    independent, so up to ``parallel`` of them are submitted at once from
+    driver threads and share the executors. The manifest has one row per
+    job, in the order given: status ``ok``, ``error`` or ``skipped`` (SRC-4:
+    a source named in ``needs`` is not in ``available``), rows and the error
+    text. It is built on the driver from the outcomes; no job data passes
+    through the driver.
     """
-    out = []
-    for name, job in jobs.items():
+    def one(name: str, job: Callable[[], DataFrame]) -> tuple:
         lacking = [n for n in (needs or {}).get(name, []) if available is not None and n not in available]
         if lacking:
             # SRC-4: an optional source is not configured; the job is skipped
-            out.append((name, "skipped", None, "missing sources: " + ", ".join(lacking)))
-            continue
+            return (name, "skipped", None, "missing sources: " + ", ".join(lacking))
         try:
             df = job()
             written = sink(name, df) if sink is not None else None
-            out.append((name, "ok", int((written if written is not None else df).count()), None))
+            return (name, "ok", int((written if written is not None else df).count()), None)
         except Exception as e:  # noqa: BLE001 - isolation is the point
-            out.append((name, "error", None, (str(e).splitlines() or [repr(e)])[0][:500]))
             traceback.print_exc()
+            return (name, "error", None, (str(e).splitlines() or [repr(e)])[0][:500])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = [pool.submit(one, n, j) for n, j in jobs.items()]
+        out = [f.result() for f in futures]
     return spark.createDataFrame(out, MANIFEST_SCHEMA)
 
 
