@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fleetlake.functions._util import as_col
-from fleetlake.functions.keys import blank_to_null, strip_key
+from fleetlake.functions.keys import strip_key
 
 # Approval flow status code -> label (CL-4).
 APPROVAL_LABELS = {
@@ -199,4 +199,3 @@ def stock_asset(equnr) -> Column:
     return F.coalesce(F.nullif(strip_key(equnr), F.lit("")), F.lit("ESTOQUE"))
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["blank_to_null"]

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.functions._util import as_col
 from fleetlake.operators.dedup import first_per_key
 
 

@@ -6,7 +6,7 @@ Source tables: ``uca_yard`` (yard entry/exit reports), ``hourmeter`` and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K

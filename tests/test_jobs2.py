@@ -4,8 +4,6 @@ approval order, backfill writes, key guard."""
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from fleetlake.functions.keys import require_keys
 from fleetlake.operators.backfill import write_windows
 from fleetlake.operators.batches import clean_fields
