@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
@@ -62,14 +63,26 @@ def _with_texts(g: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
     return g
 
 
-def _aggs():
-    # AG-4 COUNT(DISTINCT), AG-3 SUM, AG-1/AG-2 MAX; grouped by derived keys (AG-6)
+def _aggregate(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per ``keys``: orders, quantity, last order (text max), last date, order of the last date.
+
+    Two levels instead of ``COUNT(DISTINCT)``: first per order (folding an
+    order's reservation lines map-side, AG-3), then per ``keys`` where the
+    order count is a plain count (AG-4). The stripped order number is fixed
+    by the order, so it is a grouping key of the first level.
+    """
+    per_order = rows.groupBy(*keys, "afih_aufnr", "okey").agg(
+        F.sum("bdmng").alias("__qty"), F.max("erdat").alias("__date"))
     okey = F.col("okey")
-    return [F.count_distinct(F.col("afih_aufnr")).alias("qtd_ocorrencias"),
-            F.sum("bdmng").alias("qtd_total"),
-            F.max(okey).alias("ultima_ordem"),
-            F.max("erdat").alias("ultima_data"),
-            F.max_by(okey, F.struct(F.col("erdat"), okey)).alias("ultima_ordem_por_data")]
+    # the total keeps the type one SUM over the lines has (precision + 10)
+    qty_t = rows.schema["bdmng"].dataType
+    total_t = T.DecimalType(min(38, qty_t.precision + 10), qty_t.scale) if isinstance(qty_t, T.DecimalType) else qty_t
+    return per_order.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("qtd_ocorrencias"),
+        F.sum("__qty").cast(total_t).alias("qtd_total"),
+        F.max(okey).alias("ultima_ordem"),
+        F.max("__date").alias("ultima_data"),
+        F.max_by(okey, F.struct(F.col("__date"), okey)).alias("ultima_ordem_por_data"))
 
 
 OUT = ["ativo", "descricao_ativo", "cod_sap", "descricao_componente", "grupo_mercadoria", "qtd_ocorrencias",
@@ -90,12 +103,12 @@ def parts_history(t: dict[str, DataFrame], p: Params) -> DataFrame:
     the period bounds as the reference does (S-9).
     """
     rows = _in_periods(_consumption(t, p), p)
-    g = rows.groupBy("periodo", "ativo", "cod_sap").agg(*_aggs())
+    g = _aggregate(rows, ["periodo", "ativo", "cod_sap"])
     return _with_texts(g, t, p).select("periodo", *OUT)
 
 
 def parts_history_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J15 with the periods merged: one row per (asset, part) over the whole range."""
     rows = _in_periods(_consumption(t, p), p)
-    g = rows.groupBy("ativo", "cod_sap").agg(*_aggs())
+    g = _aggregate(rows, ["ativo", "cod_sap"])
     return _with_texts(g, t, p).select(*OUT)
