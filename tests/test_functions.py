@@ -119,12 +119,14 @@ def test_approval_label_passthrough(spark):
 
 def test_category_blank_po_wins(spark):
     # S-7: '' on the PO beats 'K' on the requisition, NULL does not
-    df = spark.createDataFrame([("", "K"), (None, "K"), ("A", None), ("Z", None), (None, None)],
-                               "po string, rc string")
+    df = spark.createDataFrame([("", "K"), (None, "K"), ("A", None), ("Z", None), (None, None), ("F", "K"),
+                                (None, "P"), ("Q ", None), (" N", None)], "po string, rc string")
     c = S.category(F.col("po"), F.col("rc"))
     got = [(r[0], r[1]) for r in df.select(S.destination(c), S.consumption_type(c)).collect()]
     assert got == [("estoque", "Estoque"), ("centro_custo", "Centro de Custo"),
-                   ("consumo", "Ativo Fixo (Imobilizado)"), ("consumo", "Outro"), ("estoque", "Estoque")]
+                   ("consumo", "Ativo Fixo (Imobilizado)"), ("consumo", "Outro"), ("estoque", "Estoque"),
+                   ("consumo", "Ordem (Manutencao/Interna)"), ("consumo", "Projeto (PEP)"),
+                   ("consumo", "Projeto (PEP)"), ("consumo", "Rede")]
 
 
 def test_process_status_all_rules(spark):
