@@ -9,7 +9,7 @@ from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import best_per_key, first_per_key
-from fleetlake.operators.batches import clean_fields
+from fleetlake.operators.batches import clean_fields, run_summary
 from fleetlake.operators.lookups import enrich_header, semi, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 from fleetlake.functions.predicates import in_any, like_any, since
@@ -343,9 +343,9 @@ def external_work_orders_flat(t: dict[str, DataFrame], p: Params) -> DataFrame:
 def external_work_orders_summary(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """AG-18 counters of J6: orders, orders with criticality, operations."""
     n = external_work_orders(t, p)
-    return n.agg(F.count(F.lit(1)).alias("ordens"),
-                 F.count_if(F.col("criticidade").isNotNull()).alias("com_criticidade"),
-                 F.sum(F.size("operacoes")).cast("long").alias("operacoes"))
+    return run_summary(n, {"ordens": F.count(F.lit(1)),
+                           "com_criticidade": F.count_if(F.col("criticidade").isNotNull()),
+                           "operacoes": F.sum(F.size("operacoes")).cast("long")})
 
 
 # --------------------------------------------------------------------- J13

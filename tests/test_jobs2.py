@@ -108,3 +108,12 @@ def test_optional_sources_degrade(spark):
     rows = OR.work_order_enriched(t, SQ.STAR)
     full = OR.work_order_enriched(star_tables(spark, sf, ["pm_order_view"] + list(OR.DETAIL_SOURCES)), SQ.STAR)
     assert rows.schema == full.schema and rows.count() == full.count()
+
+
+def test_parts_history_part_without_texts(spark):
+    t = parts_tables(spark)
+    t["resb"] = t["resb"].unionByName(spark.createDataFrame(
+        [("101", "66", Decimal("1.000"))], "aufnr string, matnr string, bdmng decimal(13,3)"))
+    got = {r["cod_sap"]: (r["descricao_componente"], r["grupo_mercadoria"])
+           for r in PA.parts_history(t, P).filter("periodo = '2024H1'").collect()}
+    assert got == {"55": ("Peca", "G1"), "66": (None, None)}
