@@ -16,6 +16,7 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import predicates as PR
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import any_match, first_per_key
+from fleetlake.operators.batches import run_summary
 from fleetlake.operators.lookups import agg_lookup, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 
@@ -270,3 +271,10 @@ def requisition_status_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
     return rf.groupBy("status_processo").agg(
         F.count(F.lit(1)).alias("itens"),
         F.count_if(F.coalesce(F.trim(F.col("pedido")), F.lit("")) != "").alias("com_pedido"))
+
+
+def requisition_run_summary(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """DL-3 / AG-18: the counters of J3's final envelope: items sent and items with a PO."""
+    rf = requisition_flow(t, p)
+    return run_summary(rf, {"total": F.count(F.lit(1)),
+                            "com_pedido": F.count_if(F.coalesce(F.trim(F.col("pedido")), F.lit("")) != "")})
