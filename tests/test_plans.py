@@ -19,9 +19,16 @@ def test_no_python_udf_no_cross_join(spark, name):
         assert bad not in plan, f"{name}: {bad}"
 
 
-def test_top1_windows_are_limited_before_shuffle(spark):
-    plan = plan_of(E.queries()["yard_entries"](spark, SF))
-    assert "WindowGroupLimit" in plan
+@pytest.mark.parametrize("name", ["yard_entries", "hourmeter_latest", "po_approval", "goods_receipt_status",
+                                  "purchase_history", "requisition_flow", "work_orders_latest", "order_supplies"])
+def test_top1_windows_are_limited_before_shuffle(spark, name):
+    # first/latest per key: a partial WindowGroupLimit cuts each key to its top rows map-side
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(E.queries()[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
 
 def test_scan_prunes_columns(spark):
