@@ -10,7 +10,7 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import predicates as PR
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import first_per_key
-from fleetlake.operators.lookups import semi
+from fleetlake.operators.lookups import salted_join, semi
 from fleetlake.params import Params
 
 # Fixed value: reservation text of items that are not stocked.
@@ -154,8 +154,10 @@ def picking_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
     x = x.join(ar, F.col("chave_reserva") == F.col("chave"), "left")
     x = x.join(rsadd, (F.col("rsnum") == F.col("a_rsnum")) & (F.col("rspos") == F.col("a_rspos")), "left")
     x = x.join(lips, (F.col("rsnum") == F.col("l_rsnum")) & (F.col("rspos") == F.col("l_rspos")), "left")
-    x = x.join(makt, F.col("mkey") == F.col("m_key"), "left")
-    x = x.join(stock, F.col("mkey") == F.col("material"), "left")
+    # lines without a material all carry the blank key: salt it so that one
+    # key does not land in one task (the texts and stock for '' are few rows)
+    x = salted_join(x, makt, F.col("mkey"), F.col("m_key"), [""], name="mk")
+    x = salted_join(x, stock, F.col("mkey"), F.col("material"), [""], name="st")
     pm_out = [F.col(c[1] if isinstance(c, tuple) and c[1] else (c[0] if isinstance(c, tuple) else c))
               for c in PM_COLS]
     out = x.select(

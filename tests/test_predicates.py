@@ -48,3 +48,15 @@ def test_run_jobs_isolates_failures(spark):
                  available={"x"}, needs={"c": ["x", "y"]})
     got = {r["job"]: (r["status"], r["rows"]) for r in m.collect()}
     assert got == {"a": ("ok", 3), "b": ("error", None), "c": ("skipped", None)}
+
+
+def test_salted_join_matches_plain_join(spark):
+    from fleetlake.operators.lookups import salted_join
+    left = spark.createDataFrame([("", i) for i in range(40)] + [("a", 100), ("b", 101), (None, 102)],
+                                 "k string, v int")
+    right = spark.createDataFrame([("", "blank1"), ("", "blank2"), ("a", "A")], "rk string, w string")
+    plain = sorted(map(tuple, left.join(right, left.k == right.rk, "left").select("v", "w").collect()),
+                   key=repr)
+    salted = sorted(map(tuple, salted_join(left, right, "k", "rk", [""], buckets=8).select("v", "w").collect()),
+                    key=repr)
+    assert salted == plain and len(salted) == 83
