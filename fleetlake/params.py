@@ -23,9 +23,9 @@ class Params:
     # lower bound of order creation dates for order-based jobs
     orders_since: dt.date = dt.date(2024, 1, 1)
     # branch work-centre codes (substring match) of the yard jobs
-    branch_codes: tuple[str, ...] = ("BHZ", "BET")
+    branch_codes: tuple[str, ...] = ()
     # branch name substrings of the yard event feed
-    yard_branches: tuple[str, ...] = ("BH", "Belo Horizonte")
+    yard_branches: tuple[str, ...] = ()
     # windowed backfill: requisition flow
     rc_total_days: int = 180
     rc_step_days: int = 14

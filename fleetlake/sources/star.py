@@ -173,7 +173,7 @@ FROM {{orders}}"""
 
 VIEWS["crhd"] = f"""
 SELECT {lp('n_nationkey', 8)} AS objid,
-       CASE n_nationkey % 3 WHEN 0 THEN 'BHZ' WHEN 1 THEN 'BET' ELSE 'OTH' END
+       CASE n_nationkey % 3 WHEN 0 THEN 'WCA' WHEN 1 THEN 'WCB' ELSE 'OTH' END
          || cast(n_nationkey AS string) AS arbpl
 FROM {{nation}}"""
 
@@ -240,7 +240,7 @@ SELECT {lp('l_orderkey', 10)} AS rsnum, {lp('l_linenumber', 4)} AS rspos,
        CASE WHEN l_orderkey % 43 = 0 THEN '' ELSE {lp('l_partkey', 18)} END AS matnr,
        cast(l_quantity AS decimal(13,3)) AS bdmng,
        CASE WHEN l_linestatus = 'O' THEN NULL ELSE cast(l_quantity * l_discount AS decimal(13,3)) END AS enmng,
-       'BH01' AS werks,
+       'PL01' AS werks,
        CASE l_suppkey % 3 WHEN 0 THEN 'D005' WHEN 1 THEN 'D090' ELSE 'D001' END AS lgort,
        CASE WHEN l_linenumber % 2 = 0 THEN '201' ELSE '261' END AS bwart,
        CASE WHEN l_partkey % 17 = 0 THEN 'Item não estocável' WHEN l_partkey % 23 = 0 THEN NULL
@@ -342,7 +342,7 @@ SELECT {lp('o_custkey', 18)} AS n_equipamento,
             ELSE 'Inspecao' END AS tipo_atividade,
        substr(o_orderpriority, 3) AS prioridade,
        CASE o_orderstatus WHEN 'O' THEN 'ABER' WHEN 'P' THEN 'EXEC' ELSE 'ENCE' END AS status_usuario,
-       CASE o_custkey % 3 WHEN 0 THEN 'BHZ' WHEN 1 THEN 'BET' ELSE 'OTH' END
+       CASE o_custkey % 3 WHEN 0 THEN 'WCA' WHEN 1 THEN 'WCB' ELSE 'OTH' END
          || cast(o_custkey % 10 AS string) AS cod_centro_trabalho,
        CASE WHEN o_orderkey % 61 = 0 THEN '0000-00-00' ELSE {dash('o_orderdate')} END AS data_criacao,
        CASE WHEN o_orderstatus <> 'O' THEN 'X' ELSE '' END AS liberada,
@@ -403,8 +403,8 @@ SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL
        o_orderstatus AS situacao,
        o_orderdate AS created_at_form,
        cast(o_totalprice AS decimal(12,2)) AS horimetro,
-       CASE o_orderkey % 4 WHEN 0 THEN 'BH - Contagem' WHEN 1 THEN 'Belo Horizonte'
-            WHEN 2 THEN 'SP - Campinas' ELSE 'RJ - Rio' END AS filial,
+       CASE o_orderkey % 4 WHEN 0 THEN 'N1 - Alpha' WHEN 1 THEN 'North Hub'
+            WHEN 2 THEN 'S1 - Beta' ELSE 'S2 - Gamma' END AS filial,
        CASE o_orderstatus WHEN 'F' THEN 'Entrada' WHEN 'O' THEN 'Saída'
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'Saida' ELSE 'Entrada' END END AS tipo_relatorio
 FROM {{orders}}
@@ -413,7 +413,7 @@ SELECT 'ARM' || cast(o_custkey AS string) AS n_armac, 'Tipo ' || o_orderpriority
        ' marca ' || cast(o_custkey % 7 AS string) AS marca, 'modelo ' || cast(o_custkey % 11 AS string) AS modelo,
        'Cliente ' || cast(o_custkey % 50 AS string) AS cliente, 'DUP' AS situacao,
        o_orderdate AS created_at_form, cast(o_totalprice AS decimal(12,2)) AS horimetro,
-       'BH - Betim' AS filial, 'Entrada' AS tipo_relatorio
+       'N1 - Delta' AS filial, 'Entrada' AS tipo_relatorio
 FROM {{orders}} WHERE o_orderpriority = '1-URGENT'"""
 
 VIEWS["hourmeter"] = f"""

@@ -162,7 +162,7 @@ def test_kinds_and_phases(spark):
         "Preparação", "Oficina", "Preparação", "Outro"]
     assert one_col(spark, ["PRP1", "OFI1", "OUT", None], S.maintenance_kind_code) == [
         "Preparação", "Oficina", "Outro", "Outro"]
-    assert one_col(spark, ["BHZ1", "xBETy", "OTH"], lambda c: S.branch(c, ["BHZ", "BET"])) == ["BHZ", "BET", "OTH"]
+    assert one_col(spark, ["WCA1", "xWCBy", "OTH"], lambda c: S.branch(c, ["WCA", "WCB"])) == ["WCA", "WCB", "OTH"]
 
 
 def test_desc_text_key_reverses_order(spark):

@@ -9,7 +9,8 @@ from fleetlake.params import Params
 from fleetlake.plans import purchasing as PU
 from fleetlake.plans import yard as YA
 
-P = Params(as_of=dt.date(2024, 3, 1), buyer_groups=("201",), buyer_users=("U1",))
+P = Params(as_of=dt.date(2024, 3, 1), buyer_groups=("201",), buyer_users=("U1",),
+           yard_branches=("N1", "North Hub"))
 
 
 def frame(spark, schema, rows):
@@ -59,12 +60,12 @@ def test_yard_entries_latest_then_filter(spark):
     cols = ("n_armac string, tipo_equipamento string, marca string, modelo string, cliente string, "
             "situacao string, created_at_form timestamp_ntz, horimetro decimal(12,2), filial string, "
             "tipo_relatorio string")
-    rows = [("a1", "t", "m", "x", "c", "s", d1, 1, "BH", "Entrada"),
-            ("a1", "t", "m", "x", "c", "s", d2, 2, "BH", "Saída"),       # newest is an exit: out
+    rows = [("a1", "t", "m", "x", "c", "s", d1, 1, "N1", "Entrada"),
+            ("a1", "t", "m", "x", "c", "s", d2, 2, "N1", "Saída"),       # newest is an exit: out
             ("a2", "t", "m", "x", "c", "s", d2, 3, "SP", "Entrada"),     # newest at another branch: out
-            ("a3", "t", "m", "x", "c", "s", d2, 4, "BH", "Entrada"),
-            ("a3", "t", "m", "x", "c", "s", d2, 5, "Belo Horizonte", "Entrada"),  # tie kept
-            (" A3", "t", "m", "x", "c", "s", d1, 6, "BH", "Entrada")]    # other raw code (S-14)
+            ("a3", "t", "m", "x", "c", "s", d2, 4, "N1", "Entrada"),
+            ("a3", "t", "m", "x", "c", "s", d2, 5, "North Hub", "Entrada"),  # tie kept
+            (" A3", "t", "m", "x", "c", "s", d1, 6, "N1", "Entrada")]    # other raw code (S-14)
     rows = [r[:7] + (Decimal(r[7]),) + r[8:] for r in rows]
     got = sorted((r["n_armac"], int(r["horimetro"])) for r in YA.yard_entries({"uca_yard": frame(spark, cols, rows)},
                                                                               P).collect())

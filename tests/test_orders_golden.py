@@ -6,14 +6,15 @@ from decimal import Decimal as Dm
 from fleetlake.params import Params
 from fleetlake.plans import orders as OR
 
-P = Params(as_of=dt.date(2024, 6, 1), orders_since=dt.date(2024, 1, 1), responsibles=("22",))
+P = Params(as_of=dt.date(2024, 6, 1), orders_since=dt.date(2024, 1, 1), responsibles=("22",),
+           branch_codes=("WCA", "WCB"))
 
 
 def test_order_supplies_priority_and_texts(spark):
     pm = spark.createDataFrame([
         # newest PRP order of asset A1 is 0002; 0001 is older; OTH work centre is out
-        ("A1", "000000000001", "PRP", "x", "BHZ1", "2024-01-05"),
-        ("A1", "000000000002", None, "preparo", "BHZ1", "2024-02-05"),
+        ("A1", "000000000001", "PRP", "x", "WCA1", "2024-01-05"),
+        ("A1", "000000000002", None, "preparo", "WCA1", "2024-02-05"),
         ("A1", "000000000003", "OFI", "x", "OTH1", "2024-03-05"),
     ], "n_equipamento string, n_ordem string, cod_tipo_atividade string, tipo_atividade string, "
        "cod_centro_trabalho string, data_criacao string")
@@ -53,7 +54,7 @@ def test_external_work_orders_nesting(spark):
     afih = spark.createDataFrame([("000000000100", "EQ1", "W1", "OFI1", "01", "00000022")],
                                  "aufnr string, equnr string, gewrk string, ilart string, priok string, "
                                  "maintordpersonresponsible string")
-    crhd = spark.createDataFrame([("W1", "BHZ1"), ("W2", "BET2")], "objid string, arbpl string")
+    crhd = spark.createDataFrame([("W1", "WCA1"), ("W2", "WCB2")], "objid string, arbpl string")
     pa = spark.createDataFrame([("00000022", "Ana"), ("00000022", "Bia")], "pernr string, ename string")
     afko = spark.createDataFrame([("000000000100", "20240202", "20240210", None, None, "P1")],
                                  "aufnr string, gstrp string, gltrp string, gstri string, getri string, aufpl string")
@@ -81,4 +82,4 @@ def test_external_work_orders_nesting(spark):
     ops = [(o["num_operacao"], o["descricao_operacao"], o["centro_trabalho_operacao"]) for o in r["operacoes"]]
     # unique by number, sorted; on equal order keys the description breaks the tie ('dup' < 'first');
     # the operation without a number is not nested
-    assert ops == [("0010", "dup", "BHZ1"), ("0020", "second", "BET2")]
+    assert ops == [("0010", "dup", "WCA1"), ("0020", "second", "WCB2")]
