@@ -7,6 +7,7 @@ import importlib
 # query name -> module that defines it (with ORACLE_SQL where SQL can express it)
 QUERIES = {
     "op2_warc": "op2_warc",
+    "op4_bpe": "op4_bpe",
     "op6_packing": "op6_packing",
     "op8_line_dedup": "op8_line_dedup",
 }
