@@ -11,6 +11,7 @@ QUERIES = {
     "op6_packing": "op6_packing",
     "op7_language": "op7_language",
     "op8_line_dedup": "op8_line_dedup",
+    "op9_quality": "op9_quality",
 }
 
 
