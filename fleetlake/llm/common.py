@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fleetlake.session import ensure_checkpoint_dir
 
 ROWS_PER_SLICE = 512
-BYTES_PER_SLICE = 16 << 20
+BYTES_PER_SLICE = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,19 +52,20 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int | str | None = None) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int | str | None = None,
+           rows: int = ROWS_PER_SLICE) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the Python objects made from one piece stay small: at most
-    ROWS_PER_SLICE rows and about BYTES_PER_SLICE bytes of the column ``text`` (one row at least)."""
+    ``rows`` rows and about BYTES_PER_SLICE bytes of the column ``text`` (one row at least)."""
     for b in batches:
         if text is None:
-            for i in range(0, b.num_rows, ROWS_PER_SLICE):
-                yield b.slice(i, ROWS_PER_SLICE)
+            for i in range(0, b.num_rows, rows):
+                yield b.slice(i, rows)
             continue
         sizes = pc.binary_length(b.column(text)).to_pylist()
         start = size = 0
         for i, n in enumerate(sizes):
             n = n or 0
-            if i > start and (i - start >= ROWS_PER_SLICE or size + n > BYTES_PER_SLICE):
+            if i > start and (i - start >= rows or size + n > BYTES_PER_SLICE):
                 yield b.slice(start, i - start)
                 start, size = i, 0
             size += n

@@ -6,6 +6,7 @@ import importlib
 
 # query name -> module that defines it (with ORACLE_SQL where SQL can express it)
 QUERIES = {
+    "op1_toxicity": "op1_toxicity",
     "op2_warc": "op2_warc",
     "op4_bpe": "op4_bpe",
     "op6_packing": "op6_packing",
