@@ -82,6 +82,12 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % n, F.lit(0))
 
 
+def fresh(*names: str) -> Column:
+    """A key that no earlier exchange is known to be partitioned by, so that a join gets exchanges of
+    its own, which adaptive execution can split where a key is hot."""
+    return F.struct(*[F.col(n) for n in names])
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import cut_lineage, map_arrow, record_batch, rename_inputs, slices, table
+from fleetlake.llm.common import cut_lineage, fresh, map_arrow, record_batch, rename_inputs, slices, table
 from fleetlake.llm.tokens import Codec, codec, default_vocabulary
 
 CUT_BITS = 10      # a chunk ends at one byte in 2**CUT_BITS on average
@@ -89,12 +89,6 @@ def assemble(body: bytes, chunks: list[tuple[int, int, np.ndarray]], c: Codec) -
     return np.concatenate(out).astype(np.uint32)
 
 
-def _fresh(*names: str) -> Column:
-    """A key that no earlier exchange is known to be partitioned by, so that a join gets exchanges of
-    its own, which adaptive execution can split where a key is hot."""
-    return F.struct(*[F.col(n) for n in names])
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return rename_inputs(docs, "doc_id", "text").select(
@@ -134,8 +128,8 @@ def encode_texts(docs: DataFrame, vocabulary: str | None = None, bits: int = CUT
                       _chunk_hashes(bits, min_reuse), "k1 long, k2 long, pos long, size long, h1 long, h2 long")
     found = found.withColumn("place", F.xxhash64("k1", "k2", "pos"))
     shared = found.groupBy("h1", "h2").agg(F.min("place").alias("owner"), F.max("place").alias("other")).where("owner <> other")
-    uses = found.withColumn("h", _fresh("h1", "h2")).drop("h1", "h2").join(
-        shared.select(_fresh("h1", "h2").alias("h"), "owner"), "h").groupBy("k1", "k2", "pos").agg(
+    uses = found.withColumn("h", fresh("h1", "h2")).drop("h1", "h2").join(
+        shared.select(fresh("h1", "h2").alias("h"), "owner"), "h").groupBy("k1", "k2", "pos").agg(
         F.max("size").alias("size"), F.max("h.h1").alias("h1"), F.max("h.h2").alias("h2"),
         F.max(F.col("owner") == F.col("place")).alias("owns"))
     uses = cut_lineage(uses)
@@ -155,8 +149,8 @@ def encode_texts(docs: DataFrame, vocabulary: str | None = None, bits: int = CUT
 
     body = F.col("text").cast("binary").alias("body")
     ready = map_arrow(texts.join(owned, ["k1", "k2"]).select(body, "chunks"), encode_chunks, "h1 long, h2 long, ids binary")
-    sent = uses.select("k1", "k2", "pos", "size", _fresh("h1", "h2").alias("h")).join(
-        ready.select(_fresh("h1", "h2").alias("h"), "ids"), "h")
+    sent = uses.select("k1", "k2", "pos", "size", fresh("h1", "h2").alias("h")).join(
+        ready.select(fresh("h1", "h2").alias("h"), "ids"), "h")
     per_text = sent.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "size", "ids")).alias("chunks"))
 
     if digest:
@@ -183,7 +177,7 @@ def encode_texts(docs: DataFrame, vocabulary: str | None = None, bits: int = CUT
                                **{n: [r[i] for r in rows] for i, n in enumerate(schema.names[2:])})
 
     done = map_arrow(texts.join(per_text, ["k1", "k2"], "left").select("k1", "k2", body, "chunks"), whole_texts, ddl)
-    key = _fresh("k1", "k2").alias("k")
+    key = fresh("k1", "k2").alias("k")
     return keyed.select("doc_id", key).join(done.select(key, *schema.names[2:]), "k").drop("k")
 
 

@@ -13,6 +13,7 @@ QUERIES = {
     "op7_language": "op7_language",
     "op8_line_dedup": "op8_line_dedup",
     "op9_quality": "op9_quality",
+    "op10_fingerprint": "op10_fingerprint",
 }
 
 
