@@ -9,6 +9,7 @@ QUERIES = {
     "op1_toxicity": "op1_toxicity",
     "op2_warc": "op2_warc",
     "op4_bpe": "op4_bpe",
+    "op5_order_minhash": "op5_order_minhash",
     "op6_packing": "op6_packing",
     "op7_language": "op7_language",
     "op8_line_dedup": "op8_line_dedup",
