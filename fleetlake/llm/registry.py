@@ -8,6 +8,7 @@ import importlib
 QUERIES = {
     "op1_toxicity": "op1_toxicity",
     "op2_warc": "op2_warc",
+    "op3_license": "op3_license",
     "op4_bpe": "op4_bpe",
     "op5_order_minhash": "op5_order_minhash",
     "op6_packing": "op6_packing",
