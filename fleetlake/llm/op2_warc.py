@@ -218,10 +218,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     true = entered.select("file", "split", "off", "succ", "entry").groupBy("file", "split").applyInPandas(
         walk, "file string, off long")
-    nodes = nodes.join(true.withColumn("true", F.lit(True)), ["file", "off"], "left")
+    nodes = nodes.join(true.withColumn("reached", F.lit(True)), ["file", "off"], "left")
     nodes = cut_lineage(nodes)
-    records = nodes.where("true AND whole").select("file", "off", *_SUMMARY)
-    broken = nodes.where("true AND NOT whole")
+    records = nodes.where("reached AND whole").select("file", "off", *_SUMMARY)
+    broken = nodes.where("reached AND NOT whole")
     if not broken.limit(1).count():
         return records
 
@@ -229,7 +229,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     files = broken.select("file").distinct()
     last = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
     parts = nodes.join(files, "file", "left_semi").withColumn(
-        "start", F.max(F.when(F.col("true"), F.col("off"))).over(last))
+        "start", F.max(F.when(F.col("reached"), F.col("off"))).over(last))
     parts = parts.join(broken.select("file", F.col("off").alias("start")), ["file", "start"], "left_semi").select(
         "file", "split", "rel", "start", "off")
 

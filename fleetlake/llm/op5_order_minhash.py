@@ -6,11 +6,12 @@ the smallest hash values and keeps them in text order; two components make a ban
 in a band are candidates.
 
 Candidates. Nodes are distinct texts. A bucket of up to SMALL nodes gives all its pairs. In a larger
-one a hub (the node with most bucket mates) is compared with every other node; while a large bucket
-still holds nodes of different classes, it is first split by a second band and then goes on with one
-hub after the other, until no two nodes of different classes are left uncompared. So a hot bucket
-costs rows in proportion to its size per round and drops no candidate; nodes already in one class
-need no further comparison.
+one a hub (the node with most bucket mates) is compared with every other node. A large bucket that
+still holds nodes of different classes is split by a second band; in what remains, round by round,
+up to SMALL nodes outside a bucket's largest class are compared with all its nodes of other classes,
+until no two nodes of different classes are left uncompared. So a hot bucket costs rows in
+proportion to its size per round and drops no candidate; nodes already in one class need no further
+comparison.
 
 Verification. Labels common to two texts that lie within the band of places an alignment of the
 required similarity can reach; the longest increasing run of places among them is the aligned part
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import cut_lineage, fresh, map_arrow, record_batch, rename_inputs, slices, table
@@ -173,27 +174,41 @@ def components(links: DataFrame) -> DataFrame:
             return state
 
 
-def _labelled(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members (bucket, n, support) with the class of each node so far."""
-    if classes is None:
-        return members.withColumn("c", F.col("n"))
     found = classes.select(F.struct("n").alias("k"), "c")
     return members.withColumn("k", F.struct("n")).join(found, "k", "left").drop("k").withColumn("c", F.coalesce("c", "n"))
 
 
-def _pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) to compare and the members of large buckets that stay open, without their hubs.
-    Works on members (bucket, n, support, c); buckets of one class are finished."""
-    stats = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("c").alias("c0"), F.max("c").alias("c1"),
-                                          F.max(F.struct("support", "n", "c")).alias("hub")).where("c0 <> c1")
+def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of a first look, all nodes being classes of their own: everything in small buckets,
+    the hub with everything in large ones. Also the members of the large buckets."""
+    stats = members.groupBy("bucket").agg(F.count("*").alias("size"), F.max(F.struct("support", "n")).alias("hub"))
     stats = stats.select(fresh("bucket").alias("k"), "size", "hub")
-    open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(stats, "k").drop("k"))
-    small = open_.where(F.col("size") <= SMALL).select("bucket", "n", "c")
-    other = small.select("bucket", F.col("n").alias("b"), F.col("c").alias("cb"))
-    inside = small.join(other, "bucket").where("n < b AND c <> cb").select(F.col("n").alias("a"), "b")
-    large = open_.where(F.col("size") > SMALL)
-    star = large.where(F.col("c") != F.col("hub.c")).select(F.col("hub.n").alias("a"), F.col("n").alias("b"))
-    return inside.unionByName(star).distinct(), large.where(F.col("n") != F.col("hub.n")).select("bucket", "n", "support")
+    sized = cut_lineage(members.withColumn("k", fresh("bucket")).join(stats, "k").drop("k"))
+    small = sized.where(F.col("size") <= SMALL).select("bucket", "n")
+    inside = small.join(small.select("bucket", F.col("n").alias("b")), "bucket").where("n < b").select(F.col("n").alias("a"), "b")
+    large = sized.where(F.col("size") > SMALL)
+    star = large.where(F.col("n") != F.col("hub.n")).select(F.col("hub.n").alias("a"), F.col("n").alias("b"))
+    return inside.unionByName(star).distinct(), large.select("bucket", "n", "support")
+
+
+def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between classes, and the members that stay. In each bucket up to SMALL nodes outside
+    its largest class are compared with all nodes of other classes and leave it; a bucket whose nodes
+    are of one class is finished."""
+    counts = members.groupBy("bucket", "c").agg(F.count("*").alias("size"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("classes")).where(
+        "classes > 1").select(fresh("bucket").alias("k"), F.col("main.c").alias("main"))
+    open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(main, "k").drop("k"))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("support"), "n"))
+    hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= SMALL).select(
+        fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca")))
+    rows = open_.withColumn("k", fresh("bucket"))
+    pairs = rows.join(hubs, "k").where("c <> ca").select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
+    gone = hubs.select(F.struct(F.col("k.bucket").alias("bucket"), F.col("a").alias("n")).alias("k"))
+    left = open_.withColumn("k", fresh("bucket", "n")).join(gone, "k", "left_anti").select("bucket", "n", "support")
+    return pairs, left
 
 
 def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -210,35 +225,35 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     kept = cut_lineage(texts.select(F.struct("n").alias("k"), "text").join(
         involved.select(F.struct("n").alias("k")), "k", "left_semi").select(F.col("k.n").alias("n"), "text"))
 
-    links, classes, level = None, None, 1
-    while True:
-        pairs, members = _pairs(_labelled(members, classes))
-        pairs = cut_lineage(pairs)
-        if pairs.limit(1).count():
-            left = kept.select(F.struct(F.col("n").alias("a")).alias("ka"), F.col("text").alias("text_a"))
-            right = kept.select(F.struct(F.col("n").alias("b")).alias("kb"), F.col("text").alias("text_b"))
-            both = pairs.select(fresh("a").alias("ka"), fresh("b").alias("kb")).join(right, "kb").join(left, "ka")
-            found = map_arrow(both.select("ka.a", "kb.b", "text_a", "text_b"), _verify(similarity), "a long, b long")
-            links = cut_lineage(found if links is None else links.unionByName(found))
-            classes = components(links)
-        elif level > 1 or not members.limit(1).count():
-            break
-        if level == 1:  # split what is still large by a second band
-            level = 2
-            open_ = _labelled(members, classes)
-            mixed = open_.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select(
-                fresh("bucket").alias("k"))
-            nodes = members.withColumn("k", fresh("bucket")).join(mixed, "k", "left_semi").groupBy("n").agg(
-                F.collect_set("bucket").alias("large"), F.first("support").alias("support"))
-            both = nodes.select(F.struct("n").alias("k"), "large", "support").join(
-                sketches.select(F.struct("n").alias("k"), "bands"), "k")
-            one = both.select(F.col("k.n").alias("n"), "support", "bands", F.explode("large").alias("one"))
-            members = one.select("n", "support", "one", F.explode(F.array_except("bands", F.array("one"))).alias("two")).select(
-                F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("bucket"), "n", "support").distinct()
+    def verified(pairs: DataFrame) -> DataFrame:
+        left = kept.select(F.struct(F.col("n").alias("a")).alias("ka"), F.col("text").alias("text_a"))
+        right = kept.select(F.struct(F.col("n").alias("b")).alias("kb"), F.col("text").alias("text_b"))
+        both = pairs.select(fresh("a").alias("ka"), fresh("b").alias("kb")).join(right, "kb").join(left, "ka")
+        return cut_lineage(map_arrow(both.select("ka.a", "kb.b", "text_a", "text_b"), _verify(similarity), "a long, b long"))
+
+    pairs, large = _first_pairs(members)
+    links = verified(pairs)
+    classes = components(links)
+
+    # what is still large and mixed is split by a second band
+    open_ = _labelled(large, classes)
+    mixed = open_.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select(fresh("bucket").alias("k"))
+    nodes = large.withColumn("k", fresh("bucket")).join(mixed, "k", "left_semi").groupBy("n").agg(
+        F.collect_set("bucket").alias("large"), F.first("support").alias("support"))
+    both = nodes.select(F.struct("n").alias("k"), "large", "support").join(sketches.select(F.struct("n").alias("k"), "bands"), "k")
+    one = both.select(F.col("k.n").alias("n"), "support", "bands", F.explode("large").alias("one"))
+    members = cut_lineage(one.select("n", "support", "one", F.explode(F.array_except("bands", F.array("one"))).alias("two")).select(
+        F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("bucket"), "n", "support").distinct())
+    done = pairs.limit(0)
+    while members.limit(1).count():
+        pairs, members = _next_pairs(_labelled(members, classes))
+        pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
         members = cut_lineage(members)
-    if links is None:
-        links = texts.sparkSession.createDataFrame([], "a long, b long")
-        classes = texts.sparkSession.createDataFrame([], "n long, c long")
+        found = verified(pairs)
+        if found.limit(1).count():
+            links = cut_lineage(links.unionByName(found))
+            classes = components(links)
+        done = cut_lineage(done.unionByName(pairs))
     return classes, links
 
 
@@ -248,32 +263,36 @@ def _nodes(docs: DataFrame) -> DataFrame:
                                                         text.alias("text"))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, n, class_id, class_size) of every row; ``n`` is xxhash64 of the text."""
+def placed(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, n, c) of every row: ``n`` is xxhash64 of the text, ``c`` the smallest ``n`` of its class."""
     rows = _nodes(docs)
     texts = rows.groupBy("n").agg(F.first("text").alias("text"))
     classes, _ = classes_of(texts, similarity)
-    slim = rows.select("doc_id", "n")
-    placed = slim.withColumn("k", F.struct("n")).join(classes.select(F.struct("n").alias("k"), "c"), "k", "left").select(
-        "doc_id", "n", F.coalesce("c", "n").alias("c"))
-    placed = cut_lineage(placed)
-    heads = placed.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return placed.withColumn("k", F.struct("c")).join(heads.select(F.struct("c").alias("k"), "class_id", "class_size"), "k").select(
-        "doc_id", "n", "class_id", "class_size")
+    return cut_lineage(rows.select("doc_id", "n").withColumn("k", F.struct("n")).join(
+        classes.select(F.struct("n").alias("k"), "c"), "k", "left").select("doc_id", "n", F.coalesce("c", "n").alias("c")))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id, class_size) of every row."""
+    found = placed(docs, similarity)
+    heads = found.groupBy("c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return found.withColumn("k", F.struct("c")).join(heads.select(F.struct("c").alias("k"), "class_id", "class_size"), "k").select(
+        "doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows of ``docs`` that stay: of every class the one with the smallest doc_id (ids before nulls,
     then the smaller text hash); of repeated rows one."""
-    found = near_duplicates(docs, similarity).withColumn("class", F.coalesce("class_id", "n"))
-    best = found.groupBy("class", F.col("class_id").isNull().alias("bare")).agg(
+    best = placed(docs, similarity).groupBy("c").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("head"))
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
                    F.xxhash64(F.coalesce("text", F.lit(""))).alias("n"))
-    stay = best.select(F.struct("head.none", F.coalesce("head.doc_id", F.lit(0)).alias("doc_id"), "head.n").alias("__k"))
-    return docs.withColumn("__k", key).join(stay, "__k", "left_semi").dropDuplicates(["__k"]).drop("__k")
+    stay = best.select(F.struct("head.none", F.coalesce("head.doc_id", F.lit(0)).alias("doc_id"), "head.n").alias("k"))
+    rows = docs.select(key.alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = rows.join(stay, "k", "left_semi").dropDuplicates(["k"])
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+    return near_duplicates(table(spark, sf_dir, "documents"))
