@@ -229,15 +229,17 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, digest: bool = False) -> Dat
         return map_arrow(joined.select("__k.doc_id", "__body", "__keep"), digests,
                          "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
-    @F.pandas_udf("string")
-    def rewrite(text, keep):
-        return text.where(keep.isna(), [t if k is None else kept_lines((t or "").encode(), k)[2].decode()
-                                        for t, k in zip(text, keep)])
-
-    new = F.when(F.col("__keep").isNull(), F.col("__row.text")).otherwise(rewrite(F.col("__row.text"), F.col("__keep")))
-    out = joined.withColumn("__text", new)
-    return out.select(*[F.col("__text").alias("text") if c == "text" else F.col(f"__row.`{c}`").alias(c)
-                        for c in docs.columns])
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            text = b.column("text")
+            if b.column("keep").null_count < b.num_rows:
+                text = pa.array([t if k is None else kept_lines((t or "").encode(), k)[2].decode()
+                                 for t, k in zip(text.to_pylist(), b.column("keep").to_pylist())], pa.string())
+            yield pa.RecordBatch.from_arrays([text, b.column("row")], names=["text", "row"])
+
+    src = joined.select(F.col("__row.text").alias("text"), F.col("__keep").alias("keep"), F.col("__row").alias("row"))
+    out = map_arrow(src, rewrite, f"text string, row {src.schema['row'].dataType.simpleString()}")
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
