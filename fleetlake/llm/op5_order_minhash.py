@@ -5,13 +5,15 @@ occurrence number, so all labels of a text differ. Each of 32 components takes t
 the smallest hash values and keeps them in text order; two components make a band. Texts that agree
 in a band are candidates.
 
-Candidates. Nodes are distinct texts. A bucket of up to SMALL nodes gives all its pairs. In a larger
-one a hub (the node with most bucket mates) is compared with every other node. A large bucket that
-still holds nodes of different classes is split by a second band; in what remains, round by round,
-up to SMALL nodes outside a bucket's largest class are compared with all its nodes of other classes,
-until no two nodes of different classes are left uncompared. So a hot bucket costs rows in
-proportion to its size per round and drops no candidate; nodes already in one class need no further
-comparison.
+Candidates. Nodes are distinct texts. A bucket of up to SMALL nodes gives all its pairs. In larger
+ones each node is compared with one hub, the node with most bucket mates among those of its buckets.
+The rest is settled exactly where a large bucket still holds nodes of different classes. Let y be
+outside the bucket's largest class, h its hub, u the labels y shares with h. A node x similar to y
+either has a label of y that h lacks, or at most (1 + t) / t * u - |y| labels (t: the similarity),
+since x and y share at most u labels of h. The first kind is found by an index of those labels over
+the nodes of such buckets, round by round where a label is frequent; the second by length inside
+the bucket. Texts that differ from a common source in different places share none of those labels,
+so neither a hot group of copies nor a hot passage makes pairs that grow with its square.
 
 Verification. Labels common to two texts that lie within the band of places an alignment of the
 required similarity can reach; the longest increasing run of places among them is the aligned part
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,10 +137,21 @@ def _longest_increasing(places: list[int]) -> int:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("n", pa.int64()), ("size", pa.int64()), ("bands", pa.list_(pa.int64()))])
     for b in slices(batches, "text"):
         out = [labels(t) for t in b.column("text").to_pylist()]
-        yield record_batch(schema, n=b.column("n"), bands=[sketch(s) if len(s) else [] for s in out])
+        yield record_batch(schema, n=b.column("n"), size=[len(s) for s in out], bands=[sketch(s) if len(s) else [] for s in out])
+
+
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("n", pa.int64()), ("packed", pa.binary())])
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for b in slices(batches, "text"):
+        yield record_batch(schema, n=b.column("n"), packed=[pack(t.encode()) for t in b.column("text").to_pylist()])
+
+
+def _unpack(packed: bytes | None) -> str:
+    return "" if packed is None else zstandard.ZstdDecompressor().decompress(packed).decode()
 
 
 def _verify(similarity: float):
@@ -149,8 +163,8 @@ def _verify(similarity: float):
             left, right = [], []
             for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
                 if a != hub:
-                    hub, hub_labels = a, labels(x)
-                if aligned(hub_labels, labels(y), similarity) >= similarity:
+                    hub, hub_labels = a, labels(_unpack(x))
+                if aligned(hub_labels, labels(_unpack(y)), similarity) >= similarity:
                     left.append(a)
                     right.append(b)
             yield record_batch(schema, a=left, b=right)
@@ -175,22 +189,43 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _labelled(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members (bucket, n, support) with the class of each node so far."""
+    """Members (bucket, n, support, ...) with the class of each node so far."""
     found = classes.select(F.struct("n").alias("k"), "c")
     return members.withColumn("k", F.struct("n")).join(found, "k", "left").drop("k").withColumn("c", F.coalesce("c", "n"))
 
 
 def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of a first look, all nodes being classes of their own: everything in small buckets,
-    the hub with everything in large ones. Also the members of the large buckets."""
+    one hub for every node of a large one. Also the members of the large buckets with their hub."""
     stats = members.groupBy("bucket").agg(F.count("*").alias("size"), F.max(F.struct("support", "n")).alias("hub"))
     stats = stats.select(fresh("bucket").alias("k"), "size", "hub")
     sized = cut_lineage(members.withColumn("k", fresh("bucket")).join(stats, "k").drop("k"))
     small = sized.where(F.col("size") <= SMALL).select("bucket", "n")
     inside = small.join(small.select("bucket", F.col("n").alias("b")), "bucket").where("n < b").select(F.col("n").alias("a"), "b")
-    large = sized.where(F.col("size") > SMALL)
-    star = large.where(F.col("n") != F.col("hub.n")).select(F.col("hub.n").alias("a"), F.col("n").alias("b"))
-    return inside.unionByName(star).distinct(), large.select("bucket", "n", "support")
+    best = sized.where(F.col("size") > SMALL).groupBy("n").agg(
+        F.max("hub").alias("hub"), F.first("support").alias("support"), F.collect_list("bucket").alias("buckets"))
+    best = cut_lineage(best.select("n", F.col("hub.n").alias("hub"), "support", "buckets"))
+    star = best.where("hub <> n").select(F.col("hub").alias("a"), F.col("n").alias("b"))
+    return inside.unionByName(star).distinct(), best.select(F.explode("buckets").alias("bucket"), "n", "support", "hub")
+
+
+def _label_rows(similarity: float, against_hub: bool):
+    """(n, label) of every node; against a hub only the labels it lacks and, with a null label, the
+    length up to which a node without them can still be similar."""
+    schema = pa.schema([("n", pa.int64()), ("label", pa.int64()), ("bound", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            hubs = b.column("hub_text").to_pylist() if against_hub else [None] * b.num_rows
+            for n, text, hub in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), hubs):
+                mine = labels(_unpack(text))
+                found, bound = mine.view(np.int64), [None] * len(mine)
+                if against_hub:
+                    found = np.setdiff1d(mine, labels(_unpack(hub)), assume_unique=True).view(np.int64)
+                    shared = len(mine) - len(found)
+                    yield record_batch(schema, n=[n], label=[None], bound=[(1 + similarity) / similarity * shared - len(mine)])
+                yield record_batch(schema, n=np.full(len(found), n), label=found, bound=[None] * len(found))
+    return run
 
 
 def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -212,22 +247,23 @@ def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Classes (n, c) of distinct texts (n, text), only of nodes with a link, and the links (a, b)."""
+    """Classes (n, c) of the texts of rows (n, text), only of nodes with a link, and the links (a, b).
+    Equal texts have equal ``n``."""
     # one map pass for the sketches, then slim rows only
-    sketches = cut_lineage(map_arrow(texts.select("n", "text"), _sketches, "n long, bands array<long>"))
+    sketches = cut_lineage(map_arrow(texts.select("n", "text"), _sketches, "n long, size long, bands array<long>").groupBy("n").agg(
+        F.first("size").alias("size"), F.first("bands").alias("bands")))
     flat = sketches.select("n", F.explode("bands").alias("bucket"))
     shared = flat.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select(fresh("bucket").alias("k"), "size")
-    mates = flat.withColumn("k", fresh("bucket")).join(shared, "k").drop("k")
-    mates = cut_lineage(mates)
+    mates = cut_lineage(flat.withColumn("k", fresh("bucket")).join(shared, "k").drop("k"))
     support = mates.groupBy("n").agg(F.sum("size").alias("support"))
     members = cut_lineage(mates.join(support, "n").select("bucket", "n", "support"))
-    involved = support.select("n")
-    kept = cut_lineage(texts.select(F.struct("n").alias("k"), "text").join(
-        involved.select(F.struct("n").alias("k")), "k", "left_semi").select(F.col("k.n").alias("n"), "text"))
+    # one shuffle of texts: partially aggregated, then only the nodes with a bucket mate stay, compressed
+    whole = texts.groupBy("n").agg(F.first("text").alias("text")).join(support.select("n"), "n", "left_semi")
+    kept = cut_lineage(map_arrow(whole.select("n", "text"), _compress, "n long, packed binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = kept.select(F.struct(F.col("n").alias("a")).alias("ka"), F.col("text").alias("text_a"))
-        right = kept.select(F.struct(F.col("n").alias("b")).alias("kb"), F.col("text").alias("text_b"))
+        left = kept.select(F.struct(F.col("n").alias("a")).alias("ka"), F.col("packed").alias("text_a"))
+        right = kept.select(F.struct(F.col("n").alias("b")).alias("kb"), F.col("packed").alias("text_b"))
         both = pairs.select(fresh("a").alias("ka"), fresh("b").alias("kb")).join(right, "kb").join(left, "ka")
         return cut_lineage(map_arrow(both.select("ka.a", "kb.b", "text_a", "text_b"), _verify(similarity), "a long, b long"))
 
@@ -235,19 +271,36 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     links = verified(pairs)
     classes = components(links)
 
-    # what is still large and mixed is split by a second band
-    open_ = _labelled(large, classes)
-    mixed = open_.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select(fresh("bucket").alias("k"))
-    nodes = large.withColumn("k", fresh("bucket")).join(mixed, "k", "left_semi").groupBy("n").agg(
-        F.collect_set("bucket").alias("large"), F.first("support").alias("support"))
-    both = nodes.select(F.struct("n").alias("k"), "large", "support").join(sketches.select(F.struct("n").alias("k"), "bands"), "k")
-    one = both.select(F.col("k.n").alias("n"), "support", "bands", F.explode("large").alias("one"))
-    members = cut_lineage(one.select("n", "support", "one", F.explode(F.array_except("bands", F.array("one"))).alias("two")).select(
-        F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("bucket"), "n", "support").distinct())
-    done = pairs.limit(0)
-    while members.limit(1).count():
+    # the exact rest: nodes outside the largest class of a large bucket that is still mixed
+    sized = cut_lineage(_labelled(large, classes).join(sketches.select("n", "size"), "n"))
+    counts = sized.groupBy("bucket", "c").agg(F.count("*").alias("nodes"), F.min("size").alias("least"))
+    mixed = counts.groupBy("bucket").agg(F.max(F.struct("nodes", "c")).alias("main"), F.count("*").alias("classes"),
+                                         F.min("least").alias("least")).where("classes > 1")
+    rows = cut_lineage(sized.withColumn("k", fresh("bucket")).join(
+        mixed.select(fresh("bucket").alias("k"), F.col("main.c").alias("main"), "least"), "k").drop("k"))
+    odd = rows.where("c <> main").select("n", F.nullif("hub", F.col("n")).alias("hub")).distinct()
+    text_of = lambda name, text: kept.select(F.struct(F.col("n").alias(name)).alias("k"), F.col("packed").alias(text))
+    odd = odd.withColumn("k", fresh("n")).join(text_of("n", "text"), "k").withColumn("k", fresh("hub")).join(
+        text_of("hub", "hub_text"), "k", "left").select("n", "text", "hub_text")
+    ddl = "n long, label long, bound double"
+    lacking = cut_lineage(map_arrow(odd, _label_rows(similarity, True), ddl))
+    nodes = rows.groupBy("n").agg(F.first("support").alias("support"))
+    index = map_arrow(nodes.withColumn("k", fresh("n")).join(text_of("n", "text"), "k").select("n", "text"),
+                      _label_rows(similarity, False), ddl)
+    wanted = lacking.where("label IS NOT NULL").select(fresh("label").alias("k")).distinct()
+    hits = cut_lineage(index.select("n", "label", fresh("label").alias("k")).join(wanted, "k", "left_semi").drop("k"))
+    members = cut_lineage(hits.join(nodes, "n").select(F.col("label").alias("bucket"), "n", "support"))
+    bounds = lacking.where("label IS NULL").select(F.col("n").alias("a"), "bound")
+    short = rows.where("c <> main").select("bucket", F.col("n").alias("a"), F.col("c").alias("ca"), "least").join(bounds, "a").where(
+        "least <= bound").select(fresh("bucket").alias("k"), "a", "ca", "bound")
+    extra = rows.withColumn("k", fresh("bucket")).join(short, "k").where("size <= bound AND c <> ca").select(
+        F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
+    done = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    while members.limit(1).count() or extra is not None:
         pairs, members = _next_pairs(_labelled(members, classes))
+        pairs = pairs if extra is None else pairs.unionByName(extra).distinct()
         pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
+        extra = None
         members = cut_lineage(members)
         found = verified(pairs)
         if found.limit(1).count():
@@ -266,8 +319,7 @@ def _nodes(docs: DataFrame) -> DataFrame:
 def placed(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, n, c) of every row: ``n`` is xxhash64 of the text, ``c`` the smallest ``n`` of its class."""
     rows = _nodes(docs)
-    texts = rows.groupBy("n").agg(F.first("text").alias("text"))
-    classes, _ = classes_of(texts, similarity)
+    classes, _ = classes_of(rows.select("n", "text"), similarity)
     return cut_lineage(rows.select("doc_id", "n").withColumn("k", F.struct("n")).join(
         classes.select(F.struct("n").alias("k"), "c"), "k", "left").select("doc_id", "n", F.coalesce("c", "n").alias("c")))
 
