@@ -56,9 +56,20 @@ def blank_or(c, value: str) -> Column:
     return F.coalesce(as_col(c), F.lit("")).isin("", value)
 
 
+def year_range(c, first: int, last: int | None) -> Column:
+    """Plain comparisons on the raw text that every date from year ``first`` to ``last`` passes, compact
+    or dashed, so that they reach the scan. Texts that do not start with a digit pass as well and are
+    left to the exact test; the year itself must be written without separators."""
+    raw = as_col(c).cast("string")
+    inside = raw >= f"{first:04d}"
+    if last is not None:
+        inside = (inside & (raw < f"{last + 1:04d}")) | (raw >= ":")
+    return inside | (raw < "0")
+
+
 def since(c, first_day: dt.date) -> Column:
     """PF-15: SAP date text on or after ``first_day`` (read as a date, SC-17)."""
-    return sap_date(c) >= F.lit(first_day)
+    return year_range(c, first_day.year, None) & (sap_date(c) >= F.lit(first_day))
 
 
 def between_days(c, ini: int, fim: int, as_of: dt.date, mode: str = "date") -> Column:
@@ -73,4 +84,4 @@ def between_days(c, ini: int, fim: int, as_of: dt.date, mode: str = "date") -> C
         col = as_col(c)
         return (col >= lo.strftime("%Y%m%d")) & (col <= hi.strftime("%Y%m%d"))
     d = sap_date(c)
-    return (d >= F.lit(lo)) & (d <= F.lit(hi))
+    return year_range(c, lo.year, hi.year) & (d >= F.lit(lo)) & (d <= F.lit(hi))

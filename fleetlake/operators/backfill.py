@@ -41,7 +41,8 @@ def window_memberships(d: Column, total_days: int, step: int, as_of: dt.date) ->
 
 
 def window_counts(spark: SparkSession, rows: DataFrame, date_col: str, key: list[str], order: list[Column],
-                  guard: Column, total_days: int, step: int, as_of: dt.date) -> DataFrame:
+                  guard: Column, total_days: int, step: int, as_of: dt.date,
+                  spread_by: list[str] | None = None) -> DataFrame:
     """BF-3 counters per window, in one pass over the window query rows.
 
     ``linhas``: rows each window query returns (a row on a shared edge day
@@ -49,12 +50,13 @@ def window_counts(spark: SparkSession, rows: DataFrame, date_col: str, key: list
     i.e. rows passing ``guard`` that come first for their ``key`` under
     ``order`` (whose first sort key is the window index). One window ranks
     the rows; rows failing the guard are ranked on a spread key so they do
-    not gather in one task; then one aggregation over the exploded window
+    not gather in one task (``spread_by`` names the columns hashed for that,
+    so that all others can be pruned); then one aggregation over the exploded window
     memberships.
     """
     w = window_table(spark, total_days, step, as_of)
     d = D.sap_date(F.col(date_col))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(1024))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by or rows.columns]), F.lit(1024))
     keyed = rows.withColumn("__ok", F.coalesce(guard, F.lit(False)))
     parts = [F.when(F.col("__ok"), F.col(k).cast("string")).otherwise(
         F.concat(F.lit("\u0000"), spread.cast("string"))) for k in key]
@@ -97,12 +99,13 @@ def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
             # SRC-4: an optional source is not configured; the job is skipped
             return (name, "skipped", None, "missing sources: " + ", ".join(lacking))
         try:
-            df = job()
+            df = job()  # a DataFrame to count, or the count of what the job has written
             written = sink(name, df) if sink is not None else None
-            return (name, "ok", int((written if written is not None else df).count()), None)
+            df = written if written is not None else df
+            return (name, "ok", df if isinstance(df, int) else int(df.count()), None)
         except Exception as e:  # noqa: BLE001 - isolation is the point
             traceback.print_exc()
-            return (name, "error", None, (str(e).splitlines() or [repr(e)])[0][:500])
+            return (name, "error", None, str(e) or repr(e))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = [pool.submit(one, n, j) for n, j in jobs.items()]

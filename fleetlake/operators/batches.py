@@ -38,16 +38,16 @@ def row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
     table). ``repartitionByRange`` samples the data to pick bounds, so the
     ranged frame is checkpointed to the session's reliable checkpoint folder
     before it is read twice (counts, rows): a lost executor then cannot move
-    a row to another partition.
+    a row to another partition. Without ``num_partitions`` the range exchange
+    starts from AQE's ``initialPartitionNum`` and is merged by data size.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gcols = _order_cols(group or [])
     cols = gcols + _order_cols(order)
     gnames = [f"__g{i}" for i in range(len(gcols))]
     ranged = (df.select("*", *[c.alias(g) for c, g in zip(gcols, gnames)])
-              .repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .repartitionByRange(*([num_partitions] if num_partitions else []), *cols).sortWithinPartitions(*cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__local", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition << 33) + position in partition

@@ -85,19 +85,15 @@ def left_lookup(df: DataFrame, right: DataFrame, left_on: Sequence, right_on: Se
 
 def text_lookup(df: DataFrame, texts: DataFrame, left_on, right_on, text_col: str, out: str,
                 lang_col: str | None = "spras", langs: Sequence[str] = ("P", "PT"),
-                fanout: str = "collapse", name: str = "tx") -> DataFrame:
+                name: str = "tx") -> DataFrame:
     """JN-19 / S-11: text of a code in the given languages.
 
-    ``fanout='collapse'`` takes ``max(text)`` per key (AG-2: MAX as pick-one; one row per key, as the
-    lateral form); ``'keep'`` joins every language row, as a plain left join
-    on ``spras IN (...)`` does.
+    ``max(text)`` per key (AG-2: MAX as pick-one; one row per key, as the lateral form).
     """
     where = as_col(lang_col).isin(*langs) if lang_col else None
     left_on = left_on if isinstance(left_on, (list, tuple)) else [left_on]
     right_on = right_on if isinstance(right_on, (list, tuple)) else [right_on]
-    if fanout == "collapse":
-        return agg_lookup(df, texts, left_on, right_on, [F.max(text_col).alias(out)], where, name)
-    return left_lookup(df, texts, left_on, right_on, [F.col(text_col).alias(out)], where, name)
+    return agg_lookup(df, texts, left_on, right_on, [F.max(text_col).alias(out)], where, name)
 
 
 def semi(df: DataFrame, keys: DataFrame, left_on: Sequence, right_on: Sequence) -> DataFrame:
@@ -159,7 +155,8 @@ def salted_join(left: DataFrame, right: DataFrame, left_key, right_key, hot: Seq
     lookup), as those rows are copied ``buckets`` times.
     """
     lk, rk = as_col(left_key), as_col(right_key)
-    is_hot_l = lk.isin(*hot)
+    # a NULL key matches nothing, but would gather in one task like any other value
+    is_hot_l = lk.isNull() | lk.isin(*hot)
     l2 = left.withColumn(f"__{name}_b", F.when(is_hot_l, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
                                                                 F.lit(buckets))).otherwise(F.lit(0)))
     r2 = right.withColumn(f"__{name}_b", F.explode(F.when(rk.isin(*hot), F.sequence(F.lit(0), F.lit(buckets - 1)))

@@ -35,12 +35,21 @@ class Params:
     # first year of the half-year periods of the parts history
     parts_first_year: int = 2024
     # reservations: storage locations, movement types, stock warehouse
-    storage_locations: tuple[str, ...] = ("D005", "D090")
+    storage_locations: tuple[str, ...] = ()
     movement_types: tuple[str, ...] = ("201", "261")
-    stock_warehouse: str = "OURO"
+    stock_warehouse: str = ""
     # languages of material / equipment text tables
     text_langs: tuple[str, ...] = ("P", "PT")
-    # S-11: 'collapse' joins texts through max() per key, 'keep' fans out
-    fanout: str = "collapse"
     # S-9 / PF-16 / PF-18: date texts compared as dates ('date') or as raw text ('text')
     date_mode: str = "date"
+
+    def need(self, *names: str) -> None:
+        """Raise unless every named parameter is set: an empty owner, branch or warehouse list would
+        deliver an empty result that reads as "everything is gone"."""
+        for name in names:
+            if not getattr(self, name):
+                raise ValueError(f"parameter {name!r} is not set")
+
+    def need_owner(self) -> None:
+        if not (self.buyer_groups or self.buyer_users):
+            raise ValueError("parameters 'buyer_groups' and 'buyer_users' are both not set")

@@ -65,7 +65,7 @@ def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
              & (K.py_strip(F.coalesce("cod_sap", F.lit(""))) != ""))
     rows = rows.withColumn("_k_rc", K.py_strip(F.col("num_rc"))).withColumn("_k_item", K.py_strip(F.col("item_rc")))
     return window_counts(spark, rows, "data_requisicao", ["_k_rc", "_k_item"], purchasing.RC_ORDER(), guard,
-                         p.rc_total_days, p.rc_step_days, p.as_of)
+                         p.rc_total_days, p.rc_step_days, p.as_of, spread_by=["num_rc", "item_rc"])
 
 
 def hourly_manifest(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
@@ -28,6 +28,7 @@ def join_sorted(values: Column, sep: str, distinct: bool = False) -> Column:
 
 # --------------------------------------------------------------------- J11
 def _pm_branch_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    p.need("branch_codes")
     pm = t["pm_order_view"]
     return pm.filter(like_any("cod_centro_trabalho", p.branch_codes)
                      & since(F.col("data_criacao"), p.orders_since))
@@ -67,6 +68,7 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
     kind) by creation date then order number (WN-2). Operation status is the
     sorted, space-joined list of active system status texts (AG-13, S-10).
     """
+    p.need("branch_codes")
     aufk, afih = t["aufk"].select("aufnr", "ktext", "erdat", "ernam", "idat1"), t["afih"]
     crhd = t["crhd"].select(F.col("objid"), F.col("arbpl"))
     base = aufk.join(afih.select("aufnr", "equnr", "gewrk", "ilart"), "aufnr")
@@ -98,9 +100,16 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
         "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h")
     jest = t["jest"].filter(F.col("inact") == "")
     tj02t = t["tj02t"].filter(F.col("spras").isin("P", "PT", "pt", "p"))
-    st = (ops.select("objnr").join(jest, "objnr").join(tj02t, F.col("stat") == F.col("istat"))
-          .groupBy("objnr").agg(join_sorted(F.col("txt04"), " ").alias("status_operacao")))
+    # status texts per object straight from the status table, so the operations
+    # are read once; an object that several operation rows share has its texts
+    # once per row (the reference aggregates after joining the operations)
+    st = (jest.join(tj02t, F.col("stat") == F.col("istat")).groupBy("objnr")
+          .agg(F.collect_list("txt04").alias("__texts")))
     out = ops.join(st, "objnr", "left")
+    apart = F.when(F.col("objnr").isNull(), F.xxhash64("aufnr", "aplzl"))  # rows without an object stay apart
+    shared = F.count(F.lit(1)).over(Window.partitionBy(F.col("objnr"), apart))
+    out = out.withColumn("__texts", F.flatten(F.array_repeat("__texts", shared.cast("int"))))
+    out = out.withColumn("status_operacao", F.when(F.size("__texts") > 0, F.array_join(F.array_sort("__texts"), " ")))
     return out.select(
         F.col("equnr").alias("ativo"), K.strip_zeros(F.col("aufnr")).alias("ordem"), "tipo_manutencao",
         F.col("ktext").alias("descricao_os"), F.col("centro_trabalho_cabecalho").alias("centro_trabalho_responsavel"),
@@ -215,6 +224,7 @@ def order_status_text(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J6 flat rows: order x operation, as the SQL of the reference returns them."""
+    p.need("responsibles")
     aufk, afih = t["aufk"], t["afih"]
     crhd = t["crhd"]
     resp = t["pa0001"].groupBy(F.col("pernr").cast("string").alias("pernr")).agg(
@@ -400,7 +410,7 @@ def order_supplies(t: dict[str, DataFrame], p: Params) -> DataFrame:
                                                              "desc_compra_direta", "knttp")])
     makt = t["makt"]
     best = text_lookup(best, makt, F.col("cod_sap"), K.strip_key(makt.matnr), "maktx", "m_maktx",
-                       langs=p.text_langs, fanout=p.fanout, name="m")
+                       langs=p.text_langs, name="m")
     return best.select(
         "ativo", "ordem", "cod_sap",
         F.coalesce(F.col("m_maktx"), F.col("desc_compra_direta"), F.lit("Sem Descrição")).alias("descricao"),

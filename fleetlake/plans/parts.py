@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
-from fleetlake.operators.lookups import join_on_key, text_lookup
+from fleetlake.operators.lookups import salted_join, text_lookup
+from fleetlake.functions.predicates import year_range
 from fleetlake.params import Params
 
 
@@ -26,11 +27,15 @@ def _consumption(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.col("aufnr").alias("afih_aufnr"), K.strip_key(F.col("equnr")).alias("ativo"))
     resb = t["resb"].filter(F.col("matnr").isNotNull() & (F.col("matnr") != "")).select(
         F.col("aufnr").alias("resb_aufnr"), K.strip_key(F.col("matnr")).alias("cod_sap"), "bdmng")
-    aufk = t["aufk"].select(F.col("aufnr").alias("aufk_aufnr"), D.sap_date(F.col("erdat")).alias("erdat"),
-                            F.col("erdat").alias("erdat_text"))
-    x = join_on_key(afih, resb, "afih_aufnr", "resb_aufnr", K.strip_key)
-    x = join_on_key(x, aufk, "afih_aufnr", "aufk_aufnr", K.strip_key, how="left")
-    return x.withColumn("okey", K.strip_key(F.col("afih_aufnr")))
+    # the periods need the creation date, so the orders are cut to them first,
+    # joined at order grain, and only then meet the reservation lines
+    aufk = _in_periods(t["aufk"].select(K.strip_key(F.col("aufnr")).alias("okey"), D.sap_date(F.col("erdat")).alias("erdat"),
+                                        F.col("erdat").alias("erdat_text")), p)
+    afih = afih.withColumn("afih_key", K.strip_key(F.col("afih_aufnr")))
+    heads = afih.join(aufk, F.col("afih_key") == F.col("okey")).drop("afih_key")
+    # lines without an order share the blank key
+    lines = resb.withColumn("resb_key", K.strip_key(F.col("resb_aufnr"))).drop("resb_aufnr")
+    return salted_join(lines, heads, F.col("resb_key"), F.col("okey"), [""], how="inner", name="rk").drop("resb_key")
 
 
 def _in_periods(rows: DataFrame, p: Params) -> DataFrame:
@@ -46,7 +51,7 @@ def _in_periods(rows: DataFrame, p: Params) -> DataFrame:
         rows = rows.filter((t >= lo.strftime("%Y%m%d")) & (t <= hi.strftime("%Y%m%d")))
         year, month = F.substring(t, 1, 4), F.substring(t, 5, 2).cast("int")
     else:
-        rows = rows.filter(F.col("erdat").between(F.lit(lo), F.lit(hi)))
+        rows = rows.filter(year_range("erdat_text", lo.year, hi.year) & F.col("erdat").between(F.lit(lo), F.lit(hi)))
         year, month = F.year("erdat").cast("string"), F.month("erdat")
     return rows.withColumn("periodo", F.concat(year, F.when(month <= 6, F.lit("H1")).otherwise(F.lit("H2"))))
 
@@ -55,11 +60,11 @@ def _with_texts(g: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Asset text, component text and material group, one value per key (S-11 collapse)."""
     eqkt, makt, mara = t["eqkt"], t["makt"], t["mara"]
     g = text_lookup(g, eqkt, F.col("ativo"), K.strip_key(eqkt.equnr), "eqktx", "descricao_ativo",
-                    langs=p.text_langs, fanout=p.fanout, name="eq")
+                    langs=p.text_langs, name="eq")
     g = text_lookup(g, makt, F.col("cod_sap"), K.strip_key(makt.matnr), "maktx", "descricao_componente",
-                    langs=p.text_langs, fanout=p.fanout, name="mk")
+                    langs=p.text_langs, name="mk")
     g = text_lookup(g, mara, F.col("cod_sap"), K.strip_key(mara.matnr), "matkl", "grupo_mercadoria",
-                    lang_col=None, fanout=p.fanout, name="ma")
+                    lang_col=None, name="ma")
     return g
 
 
@@ -102,13 +107,13 @@ def parts_history(t: dict[str, DataFrame], p: Params) -> DataFrame:
     dates (SC-17) by default; ``date_mode='text'`` compares the raw text with
     the period bounds as the reference does (S-9).
     """
-    rows = _in_periods(_consumption(t, p), p)
+    rows = _consumption(t, p)
     g = _aggregate(rows, ["periodo", "ativo", "cod_sap"])
     return _with_texts(g, t, p).select("periodo", *OUT)
 
 
 def parts_history_merged(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J15 with the periods merged: one row per (asset, part) over the whole range."""
-    rows = _in_periods(_consumption(t, p), p)
+    rows = _consumption(t, p)
     g = _aggregate(rows, ["ativo", "cod_sap"])
     return _with_texts(g, t, p).select(*OUT)

@@ -23,6 +23,7 @@ from fleetlake.params import Params
 
 def owned_by(groups_cols: list[Column], users_col: Column | None, p: Params) -> Column:
     """PF-5 with the job's buyer groups and users."""
+    p.need_owner()
     return PR.owned_by(groups_cols, users_col, p.buyer_groups, p.buyer_users)
 
 
@@ -56,10 +57,10 @@ def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
 def po_approval(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Latest approval step per purchase order.
 
-    DISTINCT over the projected rows (AG-7), the status label (CL-4), then
-    the first row per stripped PO ordered by start hour, end hour, start
+    The status label (CL-4), then the first row per stripped PO ordered by start hour, end hour, start
     date, all descending with NULLs first as in PostgreSQL (S-1, S-2). The
-    remaining columns break ties (S-3).
+    remaining columns break ties (S-3), so the order is total and equal rows need no
+    DISTINCT (AG-7) before it.
     """
     a = t["approvals"]
     rows = a.select(
@@ -71,7 +72,7 @@ def po_approval(t: dict[str, DataFrame], p: Params) -> DataFrame:
         S.approval_label(F.col("statusfluxoaprovacao")).alias("status_aprovacao"),
         F.col("statusfluxoaprovacao").alias("status_raw"),
         F.col("datafinal").alias("data_final"),
-    ).distinct()
+    )
     rows = rows.withColumn("pedido", F.ltrim(K.py_strip(F.coalesce("pedido_raw", F.lit(""))), F.lit("0")))
     rows = rows.filter(F.col("pedido") != "")
     order = [F.col("hora_inicio").desc_nulls_first(), F.col("hora_fim").desc_nulls_first(),
@@ -140,8 +141,7 @@ def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None
     base = agg_lookup(base, eket, [F.col("ebeln"), F.col("ebelp")], [eket.ebeln, eket.ebelp],
                       [F.min("eindt").alias("data_remessa_pc")], name="sch")
     makt = t["makt"]
-    base = text_lookup(base, makt, F.col("matnr"), makt.matnr, "maktx", "maktx", langs=p.text_langs,
-                       fanout=p.fanout, name="mk")
+    base = text_lookup(base, makt, F.col("matnr"), makt.matnr, "maktx", "maktx", langs=p.text_langs, name="mk")
     rows = base.select(
         K.strip_key(F.col("ebeln")).alias("pedido"),
         K.as_text(F.col("ebelp")).alias("item_pc"),
@@ -198,8 +198,7 @@ def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     x = x.join(afih, spread_nulls("acc_aufnr") == F.col("a_aufnr"), "left")
     vend = t["lfa1"].select(F.col("lifnr").alias("v_lifnr"), F.col("name1").alias("v_name1"))
     x = x.join(vend, spread_nulls("k_lifnr") == F.col("v_lifnr"), "left")
-    x = text_lookup(x, makt, F.col("matnr"), makt.matnr, "maktx", "m_maktx", langs=p.text_langs,
-                    fanout=p.fanout, name="m")
+    x = text_lookup(x, makt, F.col("matnr"), makt.matnr, "maktx", "m_maktx", langs=p.text_langs, name="m")
     cat = S.category(F.col("p_knttp"), F.col("knttp"))
     return x.select(
         S.stock_asset(F.col("a_equnr")).alias("ativo"),

@@ -10,7 +10,7 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import predicates as PR
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import first_per_key
-from fleetlake.operators.lookups import salted_join, semi
+from fleetlake.operators.lookups import salted_join, semi, spread_nulls, with_salt
 from fleetlake.params import Params
 
 # Fixed value: reservation text of items that are not stocked.
@@ -34,6 +34,7 @@ def base_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
     ``sgtxt <> ...`` and ``xloek <> 'X'`` drop NULLs on purpose (PF-9, S-6).
     """
+    p.need("storage_locations", "movement_types")
     r = t["resb"]
     r = r.filter(PR.in_any(F.col("lgort"), p.storage_locations) & (F.col("sgtxt") != NOT_STOCKED)
                  & PR.blank_or(F.col("postp"), "L")
@@ -52,6 +53,7 @@ def stock_by_material(t: dict[str, DataFrame], p: Params, materials: DataFrame |
     hash aggregations; the label lists are bounded by the lots and bins of a
     material.
     """
+    p.need("stock_warehouse")
     aqua, mara = t["aqua"], t["mara"]
     m = mara.select(F.col("scm_matid_guid16").alias("matid"), F.col("matnr"))
     e = aqua.filter((F.col("lgnum") == p.stock_warehouse) & (F.col("quan") > 0)).join(m, "matid", "left")
@@ -93,26 +95,29 @@ def users(t: dict[str, DataFrame]) -> DataFrame:
     return x.select(F.trim(F.col("bname")).alias("bname_chave"), F.col("name_text").alias("nome_usuario")).distinct()
 
 
-def order_headers(t: dict[str, DataFrame], p: Params) -> DataFrame:
+def order_headers(t: dict[str, DataFrame], p: Params, lines: DataFrame) -> DataFrame:
     """Reservation header -> order -> order type, cost centre, profit-centre
     and asset texts, order-view columns and user names, at reservation grain.
 
     These joins depend only on the reservation number, so they run on the
-    (smaller) header table and join the lines once on ``rsnum``.
+    headers of the given open ``lines`` and join the lines once on ``rsnum``.
+    Headers without an order (manual reservations, possibly most of them)
+    carry NULL keys through the chain: each join spreads them.
     """
     rkpf = t["rkpf"].select("rsnum", F.col("aufnr").alias("r_aufnr"), "rsdat", "usnam", "lastchangedbyuser",
                             "lastchangedatetime")
+    rkpf = with_salt(semi(rkpf, lines, [F.col("rsnum")], [lines.rsnum]), ["rsnum"])
     aufk = t["aufk"].select(F.col("aufnr").alias("k_aufnr"), F.col("auart"), F.col("kostl").alias("k_kostl"),
                             F.col("ernam").alias("criador_ordem"), F.col("aenam").alias("ult_mod_ordem"))
-    h = rkpf.join(aufk, F.col("r_aufnr") == F.col("k_aufnr"), "left")
+    h = rkpf.join(aufk, spread_nulls("r_aufnr") == F.col("k_aufnr"), "left")
     tipos = t["t003p"].filter(F.col("spras") == "P").select(F.col("auart").alias("t_auart"), F.col("txt").alias("t_txt"))
-    h = h.join(tipos, F.col("auart") == F.col("t_auart"), "left")
+    h = h.join(tipos, spread_nulls("auart") == F.col("t_auart"), "left")
     csks = t["csks"].select(F.col("kostl").alias("c_kostl"), F.col("prctr").alias("c_prctr"))
-    h = h.join(csks, F.col("k_kostl") == F.col("c_kostl"), "left")
+    h = h.join(csks, spread_nulls("k_kostl") == F.col("c_kostl"), "left")
     cepct = t["cepct"].select(F.col("prctr").alias("e_prctr"), F.col("ltext"))
-    h = h.join(cepct, F.col("c_prctr") == F.col("e_prctr"), "left")
+    h = h.join(cepct, spread_nulls("c_prctr") == F.col("e_prctr"), "left")
     anlh = t["anlh"].select(F.trim(F.col("anln1")).alias("anln1"), "anlhtxt")
-    h = h.join(anlh, F.col("k_kostl") == F.col("anln1"), "left")
+    h = h.join(anlh, spread_nulls("k_kostl") == F.col("anln1"), "left")
     pm = t["pm_order_view"]
     pm_sel = [F.col("n_ordem").alias("pm_n_ordem")]
     for c in PM_COLS:
@@ -145,7 +150,7 @@ def picking_reservations(t: dict[str, DataFrame], p: Params) -> DataFrame:
     mats = base.select(K.strip_key(F.col("matnr")).alias("material_limpo")).distinct()
     stock = stock_by_material(t, p, mats)
     ar = latest_approval(t, p, base)
-    h = order_headers(t, p)
+    h = order_headers(t, p, base)
     rsadd = t["rsadd"].select(F.col("rsnum").alias("a_rsnum"), F.col("rspos").alias("a_rspos"), "creadat")
     lips = t["lips"].select(F.col("rsnum").alias("l_rsnum"), F.col("rspos").alias("l_rspos"), "vbeln")
     makt = t["makt"].filter(F.col("spras") == "P").select(K.strip_key(F.col("matnr")).alias("m_key"), "maktx")

@@ -29,11 +29,12 @@ def yard_entries(t: dict[str, DataFrame], p: Params) -> DataFrame:
     show. The key is the raw code, the output code is upper-trimmed (S-14).
     """
     # S-8: codes are compared binary after upper(trim()); the source collation is unknown
-    u = t["uca_yard"].filter(F.col("n_armac").isNotNull())
-    newest = latest_per_key(u, "n_armac", "created_at_form", ties="all")
+    p.need("yard_branches")
+    u = t["uca_yard"].filter(F.col("asset_no").isNotNull())
+    newest = latest_per_key(u, "asset_no", "created_at_form", ties="all")
     newest = newest.filter((F.col("tipo_relatorio") == "Entrada") & like_any("filial", p.yard_branches))
     return newest.select(
-        K.norm_code("n_armac").alias("n_armac"),
+        K.norm_code("asset_no").alias("asset_no"),
         F.col("tipo_equipamento").alias("equipamento"),
         K.norm_code("marca").alias("marca"),
         K.norm_code("modelo").alias("modelo"),
@@ -49,19 +50,20 @@ def yard_events(t: dict[str, DataFrame], p: Params) -> DataFrame:
     The correlated ``EXISTS`` on the upper-trimmed code is a left semi join
     against the distinct codes seen at a branch (JN-14, O-8).
     """
+    p.need("yard_branches")
     u = t["uca_yard"]
-    seen = u.filter(like_any("filial", p.yard_branches)).select(K.norm_code("n_armac").alias("k"))
-    rows = u.filter(F.col("n_armac").isNotNull() & (F.col("n_armac") != "")
+    seen = u.filter(like_any("filial", p.yard_branches)).select(K.norm_code("asset_no").alias("k")).distinct()
+    rows = u.filter(F.col("asset_no").isNotNull() & (F.col("asset_no") != "")
                     & F.col("created_at_form").isNotNull()
                     & F.col("tipo_relatorio").isin(*YARD_REPORT_TYPES))
-    rows = semi(rows, seen, [K.norm_code("n_armac")], [F.col("k")])
+    rows = semi(rows, seen, [K.norm_code("asset_no")], [F.col("k")])
     return rows.select(
-        K.norm_code("n_armac").alias("n_armac"), "tipo_relatorio", F.col("created_at_form").alias("ts"),
+        K.norm_code("asset_no").alias("asset_no"), "tipo_relatorio", F.col("created_at_form").alias("ts"),
         "filial", "cliente", "situacao", "horimetro", F.col("tipo_equipamento").alias("descricao"))
 
 
 # --------------------------------------------------------------------- J10
-VALID_COLS = ["n_armac", "data_comunicacao", "horimetro_sistema", "contrato", "atualizado_em"]
+VALID_COLS = ["asset_no", "data_comunicacao", "horimetro_sistema", "contrato", "atualizado_em"]
 REJECTED_COLS = ["comunicacao_rastreador_em", "horimetro_rastreador", "fonte_rastreador", "motivo_rastreador"]
 REJECTED_TYPES = {"comunicacao_rastreador_em": "timestamp_ntz", "horimetro_rastreador": "decimal(12,2)",
                   "fonte_rastreador": "string", "motivo_rastreador": "string"}
@@ -72,10 +74,10 @@ def hourmeter_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
     The meter is the equipment meter, else the panel meter (SC-9).
     """
-    h = t["hourmeter"].filter(F.col("armac_code").isNotNull() & (F.col("armac_code") != ""))
-    newest = latest_per_key(h, "armac_code", "event_datetime", ties="all")
+    h = t["hourmeter"].filter(F.col("asset_code").isNotNull() & (F.col("asset_code") != ""))
+    newest = latest_per_key(h, "asset_code", "event_datetime", ties="all")
     return newest.select(
-        K.norm_code("armac_code").alias("n_armac"),
+        K.norm_code("asset_code").alias("asset_no"),
         F.col("event_datetime").alias("data_comunicacao"),
         F.coalesce("equipment_hourmeter", "panel_hourmeter").alias("horimetro_sistema"),
         F.col("contract").alias("contrato"),
@@ -84,10 +86,10 @@ def hourmeter_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 def hourmeter_rejected(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J10 rejected feed: newest rejected reading per raw code, ties kept."""
-    h = t["hourmeter_invalid"].filter(F.col("armac_code").isNotNull() & (F.col("armac_code") != ""))
-    newest = latest_per_key(h, "armac_code", "event_datetime", ties="all")
+    h = t["hourmeter_invalid"].filter(F.col("asset_code").isNotNull() & (F.col("asset_code") != ""))
+    newest = latest_per_key(h, "asset_code", "event_datetime", ties="all")
     return newest.select(
-        K.norm_code("armac_code").alias("n_armac"),
+        K.norm_code("asset_code").alias("asset_no"),
         F.col("event_datetime").alias("comunicacao_rastreador_em"),
         F.col("hourmeter").alias("horimetro_rastreador"),
         F.col("source").alias("fonte_rastreador"),
@@ -95,7 +97,7 @@ def hourmeter_rejected(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 
 def merge_feeds(valid: DataFrame, rejected: DataFrame, valid_cols: list[str], rejected_cols: list[str],
-                key: str = "n_armac") -> DataFrame:
+                key: str = "asset_no") -> DataFrame:
     """JN-12: enrich the valid feed with the rejected feed, append non-matches.
 
     Both feeds are keyed on the Python form of the code
@@ -139,6 +141,6 @@ def equipment(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Active equipment with renamed columns (SRC-3, PF-10)."""
     a = t["fi_ativos"].filter(F.col("status_ativo") == "Ativo")  # PF-3
     return a.select(
-        F.col("bu").alias("tipo_holo"), F.col("numero_armac").alias("ativo"), "descricao", "chassi", "marca",
+        F.col("bu").alias("tipo_holo"), F.col("asset_number").alias("ativo"), "descricao", "chassi", "marca",
         "modelo", F.col("tipo").alias("tipo_equipamento"), F.col("grupo").alias("porte_tonelagem"),
         "ano_fabricacao", "status_ativo", "local_instalacao")

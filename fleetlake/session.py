@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             # executors on other machines cannot read a folder local to the driver
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="fleetlake-ckpt-")

@@ -41,11 +41,12 @@ def mixed(key: str, expr: str) -> str:
     return f"CASE WHEN {key} % 2 = 0 THEN {dtx(expr)} ELSE {dash(expr)} END"
 
 
-# Every view keeps all rows of its base table. Partners that are missing in
+# The views of one table together keep all rows of it (the hour meter readings
+# are dealt to two complementary feeds). Partners that are missing in
 # real sources (parts without a text, requisition items without a PO, orders
 # without a status profile) are modelled by keys or languages that nothing
-# references, so the outer-join and NULL paths of the jobs get data. The only
-# row conditions are business attributes (line status, return flag).
+# references, so the outer-join and NULL paths of the jobs get data. The second
+# branches of three UNIONs add rows of a kind the first branch does not have.
 VIEWS: dict[str, str] = {}
 
 # ---- purchasing -----------------------------------------------------------
@@ -107,10 +108,10 @@ SELECT {lp('l_orderkey', 10)} AS ebeln, {lp('l_linenumber * 10', 5)} AS ebelp,
 FROM {{lineitem}}"""
 
 VIEWS["ekbe"] = f"""
-SELECT {lp('l_orderkey', 10)} AS ebeln, {lp('l_linenumber * 10', 5)} AS ebelp,
+SELECT CASE WHEN l_linestatus = 'F' THEN {lp('l_orderkey', 10)} ELSE {lp('l_orderkey + 9000000', 10)} END AS ebeln, {lp('l_linenumber * 10', 5)} AS ebelp,
        CASE WHEN l_returnflag = 'R' THEN '2' ELSE '1' END AS vgabe,
        cast(l_quantity AS decimal(13,3)) AS menge
-FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+FROM {{lineitem}}"""
 
 VIEWS["eket"] = f"""
 SELECT {lp('l_orderkey', 10)} AS ebeln, {lp('l_linenumber * 10', 5)} AS ebelp,
@@ -241,7 +242,7 @@ SELECT {lp('l_orderkey', 10)} AS rsnum, {lp('l_linenumber', 4)} AS rspos,
        cast(l_quantity AS decimal(13,3)) AS bdmng,
        CASE WHEN l_linestatus = 'O' THEN NULL ELSE cast(l_quantity * l_discount AS decimal(13,3)) END AS enmng,
        'PL01' AS werks,
-       CASE l_suppkey % 3 WHEN 0 THEN 'D005' WHEN 1 THEN 'D090' ELSE 'D001' END AS lgort,
+       CASE l_suppkey % 3 WHEN 0 THEN 'L01' WHEN 1 THEN 'L02' ELSE 'L09' END AS lgort,
        CASE WHEN l_linenumber % 2 = 0 THEN '201' ELSE '261' END AS bwart,
        CASE WHEN l_partkey % 17 = 0 THEN 'Item não estocável' WHEN l_partkey % 23 = 0 THEN NULL
             ELSE 'Separar ' || cast(l_partkey AS string) END AS sgtxt,
@@ -276,9 +277,9 @@ SELECT {lp('l_orderkey', 10)} AS rsnum, {lp('l_linenumber', 4)} AS rspos,
 FROM {{lineitem}}"""
 
 VIEWS["lips"] = f"""
-SELECT {lp('l_orderkey', 10)} AS rsnum, {lp('l_linenumber', 4)} AS rspos,
+SELECT CASE WHEN l_linestatus = 'F' THEN {lp('l_orderkey', 10)} ELSE {lp('l_orderkey + 9000000', 10)} END AS rsnum, {lp('l_linenumber', 4)} AS rspos,
        {lp('l_orderkey * 10 + l_linenumber', 10)} AS vbeln
-FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+FROM {{lineitem}}"""
 
 VIEWS["t003p"] = """
 SELECT 'PM0' || cast(r_regionkey AS string) AS auart, 'P' AS spras, 'Tipo ' || r_name AS txt FROM {region}
@@ -310,7 +311,7 @@ SELECT 'G' || cast(l_partkey AS string) AS matid,
        CASE l_returnflag WHEN 'N' THEN ' ' WHEN 'A' THEN 'L1' ELSE NULL END AS charg,
        'P-' || cast(l_suppkey % 5 AS string) AS lgpla,
        cast(l_quantity AS decimal(31,14)) AS quan,
-       CASE WHEN l_linestatus = 'F' THEN 'OURO' ELSE 'PRTA' END AS lgnum
+       CASE WHEN l_linestatus = 'F' THEN 'WH1' ELSE 'WH2' END AS lgnum
 FROM {{lineitem}}"""
 
 VIEWS["ztwf_log_wf"] = f"""
@@ -325,13 +326,13 @@ SELECT {lp('l_orderkey', 10)} || {lp('l_linenumber', 4)} AS chave, 'PENDENTE' AS
 FROM {{lineitem}} WHERE l_linestatus = 'O'"""
 
 VIEWS["mseg"] = f"""
-SELECT {lp('l_orderkey', 12)} AS aufnr, {lp('l_orderkey * 10 + l_linenumber', 10)} AS mblnr,
+SELECT CASE WHEN l_linestatus = 'F' THEN {lp('l_orderkey', 12)} ELSE {lp('l_orderkey + 9000000', 12)} END AS aufnr, {lp('l_orderkey * 10 + l_linenumber', 10)} AS mblnr,
        CASE WHEN l_linenumber % 2 = 0 THEN '261' ELSE '262' END AS bwart,
        {dtx('l_shipdate')} AS budat_mkpf, {lp('l_partkey', 18)} AS matnr,
        'Consumo ' || cast(l_partkey AS string) AS sgtxt,
        cast(l_quantity AS decimal(13,3)) AS menge, 'UN' AS meins,
        cast(l_extendedprice AS decimal(13,2)) AS dmbtr
-FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+FROM {{lineitem}}"""
 
 VIEWS["pm_order_view"] = f"""
 SELECT {lp('o_custkey', 18)} AS n_equipamento,
@@ -383,7 +384,7 @@ FROM {{orders}}"""
 
 # ---- yard, telemetry, receipts, approvals ---------------------------------
 VIEWS["fi_ativos"] = f"""
-SELECT c_mktsegment AS bu, 'ARM' || cast(c_custkey AS string) AS numero_armac, c_name AS descricao,
+SELECT c_mktsegment AS bu, 'EQP' || cast(c_custkey AS string) AS asset_number, c_name AS descricao,
        'CH' || {lp('c_custkey', 8)} AS chassi, 'Marca ' || cast(c_nationkey AS string) AS marca,
        'Modelo ' || cast(c_custkey % 17 AS string) AS modelo, c_mktsegment AS tipo,
        cast(c_custkey % 5 * 10 AS string) || 't' AS grupo,
@@ -394,8 +395,8 @@ FROM {{customer}}"""
 
 VIEWS["uca_yard"] = f"""
 SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL
-            WHEN o_orderkey % 9 = 0 THEN lower('arm' || cast(o_custkey AS string)) || ' '
-            ELSE 'ARM' || cast(o_custkey AS string) END AS n_armac,
+            WHEN o_orderkey % 9 = 0 THEN lower('eqp' || cast(o_custkey AS string)) || ' '
+            ELSE 'EQP' || cast(o_custkey AS string) END AS asset_no,
        'Tipo ' || o_orderpriority AS tipo_equipamento,
        ' marca ' || cast(o_custkey % 7 AS string) AS marca,
        'modelo ' || cast(o_custkey % 11 AS string) AS modelo,
@@ -409,7 +410,7 @@ SELECT CASE WHEN o_orderkey % 53 = 0 THEN NULL
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'Saida' ELSE 'Entrada' END END AS tipo_relatorio
 FROM {{orders}}
 UNION ALL
-SELECT 'ARM' || cast(o_custkey AS string) AS n_armac, 'Tipo ' || o_orderpriority AS tipo_equipamento,
+SELECT 'EQP' || cast(o_custkey AS string) AS asset_no, 'Tipo ' || o_orderpriority AS tipo_equipamento,
        ' marca ' || cast(o_custkey % 7 AS string) AS marca, 'modelo ' || cast(o_custkey % 11 AS string) AS modelo,
        'Cliente ' || cast(o_custkey % 50 AS string) AS cliente, 'DUP' AS situacao,
        o_orderdate AS created_at_form, cast(o_totalprice AS decimal(12,2)) AS horimetro,
@@ -418,8 +419,8 @@ FROM {{orders}} WHERE o_orderpriority = '1-URGENT'"""
 
 VIEWS["hourmeter"] = f"""
 SELECT CASE WHEN l.l_partkey % 97 = 0 THEN ''
-            WHEN l.l_linenumber = 3 THEN lower('arm' || cast(o.o_custkey AS string))
-            ELSE 'ARM' || cast(o.o_custkey AS string) END AS armac_code,
+            WHEN l.l_linenumber = 3 THEN lower('eqp' || cast(o.o_custkey AS string))
+            ELSE 'EQP' || cast(o.o_custkey AS string) END AS asset_code,
        o.o_orderdate AS event_datetime,
        CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE cast(l.l_quantity * 10 AS decimal(12,2)) END
          AS equipment_hourmeter,
@@ -430,9 +431,9 @@ FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
 WHERE l.l_returnflag <> 'R'"""
 
 VIEWS["hourmeter_invalid"] = f"""
-SELECT CASE WHEN l.l_linenumber = 2 THEN 'arm' || cast(o.o_custkey AS string) || ' '
+SELECT CASE WHEN l.l_linenumber = 2 THEN 'eqp' || cast(o.o_custkey AS string) || ' '
             WHEN l.l_suppkey % 10 = 0 THEN 'TRK' || cast(l.l_suppkey AS string)
-            ELSE 'ARM' || cast(o.o_custkey AS string) END AS armac_code,
+            ELSE 'EQP' || cast(o.o_custkey AS string) END AS asset_code,
        o.o_orderdate AS event_datetime,
        cast(0 - l.l_quantity AS decimal(12,2)) AS hourmeter,
        'TRK' || cast(l.l_suppkey % 3 AS string) AS source,
@@ -461,10 +462,9 @@ SELECT CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END || {lp('user_id', 10)} AS
        CASE WHEN event_type IN ('purchase', 'click') THEN {lp('(hour(ts) + 1) % 24', 2)} || ':30:00' END
          AS horariofinalaprovacao,
        CASE event_type WHEN 'signup' THEN 'STARTED' WHEN 'view' THEN 'READY' WHEN 'purchase' THEN 'COMPLETED'
-            ELSE CASE WHEN event_id % 2 = 0 THEN 'CANCELLED' ELSE 'ON_HOLD' END END AS statusfluxoaprovacao,
+            WHEN 'error' THEN 'FAILED' ELSE CASE WHEN event_id % 2 = 0 THEN 'CANCELLED' ELSE 'ON_HOLD' END END AS statusfluxoaprovacao,
        CASE WHEN event_type IN ('purchase', 'click') THEN {dash('ts')} END AS datafinal
-FROM {{events}}
-WHERE event_type IN ('signup', 'purchase', 'view', 'click')"""
+FROM {{events}}"""
 
 
 def _deps(sql: str) -> list[str]:

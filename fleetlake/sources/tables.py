@@ -3,10 +3,10 @@
 A spec maps a source name to how it is read::
 
     {"ekpo": {"format": "parquet", "path": "s3a://lake/sap/ekpo"},
-     "hourmeter": {"format": "jdbc", "url": "jdbc:mysql://...", "table": "total_integration.hourmeter",
+     "hourmeter": {"format": "jdbc", "url": "jdbc:mysql://...", "table": "telemetry.hourmeter",
                    "predicates": ["event_datetime >= '2024-01-01'"], "properties": {"user": "..."},
                    "optional": True},
-     "hourmeter_invalid": {"same_as": "hourmeter", "table": "total_integration.hourmeter_invalid"}}
+     "hourmeter_invalid": {"same_as": "hourmeter", "table": "telemetry.hourmeter_invalid"}}
 
 Column names are lower-cased at the boundary, so quoted mixed-case source
 columns (``"NumeroPedido"``) and SAP upper-case names become the snake/lower

@@ -57,7 +57,7 @@ def test_goods_receipt_done_before_pending(spark):
 
 def test_yard_entries_latest_then_filter(spark):
     d1, d2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    cols = ("n_armac string, tipo_equipamento string, marca string, modelo string, cliente string, "
+    cols = ("asset_no string, tipo_equipamento string, marca string, modelo string, cliente string, "
             "situacao string, created_at_form timestamp_ntz, horimetro decimal(12,2), filial string, "
             "tipo_relatorio string")
     rows = [("a1", "t", "m", "x", "c", "s", d1, 1, "N1", "Entrada"),
@@ -67,7 +67,7 @@ def test_yard_entries_latest_then_filter(spark):
             ("a3", "t", "m", "x", "c", "s", d2, 5, "North Hub", "Entrada"),  # tie kept
             (" A3", "t", "m", "x", "c", "s", d1, 6, "N1", "Entrada")]    # other raw code (S-14)
     rows = [r[:7] + (Decimal(r[7]),) + r[8:] for r in rows]
-    got = sorted((r["n_armac"], int(r["horimetro"])) for r in YA.yard_entries({"uca_yard": frame(spark, cols, rows)},
+    got = sorted((r["asset_no"], int(r["horimetro"])) for r in YA.yard_entries({"uca_yard": frame(spark, cols, rows)},
                                                                               P).collect())
     assert got == [("A3", 4), ("A3", 5), ("A3", 6)]
 

@@ -54,13 +54,13 @@ def test_parts_history_text_mode_loses_dashed_dates(spark):
 def test_stock_labels(spark):
     t = {
         "aqua": spark.createDataFrame(
-            [("G1", " ", "B2", Decimal(1), "OURO"), ("G1", None, "B1", Decimal(2), "OURO"),
-             ("G1", "L1", "B1", Decimal(3), "OURO"), ("G1", "L1", "B1", Decimal(4), "OURO"),
-             ("G1", "L1", "B3", Decimal(0), "OURO"), ("G1", "L2", "B9", Decimal(5), "PRTA")],
+            [("G1", " ", "B2", Decimal(1), "WH1"), ("G1", None, "B1", Decimal(2), "WH1"),
+             ("G1", "L1", "B1", Decimal(3), "WH1"), ("G1", "L1", "B1", Decimal(4), "WH1"),
+             ("G1", "L1", "B3", Decimal(0), "WH1"), ("G1", "L2", "B9", Decimal(5), "WH2")],
             "matid string, charg string, lgpla string, quan decimal(31,14), lgnum string"),
         "mara": spark.createDataFrame([("000000000000000055", "G1")], "matnr string, scm_matid_guid16 string"),
     }
-    r = RS.stock_by_material(t, Params()).collect()
+    r = RS.stock_by_material(t, Params(stock_warehouse="WH1")).collect()
     assert len(r) == 1 and r[0]["material"] == "55" and float(r[0]["saldo_estoque"]) == 10.0
     assert r[0]["lotes_com_posicoes"] == "B1 | B2 / L1 - B1"
 

@@ -86,11 +86,11 @@ def test_batches_sizes_and_tails(spark):
 def test_merge_feeds(spark):
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     valid = spark.createDataFrame([("A1", t1, 1), ("A1", t1, 2), ("B1", t2, 3)],
-                                  "n_armac string, data timestamp_ntz, h int")
+                                  "asset_no string, data timestamp_ntz, h int")
     rej = spark.createDataFrame([("a1 ", t1, "E1"), ("A1", t2, "E2"), ("C1", t1, "E3")],
-                                "n_armac string, em timestamp_ntz, motivo string")
-    got = sorted((r["n_armac"], r["h"], r["motivo"]) for r in merge_feeds(
-        valid, rej, ["n_armac", "data", "h"], ["em", "motivo"]).collect())
+                                "asset_no string, em timestamp_ntz, motivo string")
+    got = sorted((r["asset_no"], r["h"], r["motivo"]) for r in merge_feeds(
+        valid, rej, ["asset_no", "data", "h"], ["em", "motivo"]).collect())
     # A1: only the last valid row (h=2) gets the last rejected row (E2); C1 appended
     assert got == [("A1", 1, None), ("A1", 2, "E2"), ("B1", 3, None), ("C1", None, "E3")]
 

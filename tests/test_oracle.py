@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__
+import star_queries as E
 from compare import digest
 from fleetlake.sources.star import BASE_TABLES
 
@@ -50,5 +51,5 @@ def test_every_query_has_an_oracle():
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    df = __spark_entry__.entry(spark)
     assert df.columns[0] == "ativo" and df.count() >= 0

@@ -2,7 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
+import star_queries as E
+from fleetlake.params import Params
+from fleetlake.plans import orders, parts, purchasing, reservations, yard
+from fleetlake.sources.star import BASE_TABLES, VIEWS, load_base, star_tables
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -69,3 +72,70 @@ def test_job_filter_reaches_parquet_scan(spark):
     # the yard history's "report time is not NULL" is pushed through the view into the scan
     plan = plan_of(E.queries()["yard_events"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderdate)]" in plan
+
+
+DATED = {
+    "purchase_history": (purchasing.purchase_history, "bedat", True), "requisition_flow": (purchasing.requisition_flow, "badat", True),
+    "external_work_orders": (orders.external_work_orders_flat, "erdat", False),
+    "work_orders_latest": (orders.work_orders_latest, "data_criacao", False),
+    "work_order_operations": (orders.work_order_operations, "erdat", False),
+    "order_supplies": (orders.order_supplies, "data_criacao", False), "parts_history": (parts.parts_history, "erdat", True),
+}
+
+
+@pytest.mark.parametrize("name", sorted(DATED))
+def test_date_filter_reaches_source_scan(spark, tmp_path, name):
+    # on source-shaped parquet the bounds of the job's date are in the scan, and the rows are the same
+    fn, column, both = DATED[name]
+    views = E._REG[name][0]
+    tables = star_tables(spark, SF, views)
+    stored = {}
+    for v, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{v}")
+        stored[v] = spark.read.parquet(f"{tmp_path}/{v}")
+    df = fn(stored, E.STAR)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    pushed = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "PushedFilters" in line]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert any(f"GreaterThanOrEqual({column}," in p and (not both or f"LessThan({column}," in p) for p in pushed), pushed
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, fn(tables, E.STAR).collect()))
+
+
+def test_adapter_views_keep_every_base_row(spark):
+    base = load_base(spark, SF)
+    counts = {n: df.count() for n, df in base.items()}
+    one_to_one = {"ekko": "orders", "ekbe": "lineitem", "eket": "lineitem", "lips": "lineitem", "mseg": "lineitem",
+                  "approvals": "events", "receipts": "orders", "requisitions": "customer", "resb": "lineitem",
+                  "rkpf": "orders", "rsadd": "lineitem", "aqua": "lineitem", "pm_order_view": "orders",
+                  "fi_ativos": "customer", "lfa1": "customer", "mara": "part"}
+    for view, table in one_to_one.items():
+        assert star_tables(spark, SF, [view])[view].count() == counts[table], view
+    both = star_tables(spark, SF, ["hourmeter", "hourmeter_invalid"])
+    assert sum(df.count() for df in both.values()) == counts["lineitem"]
+    assert set(BASE_TABLES) == set(counts) and set(one_to_one) < set(VIEWS)
+
+
+def test_jobs_refuse_missing_parameters(spark):
+    def tables(names):
+        return star_tables(spark, SF, names)
+    for job, names in ((purchasing.requisition_flow, E.RC_VIEWS), (purchasing.po_payment, ["ekko", "ekpo", "ekbe"]),
+                       (orders.work_orders_latest, ["pm_order_view"]), (orders.external_work_orders, E.EWO_VIEWS),
+                       (yard.yard_entries, ["uca_yard"]), (yard.yard_events, ["uca_yard"]),
+                       (reservations.picking_reservations, E.RS_VIEWS)):
+        with pytest.raises(ValueError, match="not set"):
+            job(tables(names), Params())
+
+
+def test_null_order_headers_are_spread(spark):
+    # nine headers in ten have no order: no shuffle partition holds much more than its share of them
+    from pyspark.sql import functions as F
+
+    from fleetlake.operators.lookups import salted_join, spread_nulls, with_salt
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("rsnum"),
+                                      F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("aufnr"))
+    keyed = with_salt(rows, ["rsnum"]).select(spread_nulls("aufnr").alias("k"))
+    spread = keyed.repartition(16, "k").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) < 3 * 20_000 / 16
+    orders_ = spark.range(0, 20_000, 10).select(F.col("id").cast("string").alias("o"))
+    out = salted_join(rows, orders_, F.col("aufnr"), F.col("o"), [""])
+    assert out.count() == 20_000 and out.where("o IS NOT NULL").count() == 2_000

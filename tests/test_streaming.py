@@ -12,17 +12,17 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_incremental_latest_matches_batch(spark, tmp_path):
-    yard = star_tables(spark, SF, ["uca_yard"])["uca_yard"].filter(F.col("n_armac").isNotNull())
+    yard = star_tables(spark, SF, ["uca_yard"])["uca_yard"].filter(F.col("asset_no").isNotNull())
     cut = dt.datetime(1998, 1, 1)
     src, state, ckpt = str(tmp_path / "src"), str(tmp_path / "state"), str(tmp_path / "ckpt")
     yard.filter(F.col("created_at_form") < cut).write.parquet(f"{src}/part1")
     # files land in one folder as the feed grows
     spark.read.parquet(f"{src}/part1").write.mode("append").parquet(f"{src}/all")
-    run_latest_feed(spark, f"{src}/all", yard.schema, state, ckpt, "n_armac", "created_at_form")
+    run_latest_feed(spark, f"{src}/all", yard.schema, state, ckpt, "asset_no", "created_at_form")
     yard.filter(F.col("created_at_form") >= cut).write.mode("append").parquet(f"{src}/all")
-    last = run_latest_feed(spark, f"{src}/all", yard.schema, state, ckpt, "n_armac", "created_at_form")
+    last = run_latest_feed(spark, f"{src}/all", yard.schema, state, ckpt, "asset_no", "created_at_form")
     got = sorted(tuple(r) for r in spark.read.parquet(last).collect())
-    want = sorted(tuple(r) for r in latest_per_key(yard, "n_armac", "created_at_form", ties="all").collect())
+    want = sorted(tuple(r) for r in latest_per_key(yard, "asset_no", "created_at_form", ties="all").collect())
     assert got == want and len(got) > 0
 
 
