@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -41,9 +42,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's shared folder; removed by Spark once unreferenced."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the session's shared checkpoint folder and read it back. Loops use this
+    rather than ``checkpoint()``: the table has its true size, while a checkpointed frame keeps the
+    optimizer's estimate, which a self-join squares in every round."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
