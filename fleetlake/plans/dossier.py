@@ -100,9 +100,12 @@ def asset_dossier(t: dict[str, DataFrame], p: Params, assets: DataFrame | None =
     return {"ordens": o, "pedidos": pe, "reservas": re, "consumo": co, "makt": material_texts(t, p, pe, re, co)}
 
 
-def section_counts(sections: dict[str, DataFrame]) -> DataFrame:
-    """Rows per asset and section, one row per asset (zeros for empty sections)."""
+def section_counts(sections: dict[str, DataFrame], assets: DataFrame | None = None) -> DataFrame:
+    """Rows per asset and section, one row per asset (zeros for empty sections). With ``assets`` (codes
+    in the first column) every asked-for asset has a row, also one without any order."""
     out = None
+    if assets is not None:
+        out = assets.select(asset_key(F.col(assets.columns[0])).alias("ativo")).where("ativo <> ''").distinct()
     for name, df in sections.items():
         c = df.groupBy("ativo").agg(F.count(F.lit(1)).alias(name))
         out = c if out is None else out.join(c, "ativo", "full_outer")
