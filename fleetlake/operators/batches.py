@@ -173,11 +173,40 @@ def serialise(df: DataFrame, profile: str) -> DataFrame:
                        for f in df.schema.fields])
 
 
+# Fixed value: the warning on the final batch when windows failed.
+FAILED_WINDOWS = "{n} janela(s) falharam e serão refeitas no próximo sync"
+
+
+def with_envelope(batches: DataFrame, tail: str = "none", counters: dict | None = None,
+                  failed_windows: int = 0) -> DataFrame:
+    """DL-3/DL-4: the run fields of a delivery next to ``batch_index``, ``is_last`` and ``rows``.
+
+    ``'final'``: on the last batch ``final``, ``total`` (rows of all batches), the ``counters`` (functions
+    from a row to a condition, counted over all rows) and, if windows failed, ``aviso``; null elsewhere.
+    ``'trailer'``: ``batch_total``, -1 until the closing batch, there the number of batches. The totals are
+    one row, read from the batches themselves, whose rows are already materialised.
+    """
+    env = batches.select("batch_index", "is_last", "rows")
+    if tail == "trailer":
+        return env.withColumn("batch_total", F.when(F.col("is_last"), F.col("batch_index") + 1).otherwise(-1))
+    if tail != "final":
+        return env
+    found = batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"), *[
+        F.coalesce(F.sum(F.size(F.filter("rows", c))), F.lit(0)).alias(n) for n, c in (counters or {}).items()]).first()
+    env = env.withColumn("final", F.col("is_last"))
+    for name, value in found.asDict().items():
+        env = env.withColumn(name, F.when(F.col("is_last"), F.lit(int(value)).cast("long")))
+    warning = FAILED_WINDOWS.format(n=failed_windows) if failed_windows else None
+    return env.withColumn("aviso", F.when(F.col("is_last"), F.lit(warning)).cast("string"))
+
+
 def write_batches(batches: DataFrame, path: str, started_at: str | None = None, mode: str = "overwrite") -> None:
-    """DL-7: write one JSON document per batch (the envelope of the reference)."""
+    """DL-7: write one JSON document per batch (the envelope of the reference) with every column that
+    ``with_envelope`` gave it."""
+    fields = [c for c in batches.columns if c not in ("batch_index", "is_last", "rows", "n_rows")]
     env = batches.select(
         *([F.lit(started_at).alias("started_at")] if started_at else []),
-        "batch_index", "is_last", "rows")
+        "batch_index", "is_last", *fields, "rows")
     env.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 

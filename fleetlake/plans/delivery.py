@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
 from fleetlake.operators.backfill import run_jobs, window_counts
-from fleetlake.operators.batches import serialise, to_batches
+from fleetlake.operators.batches import serialise, to_batches, with_envelope
 from fleetlake.params import Params
 from fleetlake.plans import orders, parts, purchasing, yard
 
@@ -56,6 +56,15 @@ def job_batches(name: str, t: dict[str, DataFrame], p: Params) -> DataFrame:
     return b.withColumn("rows", F.transform("rows", lambda s: s.dropFields("__o")))
 
 
+# counters of the final batch: rows with a PO
+COUNTERS = {"requisition_flow": {"com_pedido": lambda r: F.coalesce(F.trim(r["pedido"]), F.lit("")) != ""}}
+
+
+def job_envelopes(name: str, t: dict[str, DataFrame], p: Params, failed_windows: int = 0) -> DataFrame:
+    """The batches of a job with the run fields of its envelope (DL-3, DL-4)."""
+    return with_envelope(job_batches(name, t, p), DELIVERY[name][1], COUNTERS.get(name), failed_windows)
+
+
 def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """BF-3 counters of the requisition flow per 14-day window (one pass)."""
     spark = next(iter(t.values())).sparkSession
