@@ -54,8 +54,8 @@ def agg_lookup(df: DataFrame, right: DataFrame, left_on: Sequence, right_on: Seq
                aggs: Sequence[Column], where: Column | None = None, name: str = "lk") -> DataFrame:
     """JN-10 / O-7: ``LEFT JOIN LATERAL (SELECT agg FROM right WHERE keys match) ON TRUE``.
 
-    The right side is filtered, grouped to one row per key (partial + final
-    hash aggregation, so a hot key is folded before the shuffle) and left
+    The right side is filtered, grouped to one row per key (a partial and a final
+    aggregation, so a hot key is folded before the shuffle) and left
     joined. A key without rows gives NULL aggregates, like the lateral form.
     ``left_on`` are Columns of ``df``; ``right_on`` Columns of ``right``.
     """
