@@ -7,13 +7,15 @@ in a band are candidates.
 
 Candidates. Nodes are distinct texts. A bucket of up to SMALL nodes gives all its pairs. In larger
 ones each node is compared with one hub, the node with most bucket mates among those of its buckets.
-The rest is settled exactly where a large bucket still holds nodes of different classes. Let y be
-outside the bucket's largest class, h its hub, u the labels y shares with h. A node x similar to y
-either has a label of y that h lacks, or at most (1 + t) / t * u - |y| labels (t: the similarity),
-since x and y share at most u labels of h. The first kind is found by an index of those labels over
-the nodes of such buckets, round by round where a label is frequent; the second by length inside
-the bucket. Texts that differ from a common source in different places share none of those labels,
-so neither a hot group of copies nor a hot passage makes pairs that grow with its square.
+The rest is settled exactly over the nodes of the large buckets that still hold several classes. Let
+R be the labels that more than SMALL of these nodes have, and u(x) how many labels of x are in R. Two
+nodes without a common label outside R share at most min(u(x), u(y)) labels, so to be similar they
+need |x| + |y| <= (1 + t) / t * min(u(x), u(y)) (t: the similarity). Nodes with a common label
+outside R are found by an index of those labels, with at most SMALL nodes each. Only nodes close
+enough to R can have the other kind of partner; these few are compared inside their buckets, up to
+SMALL nodes outside a bucket's largest class with all nodes of other classes, round by round until
+none is left. Texts that differ from a common source in different places, or share only a passage,
+are not close to R, so neither makes pairs that grow with the square of their number.
 
 Verification. Labels common to two texts that lie within the band of places an alignment of the
 required similarity can reach; the longest increasing run of places among them is the aligned part
@@ -209,23 +211,12 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return inside.unionByName(star).distinct(), best.select(F.explode("buckets").alias("bucket"), "n", "support", "hub")
 
 
-def _label_rows(similarity: float, against_hub: bool):
-    """(n, label) of every node; against a hub only the labels it lacks and, with a null label, the
-    length up to which a node without them can still be similar."""
-    schema = pa.schema([("n", pa.int64()), ("label", pa.int64()), ("bound", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            hubs = b.column("hub_text").to_pylist() if against_hub else [None] * b.num_rows
-            for n, text, hub in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), hubs):
-                mine = labels(_unpack(text))
-                found, bound = mine.view(np.int64), [None] * len(mine)
-                if against_hub:
-                    found = np.setdiff1d(mine, labels(_unpack(hub)), assume_unique=True).view(np.int64)
-                    shared = len(mine) - len(found)
-                    yield record_batch(schema, n=[n], label=[None], bound=[(1 + similarity) / similarity * shared - len(mine)])
-                yield record_batch(schema, n=np.full(len(found), n), label=found, bound=[None] * len(found))
-    return run
+def _label_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("n", pa.int64()), ("label", pa.int64())])
+    for b in slices(batches, "packed"):
+        for n, packed in zip(b.column("n").to_pylist(), b.column("packed").to_pylist()):
+            found = labels(_unpack(packed)).view(np.int64)
+            yield record_batch(schema, n=np.full(len(found), n), label=found)
 
 
 def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -271,30 +262,21 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     links = verified(pairs)
     classes = components(links)
 
-    # the exact rest: nodes outside the largest class of a large bucket that is still mixed
-    sized = cut_lineage(_labelled(large, classes).join(sketches.select("n", "size"), "n"))
-    counts = sized.groupBy("bucket", "c").agg(F.count("*").alias("nodes"), F.min("size").alias("least"))
-    mixed = counts.groupBy("bucket").agg(F.max(F.struct("nodes", "c")).alias("main"), F.count("*").alias("classes"),
-                                         F.min("least").alias("least")).where("classes > 1")
-    rows = cut_lineage(sized.withColumn("k", fresh("bucket")).join(
-        mixed.select(fresh("bucket").alias("k"), F.col("main.c").alias("main"), "least"), "k").drop("k"))
-    odd = rows.where("c <> main").select("n", F.nullif("hub", F.col("n")).alias("hub")).distinct()
-    text_of = lambda name, text: kept.select(F.struct(F.col("n").alias(name)).alias("k"), F.col("packed").alias(text))
-    odd = odd.withColumn("k", fresh("n")).join(text_of("n", "text"), "k").withColumn("k", fresh("hub")).join(
-        text_of("hub", "hub_text"), "k", "left").select("n", "text", "hub_text")
-    ddl = "n long, label long, bound double"
-    lacking = cut_lineage(map_arrow(odd, _label_rows(similarity, True), ddl))
-    nodes = rows.groupBy("n").agg(F.first("support").alias("support"))
-    index = map_arrow(nodes.withColumn("k", fresh("n")).join(text_of("n", "text"), "k").select("n", "text"),
-                      _label_rows(similarity, False), ddl)
-    wanted = lacking.where("label IS NOT NULL").select(fresh("label").alias("k")).distinct()
-    hits = cut_lineage(index.select("n", "label", fresh("label").alias("k")).join(wanted, "k", "left_semi").drop("k"))
-    members = cut_lineage(hits.join(nodes, "n").select(F.col("label").alias("bucket"), "n", "support"))
-    bounds = lacking.where("label IS NULL").select(F.col("n").alias("a"), "bound")
-    short = rows.where("c <> main").select("bucket", F.col("n").alias("a"), F.col("c").alias("ca"), "least").join(bounds, "a").where(
-        "least <= bound").select(fresh("bucket").alias("k"), "a", "ca", "bound")
-    extra = rows.withColumn("k", fresh("bucket")).join(short, "k").where("size <= bound AND c <> ca").select(
-        F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
+    # the exact rest, over the nodes of large buckets that still hold several classes
+    placed_ = cut_lineage(_labelled(large, classes).join(sketches.select("n", "size"), "n"))
+    mixed = placed_.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("size").alias("least")).where(
+        "c0 <> c1").select(fresh("bucket").alias("k"), "least")
+    rows = cut_lineage(placed_.withColumn("k", fresh("bucket")).join(mixed, "k").drop("k"))
+    nodes = rows.groupBy("n").agg(F.first("c").alias("c"))
+    index = cut_lineage(map_arrow(kept.join(nodes, "n", "left_semi").select("n", "packed"), _label_rows, "n long, label long"))
+    held = index.groupBy("label").agg(F.count("*").alias("holders")).where("holders > 1").select(fresh("label").alias("k"), "holders")
+    index = cut_lineage(index.withColumn("k", fresh("label")).join(held, "k").select("n", "label", "holders"))
+    close = index.groupBy("n").agg(F.count_if(F.col("holders") > SMALL).alias("u"))
+    rare = cut_lineage(index.where(F.col("holders") <= SMALL).select("n", "label").join(nodes, "n"))
+    extra = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb")), "label").where(
+        "n < b AND c <> cb").select(F.col("n").alias("a"), "b").distinct()
+    members = cut_lineage(rows.join(close, "n").where(
+        F.col("u") * ((1 + similarity) / similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support"))
     done = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     while members.limit(1).count() or extra is not None:
         pairs, members = _next_pairs(_labelled(members, classes))
