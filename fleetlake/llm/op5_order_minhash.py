@@ -13,8 +13,8 @@ nodes without a common label outside R share at most min(u(x), u(y)) labels, so
 need |x| + |y| <= (1 + t) / t * min(u(x), u(y)) (t: the similarity). Nodes with a common label
 outside R are found by an index of those labels, with at most SMALL nodes each. Only nodes close
 enough to R can have the other kind of partner; these few are compared inside their buckets, up to
-SMALL nodes outside a bucket's largest class with all nodes of other classes, round by round until
-none is left. Texts that differ from a common source in different places, or share only a passage,
+HUBS nodes outside a bucket's largest class with all close nodes of other classes, round by round
+until none is left. Texts that differ from a common source in different places, or share only a passage,
 are not close to R, so neither makes pairs that grow with the square of their number.
 
 Verification. Labels common to two texts that lie within the band of places an alignment of the
@@ -48,6 +48,7 @@ SIMILARITY = 0.8
 BANDS = 16
 ROWS_PER_BAND = 2   # components of a band; each component has two labels
 SMALL = 16          # nodes of a bucket that gives all its pairs
+HUBS = 256          # nodes of a larger bucket that meet the others in one round
 CACHE = 300_000     # words a task keeps the hashes of
 
 _WORD = re.compile(r"[^\W_]+")
@@ -219,21 +220,23 @@ def _label_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield record_batch(schema, n=np.full(len(found), n), label=found)
 
 
-def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) between classes, and the members that stay. In each bucket up to SMALL nodes outside
-    its largest class are compared with all nodes of other classes and leave it; a bucket whose nodes
-    are of one class is finished."""
+def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
+    its largest class meet all nodes of other classes that are close enough to the common labels, and
+    leave it; a bucket whose nodes are of one class is finished."""
+    ratio = (1 + similarity) / similarity
     counts = members.groupBy("bucket", "c").agg(F.count("*").alias("size"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("classes")).where(
         "classes > 1").select(fresh("bucket").alias("k"), F.col("main.c").alias("main"))
     open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(main, "k").drop("k"))
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("support"), "n"))
-    hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= SMALL).select(
-        fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca")))
+    hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= HUBS).select(
+        fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("u").alias("ua")))
     rows = open_.withColumn("k", fresh("bucket"))
-    pairs = rows.join(hubs, "k").where("c <> ca").select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
+    near = F.col("size") + F.col("sa") <= ratio * F.least("u", "ua")
+    pairs = rows.join(hubs, "k").where((F.col("c") != F.col("ca")) & near).select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
     gone = hubs.select(F.struct(F.col("k.bucket").alias("bucket"), F.col("a").alias("n")).alias("k"))
-    left = open_.withColumn("k", fresh("bucket", "n")).join(gone, "k", "left_anti").select("bucket", "n", "support")
+    left = open_.withColumn("k", fresh("bucket", "n")).join(gone, "k", "left_anti").select("bucket", "n", "support", "size", "u")
     return pairs, left
 
 
@@ -276,10 +279,10 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     extra = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb")), "label").where(
         "n < b AND c <> cb").select(F.col("n").alias("a"), "b").distinct()
     members = cut_lineage(rows.join(close, "n").where(
-        F.col("u") * ((1 + similarity) / similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support"))
+        F.col("u") * ((1 + similarity) / similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support", "size", "u"))
     done = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     while members.limit(1).count() or extra is not None:
-        pairs, members = _next_pairs(_labelled(members, classes))
+        pairs, members = _next_pairs(_labelled(members, classes), similarity)
         pairs = pairs if extra is None else pairs.unionByName(extra).distinct()
         pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
         extra = None
