@@ -37,6 +37,7 @@ CHAIN = 96            # words of a chain at most
 MIN_G2 = 20.0         # log-likelihood ratio and
 MIN_RATIO = 4.0       # rate ratio that make a word or prefix toxic
 PREFIXES = range(3, 9)  # bytes
+FLOOR = 0.25          # marginal from which a word counts towards the expected number
 CACHE = 400_000       # word types a task keeps the scores of
 
 _STOP = re.compile(r"[.!?\n]+")
@@ -204,8 +205,9 @@ def fit_chain(docs: list[tuple[list[str], list[int], int]], steps: int = 30) ->
 
 
 def document_features(p: np.ndarray, words_of: np.ndarray, n: int) -> np.ndarray:
-    """Per document: log of 1 + expected toxic words, largest marginal, density."""
-    total = np.bincount(words_of, weights=p, minlength=n)
+    """Per document: log of 1 + expected toxic words, largest marginal, density. Marginals under FLOOR
+    do not add up, so that a long clean text is not toxic by its length."""
+    total = np.bincount(words_of, weights=np.where(p >= FLOOR, p, 0.0), minlength=n)
     size = np.bincount(words_of, minlength=n)
     most = np.zeros(n)
     np.maximum.at(most, words_of, p)

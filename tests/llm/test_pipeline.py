@@ -73,7 +73,7 @@ def test_pipeline_by_stages(spark, tmp_path):
     assert sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in seen["line_dedup"]) == sorted(x[3] for x in want)
     assert all(r.n_chars in (len(r.text), 0) for r in seen["line_dedup"])
     classes = brute_classes([tuple(r) for r in seen["line_dedup"]])
-    assert sorted(r.doc_id for r in seen["near_dedup"]) == sorted({c for _, c, _ in classes} | {11})
+    assert sorted(r.doc_id for r in seen["near_dedup"]) == sorted([*{c for _, c, _ in classes}, 11])  # two texts have id 11
     assert {r.doc_id for r in seen["packing"]} == {r.doc_id for r in seen["near_dedup"]}
 
 
