@@ -5,7 +5,13 @@ every template length, are screened by how many of the template's words they can
 window that can reach the threshold is aligned: words that are unique in both the window and the
 template are anchors, their longest increasing subsequence is kept, and the gaps between anchors are
 aligned in the same way, after equal words at both ends of a gap. Coverage is the share of template
-words aligned. Overlapping windows that find one notice give one hit, the one with most coverage.
+words aligned. The words that tell a license from its neighbours (KEYS: its name, its version) must
+be among them, side by side where they are one phrase.
+
+The hits of all templates compete for the words of the text: the one with most aligned words is taken
+first (then most coverage, then the shortest, then the first), its words count for no other, and the
+windows it touches are searched again without them. So a notice that several templates resemble gives
+one hit, and notices may follow or interrupt one another.
 
 Words are lower-case runs of letters and digits; a notice spread over more than twice its length is
 not one. A null, empty or wordless text has no hits, so neither have texts that only contain a few
@@ -16,6 +22,7 @@ result.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,9 +35,15 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import map_arrow, record_batch, rename_inputs, slices, table
 
 COVERAGE = 0.8
+WINDOW = 2     # template lengths of a window
 
 _WORD = re.compile(r"[^\W_]+")
 
+_GNU = ("This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+        "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+        "{work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.")
+
 # Wording of public license notices.
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
@@ -54,6 +67,40 @@ TEMPLATES = {
                "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
                "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
                "General Public License for more details.",
+    # neighbours that share most of their words with one of the above
+    "bsd-line": "Released under the BSD License.",
+    "mit-0-line": "Released under the MIT No Attribution License.",
+    "mpl-2.0-line": "Licensed under the Mozilla Public License, Version 2.0.",
+    "epl-2.0-line": "Licensed under the Eclipse Public License, Version 2.0.",
+    "cc-by-4.0-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0-line": "Licensed under CC BY-NC-ND 4.0.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "gpl-2.0": _GNU.format(work="program", name="General Public License", version="2"),
+    "lgpl-2.1": _GNU.format(work="library", name="Lesser General Public License", version="2.1"),
+    "lgpl-3.0": _GNU.format(work="library", name="Lesser General Public License", version="3"),
+    "agpl-3.0": _GNU.format(work="program", name="Affero General Public License", version="3"),
+    "hpnd": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee "
+            "is hereby granted, provided that the above copyright notice appear in all copies and that both that copyright notice "
+            "and this permission notice appear in supporting documentation.",
+}
+
+# Words that identify the license: each phrase must be aligned whole at one of its places in the template.
+KEYS = {
+    "apache-2.0-line": ["apache", "2"], "apache-2.0": ["apache", "2"], "mit-line": ["mit"], "mit-0-line": ["mit", "no attribution"],
+    "bsd-line": ["bsd"], "mpl-2.0-line": ["mozilla", "2"], "epl-2.0-line": ["eclipse", "2"],
+    "cc-by-4.0-line": ["cc", "by", "4"], "cc-by-sa-4.0-line": ["cc", "sa", "4"], "cc-by-nd-4.0-line": ["cc", "nd", "4"],
+    "cc-by-nc-4.0-line": ["cc", "nc", "4"], "cc-by-nc-sa-4.0-line": ["cc", "nc", "sa", "4"],
+    "cc-by-nc-nd-4.0-line": ["cc", "nc", "nd", "4"],
+    "gpl-2.0-line": ["gnu general", "2"], "gpl-2.0": ["gnu general", "2"], "gpl-3.0-line": ["gnu general", "3"],
+    "gpl-3.0": ["gnu general", "3"], "lgpl-2.1-line": ["lesser", "2 1"], "lgpl-2.1": ["lesser", "2 1"],
+    "lgpl-3.0-line": ["lesser", "3"], "lgpl-3.0": ["lesser", "3"], "agpl-3.0-line": ["affero", "3"], "agpl-3.0": ["affero", "3"],
+    "hpnd": ["documentation"],
 }
 
 
@@ -103,58 +150,132 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def tighten(pairs: list[tuple[int, int]], text: list, template: list) -> list[tuple[int, int]]:
+    """The same template words at the places of ``text`` closest together from either end."""
+    def later(pairs):
+        out = [pairs[-1]]
+        for _, j in reversed(pairs[:-1]):
+            i = out[-1][0] - 1
+            while text[i] != template[j]:
+                i -= 1
+            out.append((i, j))
+        return out[::-1]
+
+    def earlier(pairs):
+        out = [pairs[0]]
+        for _, j in pairs[1:]:
+            i = out[-1][0] + 1
+            while text[i] != template[j]:
+                i += 1
+            out.append((i, j))
+        return out
+
+    return min(earlier(later(pairs)), later(earlier(pairs)), key=lambda x: x[-1][0] - x[0][0])
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(self, templates: dict[str, str], coverage: float, keys: dict[str, list[str]] | None = None):
+        if keys is None:  # KEYS hold for the wording they were made for
+            keys = {n: KEYS.get(n, []) for n, t in templates.items() if t == TEMPLATES.get(n)}
         self.names = list(templates)
         self.words = [words(templates[n]) for n in self.names]
         self.number = {w: k for k, w in enumerate(sorted({w for t in self.words for w in t}), 1)}
+        self.ids = [np.array([self.number[w] for w in t], dtype=np.int64) for t in self.words]
         self.member = np.zeros((len(self.names), len(self.number) + 1), dtype=np.int64)
-        for k, t in enumerate(self.words):
-            self.member[k, [self.number[w] for w in t]] = 1
+        for k, t in enumerate(self.ids):
+            self.member[k, t] = 1
+        self.bags = [Counter(t) for t in self.words]
         self.need = [max(1, -int(-coverage * len(t) // 1)) for t in self.words]
+        self.keys = [[(len(p), [i for i in range(len(t)) if t[i:i + len(p)] == p]) for p in map(words, keys.get(n, ()))]
+                     for n, t in zip(self.names, self.words)]
+
+    def _named(self, k: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether every identifying phrase is aligned, its words side by side."""
+        at = {j: i for i, j in pairs}
+        return all(any(p in at and all(at.get(p + d) == at[p] + d for d in range(size)) for p in places)
+                   for size, places in self.keys[k])
+
+    def _regions(self, k: int, text: list, lo: int, hi: int) -> list[tuple[int, int]]:
+        """Where to align in a window: all of it, and where the words of the template are densest."""
+        n = len(self.words[k])
+        inside = np.concatenate(([0], np.cumsum([w in self.bags[k] for w in text[lo:hi]])))
+        out = [(lo, hi)]
+        for size in (n,):
+            if size < hi - lo:
+                at = lo + int(np.argmax(inside[size:] - inside[:-size]))
+                out.append((at, at + size))
+        return out
+
+    def _find(self, k: int, text: list, lo: int, hi: int) -> list[tuple[int, int]] | None:
+        """The aligned places of the best notice of one template in a window."""
+        t, best = self.words[k], None
+        if (Counter(text[lo:hi]) & self.bags[k]).total() < self.need[k]:
+            return None
+        for a, b in self._regions(k, text, lo, hi):
+            pairs = [(a + i, j) for i, j in align(text[a:b], t)]
+            if len(pairs) >= self.need[k]:
+                pairs = tighten(pairs, text, t)
+                rank = (len(pairs), pairs[0][0] - pairs[-1][0])
+                if (best is None or rank > best[0]) and self._named(k, pairs):
+                    best = rank, pairs
+        return best and best[1]
+
+    def _windows(self, k: int, ids: np.ndarray) -> list[int]:
+        """Starts of the windows that can hold a notice."""
+        n = len(self.words[k])
+        total = np.concatenate(([0], np.cumsum(self.member[k][ids])))
+        starts = np.arange(0, max(len(ids) - n, 0) + 1, n)
+        ends = np.minimum(starts + WINDOW * n, len(ids))
+        return starts[total[ends] - total[starts] >= self.need[k]].tolist()
 
     def hits(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, last word) of every notice, in text order."""
-        found = words(text)
+        free = words(text)
         get = self.number.get
-        ids = np.fromiter((get(w, 0) for w in found), dtype=np.int64, count=len(found))
+        ids = np.fromiter((get(w, 0) for w in free), dtype=np.int64, count=len(free))
         if np.count_nonzero(ids) < min(self.need, default=1):
             return []
+        seen = np.zeros(len(self.number) + 1, dtype=bool)
+        seen[ids] = True
+        open_ = {k: set(self._windows(k, ids)) for k, t in enumerate(self.ids) if np.count_nonzero(seen[t]) >= self.need[k]}
+        queue, latest = [], {}
+
+        def look(k: int, start: int) -> None:
+            n = len(self.words[k])
+            pairs = latest[k, start] = self._find(k, free, start, min(start + WINDOW * n, len(free)))
+            if pairs:
+                first, last = pairs[0][0], pairs[-1][0]
+                heapq.heappush(queue, (-len(pairs), -len(pairs) / n, last - first, first, k, start, pairs))
+
+        for k, starts in open_.items():
+            for start in starts:
+                look(k, start)
         out = []
-        for k, t in enumerate(self.words):
-            n = len(t)
-            total = np.concatenate(([0], np.cumsum(self.member[k][ids])))
-            starts = np.arange(0, max(len(found) - n, 0) + 1, n)
-            ends = np.minimum(starts + 2 * n, len(found))
-            best: list[tuple[float, int, int]] = []
-            for s in starts[total[ends] - total[starts] >= self.need[k]].tolist():
-                # a second look from each start, after what was found: notices may follow one another
-                at, stop = s, min(s + 2 * n, len(found))
-                while stop - at >= self.need[k]:
-                    pairs = align(found[at:stop], t)
-                    if len(pairs) < self.need[k]:
-                        pairs = align(found[at:min(at + n, stop)], t)
-                    if len(pairs) < self.need[k]:
-                        break
-                    first, last = at + pairs[0][0], at + pairs[-1][0]
-                    best.append((len(pairs) / n, first, last))
-                    at = last + 1
-            taken: list[tuple[float, int, int]] = []
-            for c, first, last in sorted(best, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-                if all(last < f or first > e for _, f, e in taken):
-                    taken.append((c, first, last))
-            out += [(self.names[k], *x) for x in sorted(taken, key=lambda x: x[1])]
-        return out
+        while queue:
+            *_, first, k, start, pairs = heapq.heappop(queue)
+            if latest[k, start] is not pairs:
+                continue
+            last = pairs[-1][0]
+            out.append((self.names[k], len(pairs) / len(self.words[k]), first, last))
+            for i, _ in pairs:
+                free[i] = ""
+            for other, starts in open_.items():
+                n = len(self.words[other])
+                for s in range(max(first // n - WINDOW + 1, 0) * n, last + 1, n):
+                    if s in starts:
+                        look(other, s)
+        return sorted(out, key=lambda x: (x[2], x[3]))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,
+         keys: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per notice found: doc_id, license, coverage, start and end (code points)."""
     templates = TEMPLATES if templates is None else templates
     schema = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()),
                         ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner(templates, coverage, keys)
         for b in slices(batches, "text"):
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):

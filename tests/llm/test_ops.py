@@ -178,6 +178,35 @@ def test_license_hits(spark, odd, none):
     assert op3_license.scan(odd).count() == 0 and op3_license.scan(none).count() == 0
 
 
+def license_names(text):
+    scanner = op3_license.Scanner(op3_license.TEMPLATES, op3_license.COVERAGE)
+    return [name for name, *_ in scanner.hits(text)]
+
+
+def test_license_neighbours_keep_their_names():
+    for name, text in op3_license.TEMPLATES.items():
+        assert license_names(text) == [name]
+        assert license_names(f"{prose(50, 8)} {text} {prose(50, 9)}") == [name]
+    assert license_names("Released under the BSD License.") == ["bsd-line"]
+    assert license_names("Licensed under CC BY 4.0.") == ["cc-by-4.0-line"]
+    assert license_names("Licensed under CC BY-SA 4.0.") == ["cc-by-sa-4.0-line"]
+    assert license_names("This work is licensed under the GNU General Public License, version 2.") == ["gpl-2.0-line"]
+    assert license_names("This work is licensed under the GNU Lesser General Public License, version 3.") == ["lgpl-3.0-line"]
+    assert license_names("Licensed under the Apache License, Version 2") == ["apache-2.0-line"]
+    for unknown in ("Released under the Zlib License.", "Licensed under CC BY-NC 3.0.", "Licensed under the Apache License, Version 1.1.",
+                    "This work is licensed under the GNU General Public License.", "Licensed under the Foo License, Version 2.0."):
+        assert license_names(unknown) == []
+
+
+def test_license_notices_in_a_row():
+    names = list(op3_license.TEMPLATES)
+    r = random.Random(3)
+    for _ in range(20):
+        chosen = r.sample(names, 3)
+        assert license_names("\n".join(prose(2, r.random()) + " " + op3_license.TEMPLATES[n] for n in chosen)) == chosen
+    assert license_names("Released under the MIT License. Released under the BSD License.") == ["mit-line", "bsd-line"]
+
+
 def test_patience_alignment_is_a_common_subsequence():
     r = random.Random(1)
     for _ in range(200):
