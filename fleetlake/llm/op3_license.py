@@ -1,8 +1,9 @@
 """License scans by patience alignment.
 
-Every text is searched for license notices. Windows of twice a template's length, one starting at
-every template length, are screened by how many of the template's words they can cover at all; a
-window that can reach the threshold is aligned: words that are unique in both the window and the
+Every text is searched for license notices. Stretches of twice a template's length, at every word, are
+screened by how many of the template's words they can cover at all. Windows of three lengths start at
+every template length, so each such stretch lies whole in one; a window with a stretch that can reach
+the threshold is aligned, whole and around the places where the template's words are densest: words that are unique in both the window and the
 template are anchors, their longest increasing subsequence is kept, and the gaps between anchors are
 aligned in the same way, after equal words at both ends of a gap. Coverage is the share of template
 words aligned. The words that tell a license from its neighbours (KEYS: its name, its version) must
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import map_arrow, record_batch, rename_inputs, slices, table
 
 COVERAGE = 0.8
-WINDOW = 2     # template lengths of a window
+SPREAD = 2     # template lengths a notice may be spread over
+WINDOW = SPREAD + 1
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -196,15 +198,18 @@ class Scanner:
                    for size, places in self.keys[k])
 
     def _regions(self, k: int, text: list, lo: int, hi: int) -> list[tuple[int, int]]:
-        """Where to align in a window: all of it, and where the words of the template are densest."""
+        """Where to align in a window: all of it, where the words of the template are densest, and every
+        stretch a notice may be spread over, some words apart."""
         n = len(self.words[k])
         inside = np.concatenate(([0], np.cumsum([w in self.bags[k] for w in text[lo:hi]])))
         out = [(lo, hi)]
-        for size in (n,):
+        for size in (n, n + n // 4, n + n // 2, SPREAD * n):
             if size < hi - lo:
                 at = lo + int(np.argmax(inside[size:] - inside[:-size]))
                 out.append((at, at + size))
-        return out
+        ends = np.minimum(np.arange(hi - lo) + SPREAD * n, hi - lo)
+        many = inside[ends] - inside[:-1] >= self.need[k]
+        return out + [(lo + a, lo + int(ends[a])) for a in range(0, hi - lo, max(1, n // 4)) if many[a]]
 
     def _find(self, k: int, text: list, lo: int, hi: int) -> list[tuple[int, int]] | None:
         """The aligned places of the best notice of one template in a window."""
@@ -215,6 +220,10 @@ class Scanner:
             pairs = [(a + i, j) for i, j in align(text[a:b], t)]
             if len(pairs) >= self.need[k]:
                 pairs = tighten(pairs, text, t)
+                while pairs[-1][0] - pairs[0][0] >= SPREAD * len(t):  # stray words go, the more distant end first
+                    pairs = pairs[1:] if pairs[1][0] - pairs[0][0] > pairs[-1][0] - pairs[-2][0] else pairs[:-1]
+                if len(pairs) < self.need[k]:
+                    continue
                 rank = (len(pairs), pairs[0][0] - pairs[-1][0])
                 if (best is None or rank > best[0]) and self._named(k, pairs):
                     best = rank, pairs
@@ -224,9 +233,8 @@ class Scanner:
         """Starts of the windows that can hold a notice."""
         n = len(self.words[k])
         total = np.concatenate(([0], np.cumsum(self.member[k][ids])))
-        starts = np.arange(0, max(len(ids) - n, 0) + 1, n)
-        ends = np.minimum(starts + WINDOW * n, len(ids))
-        return starts[total[ends] - total[starts] >= self.need[k]].tolist()
+        ends = np.minimum(np.arange(len(ids)) + SPREAD * n, len(ids))
+        return (np.unique(np.flatnonzero(total[ends] - total[:-1] >= self.need[k]) // n) * n).tolist()
 
     def hits(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, last word) of every notice, in text order."""

@@ -207,6 +207,32 @@ def test_license_notices_in_a_row():
     assert license_names("Released under the MIT License. Released under the BSD License.") == ["mit-line", "bsd-line"]
 
 
+def spread_notice(name, length, every):
+    """The words of a template without each ``every``-th that identifies nothing, spread evenly over ``length`` words."""
+    t = op3_license.words(op3_license.TEMPLATES[name])
+    keep = {w for p in op3_license.KEYS.get(name, ()) for w in op3_license.words(p)}
+    left = [w for k, w in enumerate(t) if k % every != every // 2 or w in keep]
+    out = ["zzz"] * length
+    for k, w in enumerate(left):
+        out[k * (length - 1) // (len(left) - 1)] = w
+    return out, len(left) / len(t)
+
+
+@pytest.mark.parametrize("name, spread, every", [("mit", 1.0, 6), ("mit", 1.7, 1000), ("mit", 2.0, 10), ("isc", 1.3, 9), ("isc", 2.0, 6),
+                                                 ("apache-2.0", 1.1, 6), ("apache-2.0", 2.0, 1000)])
+def test_edited_license_notice_at_every_offset(name, spread, every):
+    n = len(op3_license.words(op3_license.TEMPLATES[name]))
+    notice, coverage = spread_notice(name, int(spread * n), every)
+    scanner = op3_license.Scanner(op3_license.TEMPLATES, op3_license.COVERAGE)
+    found = set()
+    for offset in range(n + 1):
+        text = " ".join(["zzz"] * offset + notice + ["zzz"] * (2 * n))
+        found |= {(h[0], h[1], h[2] - offset, h[3] - offset) for h in scanner.hits(text)} or {None}
+    assert len(found) == 1 and found != {None}
+    (license_, got, first, last), = found
+    assert license_ == name and got == pytest.approx(coverage, abs=0.03) and 0 <= first <= last < len(notice)
+
+
 def test_patience_alignment_is_a_common_subsequence():
     r = random.Random(1)
     for _ in range(200):
