@@ -115,16 +115,26 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return v.view(np.int64)
 
 
+def _least_common(total: int, similarity: float) -> int:
+    """The smallest L with L / (total - L) >= similarity, by the same division as the result."""
+    least = int(similarity * total / (1 + similarity))
+    while least > 0 and (least - 1) / (total - least + 1) >= similarity:
+        least -= 1
+    while least < total and least / (total - least) < similarity:
+        least += 1
+    return least
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Similarity of two label sequences by banded alignment; 0 if it cannot reach ``similarity``."""
     n, m = len(a), len(b)
-    if not n or not m or min(n, m) < similarity * max(n, m):
+    least = _least_common(n + m, similarity)
+    if not n or not m or min(n, m) < least:
         return 0.0
     i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)[1:]
-    if len(i) < similarity * (n + m - len(i)):
+    if len(i) < least:
         return 0.0
-    band = (n + m) * (1 - similarity) / (1 + similarity)  # insertions and deletions at that similarity
-    near = np.abs(i - j) <= band
+    near = np.abs(i - j) <= n + m - 2 * least  # insertions and deletions at that similarity
     order = np.argsort(i[near])
     places = j[near][order]
     length = len(places) if (np.diff(places) > 0).all() else _longest_increasing(places.tolist())
@@ -220,11 +230,16 @@ def _label_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield record_batch(schema, n=np.full(len(found), n), label=found)
 
 
+def _close(similarity: float) -> float:
+    """Labels of two texts per common label, at most; a little more, so that rounding loses no tie."""
+    return (1 + similarity) / similarity * (1 + 1e-12)
+
+
 def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
     its largest class meet all nodes of other classes that are close enough to the common labels, and
     leave it; a bucket whose nodes are of one class is finished."""
-    ratio = (1 + similarity) / similarity
+    ratio = _close(similarity)
     counts = members.groupBy("bucket", "c").agg(F.count("*").alias("size"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("classes")).where(
         "classes > 1").select(fresh("bucket").alias("k"), F.col("main.c").alias("main"))
@@ -279,7 +294,7 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     extra = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb")), "label").where(
         "n < b AND c <> cb").select(F.col("n").alias("a"), "b").distinct()
     members = cut_lineage(rows.join(close, "n").where(
-        F.col("u") * ((1 + similarity) / similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support", "size", "u"))
+        F.col("u") * _close(similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support", "size", "u"))
     done = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     while members.limit(1).count() or extra is not None:
         pairs, members = _next_pairs(_labelled(members, classes), similarity)

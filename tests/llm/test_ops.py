@@ -357,6 +357,31 @@ def test_alignment_is_the_longest_common_run():
         assert got == pytest.approx(exact) if exact >= 0.8 else got < 0.8
 
 
+def longest_common(x, y):
+    row = [0] * (len(y) + 1)
+    for v in x:
+        new = [0]
+        for j, w in enumerate(y):
+            new.append(row[j] + 1 if v == w else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_pairs_at_exactly_the_limit(spark):
+    for k in range(1, 25):
+        a = prose(5 * k + 4, 4000 + k).split(" ")          # 5 k labels, 4 k of them in the copy: 4/5
+        for b in (a[k:], a[:-k], a[k // 2:len(a) - (k - k // 2)]):
+            x, y = (op5_order_minhash.labels(" ".join(w)) for w in (a, b))
+            assert 5 * longest_common(x.tolist(), y.tolist()) == 4 * len(x) == 20 * k
+            assert op5_order_minhash.aligned(x, y) == op5_order_minhash.aligned(y, x) == 0.8
+            fewer = op5_order_minhash.labels(" ".join(b[1:]))
+            assert op5_order_minhash.aligned(x, fewer) < 0.8
+    text = prose(54, 12).split(" ")
+    rows = [(1, " ".join(text), "en", "s", 0), (2, " ".join(text[10:]), "en", "s", 0)]
+    found = op5_order_minhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in found) == [(1, 1, 2), (2, 1, 2)]
+
+
 def test_sketches_depend_on_order():
     a = op5_order_minhash.labels(prose(200, 3))
     flipped = a[::-1].copy()
