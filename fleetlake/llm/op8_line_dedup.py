@@ -78,12 +78,17 @@ def _stream_runs(min_docs: int, keep_first: bool):
             held = t.slice(last)
             if held.num_rows <= 4096:
                 continue
-            # a long run: its rows are known to be many, so all but the first can go out now
+            # a long run: one row of each of its first documents stays, the others go out now; they are
+            # dropped if the run has enough documents, and else it is settled as an edge
             cols = _columns(held)
-            if _documents(cols, np.array([0]), held.num_rows)[0] >= min_docs:
-                head = held.slice(0, max(min_docs + 1, 1))
-                yield _rows(_columns(held.slice(head.num_rows)), False, False)
-                held = head if _documents(_columns(head), np.array([0]), head.num_rows)[0] >= min_docs else held
+            heads = np.concatenate(([0], np.flatnonzero(_differs(cols, held.num_rows)) + 1))
+            stay = heads[:max(min_docs, 1)]
+            rest = np.ones(held.num_rows, bool)
+            rest[stay] = False
+            many = len(heads) >= min_docs
+            yield _rows(cols, not many, False, np.flatnonzero(rest))
+            first |= not many
+            held = held.take(pa.array(stay))
         if held is not None and held.num_rows:
             cols = _columns(held)
             yield _edge(cols, min_docs)
@@ -102,11 +107,15 @@ def _starts(c: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(new) + 1))
 
 
+def _differs(c: dict[str, np.ndarray], end: int) -> np.ndarray:
+    """Whether each row but the first is of another document than the one before it."""
+    differs = (c["doc_id"][1:end] != c["doc_id"][:end - 1]) | (c["null"][1:end] != c["null"][:end - 1])
+    return differs | c["null"][1:end] & (c["th"][1:end] != c["th"][:end - 1])
+
+
 def _documents(c: dict[str, np.ndarray], starts: np.ndarray, end: int) -> np.ndarray:
     """Distinct documents of each run (rows of a document are neighbours)."""
-    differs = (c["doc_id"][1:end] != c["doc_id"][:end - 1]) | (c["null"][1:end] != c["null"][:end - 1])
-    differs |= c["null"][1:end] & (c["th"][1:end] != c["th"][:end - 1])
-    new = np.concatenate(([1], differs.astype(np.int64)))
+    new = np.concatenate(([1], _differs(c, end).astype(np.int64)))
     new[starts] = 1
     return np.add.reduceat(new, starts)
 

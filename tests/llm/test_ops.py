@@ -504,6 +504,41 @@ def test_line_dedup(spark, odd, none):
     assert op8_line_dedup.drop_lines(none, op8_line_dedup.line_keep_bitmaps(none), digest=True).count() == 0
 
 
+def line_runs(rows, size, **more):
+    """What one task emits for sorted (hash, doc_id, pos) rows in batches of ``size``."""
+    schema = op8_line_dedup._LINES
+    h, doc, pos = (list(c) for c in zip(*rows))
+    whole = op8_line_dedup.record_batch(schema, h1=h, h2=h, doc_id=doc, th=[0] * len(h), pos=pos)
+    run = op8_line_dedup._stream_runs(10, **more)
+    return [b for b in run(whole.slice(i, size) for i in range(0, len(h), size)) if b.num_rows]
+
+
+@pytest.mark.parametrize("first_doc", [11, 9_000])
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_long_line_run_is_sent_once(first_doc, keep_first):
+    run = [(5, 0, p) for p in range(first_doc)] + [(5, d, p) for d in range(1, 3001) for p in range(10)]
+    few = [(7, d, p) for d in range(3) for p in range(9_000)]
+    rows = [(4, 0, 0)] + run + few + [(9, 0, 0)]
+    out = line_runs(rows, 2_000, keep_first=keep_first)
+    sent = Counter((h, d, p) for b in out for h, d, p in zip(*(b.column(c).to_pylist() for c in ("h1", "doc_id", "pos"))))
+    assert max(sent.values()) == 1
+    dropped = {x for x in sent if x[0] == 5}
+    assert dropped >= set(run[keep_first:])
+    edges = {(h, d, p) for b in out for h, d, p, e in zip(*(b.column(c).to_pylist() for c in ("h1", "doc_id", "pos", "edge"))) if e}
+    assert {x for x in sent if x[0] == 7} <= edges                      # undecided, never dropped here
+    assert max(b.num_rows for b in out) <= 8_000
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_long_runs_of_few_documents(spark, keep_first):
+    rows = [(i, "\n".join(["}"] * (9_000 if i == 0 else 400)) + f"\nown {i}", "en", "s", 0) for i in range(40)]
+    rows += [(100 + i, "\n".join(["few"] * 7_000), "en", "s", 0) for i in range(3)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = op8_line_dedup.drop_lines(df, op8_line_dedup.line_keep_bitmaps(df, keep_first=keep_first))
+    want = [(i, "}\nown 0" if keep_first and i == 0 else f"own {i}") for i in range(40)] + [(r[0], r[1]) for r in rows[40:]]
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == want
+
+
 def test_line_dedup_keeps_first_and_columns(spark, odd):
     rows = [(i, f"a\nown {i}\nb", "en", "s", 0) for i in range(30)]
     df = spark.createDataFrame(rows, DOCS).withColumn("keep", F.lit("x"))
