@@ -220,8 +220,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict
     order = F.xxhash64("doc_id")
     chosen = lab.where("y = 1").orderBy(order).limit(max_rows // 3).unionByName(
         lab.where("y = 0").orderBy(order).limit(max_rows - max_rows // 3))
-    rows = rename_inputs(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").select(
-        "doc_id", "text", "y").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    # one row with words of each id, so that copies of a repeated id do not all go to the driver
+    rows = rename_inputs(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where(
+        F.col("text").rlike(r"[\p{L}\p{N}]")).groupBy("doc_id", "y").agg(F.min("text").alias("text")).toArrow().sort_by("doc_id")
     data = [(*chains(t), y) for t, y in zip(rows.column("text").to_pylist(), rows.column("y").to_pylist())]
     data = [d for d in data if d[0]]
     if len({d[2] for d in data}) < 2:

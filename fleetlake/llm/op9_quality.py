@@ -141,7 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict
     lab = rename_inputs(labels, "doc_id", "quality").where("quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("y"))
     order = F.xxhash64("doc_id")
     chosen = lab.where("y = 0").orderBy(order).limit(max_rows // 2).unionByName(lab.where("y = 1").orderBy(order).limit(max_rows // 2))
-    src = rename_inputs(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", text_bytes().alias("body"))
+    # one row of each id, an empty text only if it has no other, so that copies of a repeated id do not all go to the driver
+    copies = rename_inputs(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", text_bytes().alias("body"))
+    src = copies.groupBy("doc_id", "y").agg(F.min(F.struct(F.length("body") == 0, "body")).alias("least")).select(
+        "doc_id", "y", F.col("least.body").alias("body"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary())])

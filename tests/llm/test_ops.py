@@ -91,6 +91,25 @@ def test_toxicity_odd_rows(spark, odd, none):
     assert op1_toxicity.score(none, model).count() == 0
 
 
+@pytest.mark.parametrize("learn", [op1_toxicity.learn, op9_quality.train])
+def test_training_takes_one_row_of_a_repeated_id(spark, monkeypatch, learn):
+    docs, labels = toxic_tables(spark, 60)
+    labels = labels.withColumn("quality", F.col("toxic"))
+    copies = docs.where("doc_id < 2").crossJoin(spark.range(200).select(F.concat(F.lit("copy "), "id").alias("tail"))).select(
+        "doc_id", F.concat("text", F.lit(" "), "tail").alias("text"), "lang", "source", "n_chars")
+    taken, to_arrow = [], type(docs).toArrow
+
+    def counted(df):
+        out = to_arrow(df)
+        taken.append(out.num_rows)
+        return out
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    empty = docs.where("doc_id < 9").withColumn("text", F.lit(""))
+    assert learn(docs.unionByName(copies).unionByName(empty).unionByName(docs), labels, 30) is not None
+    assert len(taken) == 1 and taken[0] <= 30
+
+
 def test_chain_marginals_by_enumeration():
     rng = np.random.default_rng(3)
     lengths = np.array([4, 1, 6, 4])
