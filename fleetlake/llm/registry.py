@@ -16,6 +16,9 @@ QUERIES = {
     "op8_line_dedup": "op8_line_dedup",
     "op9_quality": "op9_quality",
     "op10_fingerprint": "op10_fingerprint",
+    "op11_divergence": "op11_divergence",
+    "op12_sharding": "op12_sharding",
+    "op13_centroids": "op13_centroids",
 }
 
 

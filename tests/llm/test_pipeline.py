@@ -31,11 +31,10 @@ def test_oracle(spark, con, name):
     assert digest([tuple(r) for r in df.collect()], df.columns) == digest(cur.fetchall(), cols)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - {"op11_divergence"}))  # that one has no ids
 def test_query_covers_its_table(spark, name):
     df = registry.queries()[name](spark, SF)
-    ids = "page_id" if name.startswith("op2") else "doc_id"
-    table = "pages" if name.startswith("op2") else "documents"
+    ids, table = {"op2_warc": ("page_id", "pages"), "op13_centroids": ("vec_id", "embeddings")}.get(name, ("doc_id", "documents"))
     want = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(ids).collect()}
     got = {r[0] for r in df.select(ids).collect()}
     assert got <= want if name.startswith("op3") else got == want
