@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions import dates as D
+from fleetlake.functions.predicates import between_days
+from fleetlake.operators.dedup import first_per_key
 
 
 def window_table(spark: SparkSession, total_days: int, step: int, as_of: dt.date) -> DataFrame:
@@ -113,12 +117,136 @@ def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
     return spark.createDataFrame(out, MANIFEST_SCHEMA)
 
 
-def write_windows(df: DataFrame, path: str, window_col: str = "janela", fmt: str = "parquet") -> None:
-    """BF-3: write rows partitioned by window with dynamic partition overwrite.
+# ------------------------------------------------------------------ BF-3, windows that can fail
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("run", T.StringType()), T.StructField("tentativa", T.IntegerType()), T.StructField("janela", T.IntegerType()),
+    T.StructField("inicio", T.DateType()), T.StructField("fim", T.DateType()), T.StructField("status", T.StringType()),
+    T.StructField("novas", T.LongType()), T.StructField("erro", T.StringType())])
 
-    Re-running a window (after it failed, or to refresh it) replaces only
-    the folders of the windows present in ``df``; the others stay. A re-run
-    is idempotent.
+
+class AllWindowsFailed(RuntimeError):
+    """No window of the run could be delivered (BF-3); the message holds the first error."""
+
+
+@dataclass(frozen=True)
+class WindowedDelivery:
+    """BF-3: rows delivered window by window into ``path``, which must be shared storage.
+
+    ``source`` is the job's query over the whole range, with the SAP date text in ``date_col``; a window
+    filters it, so that the bounds of its days reach the scan. ``key`` and ``order`` are the seen-set of
+    the job: of the rows of a key the one of the oldest delivered window stays, within a window the first
+    under ``order``.
+
+    ``path/rows`` holds the rows by window; a write replaces only the windows it covers (dynamic partition
+    overwrite). ``path/ledger`` holds one outcome per run, attempt and window. A window's rows count only
+    if the ledger names the attempt that wrote them, so that what a broken or older attempt left behind
+    is never read.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(window_col).format(fmt).save(path))
+
+    spark: SparkSession
+    path: str
+    source: DataFrame
+    date_col: str
+    key: Sequence[Column]
+    order: Sequence[Column]
+    total_days: int
+    step: int
+    as_of: dt.date
+
+    def windows(self) -> list[tuple[int, dt.date, dt.date]]:
+        return D.day_windows(self.total_days, self.step, self.as_of)
+
+    def start(self) -> str:
+        """Deliver all windows as a new run and return its name. Raises ``AllWindowsFailed``."""
+        run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+        outcomes = self._deliver(run, 1, [i for i, _, _ in self.windows()], [])
+        errors = [o[-1] for o in outcomes if o[5] != "ok"]
+        if len(errors) == len(outcomes):
+            raise AllWindowsFailed(f"todas as janelas falharam: {errors[0] if errors else 'sem detalhe'}")
+        return run
+
+    def retry(self, run: str, windows: Sequence[int] | None = None) -> None:
+        """Deliver windows of ``run`` again, by default those whose last attempt failed. The others stay as
+        they are, and keys that they have delivered are left out."""
+        last = self.outcomes(run).select("janela", "status", "tentativa").collect()
+        again = [r["janela"] for r in last if (r["status"] != "ok" if windows is None else r["janela"] in windows)]
+        self._deliver(run, 1 + max(r["tentativa"] for r in last), again,
+                      [r["janela"] for r in last if r["status"] == "ok" and r["janela"] not in again])
+
+    def ledger(self) -> DataFrame:
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/ledger")
+
+    def outcomes(self, run: str) -> DataFrame:
+        """The last attempt of every window of a run."""
+        return first_per_key(self.ledger().where(F.col("run") == run), "janela", [F.col("tentativa").desc()])
+
+    def failed_windows(self, run: str) -> int:
+        return self.outcomes(run).where("status <> 'ok'").count()
+
+    def rows(self, run: str) -> DataFrame:
+        """The delivered rows of a run with their window ``janela``."""
+        good = first_per_key(self.ledger().where((F.col("run") == run) & (F.col("status") == "ok")), "janela",
+                             [F.col("tentativa").desc()]).select("janela", F.col("run").alias("_run"), F.col("tentativa").alias("_tentativa"))
+        # one row per window: a proven size bound
+        return self._stored().join(F.broadcast(good), ["janela", "_run", "_tentativa"]).drop("_run", "_tentativa")
+
+    @cached_property
+    def _schema(self) -> T.StructType:
+        return T.StructType([*self.source.schema.fields, T.StructField("_run", T.StringType()), T.StructField("_tentativa", T.IntegerType()),
+                             T.StructField("janela", T.IntegerType())])
+
+    def _stored(self) -> DataFrame:
+        # no file has been written yet if every window so far was empty, so the schema is given
+        return self.spark.read.schema(self._schema).parquet(f"{self.path}/rows")
+
+    def _record(self, outcomes: list[tuple]) -> list[tuple]:
+        self.spark.createDataFrame(outcomes, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/ledger")
+        return outcomes
+
+    def _deliver(self, run: str, attempt: int, windows: list[int], done: list[int]) -> list[tuple]:
+        outcomes: list[tuple] = []
+        for chunk in _neighbours(windows):
+            outcomes += self._attempt(run, attempt, chunk, done)
+        return outcomes
+
+    def _attempt(self, run: str, attempt: int, chunk: list[int], done: list[int]) -> list[tuple]:
+        """Deliver neighbouring windows in one job; if it fails, each half by itself, older half first, so
+        that F failing windows of W cost about F log W jobs. ``done`` are the windows delivered so far."""
+        days = {i: (a, b) for i, a, b in self.windows()}
+        try:
+            rows = self._new_rows(run, chunk, days[chunk[0]][0], days[chunk[-1]][1], done)
+            (rows.withColumn("_run", F.lit(run)).withColumn("_tentativa", F.lit(attempt)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("janela").parquet(f"{self.path}/rows"))
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            if len(chunk) > 1:
+                half = len(chunk) // 2
+                return self._attempt(run, attempt, chunk[:half], done) + self._attempt(run, attempt, chunk[half:], done)
+            text = (str(e).strip() or repr(e)).splitlines()[0][:500]
+            return self._record([(run, attempt, chunk[0], *days[chunk[0]], "error", None, text)])
+        mine = (F.col("_run") == run) & (F.col("_tentativa") == attempt) & F.col("janela").isin(chunk)
+        counts = {r["janela"]: r["count"] for r in self._stored().where(mine).groupBy("janela").count().collect()}
+        done.extend(chunk)
+        return self._record([(run, attempt, i, *days[i], "ok", counts.get(i, 0), None) for i in chunk])
+
+    def _new_rows(self, run: str, chunk: list[int], first_day: dt.date, last_day: dt.date, done: list[int]) -> DataFrame:
+        days = between_days(F.col(self.date_col), (self.as_of - first_day).days, (self.as_of - last_day).days, self.as_of)
+        # a day shared with the window before belongs to the oldest of the windows at hand
+        oldest = D.first_window_index(D.sap_date(F.col(self.date_col)), self.total_days, self.step, self.as_of)
+        names = [f"__key{i}" for i in range(len(self.key))]
+        keyed = self.source.where(days).withColumn("janela", F.greatest(oldest, F.lit(chunk[0])))
+        best = first_per_key(keyed.withColumns(dict(zip(names, self.key))), names, [F.col("janela").asc(), *self.order])
+        if done:
+            seen = self.rows(run).where(F.col("janela").isin(done)).select(*[k.alias(n) for n, k in zip(names, self.key)])
+            best = best.join(seen, names, "left_anti")
+        return best.drop(*names)
+
+
+def _neighbours(windows: Sequence[int]) -> list[list[int]]:
+    """Sorted window numbers cut into runs without gaps."""
+    out: list[list[int]] = []
+    for i in sorted(windows):
+        if out and out[-1][-1] == i - 1:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out

@@ -10,9 +10,11 @@ partition gets the running total of the partitions before it as offset
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,18 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 def row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
               index_col: str = "row_idx", group: Sequence | None = None) -> DataFrame:
-    """Add a 0-based gapless index following ``order`` (unique within a group).
+    """Add a 0-based gapless index following ``order`` (see ``_indexed``)."""
+    return _indexed(df, order, num_partitions, index_col, group)[0]
+
+
+def _indexed(df: DataFrame, order: Sequence, num_partitions: int | None, index_col: str, group: Sequence | None = None,
+             sums: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A 0-based gapless index following ``order`` (unique within a group), and the totals.
+
+    ``order`` may mix directions: each entry is a column or a Column with its direction and null place
+    (``F.col("d").desc_nulls_first()``), which the range partitioning follows. ``sums`` are numbers per
+    row; their totals come from the same per-partition table as the row counts and are added to every
+    row. The second result is one row: ``total`` and the sums (0 for an empty input).
 
     Without ``group`` the index is global; with ``group`` it restarts at 0 in
     every group. The rows are range-partitioned on (group, order) and sorted
@@ -54,10 +67,14 @@ def row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
     ranged = ranged.withColumn("__local", F.col("__local") - F.shiftleft(F.col("__pid").cast("long"), 33))
     ranged = ranged.checkpoint(eager=True)
     keys = ["__pid", *gnames]
-    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__local").alias("__start"))
+    sums = sums or {}
+    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__local").alias("__start"),
+                                       *[F.sum(c).alias(n) for n, c in sums.items()])
+    totals = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums])
     w = Window.partitionBy(*gnames).orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(*keys, "__start", (F.sum("__n").over(w) - F.col("__n")).alias("__off"),
-                            F.sum("__n").over(Window.partitionBy(*gnames)).alias("__total"))
+                            F.sum("__n").over(Window.partitionBy(*gnames)).alias("__total"),
+                            *[F.sum(n).over(Window.partitionBy(*gnames)).alias(n) for n in sums])
     if not gnames:
         # one row per partition: a proven size bound for the broadcast
         offsets = F.broadcast(offsets)
@@ -66,17 +83,20 @@ def row_index(df: DataFrame, order: Sequence, num_partitions: int | None = None,
         e = F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}"))
         cond = e if cond is None else cond & e
     out = ranged.alias("r").join(offsets.alias("o"), cond)
-    out = out.select("r.*", "o.__start", "o.__off", "o.__total")
-    return out.withColumn(index_col, F.col("__off") + F.col("__local") - F.col("__start")).withColumnRenamed(
+    out = out.select("r.*", "o.__start", "o.__off", "o.__total", *[f"o.{n}" for n in sums])
+    out = out.withColumn(index_col, F.col("__off") + F.col("__local") - F.col("__start")).withColumnRenamed(
         "__total", f"{index_col}_total").drop("__pid", "__local", "__off", "__start", *gnames)
+    return out, totals
 
 
 def to_batches(df: DataFrame, size: int, order: Sequence, tail: str = "none",
-               emit_empty: bool = True, num_partitions: int | None = None) -> DataFrame:
+               emit_empty: bool = True, num_partitions: int | None = None, payload: Sequence[Column] | None = None,
+               counters: dict[str, Column] | None = None) -> DataFrame:
     """DL-1..DL-4: rows in batches of ``size`` under ``order``.
 
     Output: ``batch_index int, is_last boolean, n_rows int, rows array<struct>``
-    with the rows in order. ``tail``:
+    with the rows in order. The structs hold all columns of ``df``, or those of ``payload``, so that the
+    order may use columns that are not sent, or that are sent as text. ``tail``:
 
     - ``'none'``  (DL-1) the last batch holding rows is the last one; with
       ``emit_empty`` an empty input gives one empty last batch (DL-2);
@@ -85,42 +105,70 @@ def to_batches(df: DataFrame, size: int, order: Sequence, tail: str = "none",
     - ``'trailer'`` (DL-4) all batches have ``is_last = false`` and an extra
       empty batch closes the run.
 
+    With ``counters`` (conditions per row) every batch also has ``total``, the rows of the run, and how
+    many of them meet each condition; they are counted with the index, not in a pass of their own.
+
     Every batch holds at most ``size`` rows, so ``collect_list`` is bounded.
     """
-    cols = df.columns
-    idx = row_index(df, order, num_partitions, "__i")
-    total = F.col("__i_total")
+    cols = list(payload) if payload is not None else [F.col(c) for c in df.columns]
+    names = {f"__c_{n}": n for n in counters or {}}
+    idx, totals = _indexed(df, order, num_partitions, "__i",
+                           sums={k: F.when(counters[n], 1).otherwise(0).cast("long") for k, n in names.items()})
     idx = idx.withColumn("batch_index", F.floor(F.col("__i") / size).cast("int")).withColumn(
         "__pos", (F.col("__i") % size).cast("int"))
     grouped = idx.groupBy("batch_index").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__pos"), *[F.col(c) for c in cols]))).alias("rows"),
-        F.first(total).alias("__total"))
+        F.array_sort(F.collect_list(F.struct(F.col("__pos"), *cols))).alias("rows"),
+        F.first("__i_total").alias("total"), *[F.first(k).alias(n) for k, n in names.items()])
     grouped = grouped.withColumn("rows", F.transform("rows", lambda s: s.dropFields("__pos")))
     rows_t = grouped.schema["rows"].dataType
     if tail == "trailer":
         is_last = F.lit(False)
     elif tail == "final":
-        is_last = F.col("batch_index") == F.floor(F.col("__total") / size)
+        is_last = F.col("batch_index") == F.floor(F.col("total") / size)
     else:
-        is_last = F.col("batch_index") == F.floor((F.col("__total") - 1) / size)
-    batches = grouped.select("batch_index", is_last.alias("is_last"), F.size("rows").alias("n_rows"), "rows")
-    # extra batches come from the total alone (one row), read from the
-    # checkpointed index rather than from the source again
-    total_df = idx.agg(F.count(F.lit(1)).alias("t"))
-    empty_rows = F.array().cast(rows_t)
-    extra = None
-    if tail == "trailer":
-        extra = total_df.select(F.ceil(F.col("t") / size).cast("int").alias("batch_index"), F.lit(True).alias("is_last"),
-                                F.lit(0).alias("n_rows"), empty_rows.alias("rows"))
-    elif tail == "final":
-        extra = total_df.filter(F.col("t") % size == 0).select(
-            F.floor(F.col("t") / size).cast("int").alias("batch_index"), F.lit(True).alias("is_last"),
-            F.lit(0).alias("n_rows"), empty_rows.alias("rows"))
-    elif emit_empty:
-        extra = total_df.filter(F.col("t") == 0).select(
-            F.lit(0).alias("batch_index"), F.lit(True).alias("is_last"), F.lit(0).alias("n_rows"),
-            empty_rows.alias("rows"))
-    return batches.unionByName(extra) if extra is not None else batches
+        is_last = F.col("batch_index") == F.floor((F.col("total") - 1) / size)
+    extras = ["total", *names.values()] if counters is not None else []
+    batches = grouped.select("batch_index", is_last.alias("is_last"), F.size("rows").alias("n_rows"), "rows", *extras)
+    # a closing batch without rows comes from the totals alone (one row)
+    t = F.col("total")
+    closing = {"trailer": (F.lit(True), F.ceil(t / size)), "final": (t % size == 0, F.floor(t / size)),
+               "none": (t == 0, F.lit(0))}[tail]
+    if tail == "none" and not emit_empty:
+        return batches
+    extra = totals.where(closing[0]).select(
+        closing[1].cast("int").alias("batch_index"), F.lit(True).alias("is_last"), F.lit(0).alias("n_rows"),
+        F.array().cast(rows_t).alias("rows"), *([F.col("total")] if extras else []), *[F.col(k).alias(n) for k, n in names.items()])
+    return batches.unionByName(extra)
+
+
+def bundle(lists: dict[str, tuple[DataFrame, Sequence, Sequence[Column]]], max_items: int) -> DataFrame:
+    """DL-5: one document with several row lists, as pages of at most ``max_items`` rows.
+
+    ``lists`` gives per name the rows, their order (unique, see ``row_index``) and the payload columns. The
+    lists follow one another under one numbering, so a page holds the end of one and the start of the next
+    where they meet: ``pagina``, ``paginas`` and one array column per list, in order, empty where the page
+    has none. Without any row there is one empty page. Positions come from the range-partitioned index of
+    each list, so no task holds a whole list.
+    """
+    placed = None
+    spark = next(iter(lists.values()))[0].sparkSession
+    types = {name: rows.select(F.struct(*payload).alias("s")).schema["s"].dataType for name, (rows, _, payload) in lists.items()}
+    total = 0
+    for name, (rows, order, payload) in lists.items():
+        idx, totals = _indexed(rows, order, None, "__i")
+        at = (F.col("__i") + F.lit(total)).alias("at")
+        part = idx.select(at, *[(F.struct(*payload) if n == name else F.lit(None).cast(types[n])).alias(n) for n in lists])
+        placed = part if placed is None else placed.unionByName(part)
+        total += totals.first()["total"]  # one number, from the per-partition counts
+    pages = max(1, -(-total // max_items))
+
+    def items(name: str) -> Column:
+        found = F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("at", F.col(name).alias("v")))))
+        return F.transform(found, lambda x: x["v"]).alias(name)
+    out = placed.groupBy(F.floor(F.col("at") / max_items).cast("int").alias("pagina")).agg(*[items(n) for n in lists])
+    if total == 0:
+        out = spark.range(1).select(F.lit(0).alias("pagina"), *[F.array().cast(T.ArrayType(types[n])).alias(n) for n in lists])
+    return out.select("pagina", F.lit(pages).alias("paginas"), *lists)
 
 
 def run_summary(df: DataFrame, counters: dict[str, Column]) -> DataFrame:
@@ -165,56 +213,80 @@ def _serialise_value(c: Column, dt: T.DataType, profile: str) -> Column:
     return c
 
 
-def serialise(df: DataFrame, profile: str) -> DataFrame:
-    """JS-1: turn typed columns into the JSON-ready values of a job profile (2.11)."""
+def serialised(df: DataFrame, profile: str, columns: Sequence[str] | None = None) -> list[Column]:
+    """JS-1: the JSON-ready values of a job profile (2.11) of the columns of ``df``, or of some of them."""
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}")
-    return df.select(*[_serialise_value(F.col(f.name), f.dataType, profile).alias(f.name)
-                       for f in df.schema.fields])
+    return [_serialise_value(F.col(c), df.schema[c].dataType, profile).alias(c) for c in columns or df.columns]
+
+
+def serialise(df: DataFrame, profile: str) -> DataFrame:
+    """JS-1: ``df`` with its columns as JSON-ready values."""
+    return df.select(*serialised(df, profile))
 
 
 # Fixed value: the warning on the final batch when windows failed.
 FAILED_WINDOWS = "{n} janela(s) falharam e serão refeitas no próximo sync"
 
 
-def with_envelope(batches: DataFrame, tail: str = "none", counters: dict | None = None,
-                  failed_windows: int = 0) -> DataFrame:
+def with_envelope(batches: DataFrame, tail: str = "none", failed_windows: int = 0) -> DataFrame:
     """DL-3/DL-4: the run fields of a delivery next to ``batch_index``, ``is_last`` and ``rows``.
 
-    ``'final'``: on the last batch ``final``, ``total`` (rows of all batches), the ``counters`` (functions
-    from a row to a condition, counted over all rows) and, if windows failed, ``aviso``; null elsewhere.
-    ``'trailer'``: ``batch_total``, -1 until the closing batch, there the number of batches. The totals are
-    one row, read from the batches themselves, whose rows are already materialised.
+    ``'final'``: on the last batch ``final``, the counts that ``to_batches`` was asked for and, if windows
+    failed, ``aviso``; null elsewhere. ``'trailer'``: ``batch_total``, -1 until the closing batch, there the
+    number of batches.
     """
     env = batches.select("batch_index", "is_last", "rows")
     if tail == "trailer":
         return env.withColumn("batch_total", F.when(F.col("is_last"), F.col("batch_index") + 1).otherwise(-1))
     if tail != "final":
         return env
-    found = batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"), *[
-        F.coalesce(F.sum(F.size(F.filter("rows", c))), F.lit(0)).alias(n) for n, c in (counters or {}).items()]).first()
-    env = env.withColumn("final", F.col("is_last"))
-    for name, value in found.asDict().items():
-        env = env.withColumn(name, F.when(F.col("is_last"), F.lit(int(value)).cast("long")))
+    counts = [c for c in batches.columns if c not in ("batch_index", "is_last", "n_rows", "rows")]
     warning = FAILED_WINDOWS.format(n=failed_windows) if failed_windows else None
-    return env.withColumn("aviso", F.when(F.col("is_last"), F.lit(warning)).cast("string"))
+    return batches.select("batch_index", "is_last", "rows", F.col("is_last").alias("final"),
+                          *[F.when(F.col("is_last"), F.col(c)).alias(c) for c in counts],
+                          F.when(F.col("is_last"), F.lit(warning)).cast("string").alias("aviso"))
+
+
+MANIFEST_DDL = "run string, started_at string, rows long, documents long, schema string"
 
 
-def write_batches(batches: DataFrame, path: str, started_at: str | None = None, mode: str = "overwrite") -> None:
-    """DL-7: write one JSON document per batch (the envelope of the reference) with every column that
-    ``with_envelope`` gave it."""
-    fields = [c for c in batches.columns if c not in ("batch_index", "is_last", "rows", "n_rows")]
-    env = batches.select(
-        *([F.lit(started_at).alias("started_at")] if started_at else []),
-        "batch_index", "is_last", *fields, "rows")
-    env.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_delivery(docs: DataFrame, path: str, started_at: str) -> int:
+    """DL-6, DL-7: write the documents of one run and commit them by a manifest row; returns the rows.
+
+    ``docs`` are envelopes (with ``rows``), one JSON document each, or one plain list (DL-6). Every run has
+    a folder of its own under ``path``; ``read_delivery`` reads the runs that the manifest names, with the
+    schema it names, so a broken or unfinished run is never seen and an empty one still has its columns.
+    """
+    spark = docs.sparkSession
+    seen = Observation()
+    batched = "rows" in docs.columns
+    rows = F.coalesce(F.sum(F.size("rows") if batched else F.lit(1)), F.lit(0)).cast("long")
+    if batched:
+        docs = docs.select(F.lit(started_at).alias("started_at"), *docs.columns)
+    run = uuid.uuid4().hex
+    observed = docs.observe(seen, rows.alias("rows"), F.count(F.lit(1)).alias("documents"))
+    observed.write.option("ignoreNullFields", "false").json(f"{path}/run={run}")
+    counts = seen.get
+    record = [(run, started_at, int(counts["rows"] or 0), int(counts["documents"]), docs.schema.json())]
+    spark.createDataFrame(record, MANIFEST_DDL).coalesce(1).write.mode("append").json(f"{path}/_manifest")
+    return record[0][2]
+
+
+def deliveries(spark: SparkSession, path: str) -> DataFrame:
+    """The committed runs of a delivery."""
+    return spark.read.schema(MANIFEST_DDL).json(f"{path}/_manifest")
+
+
+def read_delivery(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """The documents of a committed run, by default the one started last."""
+    runs = deliveries(spark, path)
+    found = (runs if run is None else runs.where(F.col("run") == run)).orderBy(F.desc("started_at"), "run").limit(1).collect()
+    if not found:
+        raise ValueError(f"no committed delivery in {path}")
+    return spark.read.schema(T.StructType.fromJson(json.loads(found[0]["schema"]))).json(f"{path}/run={found[0]['run']}")
 
 
 def clean_fields(df: DataFrame, cols) -> DataFrame:
     """JS-2: read the SAP date texts of ``cols`` with SC-17 (invalid -> NULL)."""
     return df.select(*[D.sap_date(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
-def write_rows(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
-    """DL-6: a single unbatched list is just the DataFrame written as it is."""
-    df.write.mode(mode).format(fmt).save(path)

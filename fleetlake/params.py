@@ -42,6 +42,15 @@ class Params:
     text_langs: tuple[str, ...] = ("P", "PT")
     # S-9 / PF-16 / PF-18: date texts compared as dates ('date') or as raw text ('text')
     date_mode: str = "date"
+    # S-8: Spark collation under which asset codes and report types of the yard and meter feeds are equal,
+    # as a MySQL collation may make them ("UTF8_LCASE_RTRIM", "UNICODE_CI_AI_RTRIM"); None compares bytes
+    collation: str | None = None
+    # S-14: newest reports per upper-trimmed code instead of per raw code
+    group_normalised: bool = False
+    # S-2: newest approval by date, then hours; otherwise hours first, as the reference sorts
+    approvals_date_first: bool = False
+    # S-11: 'collapse' gives one text per key, 'keep' one row per text, as plain joins on the text tables do
+    fanout: str = "collapse"
 
     def need(self, *names: str) -> None:
         """Raise unless every named parameter is set: an empty owner, branch or warehouse list would

@@ -1,68 +1,165 @@
-"""Delivery of the jobs: batch sizes, tails and value profiles of each job
-(SURVEY 2.10, 2.11), the requisition window counters and the run manifest."""
+"""Delivery of the jobs: batch sizes, tails, value profiles and row order of each job (SURVEY 2.6,
+2.10, 2.11), the windowed backfills and the run manifest."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
-from fleetlake.operators.backfill import run_jobs, window_counts
-from fleetlake.operators.batches import serialise, to_batches, with_envelope
+from fleetlake.operators.backfill import WindowedDelivery, run_jobs, window_counts
+from fleetlake.operators.batches import serialised, to_batches, with_envelope
 from fleetlake.params import Params
-from fleetlake.plans import orders, parts, purchasing, yard
-
-# Batch size, tail form and value profile per job.
-DELIVERY = {
-    "po_approval": (500, "none", "iso_float"),
-    "goods_receipt_status": (500, "none", "iso_float"),
-    "external_work_orders": (300, "none", "iso_float"),
-    "po_payment": (2000, "none", "iso_float"),
-    "purchase_history": (2000, "final", "text"),
-    "requisition_flow": (800, "final", "text"),
-    "parts_history": (500, "trailer", "text_isots"),
-}
+from fleetlake.plans import orders, parts, purchasing, reservations, yard
+
+Job = Callable[[dict[str, DataFrame], Params], DataFrame]
+
+
+def up(*names: str) -> list[Column]:
+    """Ascending as PostgreSQL sorts: NULLs last."""
+    return [F.col(n).asc_nulls_last() for n in names]
+
+
+def down(*names: str) -> list[Column]:
+    """Descending as PostgreSQL sorts: NULLs first."""
+    return [F.col(n).desc_nulls_first() for n in names]
+
 
-# SO-1/SO-2: presentation order is applied only at the sink, as the batch order
-ORDER = {
-    "po_approval": ["pedido"],
-    "goods_receipt_status": ["pedido_key"],
-    "external_work_orders": ["ordem"],
-    "po_payment": ["pedido"],
-    "purchase_history": ["janela", "pedido", "item_pc"],
-    "requisition_flow": ["num_rc", "item_rc"],
-    "parts_history": ["periodo", "ativo", "cod_sap"],
+@dataclass(frozen=True)
+class Batched:
+    """How a job is cut into batches. ``rows`` may have columns named ``_...`` that only sort."""
+
+    rows: Job
+    size: int
+    tail: str
+    profile: str
+    order: Callable[[], list[Column]]
+    counters: Callable[[], dict[str, Column]] = dict
+    columns: list[str] | None = None
+
+
+def has_order(name: str) -> Column:
+    """AG-18: the row has a PO."""
+    return F.coalesce(F.trim(F.col(name)), F.lit("")) != ""
+
+
+# Batch size, tail form, value profile and row order of the jobs sent in batches. The
+# order is that of the reference's query (SO-1, SO-2); the last columns only break ties. Receipts come
+# from MySQL, which sorts NULLs of a descending key last.
+BATCHED = {
+    "po_approval": Batched(purchasing.po_approval, 500, "none", "iso_float",
+                           lambda: [*down("hora_inicio", "hora_fim", "data_inicio"), *up("pedido")]),
+    "goods_receipt_status": Batched(
+        purchasing.goods_receipt_status, 500, "none", "iso_float",
+        lambda: [*up("status_migo"), F.col("data_do_recebimento_fisico").desc_nulls_last(), *up("pedido_key")]),
+    "external_work_orders": Batched(orders.external_work_orders_rows, 300, "none", "iso_float",
+                                    lambda: [*up("ativo"), *down("_aufnr"), *up("ordem")]),
+    "po_payment": Batched(purchasing.po_payment_rows, 2000, "none", "iso_float", lambda: up("_ebeln", "pedido")),
+    "purchase_history": Batched(purchasing.purchase_history_rows, 2000, "final", "text",
+                                lambda: up("janela", "_ebeln", "_ebelp", "pedido", "item_pc")),
+    "requisition_flow": Batched(purchasing.requisition_flow_with_window, 800, "final", "text",
+                                lambda: up("janela", "_banfn", "_ebeln", "_ebelp", "num_rc", "item_rc"),
+                                lambda: {"com_pedido": has_order("pedido")}, purchasing.RC_COLUMNS),
+    "parts_history": Batched(parts.parts_history, 500, "trailer", "text_isots", lambda: up("periodo", "ativo", "cod_sap")),
 }
 
-JOBS = {
-    "po_approval": purchasing.po_approval,
-    "goods_receipt_status": purchasing.goods_receipt_status,
-    "external_work_orders": orders.external_work_orders,
-    "po_payment": purchasing.po_payment,
-    "purchase_history": purchasing.purchase_history,
-    "requisition_flow": purchasing.requisition_flow,
-    "parts_history": parts.parts_history,
+
+@dataclass(frozen=True)
+class Listed:
+    """A job delivered as one list (DL-6): value profile and written order."""
+
+    rows: Job
+    profile: str
+    order: Callable[[], list[Column]]
+
+
+# Value profile and order of the jobs delivered as one list. Where the reference has no
+# ORDER BY (yard and meter feeds, picking lines) the order is by key, then time.
+LISTED = {
+    "yard_entries": Listed(yard.yard_entries, "br_offset", lambda: up(
+        "asset_no", "data_entrada", "filial", "situacao", "cliente", "horimetro", "equipamento", "marca", "modelo")),
+    "yard_events": Listed(yard.yard_events, "br_offset", lambda: up(
+        "asset_no", "ts", "tipo_relatorio", "filial", "situacao", "cliente", "horimetro", "descricao")),
+    "hourmeter": Listed(yard.hourmeter_merged, "br_offset", lambda: up("asset_no", *yard.VALID_COLS[1:], *yard.REJECTED_COLS)),
+    "work_orders": Listed(orders.work_order_enriched, "br_offset", lambda: up("ativo", "tipo_manutencao", "ordem")),
+    "work_order_operations": Listed(lambda t, p: orders.operations_of(orders.work_order_details(t, p)), "br_offset",
+                                    lambda: up("ativo", "_aufnr", "num_operacao")),
+    "equipment": Listed(yard.equipment, "br_offset", lambda: up("ativo", "descricao", "chassi", "local_instalacao")),
+    "order_supplies": Listed(orders.order_supplies, "br_offset", lambda: up("ativo", "ordem", "cod_sap")),
+    "picking_reservations": Listed(reservations.picking_reservations, "utc_offset", lambda: up(
+        "chave", "remessa", "data", "centro_custo", "descricao_ativo", "descr_material")),
 }
 
 
+def sent_columns(rows: DataFrame, columns: list[str] | None = None) -> list[str]:
+    """The columns that are delivered: those given, or all but the sorting ones."""
+    return columns or [c for c in rows.columns if not c.startswith("_")]
+
+
+def ordered_batches(rows: DataFrame, spec: Batched, counters: bool = False) -> DataFrame:
+    """Rows of a job in its batches and order, as values of its profile. The order is that of the typed
+    columns, not of their texts."""
+    payload = serialised(rows, spec.profile, sent_columns(rows, spec.columns))
+    return to_batches(rows, spec.size, spec.order(), tail=spec.tail, payload=payload, counters=spec.counters() if counters else None)
+
+
 def job_batches(name: str, t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """The batches a job delivers: its rows serialised with the job's profile,
-    cut into the job's batch size, in a unique order."""
-    size, tail, profile = DELIVERY[name]
-    df = JOBS[name](t, p)
-    order = ORDER[name]
-    payload = serialise(df.withColumn("__o", F.struct(*[F.col(c) for c in order])), profile)
-    b = to_batches(payload, size, ["__o"], tail=tail)
-    return b.withColumn("rows", F.transform("rows", lambda s: s.dropFields("__o")))
+    """The batches a job delivers."""
+    spec = BATCHED[name]
+    return ordered_batches(spec.rows(t, p), spec)
+
+
+def envelopes(rows: DataFrame, spec: Batched, failed_windows: int = 0) -> DataFrame:
+    """The batches of a job's rows with the run fields of its envelope (DL-3, DL-4)."""
+    return with_envelope(ordered_batches(rows, spec, counters=True), spec.tail, failed_windows)
+
+
+def job_envelopes(name: str, t: dict[str, DataFrame], p: Params) -> DataFrame:
+    spec = BATCHED[name]
+    return envelopes(spec.rows(t, p), spec)
+
+
+def listed_rows(rows: DataFrame, spec: Listed) -> DataFrame:
+    """DL-6: one list in its order, as values of its profile. A sort by range, so the files of the
+    written list follow one another in this order."""
+    return rows.orderBy(*spec.order()).select(*serialised(rows, spec.profile, sent_columns(rows)))
+
+
+def job_list(name: str, t: dict[str, DataFrame], p: Params) -> DataFrame:
+    spec = LISTED[name]
+    return listed_rows(spec.rows(t, p), spec)
+
+
+# --------------------------------------------------------------------- windowed jobs (BF-3)
+def requisition_windows(t: dict[str, DataFrame], p: Params, path: str) -> WindowedDelivery:
+    """J3 delivered window by window into ``path``: a window that fails is noted and the others go on."""
+    rows = K.require_keys(purchasing.requisition_rows(t, p), ["num_rc", "item_rc", "cod_sap"]).drop("janela")
+    return WindowedDelivery(rows.sparkSession, path, rows, "data_requisicao", purchasing.RC_KEY(),
+                            purchasing.RC_ORDER()[1:], p.rc_total_days, p.rc_step_days, p.as_of)
+
+
+def history_windows(t: dict[str, DataFrame], p: Params, path: str) -> WindowedDelivery:
+    """J2 delivered window by window into ``path``. Its looked-up columns are added to the delivered rows
+    (``purchasing.history_texts``)."""
+    rows = purchasing.history_items(t, p).drop("janela")
+    return WindowedDelivery(rows.sparkSession, path, rows, "data_emissao_pc",
+                            [F.col("pedido"), F.col("item_pc")], purchasing.HISTORY_ORDER(),
+                            p.hist_total_days, p.hist_step_days, p.as_of)
 
 
-# counters of the final batch: rows with a PO
-COUNTERS = {"requisition_flow": {"com_pedido": lambda r: F.coalesce(F.trim(r["pedido"]), F.lit("")) != ""}}
+def windowed_envelopes(name: str, t: dict[str, DataFrame], p: Params, windows: WindowedDelivery, run: str) -> DataFrame:
+    """The envelopes of a windowed run: the rows of the windows that were delivered, and a warning if
+    some were not."""
+    rows = windows.rows(run)
+    if name == "purchase_history":
+        rows = purchasing.history_texts(rows, t, p)
+    return envelopes(rows, BATCHED[name], windows.failed_windows(run))
 
 
-def job_envelopes(name: str, t: dict[str, DataFrame], p: Params, failed_windows: int = 0) -> DataFrame:
-    """The batches of a job with the run fields of its envelope (DL-3, DL-4)."""
-    return with_envelope(job_batches(name, t, p), DELIVERY[name][1], COUNTERS.get(name), failed_windows)
+WINDOWED = {"requisition_flow": requisition_windows, "purchase_history": history_windows}
 
 
 def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
@@ -78,13 +175,15 @@ def requisition_window_counts(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 
 def hourly_manifest(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """BF-4: the hourly yard block as independent jobs with a manifest row each."""
+    """BF-4: the hourly yard block as independent jobs with a manifest row each. The two work-order
+    lists share one run of the details."""
+    block = orders.WorkOrderBlock(t, p)
     return run_jobs(spark, {
         "yard_entries": lambda: yard.yard_entries(t, p),
         "yard_events": lambda: yard.yard_events(t, p),
         "hourmeter": lambda: yard.hourmeter_merged(t, p),
-        "work_orders": lambda: orders.work_order_enriched(t, p),
-        "work_order_operations": lambda: orders.work_order_operations(t, p),
+        "work_orders": block.rows,
+        "work_order_operations": block.operations,
         "equipment": lambda: yard.equipment(t, p),
         "order_supplies": lambda: orders.order_supplies(t, p),
     })

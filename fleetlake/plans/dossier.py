@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
 from fleetlake.operators.batches import row_index
+from fleetlake.operators.stored import store
 from fleetlake.params import Params
 
 
@@ -42,11 +43,26 @@ def _order_keys(ords: DataFrame) -> DataFrame:
     return ords.select("ativo", F.col("ordem").alias("okey")).filter(F.col("okey") != "").distinct()
 
 
-def purchase_items(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataFrame:
+def of_orders(rows: DataFrame, ords: DataFrame, variants: bool = False) -> DataFrame:
+    """Rows of a table with an order number ``aufnr``, for every asset that has the order: with ``ativo`` and
+    the normalised order key ``okey``.
+
+    S-18: by default orders meet on the normalised key. With ``variants`` they meet as in the reference,
+    on the raw text being one of the written forms of the order (SC-5): the forms are an inverted index,
+    each once per asset, and the join is an equi-join on the form, so that a row meets an asset once,
+    however many forms of its orders agree.
+    """
+    keyed = rows.withColumn("okey", K.strip_key(F.col("aufnr")))
+    if not variants:
+        return keyed.join(_order_keys(ords), "okey")
+    written = F.array_union(K.key_variants(F.col("aufnr_raw")), K.key_variants(F.col("ordem")))
+    forms = ords.select("ativo", F.explode(written).alias("form")).distinct()
+    return keyed.join(forms, F.col("aufnr") == F.col("form")).drop("form")
+
+
+def purchase_items(t: dict[str, DataFrame], p: Params, ords: DataFrame, variants: bool = False) -> DataFrame:
     ekkn, ekpo, ekko, lfa1 = t["ekkn"], t["ekpo"], t["ekko"], t["lfa1"]
-    n = ekkn.select(K.strip_key(F.col("aufnr")).alias("okey"), F.col("ebeln").alias("n_ebeln"),
-                    F.col("ebelp").alias("n_ebelp"))
-    n = n.join(_order_keys(ords), "okey")
+    n = of_orders(ekkn.select("aufnr", F.col("ebeln").alias("n_ebeln"), F.col("ebelp").alias("n_ebelp")), ords, variants).drop("aufnr")
     # JN-2: inner join on the composite PO item key
     x = n.join(ekpo, (F.col("n_ebeln") == ekpo.ebeln) & (F.col("n_ebelp") == ekpo.ebelp))
     x = x.join(ekko.select(F.col("ebeln").alias("k_ebeln"), "bedat", F.col("lifnr").alias("k_lifnr")),
@@ -62,8 +78,8 @@ def purchase_items(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataF
         F.nullif(K.strip_key(F.coalesce(F.col("banfn"), F.lit(""))), F.lit("")).alias("rc"))
 
 
-def reservations(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataFrame:
-    r = t["resb"].withColumn("okey", K.strip_key(F.col("aufnr"))).join(_order_keys(ords), "okey")
+def reservations(t: dict[str, DataFrame], p: Params, ords: DataFrame, variants: bool = False) -> DataFrame:
+    r = of_orders(t["resb"], ords, variants)
     return r.select(
         "ativo", F.col("okey").alias("ordem"), F.col("rsnum").alias("reserva"), F.col("rspos").alias("item"),
         K.strip_key(F.coalesce(F.col("matnr"), F.lit(""))).alias("cod_sap"), F.col("sgtxt").alias("descricao"),
@@ -72,8 +88,8 @@ def reservations(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataFra
         K.flag01(F.col("xloek")).alias("estornado"))
 
 
-def consumption(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataFrame:
-    m = t["mseg"].withColumn("okey", K.strip_key(F.col("aufnr"))).join(_order_keys(ords), "okey")
+def consumption(t: dict[str, DataFrame], p: Params, ords: DataFrame, variants: bool = False) -> DataFrame:
+    m = of_orders(t["mseg"], ords, variants)
     return m.select(
         "ativo", F.col("okey").alias("ordem"), F.col("mblnr").alias("doc"), F.col("bwart").cast("string").alias("mov"),
         F.col("budat_mkpf").alias("data"), K.strip_key(F.coalesce(F.col("matnr"), F.lit(""))).alias("cod_sap"),
@@ -81,23 +97,38 @@ def consumption(t: dict[str, DataFrame], p: Params, ords: DataFrame) -> DataFram
         F.col("dmbtr").alias("valor"))
 
 
-def material_texts(t: dict[str, DataFrame], p: Params, *sections: DataFrame) -> DataFrame:
-    """Texts (all P/PT rows) of the materials used in the sections (AG-20)."""
+def material_texts(t: dict[str, DataFrame], p: Params, *sections: DataFrame, variants: bool = False) -> DataFrame:
+    """Texts (all P/PT rows) of the materials used in the sections (AG-20). With ``variants`` a text belongs
+    to a material if its raw number is one of the material's written forms, also padded with blanks to
+    forty characters (SC-6)."""
     mats = None
     for s in sections:
         m = s.select("ativo", "cod_sap")
         mats = m if mats is None else mats.unionByName(m)
     mats = mats.filter(F.trim(F.col("cod_sap")) != "").distinct()
     makt = t["makt"].filter(F.col("spras").isin(*p.text_langs)).select(
-        K.strip_key(F.col("matnr")).alias("cod_sap"), "maktx")
-    return mats.join(makt, "cod_sap").select("ativo", "cod_sap", "maktx")
+        K.strip_key(F.col("matnr")).alias("cod_sap"), F.col("matnr"), "maktx")
+    if not variants:
+        return mats.join(makt, "cod_sap").select("ativo", "cod_sap", "maktx")
+    forms = mats.select("ativo", F.explode(K.material_variants(F.col("cod_sap"))).alias("form")).distinct()
+    return forms.join(makt, F.col("matnr") == F.col("form")).select("ativo", "cod_sap", "maktx")
 
 
-def asset_dossier(t: dict[str, DataFrame], p: Params, assets: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The five sections of the dossier, each keyed by asset."""
+def asset_dossier(t: dict[str, DataFrame], p: Params, assets: DataFrame | None = None, variants: bool = False) -> dict[str, DataFrame]:
+    """The five sections of the dossier, each keyed by asset; lazy. ``variants``: S-18."""
     o = orders(t, p, assets)
-    pe, re, co = purchase_items(t, p, o), reservations(t, p, o), consumption(t, p, o)
-    return {"ordens": o, "pedidos": pe, "reservas": re, "consumo": co, "makt": material_texts(t, p, pe, re, co)}
+    pe, re, co = (section(t, p, o, variants) for section in (purchase_items, reservations, consumption))
+    return {"ordens": o, "pedidos": pe, "reservas": re, "consumo": co, "makt": material_texts(t, p, pe, re, co, variants=variants)}
+
+
+def stored_dossier(t: dict[str, DataFrame], p: Params, assets: DataFrame | None = None, variants: bool = False) -> dict[str, DataFrame]:
+    """The sections for consumers that read all of them: orders and the three sections that the texts
+    follow from are written once to the shared folder, so that no section is computed twice."""
+    o = store(orders(t, p, assets), "dossier-orders")
+    found = {"ordens": o}
+    for name, section in (("pedidos", purchase_items), ("reservas", reservations), ("consumo", consumption)):
+        found[name] = store(section(t, p, o, variants), f"dossier-{name}")
+    return found | {"makt": material_texts(t, p, *list(found.values())[1:], variants=variants)}
 
 
 def section_counts(sections: dict[str, DataFrame], assets: DataFrame | None = None) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import logging
+import threading
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import dates as D
@@ -10,10 +13,13 @@ from fleetlake.functions import keys as K
 from fleetlake.functions import status as S
 from fleetlake.operators.dedup import best_per_key, first_per_key
 from fleetlake.operators.batches import clean_fields, run_summary
+from fleetlake.operators.stored import store
 from fleetlake.operators.lookups import enrich_header, semi, spread_nulls, text_lookup, with_salt
 from fleetlake.params import Params
 from fleetlake.functions.predicates import in_any, like_any, since
 
+log = logging.getLogger(__name__)
+
 
 def join_sorted(values: Column, sep: str, distinct: bool = False) -> Column:
     """AG-12/AG-13 as an aggregate: the values sorted, joined by ``sep``.
@@ -98,17 +104,20 @@ def work_order_details(t: dict[str, DataFrame], p: Params) -> DataFrame:
                    "arbid", "left")
     ops = ops.withColumnRenamed("vornr", "num_operacao").withColumnRenamed(
         "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h")
-    jest = t["jest"].filter(F.col("inact") == "")
-    tj02t = t["tj02t"].filter(F.col("spras").isin("P", "PT", "pt", "p"))
-    # status texts per object straight from the status table, so the operations
-    # are read once; an object that several operation rows share has its texts
-    # once per row (the reference aggregates after joining the operations)
-    st = (jest.join(tj02t, F.col("stat") == F.col("istat")).groupBy("objnr")
-          .agg(F.collect_list("txt04").alias("__texts")))
-    out = ops.join(st, "objnr", "left")
-    apart = F.when(F.col("objnr").isNull(), F.xxhash64("aufnr", "aplzl"))  # rows without an object stay apart
-    shared = F.count(F.lit(1)).over(Window.partitionBy(F.col("objnr"), apart))
-    out = out.withColumn("__texts", F.flatten(F.array_repeat("__texts", shared.cast("int"))))
+    # The texts of an object are aggregated after the operations are joined, as in the reference: an object
+    # that several operation rows share has its texts once per row. The rows of an object are gathered
+    # first (rows without one stay apart), so that only their statuses are read and the operations flow
+    # through once; join and grouping share the partitioning.
+    marks = t["jest"].filter(F.col("inact") == "").join(
+        t["tj02t"].filter(F.col("spras").isin("P", "PT", "pt", "p")), F.col("stat") == F.col("istat")).select(
+        F.col("objnr").alias("s_objnr"), "txt04")
+    apart = F.concat(F.lit("\u0000"), F.xxhash64("aufnr", "aplzl").cast("string"))
+    whole = F.struct(*[F.col(c) for c in ops.columns])
+    by_object = ops.groupBy(F.coalesce("objnr", apart).alias("__obj")).agg(F.collect_list(whole).alias("__rows"))
+    texts = by_object.join(marks, F.col("__obj") == F.col("s_objnr"), "left").groupBy("__obj").agg(
+        F.first("__rows").alias("__rows"), F.collect_list("txt04").alias("__texts"))
+    out = texts.withColumn("__n", F.size("__rows")).select("__n", "__texts", F.inline("__rows"))
+    out = out.withColumn("__texts", F.flatten(F.array_repeat("__texts", F.col("__n"))))
     out = out.withColumn("status_operacao", F.when(F.size("__texts") > 0, F.array_join(F.array_sort("__texts"), " ")))
     return out.select(
         F.col("equnr").alias("ativo"), K.strip_zeros(F.col("aufnr")).alias("ordem"), "tipo_manutencao",
@@ -130,25 +139,36 @@ def _detail_tie() -> list[Column]:
 
 HEADER_EXTRA = ["descricao_os", "centro_trabalho_responsavel", "data_inicio_programada", "data_fim_programada",
                 "data_liberacao", "autor_os"]
+OPERATION_DDL = ("ativo string, ordem string, num_operacao string, descricao_operacao string, centro_trabalho_operacao string, "
+                 "tempo_previsto_h decimal(7,1), status_operacao string, _aufnr string")
 DETAIL_SOURCES = ("aufk", "afih", "crhd", "afko", "afvc", "afvv", "jest", "tj02t")
 # SAP date fields cleaned in the work-order payload (JS-2).
 SAP_DATE_FIELDS = ("data_criacao", "data_inicio_programada", "data_fim_programada", "data_liberacao")
 
 
-def work_order_operations(t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """J11 ``operacoes``: distinct (asset, order, operation), first row wins (AG-9)."""
-    d = work_order_details(t, p)
-    k = d.select(K.py_strip(F.coalesce(F.col("ativo"), F.lit(""))).alias("k_ativo"),
-                 K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))).alias("k_ordem"),
-                 K.py_strip(F.coalesce(F.col("num_operacao").cast("string"), F.lit(""))).alias("k_op"),
-                 "*").filter((F.col("k_ativo") != "") & (F.col("k_ordem") != "") & (F.col("k_op") != ""))
+def _trimmed(c: str) -> Column:
+    return K.py_strip(F.coalesce(F.col(c).cast("string"), F.lit("")))
+
+
+def operations_of(details: DataFrame) -> DataFrame:
+    """J11 ``operacoes``: distinct (asset, order, operation), first row wins (AG-9); with the raw order
+    number that they sort by."""
+    k = details.select(_trimmed("ativo").alias("k_ativo"), _trimmed("ordem").alias("k_ordem"),
+                       _trimmed("num_operacao").alias("k_op"), "*").filter(
+        (F.col("k_ativo") != "") & (F.col("k_ordem") != "") & (F.col("k_op") != ""))
     best = first_per_key(k, ["k_ativo", "k_ordem", "k_op"], _detail_order(), _detail_tie())
     return best.select(F.col("k_ativo").alias("ativo"), F.col("k_ordem").alias("ordem"),
                        F.col("k_op").alias("num_operacao"), "descricao_operacao", "centro_trabalho_operacao",
-                       "tempo_previsto_h", "status_operacao")
+                       "tempo_previsto_h", "status_operacao", "_aufnr")
 
 
-def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
+def without_headers(rows: DataFrame) -> DataFrame:
+    """BF-4: the details are optional; without them the rows go out with empty header fields."""
+    return rows.select("*", *[F.lit(None).cast("date" if c.startswith("data_") else "string").alias(c)
+                              for c in HEADER_EXTRA])
+
+
+def with_headers(rows: DataFrame, details: DataFrame) -> DataFrame:
     """J11 ``rows`` with header fields of the details query (JN-18).
 
     Per (asset, order), trimmed, the first details row gives the extra
@@ -156,23 +176,69 @@ def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
     from different sources, so only rows where both chose the same order are
     enriched. SAP date fields are read with SC-17 (JS-2).
     """
-    rows = work_orders_latest(t, p)
-    if any(n not in t for n in DETAIL_SOURCES):
-        # BF-4: the details query is optional; without it the rows go out as they are
-        return rows.select("*", *[F.lit(None).cast("date" if c.startswith("data_") else "string").alias(c)
-                                  for c in HEADER_EXTRA])
-    d = work_order_details(t, p)
-    d = d.withColumn("k_ativo", K.py_strip(F.coalesce(F.col("ativo"), F.lit("")))).withColumn(
-        "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))
+    d = details.withColumn("k_ativo", _trimmed("ativo")).withColumn("k_ordem", _trimmed("ordem"))
     d = d.filter((F.col("k_ativo") != "") & (F.col("k_ordem") != ""))
     hdr = first_per_key(d, ["k_ativo", "k_ordem"], _detail_order(), _detail_tie()).select(
         "k_ativo", "k_ordem", *HEADER_EXTRA)
     hdr = clean_fields(hdr, SAP_DATE_FIELDS)
-    r = rows.withColumn("k_ativo", K.py_strip(F.coalesce(F.col("ativo"), F.lit("")))).withColumn(
-        "k_ordem", K.py_strip(F.coalesce(F.col("ordem"), F.lit(""))))
+    r = rows.withColumn("k_ativo", _trimmed("ativo")).withColumn("k_ordem", _trimmed("ordem"))
     return enrich_header(r, hdr, ["k_ativo", "k_ordem"], HEADER_EXTRA).drop("k_ativo", "k_ordem")
 
 
+def work_order_operations(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J11 ``operacoes`` by themselves."""
+    return operations_of(work_order_details(t, p)).drop("_aufnr")
+
+
+def work_order_enriched(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J11 ``rows`` by themselves; without the details sources their header fields are empty (BF-4)."""
+    rows = work_orders_latest(t, p)
+    if any(n not in t for n in DETAIL_SOURCES):
+        return without_headers(rows)
+    return with_headers(rows, work_order_details(t, p))
+
+
+class WorkOrderBlock:
+    """J11 as the hourly run delivers it: ``rows`` and ``operacoes`` from one run of the details (BF-4).
+
+    The details are written once to the session's shared folder, the only place where they run, and
+    both lists read them from there. If a source is missing or that run fails, ``error`` says why,
+    ``rows`` go out with empty header fields and ``operacoes`` are empty. Safe to use from several threads.
+    """
+
+    def __init__(self, t: dict[str, DataFrame], p: Params):
+        self._t, self._p = t, p
+        self._lock = threading.Lock()
+        self._tried = False
+        self._details: DataFrame | None = None
+        self.error: str | None = None
+
+    def details(self) -> DataFrame | None:
+        with self._lock:
+            if not self._tried:
+                self._tried = True
+                lacking = [n for n in DETAIL_SOURCES if n not in self._t]
+                try:
+                    if lacking:
+                        raise KeyError("missing sources: " + ", ".join(lacking))
+                    self._details = store(work_order_details(self._t, self._p), "details")
+                except Exception as e:  # noqa: BLE001 - the details are optional, whatever breaks them
+                    self.error = (str(e).strip("' \n") or repr(e)).splitlines()[0]
+                    log.warning("work order details left out: %s", self.error)
+            return self._details
+
+    def rows(self) -> DataFrame:
+        rows, details = work_orders_latest(self._t, self._p), self.details()
+        return without_headers(rows) if details is None else with_headers(rows, details)
+
+    def operations(self) -> DataFrame:
+        details = self.details()
+        if details is None:
+            spark = next(iter(self._t.values())).sparkSession
+            return spark.createDataFrame([], OPERATION_DDL)
+        return operations_of(details)
+
+
 # --------------------------------------------------------------------- J6
 EWO_HEADER = ["ordem", "ativo", "situacao_os", "status_usuario", "status_usuario_desc", "status_sistema",
               "tipo_manutencao", "tipo_manutencao_real", "descricao_os", "criticidade", "desc_prioridade", "priok",
@@ -255,13 +321,16 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.max("gstrp").alias("data_inicio_programada"), F.max("gltrp").alias("data_fim_programada"),
         F.max("gstri").alias("data_inicio_real"), F.max("getri").alias("data_fim_real"),
         F.max("aufpl").alias("aufpl"))
-    ops = x.join(t["afvc"].select("aufpl", "aplzl", "vornr", "ltxa1", "arbid"), "aufpl", "left")
-    ops = ops.join(t["afvv"], ["aufpl", "aplzl"], "left")
-    ops = ops.join(crhd.select(F.col("objid").alias("arbid"), F.col("arbpl").alias("centro_trabalho_operacao")),
-                   "arbid", "left")
+    # orders without a plan, and so without operation and work centre, carry NULL keys: spread them
+    x = with_salt(x, ["aufnr"])
+    afvc = t["afvc"].select(F.col("aufpl").alias("c_aufpl"), "aplzl", "vornr", "ltxa1", "arbid")
+    afvv = t["afvv"].select(F.col("aufpl").alias("v_aufpl"), F.col("aplzl").alias("v_aplzl"), "arbei")
+    place = crhd.select(F.col("objid").alias("c_objid"), F.col("arbpl").alias("centro_trabalho_operacao"))
+    ops = x.join(afvc, spread_nulls("aufpl") == F.col("c_aufpl"), "left")
+    ops = ops.join(afvv, (spread_nulls("c_aufpl") == F.col("v_aufpl")) & (F.col("aplzl") == F.col("v_aplzl")), "left")
+    ops = ops.join(place, spread_nulls("arbid") == F.col("c_objid"), "left")
     ops = ops.withColumnRenamed("vornr", "num_operacao").withColumnRenamed(
-        "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h").drop(
-        "aplzl", "arbid", "aufpl")
+        "ltxa1", "descricao_operacao").withColumnRenamed("arbei", "tempo_previsto_h")
     so = order_status_texts(t, base)
     rows = ops.join(so, F.trim(F.col("objnr")) == F.col("so_objnr"), "left")
     return rows.select(
@@ -274,7 +343,12 @@ def external_order_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
 
 
 def external_work_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """One row per external work order with its operations nested.
+    """J6 as delivered: one row per external work order with its operations nested."""
+    return external_work_orders_rows(t, p).drop("_aufnr")
+
+
+def external_work_orders_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J6 with the raw order number that it sorts by.
 
     Flat rows are grouped per zero-stripped order (AG-16). Header fields come
     from the first row under the reference's order (asset, order number
@@ -299,7 +373,7 @@ def external_work_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
         F.col("num_operacao").isNull(), F.col("num_operacao"),
         *[c for n in ("descricao_operacao", "centro_trabalho_operacao", "tempo_previsto_h")
           for c in (F.col(n).isNull(), F.col(n))])
-    header = F.struct(*[F.col(c) for c in EWO_ROW_HEADER])
+    header = F.struct(*[F.col(c) for c in EWO_ROW_HEADER], F.col("_aufnr"))
     op = F.struct(*[F.col(c) for c in OP_FIELDS[1:]])
 
     def nb(c):
@@ -335,7 +409,7 @@ def external_work_orders(t: dict[str, DataFrame], p: Params) -> DataFrame:
                  F.lit("")).alias("cod_responsavel"),
         "h.responsavel", "h.autor_os", "h.data_criacao", "h.data_liberacao", "h.data_inicio_programada",
         "h.data_fim_programada", "h.data_inicio_real", "h.data_fim_real", "h.data_enc_tecnico",
-        "h.data_enc_comercial", "operacoes")
+        "h.data_enc_comercial", "operacoes", "h._aufnr")
 
 
 def external_work_orders_flat(t: dict[str, DataFrame], p: Params) -> DataFrame:

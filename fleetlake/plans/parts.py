@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fleetlake.functions import dates as D
 from fleetlake.functions import keys as K
-from fleetlake.operators.lookups import salted_join, text_lookup
+from fleetlake.operators.lookups import agg_lookup, salted_join
 from fleetlake.functions.predicates import year_range
 from fleetlake.params import Params
 
@@ -57,14 +57,24 @@ def _in_periods(rows: DataFrame, p: Params) -> DataFrame:
 
 
 def _with_texts(g: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """Asset text, component text and material group, one value per key (S-11 collapse)."""
-    eqkt, makt, mara = t["eqkt"], t["makt"], t["mara"]
-    g = text_lookup(g, eqkt, F.col("ativo"), K.strip_key(eqkt.equnr), "eqktx", "descricao_ativo",
-                    langs=p.text_langs, name="eq")
-    g = text_lookup(g, makt, F.col("cod_sap"), K.strip_key(makt.matnr), "maktx", "descricao_componente",
-                    langs=p.text_langs, name="mk")
-    g = text_lookup(g, mara, F.col("cod_sap"), K.strip_key(mara.matnr), "matkl", "grupo_mercadoria",
-                    lang_col=None, name="ma")
+    """Asset text, component text and material group, one value per key (S-11).
+
+    The reference joins the text tables before it sums, so that every further text of a key counts the
+    quantity again. With ``fanout='keep'`` the totals are those: the texts are counted per key and the
+    sum is taken that many times, without multiplying any row.
+    """
+    lookups = [("eqkt", "ativo", "equnr", "eqktx", "descricao_ativo", True), ("makt", "cod_sap", "matnr", "maktx", "descricao_componente", True),
+               ("mara", "cod_sap", "matnr", "matkl", "grupo_mercadoria", False)]
+    for table, own, key, text, out, by_language in lookups:
+        texts = t[table]
+        g = agg_lookup(g, texts, [F.col(own)], [K.strip_key(texts[key])],
+                       [F.max(text).alias(out), F.count(F.lit(1)).alias(f"__n_{table}")],
+                       F.col("spras").isin(*p.text_langs) if by_language else None, table)
+    if p.fanout == "keep":
+        times = F.lit(1)
+        for table, *_ in lookups:
+            times = times * F.greatest(F.coalesce(F.col(f"__n_{table}"), F.lit(1)), F.lit(1))
+        g = g.withColumn("qtd_total", (F.col("qtd_total") * times).cast(g.schema["qtd_total"].dataType))
     return g
 
 

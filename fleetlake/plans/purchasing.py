@@ -33,8 +33,8 @@ def py_key(c) -> Column:
 
 
 # --------------------------------------------------------------------- J7
-def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
-    """Payment status per purchase order (one row per stripped PO).
+def po_payment_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """Payment status per purchase order (one row per stripped PO), with the raw PO it sorts by.
 
     PO items of owned headers, looked up against type-2 (invoice receipt)
     history rows; a PO is paid when any of its items has one (AG-5, CL-5).
@@ -49,8 +49,14 @@ def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
                        [F.lit(True).alias("has_invoice")], where=inv.vgabe == "2", name="inv")
     out = (items.withColumn("pedido", py_key("ebeln"))
            .filter(F.col("pedido") != "")
-           .groupBy("pedido").agg(any_match(F.col("has_invoice")).alias("paid")))  # AG-6: group on the derived key
-    return out.select("pedido", S.payment_status(F.col("paid")).alias("status_pagamento"))
+           .groupBy("pedido").agg(any_match(F.col("has_invoice")).alias("paid"),  # AG-6: group on the derived key
+                                  F.min("ebeln").alias("_ebeln")))
+    return out.select("pedido", S.payment_status(F.col("paid")).alias("status_pagamento"), "_ebeln")
+
+
+def po_payment(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J7 as delivered, one row per stripped PO."""
+    return po_payment_rows(t, p).drop("_ebeln")
 
 
 # --------------------------------------------------------------------- J1
@@ -75,8 +81,8 @@ def po_approval(t: dict[str, DataFrame], p: Params) -> DataFrame:
     )
     rows = rows.withColumn("pedido", F.ltrim(K.py_strip(F.coalesce("pedido_raw", F.lit(""))), F.lit("0")))
     rows = rows.filter(F.col("pedido") != "")
-    order = [F.col("hora_inicio").desc_nulls_first(), F.col("hora_fim").desc_nulls_first(),
-             F.col("data_inicio").desc_nulls_first()]
+    hours, day = ["hora_inicio", "hora_fim"], ["data_inicio"]
+    order = [F.col(c).desc_nulls_first() for c in (day + hours if p.approvals_date_first else hours + day)]
     tie = [F.col(c).asc_nulls_last() for c in ("pedido_raw", "aprovador", "status_raw", "data_final")]
     best = first_per_key(rows, "pedido", order, tie)
     return best.select("pedido", "aprovador", "data_inicio", "hora_inicio", "hora_fim",
@@ -107,60 +113,63 @@ def goods_receipt_status(t: dict[str, DataFrame], p: Params) -> DataFrame:
         "pedido", "pedido_key", "requisicao", "data_do_recebimento_fisico", "status_migo")
 
 
-# --------------------------------------------------------------------- shared
-def date_in_range(c, total_days: int, as_of, mode: str = "date") -> Column:
-    """PF-16/PF-17 over the whole backfill range: ``as_of - total_days .. as_of``."""
-    return PR.between_days(c, total_days, 0, as_of, mode)
-
-
 # --------------------------------------------------------------------- J2
-def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None) -> DataFrame:
-    """PO items of the last ``hist_total_days`` days, first window wins.
-
-    The reference runs one query per 30-day window, oldest first, and keeps
-    the first row per (PO, item). Here the whole range is read once, each
-    row gets the oldest window holding its PO date (BF-1), and one
-    ``first_per_key`` over (PO, item) does the seen-set dedup (AG-10, S-17).
-    Delivery date is the earliest schedule line, the text the max of the
-    P/PT material texts (JN-10, JN-19).
-    """
+def history_items(t: dict[str, DataFrame], p: Params, mode: str | None = None) -> DataFrame:
+    """J2 before the dedup: kept PO items of the range with window and keys, without the looked-up columns."""
     mode = mode or p.date_mode
     ekpo, ekko = t["ekpo"].alias("p"), t["ekko"].alias("k")
     base = ekpo.join(ekko, F.col("p.ebeln") == F.col("k.ebeln"), "inner").filter(
-        date_in_range(F.col("k.bedat"), p.hist_total_days, p.as_of, mode)
+        PR.between_days(F.col("k.bedat"), p.hist_total_days, 0, p.as_of, mode)
         & PR.not_flag(F.col("p.loekz"), "L")
         & (K.strip_key(F.coalesce(F.col("p.matnr"), F.lit(""))) != "")
         & (F.coalesce(F.col("p.netpr"), F.lit(0)) > 0))  # PF-14
-    base = base.select(
-        F.col("p.ebeln").alias("ebeln"), F.col("p.ebelp").alias("ebelp"), F.col("p.matnr").alias("matnr"),
-        F.col("p.txz01").alias("txz01"), F.col("k.lifnr").alias("lifnr"), F.col("k.bedat").alias("bedat"),
-        F.col("p.menge").alias("qtd"), F.col("p.netpr").alias("vlr_unit"), F.col("p.netwr").alias("vlr_total"))
+    rows = base.select(
+        K.strip_key(F.col("p.ebeln")).alias("pedido"), K.as_text(F.col("p.ebelp")).alias("item_pc"),
+        K.strip_key(F.col("p.matnr")).alias("cod_sap"), F.col("p.txz01").alias("txz01"), F.col("k.lifnr").alias("lifnr"),
+        F.col("k.bedat").alias("data_emissao_pc"), F.col("p.menge").alias("qtd"), F.col("p.netpr").alias("vlr_unit"),
+        F.col("p.netwr").alias("vlr_total"),
+        D.first_window_index(D.sap_date(F.col("k.bedat")), p.hist_total_days, p.hist_step_days, p.as_of).alias("janela"),
+        F.col("p.ebeln").alias("_ebeln"), F.col("p.ebelp").alias("_ebelp"), F.col("p.matnr").alias("_matnr"))
+    return K.require_keys(rows, ["pedido", "item_pc", "cod_sap"])
+
+
+# Seen-set order of J2 within a window: the raw PO, then its item (S-3).
+def HISTORY_ORDER() -> list[Column]:
+    return [F.col("_ebeln").asc_nulls_last(), F.col("_ebelp").asc_nulls_last(), F.col("cod_sap").asc_nulls_last()]
+
+
+def history_texts(items: DataFrame, t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """J2 columns that are looked up: vendor, earliest schedule line (JN-10), material text (JN-19)."""
     vend = t["lfa1"].select(F.col("lifnr").alias("v_lifnr"), F.col("name1"))
-    base = base.join(vend, base.lifnr == vend.v_lifnr, "left").drop("v_lifnr")
-    eket = t["eket"]
-    base = agg_lookup(base, eket, [F.col("ebeln"), F.col("ebelp")], [eket.ebeln, eket.ebelp],
+    base = items.join(vend, items.lifnr == vend.v_lifnr, "left").drop("v_lifnr")
+    eket, makt = t["eket"], t["makt"]
+    base = agg_lookup(base, eket, [F.col("_ebeln"), F.col("_ebelp")], [eket.ebeln, eket.ebelp],
                       [F.min("eindt").alias("data_remessa_pc")], name="sch")
-    makt = t["makt"]
-    base = text_lookup(base, makt, F.col("matnr"), makt.matnr, "maktx", "maktx", langs=p.text_langs, name="mk")
-    rows = base.select(
-        K.strip_key(F.col("ebeln")).alias("pedido"),
-        K.as_text(F.col("ebelp")).alias("item_pc"),
-        K.strip_key(F.col("matnr")).alias("cod_sap"),
-        F.coalesce(F.col("maktx"), F.col("txz01")).alias("descricao"),
+    base = text_lookup(base, makt, F.col("_matnr"), makt.matnr, "maktx", "maktx", langs=p.text_langs, name="mk")
+    return base.select(
+        "pedido", "item_pc", "cod_sap", F.coalesce(F.col("maktx"), F.col("txz01")).alias("descricao"),
         K.strip_key_or_null(F.coalesce(F.col("lifnr"), F.lit(""))).alias("fornecedor_cod"),
-        F.col("name1").alias("fornecedor_nome"),
-        F.col("bedat").alias("data_emissao_pc"),
-        F.col("data_remessa_pc"),
-        "qtd", "vlr_unit", "vlr_total",
-        D.first_window_index(D.sap_date(F.col("bedat")), p.hist_total_days, p.hist_step_days,
-                             p.as_of).alias("janela"),
-        F.col("ebeln").alias("_ebeln"), F.col("ebelp").alias("_ebelp"),
-    )
-    rows = K.require_keys(rows, ["pedido", "item_pc", "cod_sap"])
-    best = first_per_key(rows, ["pedido", "item_pc"],
-                         [F.col("janela").asc_nulls_last(), F.col("_ebeln").asc_nulls_last()],
-                         [F.col("_ebelp").asc_nulls_last(), F.col("cod_sap").asc_nulls_last()])
-    return best.drop("_ebeln", "_ebelp")
+        F.col("name1").alias("fornecedor_nome"), "data_emissao_pc", "data_remessa_pc", "qtd", "vlr_unit", "vlr_total", "janela",
+        "_ebeln", "_ebelp")
+
+
+def purchase_history_rows(t: dict[str, DataFrame], p: Params, mode: str | None = None) -> DataFrame:
+    """PO items of the last ``hist_total_days`` days, first window wins; with the raw keys it sorts by.
+
+    The reference runs one query per 30-day window, oldest first, and keeps
+    the first row per (PO, item). Here the whole range is read once, each
+    row gets the oldest window holding its PO date (BF-1), and one
+    ``first_per_key`` over (PO, item) does the seen-set dedup (AG-10, S-17).
+    Its order needs no looked-up column, so vendor, schedule and text are
+    looked up for the kept rows only.
+    """
+    best = first_per_key(history_items(t, p, mode), ["pedido", "item_pc"], [F.col("janela").asc_nulls_last()], HISTORY_ORDER())
+    return history_texts(best, t, p)
+
+
+def purchase_history(t: dict[str, DataFrame], p: Params, mode: str | None = None) -> DataFrame:
+    """J2 as delivered."""
+    return purchase_history_rows(t, p, mode).drop("_ebeln", "_ebelp")
 
 
 # --------------------------------------------------------------------- J3
@@ -172,7 +181,7 @@ RC_COLUMNS = ["ativo", "ordem", "cod_sap", "descricao", "qtd_req", "pedido", "nu
 
 def requisition_rows(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J3 before the dedup: requisition items with their PO, lookups and status."""
-    e = t["eban"].filter(date_in_range(F.col("badat"), p.rc_total_days, p.as_of, "date")
+    e = t["eban"].filter(PR.between_days(F.col("badat"), p.rc_total_days, 0, p.as_of)
                          & (K.strip_key(F.col("matnr")) != "")).alias("e")
     po = t["ekpo"].select(*[F.col(c).alias(f"p_{c}") for c in t["ekpo"].columns])
     hd = t["ekko"].select(*[F.col(c).alias(f"k_{c}") for c in t["ekko"].columns])

@@ -127,12 +127,12 @@ def order_headers(t: dict[str, DataFrame], p: Params, lines: DataFrame) -> DataF
         else:
             pm_sel.append(F.col(c))
     pmx = pm.select(*pm_sel)
-    h = h.join(pmx, K.as_long(F.col("k_aufnr")) == K.as_long(F.col("pm_n_ordem")), "left")
+    h = h.join(pmx, spread_nulls(K.as_long(F.col("k_aufnr")).cast("string")) == K.as_long(F.col("pm_n_ordem")).cast("string"), "left")
     u = users(t)
     u1 = u.select(F.col("bname_chave").alias("u1_b"), F.col("nome_usuario").alias("nome_criador_reserva"))
     u2 = u.select(F.col("bname_chave").alias("u2_b"), F.col("nome_usuario").alias("nome_ult_mod_reserva"))
-    h = h.join(u1, F.trim(F.col("usnam")) == F.col("u1_b"), "left")
-    h = h.join(u2, F.trim(F.col("lastchangedbyuser")) == F.col("u2_b"), "left")
+    h = h.join(u1, spread_nulls(F.trim(F.col("usnam"))) == F.col("u1_b"), "left")
+    h = h.join(u2, spread_nulls(F.trim(F.col("lastchangedbyuser"))) == F.col("u2_b"), "left")
     return h
 
 

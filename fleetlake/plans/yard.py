@@ -6,10 +6,11 @@ Source tables: ``uca_yard`` (yard entry/exit reports), ``hourmeter`` and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions import keys as K
+from fleetlake.functions._util import as_col
 from fleetlake.functions.predicates import like_any
 from fleetlake.operators.dedup import first_per_key, latest_per_key
 from fleetlake.operators.lookups import semi
@@ -19,6 +20,18 @@ from fleetlake.params import Params
 YARD_REPORT_TYPES = ("Entrada", "Saída", "Saida")
 
 
+def compared(c, p: Params) -> Column:
+    """S-8: a text that is compared as the source's collation compares it. Without ``p.collation`` the bytes
+    decide; with one, Spark's hash partitioning, windows, joins and IN lists follow it as well."""
+    col = as_col(c)
+    return F.collate(col, p.collation) if p.collation else col
+
+
+def asset_code(c: str, p: Params) -> Column:
+    """S-14: what "newest per asset" groups on: the raw code, or the upper-trimmed one."""
+    return compared(K.norm_code(c) if p.group_normalised else c, p)
+
+
 # --------------------------------------------------------------------- J8
 def yard_entries(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """Assets whose newest yard report is an entry at a branch.
@@ -28,11 +41,10 @@ def yard_entries(t: dict[str, DataFrame], p: Params) -> DataFrame:
     type and branch are tested (S-13), so an asset that later left does not
     show. The key is the raw code, the output code is upper-trimmed (S-14).
     """
-    # S-8: codes are compared binary after upper(trim()); the source collation is unknown
     p.need("yard_branches")
     u = t["uca_yard"].filter(F.col("asset_no").isNotNull())
-    newest = latest_per_key(u, "asset_no", "created_at_form", ties="all")
-    newest = newest.filter((F.col("tipo_relatorio") == "Entrada") & like_any("filial", p.yard_branches))
+    newest = latest_per_key(u, asset_code("asset_no", p), "created_at_form", ties="all")
+    newest = newest.filter((compared("tipo_relatorio", p) == "Entrada") & like_any(compared("filial", p), p.yard_branches))
     return newest.select(
         K.norm_code("asset_no").alias("asset_no"),
         F.col("tipo_equipamento").alias("equipamento"),
@@ -52,11 +64,12 @@ def yard_events(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """
     p.need("yard_branches")
     u = t["uca_yard"]
-    seen = u.filter(like_any("filial", p.yard_branches)).select(K.norm_code("asset_no").alias("k")).distinct()
+    code = compared(K.norm_code("asset_no"), p)
+    seen = u.filter(like_any(compared("filial", p), p.yard_branches)).select(code.alias("k")).distinct()
     rows = u.filter(F.col("asset_no").isNotNull() & (F.col("asset_no") != "")
                     & F.col("created_at_form").isNotNull()
-                    & F.col("tipo_relatorio").isin(*YARD_REPORT_TYPES))
-    rows = semi(rows, seen, [K.norm_code("asset_no")], [F.col("k")])
+                    & compared("tipo_relatorio", p).isin(*YARD_REPORT_TYPES))
+    rows = semi(rows, seen, [code], [F.col("k")])
     return rows.select(
         K.norm_code("asset_no").alias("asset_no"), "tipo_relatorio", F.col("created_at_form").alias("ts"),
         "filial", "cliente", "situacao", "horimetro", F.col("tipo_equipamento").alias("descricao"))
@@ -75,7 +88,7 @@ def hourmeter_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
     The meter is the equipment meter, else the panel meter (SC-9).
     """
     h = t["hourmeter"].filter(F.col("asset_code").isNotNull() & (F.col("asset_code") != ""))
-    newest = latest_per_key(h, "asset_code", "event_datetime", ties="all")
+    newest = latest_per_key(h, asset_code("asset_code", p), "event_datetime", ties="all")
     return newest.select(
         K.norm_code("asset_code").alias("asset_no"),
         F.col("event_datetime").alias("data_comunicacao"),
@@ -87,7 +100,7 @@ def hourmeter_latest(t: dict[str, DataFrame], p: Params) -> DataFrame:
 def hourmeter_rejected(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """J10 rejected feed: newest rejected reading per raw code, ties kept."""
     h = t["hourmeter_invalid"].filter(F.col("asset_code").isNotNull() & (F.col("asset_code") != ""))
-    newest = latest_per_key(h, "asset_code", "event_datetime", ties="all")
+    newest = latest_per_key(h, asset_code("asset_code", p), "event_datetime", ties="all")
     return newest.select(
         K.norm_code("asset_code").alias("asset_no"),
         F.col("event_datetime").alias("comunicacao_rastreador_em"),

@@ -5,7 +5,6 @@ import datetime as dt
 from decimal import Decimal
 
 from fleetlake.functions.keys import require_keys
-from fleetlake.operators.backfill import write_windows
 from fleetlake.operators.batches import clean_fields
 from fleetlake.params import Params
 from fleetlake.plans import parts as PA
@@ -75,16 +74,6 @@ def test_latest_approval_date_then_hour_nulls_last(spark):
     assert got == {"K1": "C", "K2": "E"}
 
 
-def test_write_windows_idempotent(spark, tmp_path):
-    path = str(tmp_path / "out")
-    df = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "janela int, v string")
-    write_windows(df, path)
-    write_windows(spark.createDataFrame([(1, "b2")], "janela int, v string"), path)
-    write_windows(spark.createDataFrame([(1, "b2")], "janela int, v string"), path)
-    got = sorted((r["janela"], r["v"]) for r in spark.read.parquet(path).collect())
-    assert got == [(0, "a"), (1, "b2")]
-
-
 def test_require_keys_and_clean_fields(spark):
     df = spark.createDataFrame([("1", "x", "20240131"), (" \t", "x", "0"), ("2", None, "bad")],
                                "a string, b string, d string")
