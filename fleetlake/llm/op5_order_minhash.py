@@ -7,15 +7,19 @@ in a band are candidates.
 
 Candidates. Nodes are distinct texts. A bucket of up to SMALL nodes gives all its pairs. In larger
 ones each node is compared with one hub, the node with most bucket mates among those of its buckets.
-The rest is settled exactly over the nodes of the large buckets that still hold several classes. Let
-R be the labels that more than SMALL of these nodes have, and u(x) how many labels of x are in R. Two
-nodes without a common label outside R share at most min(u(x), u(y)) labels, so to be similar they
-need |x| + |y| <= (1 + t) / t * min(u(x), u(y)) (t: the similarity). Nodes with a common label
-outside R are found by an index of those labels, with at most SMALL nodes each. Only nodes close
-enough to R can have the other kind of partner; these few are compared inside their buckets, up to
-HUBS nodes outside a bucket's largest class with all close nodes of other classes, round by round
-until none is left. Texts that differ from a common source in different places, or share only a passage,
-are not close to R, so neither makes pairs that grow with the square of their number.
+The rest is settled exactly over the large buckets that still hold several classes. Such a bucket has
+a core C, the labels that more than half of a sample of its nodes have (any set would give right
+results). Take the labels of a node outside C first, then those in C. Two similar nodes share a label
+among the first n - l + 1 of each, n labels in all and l the least overlap a node of n labels can
+have (prefix filter). If that label is outside C, both are listed under it in an index, where up to
+SMALL nodes give all their pairs. Otherwise all their labels outside C are among those first ones and
+none is shared, so that their overlap is |C| less the labels of C that either lacks. Nodes that
+lack few are compared with the node that lacks least; those left in other classes, and the nodes of index
+entries above SMALL, meet in rounds: up to HUBS nodes of a bucket outside its largest class with all nodes
+of other classes for which the bound holds (overlap as above, or the smaller text), until none is left.
+Nodes that are in the largest class of all their buckets list only the labels that others list.
+Texts that differ from a common source in different places, or share only a passage, thus make no
+pairs that grow with the square of their number.
 
 Verification. Labels common to two texts that lie within the band of places an alignment of the
 required similarity can reach; the longest increasing run of places among them is the aligned part
@@ -49,7 +53,10 @@ BANDS = 16
 ROWS_PER_BAND = 2   # components of a band; each component has two labels
 SMALL = 16          # nodes of a bucket that gives all its pairs
 HUBS = 256          # nodes of a larger bucket that meet the others in one round
+SAMPLE = 32         # nodes that the core of a bucket is taken from
+TOLD = 1_000_000    # labels of nodes outside the main classes that the other nodes are told at most
 CACHE = 300_000     # words a task keeps the hashes of
+MEMBER = ["bucket", "n", "size", "lacks", "width"]
 
 _WORD = re.compile(r"[^\W_]+")
 _RNG = np.random.default_rng(20240229)
@@ -202,7 +209,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _labelled(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members (bucket, n, support, ...) with the class of each node so far."""
+    """Members (bucket, n, ...) with the class of each node so far."""
     found = classes.select(F.struct("n").alias("k"), "c")
     return members.withColumn("k", F.struct("n")).join(found, "k", "left").drop("k").withColumn("c", F.coalesce("c", "n"))
 
@@ -222,36 +229,80 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return inside.unionByName(star).distinct(), best.select(F.explode("buckets").alias("bucket"), "n", "support", "hub")
 
 
-def _label_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("n", pa.int64()), ("label", pa.int64())])
-    for b in slices(batches, "packed"):
-        for n, packed in zip(b.column("n").to_pylist(), b.column("packed").to_pylist()):
-            found = labels(_unpack(packed)).view(np.int64)
-            yield record_batch(schema, n=np.full(len(found), n), label=found)
+def _least_overlap(n: int, similarity: float) -> int:
+    """The smallest overlap that a text of n labels can have with a similar one."""
+    least = int(similarity * n)
+    while least > 0 and (least - 1) / n >= similarity:
+        least -= 1
+    while least < n and least / n < similarity:
+        least += 1
+    return least
 
 
-def _close(similarity: float) -> float:
-    """Labels of two texts per common label, at most; a little more, so that rounding loses no tie."""
-    return (1 + similarity) / similarity * (1 + 1e-12)
+def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("bucket", pa.int64()), ("core", pa.binary())])
+    for b in slices(batches, rows=16):
+        cores = []
+        for texts in b.column("texts").to_pylist():
+            found, counts = np.unique(np.concatenate([labels(_unpack(t)) for t in texts]), return_counts=True)
+            cores.append(found[2 * counts > len(texts)].tobytes())
+        yield record_batch(schema, bucket=b.column("bucket"), core=cores)
 
 
-def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
-    its largest class meet all nodes of other classes that are close enough to the common labels, and
-    leave it; a bucket whose nodes are of one class is finished."""
-    ratio = _close(similarity)
+def _profiles(similarity: float, told: np.ndarray | None):
+    """Per node its first labels outside the cores of its buckets (only those in ``told``, if given), and per
+    bucket that it is near to the core of, what it lacks."""
+    near = pa.struct([("bucket", pa.int64()), ("lacks", pa.list_(pa.int32())), ("width", pa.int32())])
+    schema = pa.schema([("n", pa.int64()), ("labels", pa.list_(pa.int64())), ("near", pa.list_(near))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "packed", rows=64):
+            listed, close = [], []
+            for packed, places in zip(b.column("packed").to_pylist(), b.column("places").to_pylist()):
+                own = np.sort(labels(_unpack(packed)))
+                least = _least_overlap(len(own), similarity)
+                first = len(own) - least + 1
+                mine, rows = [], []
+                for place in places:
+                    core = np.frombuffer(place["core"], dtype=np.uint64)
+                    outside = np.setdiff1d(own, core, assume_unique=True)
+                    mine.append(outside[:first])
+                    lacks = np.flatnonzero(~np.isin(core, own, assume_unique=True))
+                    if len(outside) < first and len(core) - len(lacks) >= least:
+                        rows.append({"bucket": place["bucket"], "lacks": lacks.tolist(), "width": len(core)})
+                mine = np.unique(np.concatenate(mine)).view(np.int64)
+                listed.append(mine if told is None else mine[np.isin(mine, told)])
+                close.append(rows)
+            yield record_batch(schema, n=b.column("n"), labels=listed, near=close)
+    return run
+
+
+def _reaches(common, total, similarity: float):
+    """Whether ``common`` labels of ``total`` in two texts can make them similar, as the verification divides."""
+    return (common > 0) & (common.cast("double") / (total - common) >= similarity)
+
+
+def _main_classes(members: DataFrame) -> DataFrame:
+    """(k, main): the largest class of every bucket that holds several."""
     counts = members.groupBy("bucket", "c").agg(F.count("*").alias("size"))
-    main = counts.groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("classes")).where(
+    return counts.groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("classes")).where(
         "classes > 1").select(fresh("bucket").alias("k"), F.col("main.c").alias("main"))
-    open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(main, "k").drop("k"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("support"), "n"))
+
+
+def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
+    its largest class meet all nodes of other classes for which the bound holds, and leave it; a bucket
+    whose nodes are of one class is finished. Without a ``width`` only the sizes bound the overlap."""
+    open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(_main_classes(members), "k").drop("k"))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.size("lacks"), "n"))
     hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= HUBS).select(
-        fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("u").alias("ua")))
+        fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("lacks").alias("la")))
     rows = open_.withColumn("k", fresh("bucket"))
-    near = F.col("size") + F.col("sa") <= ratio * F.least("u", "ua")
-    pairs = rows.join(hubs, "k").where((F.col("c") != F.col("ca")) & near).select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
+    common = F.when(F.col("width").isNull(), F.least("size", "sa")).otherwise(F.col("width") - F.size(F.array_union("lacks", "la")))
+    bound = _reaches(common, F.col("size") + F.col("sa"), similarity)
+    pairs = rows.join(hubs, "k").where((F.col("c") != F.col("ca")) & bound).select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
     gone = hubs.select(F.struct(F.col("k.bucket").alias("bucket"), F.col("a").alias("n")).alias("k"))
-    left = open_.withColumn("k", fresh("bucket", "n")).join(gone, "k", "left_anti").select("bucket", "n", "support", "size", "u")
+    left = open_.withColumn("k", fresh("bucket", "n")).join(gone, "k", "left_anti").select(*MEMBER)
     return pairs, left
 
 
@@ -280,34 +331,51 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     links = verified(pairs)
     classes = components(links)
 
-    # the exact rest, over the nodes of large buckets that still hold several classes
+    # the exact rest, over the large buckets that still hold several classes
     placed_ = cut_lineage(_labelled(large, classes).join(sketches.select("n", "size"), "n"))
-    mixed = placed_.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("size").alias("least")).where(
-        "c0 <> c1").select(fresh("bucket").alias("k"), "least")
-    rows = cut_lineage(placed_.withColumn("k", fresh("bucket")).join(mixed, "k").drop("k"))
-    nodes = rows.groupBy("n").agg(F.first("c").alias("c"))
-    index = cut_lineage(map_arrow(kept.join(nodes, "n", "left_semi").select("n", "packed"), _label_rows, "n long, label long"))
+    rows = cut_lineage(placed_.withColumn("k", fresh("bucket")).join(_main_classes(placed_), "k").drop("k"))
+    if not rows.limit(1).count():
+        return classes, links
+    chosen = rows.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("n"), "n"))).where(F.col("rank") <= SAMPLE)
+    packs = chosen.select("bucket", fresh("n").alias("k")).join(kept.select(fresh("n").alias("k"), "packed"), "k")
+    cores = cut_lineage(map_arrow(packs.groupBy("bucket").agg(F.collect_list("packed").alias("texts")), _cores, "bucket long, core binary"))
+    sites = rows.withColumn("k", fresh("bucket")).join(cores.select(fresh("bucket").alias("k"), "core"), "k").groupBy("n").agg(
+        F.collect_list(F.struct("bucket", "core")).alias("places"), F.max(F.col("c") != F.col("main")).alias("open"))
+    sites = cut_lineage(sites.join(kept, "n").select("n", "packed", "places", "open"))
+    ddl = "n long, labels array<long>, near array<struct<bucket: long, lacks: array<int>, width: int>>"
+    apart = cut_lineage(map_arrow(sites.where("open").select("n", "packed", "places"), _profiles(similarity, None), ddl))
+    told = apart.select(F.explode("labels").alias("label")).distinct()
+    known = told.limit(TOLD + 1).toArrow().column("label").to_numpy()
+    within = cut_lineage(map_arrow(sites.where(~F.col("open")).select("n", "packed", "places"),
+                                   _profiles(similarity, np.sort(known) if len(known) <= TOLD else None), ddl))
+    profiles = apart.unionByName(within)
+
+    index = profiles.select("n", F.explode("labels").alias("label"))
     held = index.groupBy("label").agg(F.count("*").alias("holders")).where("holders > 1").select(fresh("label").alias("k"), "holders")
     index = cut_lineage(index.withColumn("k", fresh("label")).join(held, "k").select("n", "label", "holders"))
-    close = index.groupBy("n").agg(F.count_if(F.col("holders") > SMALL).alias("u"))
+    nodes = rows.groupBy("n").agg(F.first("c").alias("c"), F.first("size").alias("size"))
     rare = cut_lineage(index.where(F.col("holders") <= SMALL).select("n", "label").join(nodes, "n"))
-    extra = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb")), "label").where(
-        "n < b AND c <> cb").select(F.col("n").alias("a"), "b").distinct()
-    members = cut_lineage(rows.join(close, "n").where(
-        F.col("u") * _close(similarity) - F.col("size") >= F.col("least")).select("bucket", "n", "support", "size", "u"))
-    done = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    while members.limit(1).count() or extra is not None:
-        pairs, members = _next_pairs(_labelled(members, classes), similarity)
-        pairs = pairs if extra is None else pairs.unionByName(extra).distinct()
-        pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
-        extra = None
-        members = cut_lineage(members)
+    pairs = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb")), "label").where(
+        "n < b AND c <> cb").where(_reaches(F.least("size", "sb"), F.col("size") + F.col("sb"), similarity)).select(F.col("n").alias("a"), "b")
+    near = cut_lineage(profiles.select("n", F.inline("near")).join(nodes, "n"))
+    least = near.groupBy("bucket").agg(F.min(F.struct(F.size("lacks").alias("lack"), F.col("n").alias("a"), F.col("c").alias("ca"))).alias("least"))
+    star = near.withColumn("k", fresh("bucket")).join(least.select(fresh("bucket").alias("k"), "least"), "k").where("c <> least.ca").select(
+        F.least("n", "least.a").alias("a"), F.greatest("n", "least.a").alias("b"))
+    pairs = cut_lineage(pairs.unionByName(star).distinct())
+    crowded = index.where(F.col("holders") > SMALL).select(F.col("label").alias("bucket"), "n").join(nodes, "n").select(
+        "bucket", "n", "size", F.array().cast("array<int>").alias("lacks"), F.lit(None).cast("int").alias("width"))
+    members = cut_lineage(near.select(*MEMBER).unionByName(crowded.select(*MEMBER)))
+    done = None
+    while True:
         found = verified(pairs)
         if found.limit(1).count():
             links = cut_lineage(links.unionByName(found))
             classes = components(links)
-        done = cut_lineage(done.unionByName(pairs))
-    return classes, links
+        done = pairs if done is None else cut_lineage(done.unionByName(pairs))
+        pairs, members = _next_pairs(_labelled(members, classes), similarity)
+        pairs, members = cut_lineage(pairs.join(done, ["a", "b"], "left_anti")), cut_lineage(members)
+        if not members.limit(1).count() and not pairs.limit(1).count():
+            return classes, links
 
 
 def _nodes(docs: DataFrame) -> DataFrame:

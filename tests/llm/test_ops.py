@@ -401,6 +401,90 @@ def test_pairs_at_exactly_the_limit(spark):
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in found) == [(1, 1, 2), (2, 1, 2)]
 
 
+def plain_labels(text):
+    """Occurrence-labelled five-word shingles as tuples."""
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    seen = Counter()
+    out = []
+    for k in range(max(1, len(words) - 4) if words else 0):
+        s = tuple(words[k:k + 5])
+        seen[s] += 1
+        out.append((s, seen[s]))
+    return out
+
+
+def plainly_similar(x, y):
+    """Similarity of 0.8 or more by a full alignment that shares no code with the operator."""
+    if not x or not y:
+        return False
+    common = len(set(x) & set(y))
+    if 10 * common < 8 * (len(x) + len(y) - common):
+        return False
+    at = {v: i for i, v in enumerate(y)}
+    places, best = [at[v] for v in x if v in at], []
+    for i, p in enumerate(places):  # longest increasing run by plain dynamic programming
+        best.append(1 + max((best[j] for j in range(i) if places[j] < p), default=0))
+    length = max(best)
+    return 10 * length >= 8 * (len(x) + len(y) - length)
+
+
+def plain_classes(texts):
+    sets = [plain_labels(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if find(i) != find(j) and (texts[i] == texts[j] or plainly_similar(sets[i], sets[j])):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def crowd(n=260, seed=9):
+    """Copies of one text that is not among them, most with several words changed; many share one of a few
+    changes, some differ from another copy by one word; and texts that share a long passage."""
+    r = random.Random(seed)
+    base = prose(100, seed).split(" ")
+    common = [(r.randrange(100), r.choice(VOCABULARY)) for _ in range(6)]
+    texts = []
+    for i in range(n):
+        w = list(texts[r.randrange(len(texts))].split(" ")) if texts and i % 6 == 0 else list(base)
+        for _ in range(r.randint(1, 5)):
+            w[r.randrange(100)] = r.choice(VOCABULARY)
+        if i % 3 == 0:
+            k, word = r.choice(common)
+            w[k] = word
+        texts.append(" ".join(w))
+    passage = prose(60, seed + 1)
+    return texts + [prose(25, 10_000 + i) + " " + passage + " " + prose(25, 20_000 + i) for i in range(40)]
+
+
+@pytest.mark.parametrize("small, hubs, told", [(16, 256, 1_000_000), (3, 4, 1_000_000), (3, 64, 0)])
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, small, hubs, told):
+    monkeypatch.setattr(op5_order_minhash, "SMALL", small)
+    monkeypatch.setattr(op5_order_minhash, "HUBS", hubs)
+    monkeypatch.setattr(op5_order_minhash, "TOLD", told)
+    texts = crowd()
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.class_id for r in op5_order_minhash.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    want = plain_classes(texts)
+    assert len(set(want)) > 20 and [found[i] for i in range(len(texts))] == want
+
+
+def test_recall_on_documents(spark):
+    """Ids divisible by 10 against all rows, aligned plainly."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, plain_labels(r.text), r.text or "") for r in docs.select("doc_id", "text").collect()]
+    classes = {r.doc_id: r.class_id for r in op5_order_minhash.near_duplicates(docs).collect()}
+    links = [(a, b) for a, x, s in rows if a % 10 == 0 for b, y, t in rows if a != b and (s == t or plainly_similar(x, y))]
+    assert len(links) >= 15 and sum(classes[a] == classes[b] for a, b in links) >= 0.9 * len(links)
+
+
 def test_sketches_depend_on_order():
     a = op5_order_minhash.labels(prose(200, 3))
     flipped = a[::-1].copy()
