@@ -77,6 +77,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: int | str | None = None,
             yield b.slice(start)
 
 
+def lower_in_place(text: str) -> str:
+    """The text in lower case, every code point at its old place: those whose lower case has several code
+    points stay as they are, so that offsets found in the result are offsets of the text."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

@@ -4,7 +4,7 @@ A text splits into paragraphs (lines), these into sentence-like pieces of at mos
 leaves. A paragraph is the hash of its leaves, a section the hash of consecutive paragraphs (it ends
 where a paragraph's own hash says so, so an insertion moves no later border), the root the hash of
 all sections. Equal roots mean equal texts; ``differences`` descends only into branches whose hashes
-differ and returns the places of the edits. A fingerprint is the root and, after a colon, 32 bits of
+differ and returns the edits as ranges of paragraphs on both sides (column ``edits`` of the query). A fingerprint is the root and, after a colon, 32 bits of
 every leaf in text order (base64), so two fingerprints alone give a likeness: twice the leaves they
 share over all leaves of both, 1 for equal roots only.
 
@@ -32,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import map_arrow, record_batch, rename_inputs, table, text_bytes
+from fleetlake.llm.op3_license import longest_increasing
 
 LEAF = 48             # bytes of a leaf without a sentence end
 SECTION = 4           # a section has this many paragraphs on average
 RANGE_ROWS = 5_000    # documents of one range of ids
-MAX_RANGES = 50_000
+MAX_RANGES = 50_000   # beyond 250 million rows ranges get longer; their rows are streamed
 
 _PIECE = re.compile(rb"[^.!?]{1,%d}[.!?]*[\x20\x09-\x0D]*|[.!?]+[\x20\x09-\x0D]*" % LEAF)
 
@@ -86,17 +87,41 @@ def _shared(x: list, y: list) -> float:
     return 2 * both / (len(x) + len(y))
 
 
-def differences(a: Tree, b: Tree) -> list[tuple[str, int]]:
-    """Places of ``a`` that ``b`` lacks: ("paragraph", number) with at least one differing leaf, found
-    by descending only from sections of ``a`` that ``b`` does not have."""
+def _blocks(x: list[bytes], y: list[bytes]) -> list[tuple[int, int, int, int]]:
+    """Where two sequences differ: (from, to, from, to) of every block of ``x`` that stands for one of ``y``.
+    Equal ends are taken off, digests that occur once in both anchor the rest (their longest increasing
+    run), and each gap between anchors is treated alike; a gap without anchors is a block."""
+    out, open_ = [], [(0, len(x), 0, len(y))]
+    while open_:
+        a, b, c, d = open_.pop()
+        while a < b and c < d and x[a] == y[c]:
+            a, c = a + 1, c + 1
+        while a < b and c < d and x[b - 1] == y[d - 1]:
+            b, d = b - 1, d - 1
+        if a == b and c == d:
+            continue
+        once = {k for k, n in Counter(x[a:b]).items() if n == 1} & {k for k, n in Counter(y[c:d]).items() if n == 1}
+        at = {k: j for j, k in enumerate(y[c:d], c) if k in once}
+        pairs = longest_increasing([(i, at[k]) for i, k in enumerate(x[a:b], a) if k in once])
+        if not pairs:
+            out.append((a, b, c, d))
+            continue
+        for (i, j), (i2, j2) in zip([(a - 1, c - 1), *pairs], [*pairs, (b, d)]):
+            open_.append((i + 1, i2, j + 1, j2))
+    return sorted(out)
+
+
+def differences(a: Tree, b: Tree) -> list[tuple[int, int, int, int]]:
+    """The edits between two texts as (from, to, from, to): paragraphs of ``a`` that paragraphs of ``b``
+    replace; one side is empty where paragraphs were added or removed. Roots are compared first, then
+    sections, and only paragraphs of sections that differ."""
     if a.root == b.root:
         return []
-    sections, paragraphs = {d for d, _ in b.sections}, {d for d, _ in b.paragraphs}
-    out, start = [], 0
-    for d, end in a.sections:
-        if d not in sections:
-            out += [("paragraph", i) for i in range(start, end) if a.paragraphs[i][0] not in paragraphs]
-        start = end
+    ends_a, ends_b = [0, *[e for _, e in a.sections]], [0, *[e for _, e in b.sections]]
+    out = []
+    for i, j, k, m in _blocks([d for d, _ in a.sections], [d for d, _ in b.sections]):
+        x, y = a.paragraphs[ends_a[i]:ends_a[j]], b.paragraphs[ends_b[k]:ends_b[m]]
+        out += [(ends_a[i] + p, ends_a[i] + q, ends_b[k] + r, ends_b[k] + t) for p, q, r, t in _blocks([d for d, _ in x], [d for d, _ in y])]
     return out
 
 
@@ -106,22 +131,25 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+# an edit: paragraphs of the text that stand for paragraphs of the edited text
+_EDIT = ("from", "to", "edited_from", "edited_to")
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                      ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
-                     ("near_next", pa.float64())])
+                     ("near_next", pa.float64()), ("edits", pa.list_(pa.struct([(n, pa.int32()) for n in _EDIT])))])
 
 
 def _ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of one range, the first row of the next range last (``ghost``)."""
     rows = []
 
-    def finish(doc_id, body, print_, next_body, next_print):
+    def finish(doc_id, body, tree, next_body, next_tree):
         text = body.decode("utf-8", "replace")
         half = len(text) // 2
         new = edited(text, next_body[:4 * half].decode("utf-8", "ignore")).encode()
-        new_print = Tree(new).fingerprint()
-        rows.append((doc_id, len(text), hashlib.sha256(new).hexdigest(), print_, new_print,
-                     likeness(print_, new_print), likeness(print_, next_print)))
+        new_tree = Tree(new)
+        print_, new_print = tree.fingerprint(), new_tree.fingerprint()
+        rows.append((doc_id, len(text), hashlib.sha256(new).hexdigest(), print_, new_print, likeness(print_, new_print),
+                     likeness(print_, next_tree.fingerprint()), [dict(zip(_EDIT, e)) for e in differences(tree, new_tree)]))
 
     def batch():
         out = record_batch(_RESULT, **{n: [r[i] for r in rows] for i, n in enumerate(_RESULT.names)})
@@ -134,13 +162,13 @@ def _ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if ghost and held is None:
                 continue
             body = body.as_py()
-            print_ = Tree(body).fingerprint()
+            tree = Tree(body)
             if doc_id is None:
-                finish(None, body, print_, body, print_)
+                finish(None, body, tree, body, tree)
             else:
                 if held is not None:
-                    finish(*held, body, print_)
-                held = None if ghost else (doc_id, body, print_)
+                    finish(*held, body, tree)
+                held = None if ghost else (doc_id, body, tree)
             if len(rows) >= 256:
                 yield batch()
     if rows:
@@ -148,7 +176,7 @@ def _ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprint_pairs(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likenesses."""
+    """Fingerprints of every text and of its edited text, their likenesses, and where the two trees differ."""
     src = rename_inputs(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
     ids = src.select("doc_id").where("doc_id IS NOT NULL")
     ranges = min(MAX_RANGES, -(-ids.count() // range_rows)) or 1
@@ -174,7 +202,8 @@ def fingerprint_pairs(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFram
     ranged = dealt.repartitionById(ranges, F.col("range")).sortWithinPartitions("ghost", "doc_id", "body")
     return map_arrow(ranged.select("doc_id", "ghost", "body"), _ring,
                      "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                     "near_edited double, near_next double")
+                     "near_edited double, near_next double, "
+                     "edits array<struct<`from`: int, `to`: int, edited_from: int, edited_to: int>>")
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

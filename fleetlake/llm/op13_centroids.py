@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import cut_lineage, map_arrow, record_batch, slices, table
@@ -180,9 +180,9 @@ def cluster(vectors: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, pivots
     last = cut_lineage(map_arrow(cached, _last(simplex, centroids, marks),
                                  "vec_id long, cluster int, distance long, centroid_sha256 string, compared double"))
     inertia = last.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    total = inertia.agg(F.sum("cluster_inertia").alias("inertia"))
-    # one row per centroid, so a proven size bound
-    return last.join(F.broadcast(inertia.crossJoin(total)), "cluster").select(*names)
+    # one row per centroid: a proven size bound for the window and the broadcast
+    inertia = inertia.withColumn("inertia", F.sum("cluster_inertia").over(Window.partitionBy(F.lit(0))))
+    return last.join(F.broadcast(inertia), "cluster").select(*names)
 
 
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

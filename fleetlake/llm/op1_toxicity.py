@@ -9,7 +9,7 @@ its suffix and its neighbours (hashed). Last, a logistic regression turns the fo
 marginals of a document (expected toxic words, largest marginal, density) into its score. At most
 ``max_rows`` labelled rows are used, chosen by a hash of the id.
 
-Scoring. Chains end at sentence ends and after CHAIN words. Each document gets its score and the
+Scoring. A chain is a sentence, however long. Each document gets its score and the
 spans [start, end) in code points of the words whose marginal is at least 0.5. A null, empty or
 wordless text has no words and gets the score of zero toxic words. Rows with null or repeated ids
 each get a result; null labels are not used. Without labels of both kinds every score is 0. An empty
@@ -29,11 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import crc_mod, map_arrow, rename_inputs, slices, table
+from fleetlake.llm.common import crc_mod, lower_in_place, map_arrow, rename_inputs, slices, table
 
 MAX_ROWS = 3_000      # labelled rows used for learning, a third of them toxic at most
 FEATURE_BITS = 18
-CHAIN = 96            # words of a chain at most
 MIN_G2 = 20.0         # log-likelihood ratio and
 MIN_RATIO = 4.0       # rate ratio that make a word or prefix toxic
 PREFIXES = range(3, 9)  # bytes
@@ -70,42 +69,45 @@ def word_features(words: list[str]) -> np.ndarray:
 def chains(text: str) -> tuple[list[str], list[int]]:
     """Lower-case words of a text and the length of each chain."""
     words, lengths = [], []
-    for sentence in _STOP.split(text.lower()):
+    for sentence in _STOP.split(lower_in_place(text)):
         found = _WORD.findall(sentence)
-        n = len(found)
-        if n:
+        if found:
             words += found
-            lengths += [n] if n <= CHAIN else [CHAIN] * (n // CHAIN) + [n % CHAIN] * (n % CHAIN > 0)
+            lengths.append(len(found))
     return words, lengths
 
 
 def forward_backward(e: np.ndarray, lengths: np.ndarray, t: np.ndarray, start: float, pairs: bool = False):
     """Marginals of state 1 from log-odds emissions ``e`` of concatenated chains and the transition
     scores ``t[a, b]``. A message is the ratio of its two states, so each is one number. With
-    ``pairs`` also the expected transition counts."""
-    p = np.empty(len(e))
-    counts = np.zeros((2, 2))
+    ``pairs`` also the expected transition counts. The chains go side by side, longest first, so that
+    step i takes those that have a word there."""
     odds, a = np.exp(e.clip(-30, 30)), np.exp(t)
-    starts = np.cumsum(lengths) - lengths
-    order = np.argsort(lengths, kind="stable")
-    sizes, firsts = np.unique(lengths[order], return_index=True)
-    for width, rows in zip(sizes.tolist(), np.split(order, firsts[1:])):  # chains of one length, side by side
-        place = starts[rows][None, :] + np.arange(width)[:, None]
-        x = odds[place]
-        f, b = np.empty_like(x), np.ones_like(x)
-        f[0] = x[0] * np.exp(start)
-        for i in range(1, width):
-            f[i] = x[i] * (a[0, 1] + a[1, 1] * f[i - 1]) / (a[0, 0] + a[1, 0] * f[i - 1])
-        for i in range(width - 2, -1, -1):
-            back = x[i + 1] * b[i + 1]
-            b[i] = (a[1, 0] + a[1, 1] * back) / (a[0, 0] + a[0, 1] * back)
-        q = f * b
-        p[place] = q / (1 + q)
-        if pairs and width > 1:
-            g, h = f[:-1], (x * b)[1:]
-            joint = [np.full_like(g, a[0, 0]), a[0, 1] * h, a[1, 0] * g, a[1, 1] * g * h]
-            counts += np.array([(j / sum(joint)).sum() for j in joint]).reshape(2, 2)
-    return (p, counts) if pairs else p
+    firsts = np.cumsum(lengths) - lengths
+    order = np.argsort(-lengths, kind="stable")
+    sizes, s = lengths[order], firsts[order]
+    width = int(sizes[0]) if len(sizes) else 0
+    active = np.searchsorted(-sizes, -np.arange(width + 1), side="left")  # chains with more than i words
+    f, b = odds.copy(), np.ones_like(odds)
+    f[firsts] *= np.exp(start)
+    for i in range(1, width):
+        at = s[:active[i]] + i
+        before = f[at - 1]
+        f[at] = odds[at] * (a[0, 1] + a[1, 1] * before) / (a[0, 0] + a[1, 0] * before)
+    for i in range(width - 2, -1, -1):
+        at = s[:active[i + 1]] + i
+        back = odds[at + 1] * b[at + 1]
+        b[at] = (a[1, 0] + a[1, 1] * back) / (a[0, 0] + a[0, 1] * back)
+    q = f * b
+    p = q / (1 + q)
+    if not pairs:
+        return p
+    inner = np.ones(len(e), dtype=bool)
+    inner[firsts + lengths - 1] = False
+    at = np.flatnonzero(inner)
+    g, h = f[at], odds[at + 1] * b[at + 1]
+    joint = [np.full_like(g, a[0, 0]), a[0, 1] * h, a[1, 0] * g, a[1, 1] * g * h]
+    return p, np.array([(j / sum(joint)).sum() for j in joint]).reshape(2, 2)
 
 
 class Numbers(dict):
@@ -266,7 +268,7 @@ def score(docs: DataFrame, model: dict | None, carry: bool = False) -> DataFrame
                 hits = np.flatnonzero(p >= 0.5)
                 for i in np.unique(of[hits]).tolist():
                     mine = set((hits[of[hits] == i] - first[i]).tolist())
-                    found = enumerate(_WORD.finditer(texts[i].lower()))
+                    found = enumerate(_WORD.finditer(lower_in_place(texts[i])))
                     spans[i] = [{"start": m.start(), "end": m.end()} for k, m in found if k in mine]
             made = [b.column("doc_id"), pa.array(values, pa.float64()), pa.array((values >= 0.5).astype(np.int32)),
                     pa.array(spans, span)]

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import map_arrow, record_batch, rename_inputs, slices, table
+from fleetlake.llm.common import lower_in_place, map_arrow, record_batch, rename_inputs, slices, table
 
 COVERAGE = 0.8
 SPREAD = 2     # template lengths a notice may be spread over
@@ -107,7 +107,7 @@ KEYS = {
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return _WORD.findall(lower_in_place(text or ""))
 
 
 def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -289,7 +289,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 hits = scanner.hits(text)
                 if hits:
-                    spans = [m.span() for m in _WORD.finditer(text.lower())]
+                    spans = [m.span() for m in _WORD.finditer(lower_in_place(text))]
                     rows += [(doc_id, name, c, spans[first][0], spans[last][1]) for name, c, first, last in hits]
             yield record_batch(schema, **{n: [r[i] for r in rows] for i, n in enumerate(schema.names)})
 

@@ -28,6 +28,7 @@ from fleetlake.llm.common import crc_mod, map_arrow, record_batch, rename_inputs
 PROFILE = 400        # n-grams of a language profile
 DOCUMENT = 300       # n-grams of a document
 UNDETERMINED = "und"
+MAX_LANGUAGES = 256  # languages that profiles are learned for at most
 _BITS = 21           # a code point; three fit one 64-bit code
 _FLUSH = 2_000_000   # distinct n-grams a task counts before it emits partial counts
 
@@ -95,10 +96,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def learn(docs: DataFrame, profile: int = PROFILE) -> dict[str, np.ndarray]:
+def learn(docs: DataFrame, profile: int = PROFILE, max_languages: int = MAX_LANGUAGES) -> dict[str, np.ndarray]:
     """Profiles by language from the rows of ``docs`` (text, lang). The result is bounded: the driver
-    gets ``profile`` rows per language."""
+    gets ``profile`` rows per language, and more than ``max_languages`` languages are an error, since the
+    profiles of all go to every task."""
     src = rename_inputs(docs, "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    if src.select("lang").distinct().limit(max_languages + 1).count() > max_languages:
+        raise ValueError(f"more than {max_languages} languages; raise max_languages or clean the column lang")
     total = map_arrow(src, _count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     out: dict[str, list[int]] = {}
@@ -112,7 +116,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PRO
     """(doc_id, lang_pred, score) of every row; with ``carry`` also ``row``, a struct of all columns."""
     names = sorted(profiles)
     codes = np.unique(np.concatenate([*profiles.values(), np.empty(0, np.int64)])).astype(np.int64)
-    ranks = np.full((len(codes) + 1, len(names)), -1, dtype=np.int64)
+    ranks = np.full((len(codes) + 1, len(names)), -1, dtype=np.int16 if profile < 1 << 15 else np.int64)
     for k, name in enumerate(names):
         ranks[np.searchsorted(codes, profiles[name]), k] = np.arange(len(profiles[name]))
 

@@ -110,6 +110,75 @@ def test_training_takes_one_row_of_a_repeated_id(spark, monkeypatch, learn):
     assert len(taken) == 1 and taken[0] <= 30
 
 
+def test_marginals_of_a_long_sentence_are_those_of_the_whole_chain():
+    rng = np.random.default_rng(5)
+    lengths = np.array([300, 7, 1, 300, 95])
+    e, t, start = rng.normal(size=lengths.sum()), rng.normal(size=(2, 2)), -0.4
+    p = op1_toxicity.forward_backward(e, lengths, t, start)
+    at = 0
+    for n in lengths:  # plain sums over the two states, word by word
+        x = np.stack((np.zeros(n), e[at:at + n]), axis=1)
+        f, b = np.zeros((n, 2)), np.zeros((n, 2))
+        f[0] = np.array([0, start]) + x[0]
+        for i in range(1, n):
+            f[i] = x[i] + np.logaddexp(f[i - 1, 0] + t[0], f[i - 1, 1] + t[1])
+        for i in range(n - 2, -1, -1):
+            b[i] = np.logaddexp(t[:, 0] + x[i + 1, 0] + b[i + 1, 0], t[:, 1] + x[i + 1, 1] + b[i + 1, 1])
+        q = f + b
+        assert np.allclose(p[at:at + n], 1 / (1 + np.exp(q[:, 0] - q[:, 1])))
+        at += n
+
+
+def test_spans_are_places_of_the_text(spark):
+    docs, labels = toxic_tables(spark, 200)
+    model = op1_toxicity.learn(docs, labels)
+    text = "\u0130\u0130\u0130 you moronic one, moronic SCUMBAG \u0130vermin vermin"
+    row = op1_toxicity.score(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    marked = [text[s.start:s.end] for s in row.spans]
+    assert marked and set(marked) <= {"moronic", "SCUMBAG", "vermin"}
+    notice = "\u0130\u0130\u0130\u0130 Licensed under the Apache License, Version 2.0. \u0130"
+    hit = op3_license.scan(spark.createDataFrame([(1, notice)], "doc_id long, text string")).first()
+    assert notice[hit.start:hit.end] == "Licensed under the Apache License, Version 2.0"
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.range(12).select(F.lit("some text").alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    assert len(op7_language.learn(docs, max_languages=12)) == 12
+    with pytest.raises(ValueError, match="more than 11 languages"):
+        op7_language.learn(docs, max_languages=11)
+
+
+def test_language_prediction_by_brute_force(spark):
+    """Ranks, out-of-place distance and prediction, computed with plain strings."""
+    def plain(text):
+        out = Counter()
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            for n in (1, 2, 3):
+                padded = word if n == 1 else f" {word} "
+                out.update(padded[i:i + n] for i in range(len(padded) - n + 1))
+        return out
+
+    def code(g):  # the operator's order of equal counts
+        cps = [0 if c == " " else ord(c) for c in g]
+        value = 0
+        for c in cps:
+            value = (value << 21) | c
+        return (0, value) if len(g) == 1 else (1, value) if len(g) == 2 else (-1, value)
+
+    def ranked(counts, k):
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))][:k]
+
+    rows = [(i, prose(80, 700 + i).replace("e", "u" if i % 2 else "e"), "aa" if i % 2 else "bb") for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = {lang: ranked(sum((plain(t) for _, t, x in rows[:16] if x == lang), Counter()), 400) for lang in ("aa", "bb")}
+    found = {r.doc_id: r for r in op7_language.predict(df, op7_language.learn(df.where("doc_id < 16"))).collect()}
+    for i, text, _ in rows:
+        mine = ranked(plain(text), 300)
+        apart = {lang: sum(min(abs(p.index(g) - k), 400) if g in p else 400 for k, g in enumerate(mine)) for lang, p in profiles.items()}
+        best = min(sorted(apart), key=apart.get)
+        assert found[i].lang_pred == best and found[i].score == pytest.approx(1 - apart[best] / (400 * len(mine)))
+
+
 def test_chain_marginals_by_enumeration():
     rng = np.random.default_rng(3)
     lengths = np.array([4, 1, 6, 4])
@@ -716,6 +785,49 @@ def test_tree_locates_the_edit():
     a = op10_fingerprint.Tree("\n".join(lines).encode())
     lines[31] += " changed"
     b = op10_fingerprint.Tree("\n".join(lines).encode())
-    assert op10_fingerprint.differences(a, b) == [("paragraph", 31)] and op10_fingerprint.differences(a, a) == []
+    assert op10_fingerprint.differences(a, b) == [(31, 32, 31, 32)] and op10_fingerprint.differences(a, a) == []
     assert 0.9 < op10_fingerprint.likeness(a.fingerprint(), b.fingerprint()) < 1
     assert op10_fingerprint.likeness(a.fingerprint(), op10_fingerprint.Tree(b"").fingerprint()) == 0
+
+
+def test_edits_rebuild_the_other_text():
+    """Paragraphs added, dropped, doubled, moved and changed: the edits turn one text into the other."""
+    r = random.Random(4)
+    for k in range(300):
+        lines = [prose(4, r.randrange(40)).replace("\n", " ") for _ in range(r.randint(0, 40))]
+        other = list(lines)
+        for _ in range(r.randint(0, 4)):
+            at = r.randint(0, len(other))
+            kind = r.randrange(4)
+            if kind == 0:
+                other.insert(at, prose(3, 900 + k))
+            elif other and kind == 1:
+                del other[r.randrange(len(other))]
+            elif other and kind == 2:
+                other.insert(at, r.choice(other))
+            elif other:
+                other.insert(r.randrange(len(other)), other.pop())
+        x, y = "\n".join(lines), "\n".join(other)
+        found = op10_fingerprint.differences(op10_fingerprint.Tree(x.encode()), op10_fingerprint.Tree(y.encode()))
+        mine, theirs = (t.split("\n") if t else [] for t in (x, y))
+        assert (found == []) == (x == y)
+        for i, j, m, n in reversed(found):
+            mine[i:j] = theirs[m:n]
+        assert mine == theirs
+
+
+def test_likeness_counts_shared_leaves():
+    r = random.Random(8)
+    for _ in range(60):
+        x, y = (". ".join(prose(3, r.randrange(6)).replace("\n", " ") for _ in range(r.randint(0, 12))) for _ in range(2))
+        leaves = [Counter(m.group() for line in t.split("\n") if t for m in re.finditer(op10_fingerprint._PIECE.pattern.decode(), line)) for t in (x, y)]
+        total = sum(leaves[0].values()) + sum(leaves[1].values())
+        want = 1.0 if x == y else 2 * sum((leaves[0] & leaves[1]).values()) / total if min(map(len, leaves)) else 0.0
+        a, b = (op10_fingerprint.Tree(t.encode()).fingerprint() for t in (x, y))
+        assert op10_fingerprint.likeness(a, b) == pytest.approx(min(want, 0.999999) if x != y else 1.0)
+
+
+def test_query_gives_the_edits(spark):
+    rows = [(1, "one line.\ntwo lines.\nthree lines.\nfour lines.", "en", "s", 0), (2, "other.\ntext here.", "en", "s", 0), (3, None, "en", "s", 0)]
+    found = {r.doc_id: [tuple(e) for e in r.edits] for r in op10_fingerprint.fingerprint_pairs(spark.createDataFrame(rows, DOCS)).collect()}
+    assert found[1][0][1] == 4 and found[3] == []

@@ -86,3 +86,28 @@ def test_pipeline_takes_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert op1_toxicity.learn(spark.createDataFrame([], DOCS), spark.read.parquet(f"{tmp_path}/labels.parquet")) is None
+
+
+def test_pipeline_keeps_rows_without_id(spark, tmp_path):
+    rows = [(None, prose(60, 50 + i), "en", "s", 0) for i in range(6)] + [(None, None, "en", "s", None), (None, prose(60, 50), "en", "s", 0)]
+    rows += [(i, prose(60, 80 + i) + " scumbag vermin moronic" * (i % 4 == 0), "en", "s", 0) for i in range(80)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)] + [(None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/out/{name}")
+        now = spark.read.parquet(f"{tmp_path}/out/{name}")
+        bare = now.where("doc_id IS NULL").count()
+        # the row without a text goes as und; of the two equal texts one stays
+        assert bare == {"toxicity": 8, "language": 7, "line_dedup": 7, "near_dedup": 6, "packing": 6}[name]
+
+
+def test_language_stage_keeps_the_wanted_languages(spark, tmp_path):
+    rows = [(i, prose(60, i).replace("e", "u" if i % 2 else "e"), "aa" if i % 2 else "bb", "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    every = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
+    only = {r.doc_id for r in corpus_pipeline.language(spark, docs, "", wanted=["aa"]).collect()}
+    assert every == set(range(60)) and only == set(range(1, 60, 2))
+    assert corpus_pipeline.language(spark, docs, "", least=1.0).count() == 0
