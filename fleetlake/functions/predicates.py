@@ -57,14 +57,27 @@ def blank_or(c, value: str) -> Column:
 
 
 def year_range(c, first: int, last: int | None) -> Column:
-    """Plain comparisons on the raw text that every date from year ``first`` to ``last`` passes, compact
-    or dashed, so that they reach the scan. Texts that do not start with a digit pass as well and are
-    left to the exact test; the year itself must be written without separators."""
+    """Plain comparisons on the raw text that every date from year ``first`` to ``last`` passes, so that
+    they reach the scan; the exact test decides.
+
+    A date text is read by its digits (SC-17), so it may start with other characters and may have
+    separators inside the year. A text of four leading digits passes if they lie in the range; so does one
+    that starts with other characters, or with one to three digits of the first or last year and a
+    separator. (With digits of the years between, it lies in the range of texts anyway.)
+    """
     raw = as_col(c).cast("string")
-    inside = raw >= f"{first:04d}"
+    low = f"{first:04d}"
+    inside = raw >= low
     if last is not None:
-        inside = (inside & (raw < f"{last + 1:04d}")) | (raw >= ":")
-    return inside | (raw < "0")
+        inside = inside & (raw < f"{last + 1:04d}")
+    for k in (1, 2, 3):
+        # a separator that sorts before the digits puts the text below the first year, ...
+        inside = inside | ((raw >= low[:k]) & (raw < low[:k] + "0"))
+        if last is not None:
+            # ... one that sorts behind them above the last
+            top = f"{last:04d}"[:k]
+            inside = inside | ((raw >= top + ":") & (raw < top[:-1] + chr(ord(top[-1]) + 1)))
+    return inside | (raw < "0") | (raw >= ":")
 
 
 def since(c, first_day: dt.date) -> Column:

@@ -60,3 +60,25 @@ def test_salted_join_matches_plain_join(spark):
     salted = sorted(map(tuple, salted_join(left, right, "k", "rk", [""], buckets=8).select("v", "w").collect()),
                     key=repr)
     assert salted == plain and len(salted) == 83
+
+
+def test_year_range_passes_every_date_of_the_years(spark):
+    """Separators of any kind anywhere in the text: a date of the wanted years is never cut off."""
+    import itertools
+    import random
+
+    from fleetlake.functions.dates import sap_date
+    from fleetlake.functions.predicates import year_range
+    r = random.Random(2)
+    texts = []
+    for year, sep in itertools.product((1989, 1994, 1995, 1996, 1999, 2000, 2001, 2002, 2010, 3001), ("", "-", "/", " ", ".", ":", "x", "~", "\u00e9")):
+        day = f"{year}{r.randint(1, 12):02d}{r.randint(1, 28):02d}"
+        for at in range(9):
+            texts.append(day[:at] + sep + day[at:])
+        texts.append(sep.join(day))
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    for first, last in ((1995, 2001), (1995, 1995), (1999, 2010), (2000, None), (1989, None)):
+        wanted = F.year(sap_date(F.col("d"))).between(first, last or 9999)
+        rows = df.select(wanted.alias("wanted"), year_range(F.col("d"), first, last).alias("passes")).collect()
+        assert all(x.passes for x in rows if x.wanted) and sum(bool(x.wanted) for x in rows) > 50
+        assert any(not x.passes for x in rows)
