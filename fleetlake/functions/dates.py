@@ -55,16 +55,6 @@ def null_date(c) -> Column:
     return F.when(col.cast("string") != "0000-00-00", col)
 
 
-def assume_br(c) -> Column:
-    """SC-18: a naive timestamp on the Brasilia clock (-03:00), as an instant."""
-    return F.to_utc_timestamp(as_col(c).cast("timestamp_ntz").cast("string"), "-03:00")
-
-
-def assume_utc(c) -> Column:
-    """SC-19: a naive timestamp taken as UTC, as an instant."""
-    return F.to_utc_timestamp(as_col(c).cast("timestamp_ntz").cast("string"), "UTC")
-
-
 def iso_offset(c, offset: str) -> Column:
     """ISO text of a naive date/timestamp with a fixed offset, Python style.
 
@@ -79,11 +69,6 @@ def iso_offset(c, offset: str) -> Column:
         F.lit(offset)))
 
 
-def date_text(c) -> Column:
-    """SC-21 input side: ``yyyyMMdd`` text of a date."""
-    return F.date_format(as_col(c), "yyyyMMdd")
-
-
 def stamp_dmy(c, zero: str = "0.0000000") -> Column:
     """SC-25: change stamp ``YYYYMMDD...`` to ``DD-MM-YYYY``; the zero stamp gives ''.
 
@@ -125,12 +110,3 @@ def first_window_index(d, total_days: int, step: int, as_of: dt.date) -> Column:
     x = F.lit(total_days) - back
     i = F.greatest(F.ceil(x / F.lit(step)).cast("int") - 1, F.lit(0))
     return F.when((back >= 0) & (back <= total_days), i)
-
-
-def half_years(first_year: int, as_of: dt.date) -> list[tuple[str, str, str]]:
-    """BF-2: ('2024H1', '20240101', '20240630'), ... up to the year of ``as_of``."""
-    out = []
-    for y in range(first_year, as_of.year + 1):
-        out.append((f"{y}H1", f"{y}0101", f"{y}0630"))
-        out.append((f"{y}H2", f"{y}0701", f"{y}1231"))
-    return out

@@ -63,25 +63,6 @@ def best_per_key(df: DataFrame, key, priority: Sequence[Column], tiebreak: Seque
     return first_per_key(df, key, order, tiebreak)
 
 
-def prefer(df: DataFrame, key, pred: Column, out_col: str) -> DataFrame:
-    """AG-11: per key, whether any row satisfies ``pred`` (a row that does wins).
-
-    One partial + final hash aggregation; a hot key is folded map-side.
-    """
-    return df.groupBy(*_cols(key)).agg(any_match(pred).alias(out_col))
-
-
 def any_match(pred: Column) -> Column:
     """AG-5: aggregate 'any row satisfies pred' (NULL counts as no)."""
     return F.bool_or(F.coalesce(pred, F.lit(False)))
-
-
-def first_non_blank(value, order: Sequence) -> Column:
-    """AG-17: aggregate giving the first non-blank ``value`` under ``order``.
-
-    Use inside ``groupBy().agg``; it is ``min_by`` over a struct of the order
-    columns, restricted to non-blank values, so it combines map-side.
-    """
-    v = as_col(value)
-    ok = v.isNotNull() & (F.trim(v.cast("string")) != "")
-    return F.min_by(F.when(ok, v), F.when(ok, F.struct(*_cols(order))))

@@ -69,20 +69,6 @@ def agg_lookup(df: DataFrame, right: DataFrame, left_on: Sequence, right_on: Seq
     return out.drop(*[F.col(f"{name}.{k}") for k in keys])
 
 
-def left_lookup(df: DataFrame, right: DataFrame, left_on: Sequence, right_on: Sequence,
-                select: Sequence[Column], where: Column | None = None, name: str = "lj") -> DataFrame:
-    """JN-3/JN-4/JN-5/JN-6: left join with the right side filtered first.
-
-    ``select`` are Columns of ``right`` (aliased) to bring over. Fan-out on
-    duplicate right keys is kept, as in SQL.
-    """
-    r = right.filter(where) if where is not None else right
-    keys = [f"__{name}{i}" for i in range(len(right_on))]
-    rr = r.select(*[as_col(c).alias(k) for c, k in zip(right_on, keys)], *select).alias(name)
-    out = df.join(rr, _cond(left_on, keys, name), "left")
-    return out.drop(*[F.col(f"{name}.{k}") for k in keys])
-
-
 def text_lookup(df: DataFrame, texts: DataFrame, left_on, right_on, text_col: str, out: str,
                 lang_col: str | None = "spras", langs: Sequence[str] = ("P", "PT"),
                 name: str = "tx") -> DataFrame:
@@ -102,27 +88,6 @@ def semi(df: DataFrame, keys: DataFrame, left_on: Sequence, right_on: Sequence)
     return df.join(k, _cond(left_on, [f"__s{i}" for i in range(len(right_on))], "sk"), "left_semi")
 
 
-def anti(df: DataFrame, keys: DataFrame, left_on: Sequence, right_on: Sequence) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``keys`` (left anti join)."""
-    k = keys.select(*[as_col(c).alias(f"__a{i}") for i, c in enumerate(right_on)]).alias("ak")
-    return df.join(k, _cond(left_on, [f"__a{i}" for i in range(len(right_on))], "ak"), "left_anti")
-
-
-def join_on_key(left: DataFrame, right: DataFrame, left_key, right_key, norm, how: str = "inner",
-                name: str = "jk") -> DataFrame:
-    """JN-6/JN-7/JN-8: join on normalised keys derived once per side.
-
-    ``norm`` is a Column function (``strip_key``, ``as_long``, ``as_text``,
-    ``pad_key``...). The key is computed as a column on each side and the
-    join is a plain equi-join on it, so it can be hash-partitioned (a join
-    condition wrapped in functions of both sides could not). The right key
-    column is dropped after the join.
-    """
-    r = right.withColumn(f"__{name}", norm(as_col(right_key)))
-    out = left.join(r, norm(as_col(left_key)) == F.col(f"__{name}"), how)
-    return out.drop(f"__{name}")
-
-
 def enrich_header(rows: DataFrame, header: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """JN-18: overwrite/add header ``fields`` on ``rows`` matching on ``keys``.
 

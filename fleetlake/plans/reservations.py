@@ -55,14 +55,17 @@ def stock_by_material(t: dict[str, DataFrame], p: Params, materials: DataFrame |
     """
     p.need("stock_warehouse")
     aqua, mara = t["aqua"], t["mara"]
-    m = mara.select(F.col("scm_matid_guid16").alias("matid"), F.col("matnr"))
-    e = aqua.filter((F.col("lgnum") == p.stock_warehouse) & (F.col("quan") > 0)).join(m, "matid", "left")
-    e = e.select(K.strip_key(F.col("matnr")).alias("material"),
+    m = mara.select(F.col("scm_matid_guid16").alias("matid"), K.strip_key(F.col("matnr")).alias("material"))
+    if materials is not None:
+        # the master is cut to the wanted materials first; stock without a master row is of none of them,
+        # so it need not travel under one NULL material
+        m = semi(m, materials, [F.col("material")], [F.col(materials.columns[0])])
+    e = aqua.filter((F.col("lgnum") == p.stock_warehouse) & (F.col("quan") > 0)).join(
+        m, "matid", "left" if materials is None else "inner")
+    e = e.select("material",
                  F.coalesce(F.trim(F.col("charg")), F.lit("")).alias("lote"),
                  F.coalesce(F.col("lgpla"), F.lit("")).alias("posicao"),
                  F.coalesce(F.col("quan"), F.lit(0)).alias("quantidade"))
-    if materials is not None:
-        e = semi(e, materials, [F.col("material")], [F.col(materials.columns[0])])
     # AG-14: STRING_AGG(DISTINCT ...) without order -> distinct bins, sorted (S-10)
     per_lot = e.groupBy("material", "lote").agg(
         F.sum("quantidade").alias("qtd_lote"),

@@ -100,12 +100,6 @@ def test_first_window_index_matches_window_list(spark):
     assert got == want
 
 
-def test_half_years():
-    assert D.half_years(2024, dt.date(2025, 5, 1))[:2] == [("2024H1", "20240101", "20240630"),
-                                                           ("2024H2", "20240701", "20241231")]
-    assert len(D.half_years(2024, dt.date(2025, 5, 1))) == 4
-
-
 def test_iso_offset(spark):
     got = one_col(spark, [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 120)],
                   lambda c: D.iso_offset(c, "-03:00"), "timestamp_ntz")

@@ -1,4 +1,4 @@
-"""Operators: dedup against a Python model, batches, merge and nesting."""
+"""Operators: dedup against a Python model, batches and merge."""
 
 import datetime as dt
 
@@ -7,8 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetlake.operators.batches import row_index, to_batches
-from fleetlake.operators.dedup import first_per_key, latest_per_key, prefer
-from fleetlake.operators.nesting import nest_children
+from fleetlake.operators.dedup import first_per_key, latest_per_key
 from fleetlake.plans.yard import merge_feeds
 
 rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(0, 5)),
@@ -41,12 +40,6 @@ def test_latest_ties_all_equals_self_join(spark, rows):
     assert got == sorted(r for r in rows if r[1] is not None and mx.get(r[0]) == r[1])
 
 
-def test_prefer_paid_wins(spark):
-    df = spark.createDataFrame([("12", False), ("12", True), ("7", None)], "k string, paid boolean")
-    got = {r[0]: r[1] for r in prefer(df, "k", F.col("paid"), "any_paid").collect()}
-    assert got == {"12": True, "7": False}
-
-
 def test_row_index_gapless(spark):
     for parts in (1, 4, 50):
         df = spark.range(0, 1234).select((F.col("id") * 7 % 1234).alias("x"))
@@ -93,11 +86,3 @@ def test_merge_feeds(spark):
         valid, rej, ["asset_no", "data", "h"], ["em", "motivo"]).collect())
     # A1: only the last valid row (h=2) gets the last rejected row (E2); C1 appended
     assert got == [("A1", 1, None), ("A1", 2, "E2"), ("B1", 3, None), ("C1", None, "E3")]
-
-
-def test_nest_children_unique_sorted(spark):
-    df = spark.createDataFrame([("o1", "0020", "b", 1), ("o1", "0010", "a", 2), ("o1", "0010", "z", 3),
-                                ("o2", None, "x", 4)], "o string, op string, d string, seq int")
-    n = nest_children(df, ["o"], "op", ["d"], [F.col("seq")], out="ops")
-    got = {r["o"]: [(x["op"], x["d"]) for x in r["ops"]] for r in n.collect()}
-    assert got == {"o1": [("0010", "a"), ("0020", "b")]}
