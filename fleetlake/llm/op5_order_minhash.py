@@ -285,8 +285,9 @@ def _own_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _reaches(common, total, similarity: float):
-    """Whether ``common`` labels of ``total`` in two texts can make them similar, as the verification divides."""
-    return (common > 0) & (common.cast("double") / (total - common) >= similarity)
+    """Whether ``common`` labels of ``total`` in two texts can make them similar; a little less is let
+    through, so that rounding loses no tie (the verification decides). ``common`` is evaluated once."""
+    return common >= F.ceil(F.lit(similarity / (1 + similarity)) * total - 1e-6)
 
 
 def _main_classes(members: DataFrame) -> DataFrame:
