@@ -165,3 +165,19 @@ def test_desc_text_key_reverses_order(spark):
     got = [r[0] for r in df.orderBy(K.desc_text_key(F.col("x"))).collect()]
     want = [r[0] for r in df.orderBy(F.col("x").desc_nulls_first()).collect()]
     assert got == want
+
+
+ODD_KEYS = ["12", "012", "0012", "000000000012", "000000000000000012", "0000000000000000012", " 12", "0 12", " 012 ", "0", "00", "000000000000", "", " ",
+            "\t12", "12\t", "A1", "0A1", "1234567890123", "01234567890123", "000001234567890123", "x" * 39, "x" * 40, "0" + "x" * 40, "y" * 41, "12 3", "0 0", None]
+
+
+def test_form_key_is_variants_backwards(spark):
+    """A text is a variant of another exactly if its form key is one of the other's, each variant under one key."""
+    texts = ODD_KEYS + [k.ljust(n) for k in ODD_KEYS if k for n in (20, 40, 41)]
+    rows = spark.createDataFrame([(k,) for k in texts], "k string")
+    for variants, key in ((K.key_variants, K.form_key), (K.material_variants, K.material_form_key)):
+        wanted = {(r["k"], v) for r in rows.select("k", F.explode(variants(F.col("k"))).alias("v")).collect() for v in [r["v"]] if v in texts}
+        own = {r["k"]: r["f"] for r in rows.select("k", K.form_keys(F.col("k")).alias("f")).collect()}
+        of = {r["k"]: r["f"] for r in rows.select("k", key(F.col("k")).alias("f")).collect()}
+        assert all(len(set(f)) == len(f) for f in own.values() if f)
+        assert {(a, b) for a in texts for b in texts if of[b] is not None and of[b] in (own[a] or [])} == wanted

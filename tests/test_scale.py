@@ -49,3 +49,12 @@ def test_line_values_come_once(spark):
     right = spark.createDataFrame([("1", "1", "v"), ("1", "1", "v"), ("1", "1", None), ("1", "2", None)], "rsnum string, rspos string, creadat string")
     out = RS._line_values(lines, right, "creadat")
     assert sorted(map(tuple, out.collect()), key=str) == sorted([("1", "1", "v"), ("1", "1", None), ("1", "2", None), ("2", "1", None)], key=str)
+
+
+def test_variants_write_no_forms_out(spark):
+    ords = spark.createDataFrame([("A", "000000000012", "12"), ("A", "12", "12"), ("B", "0012", "12")], "ativo string, aufnr_raw string, ordem string")
+    rows = spark.createDataFrame([("12",), ("000000000012",), ("0012",), ("012",), ("",), (None,)], "aufnr string")
+    met = DO.of_orders(rows, ords, variants=True)
+    assert sorted((r["ativo"], r["aufnr"]) for r in met.collect()) == [("A", "000000000012"), ("A", "12"), ("B", "000000000012"), ("B", "0012"), ("B", "12")]
+    # each order travels under the key of its forms, not under every form
+    assert "lpad" not in met._jdf.queryExecution().analyzed().toString()
