@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ MIN_RATIO = 4.0       # rate ratio that make a word or prefix toxic
 PREFIXES = range(3, 9)  # bytes
 FLOOR = 0.25          # marginal from which a word counts towards the expected number
 CACHE = 400_000       # word types a task keeps the scores of
+WORDS = 1 << 18       # words that a step of the learning takes at once (one document at least)
 
 _STOP = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -118,6 +119,51 @@ class Numbers(dict):
         return n
 
 
+class Part(NamedTuple):
+    """Some whole documents: number of each word, length of each chain, words and label of each document."""
+    ids: np.ndarray
+    lengths: np.ndarray
+    sizes: np.ndarray
+    y: np.ndarray
+
+
+def parts_of(rows: Iterable[tuple[str, int]], number: Numbers) -> list[Part]:
+    """Documents with words among (text, label), in parts of about WORDS words; ``number`` gets the word types.
+    Of each word only its number stays, not the word itself."""
+    parts, ids, lengths, sizes, y = [], [], [], [], []
+
+    def close():
+        if sizes:
+            parts.append(Part(np.concatenate(ids), np.array(lengths, dtype=np.int64), np.array(sizes), np.array(y)))
+            for x in (ids, lengths, sizes, y):
+                x.clear()
+
+    for text, label in rows:
+        words, n = chains(text)
+        if not words:
+            continue
+        if sum(sizes) + len(words) > WORDS:
+            close()
+        ids.append(np.fromiter(map(number.__getitem__, words), dtype=np.int32, count=len(words)))
+        lengths += n
+        sizes.append(len(words))
+        y.append(label)
+    close()
+    return parts
+
+
+def emit(table, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the words of concatenated chains, and the places of words that have one before them. ``table``
+    has for each word type its own score, its score for the word behind it and for the word before it."""
+    e = table[0][ids]
+    inner = np.ones(len(ids), dtype=bool)
+    inner[np.cumsum(lengths) - lengths] = False
+    k = np.flatnonzero(inner)
+    e[k] += table[1][ids[k - 1]]
+    e[k - 1] += table[2][ids[k]]
+    return e, k
+
+
 class Emissions:
     """Scores of word types, kept between the batches of a task."""
 
@@ -137,73 +183,75 @@ class Emissions:
         if len(self.number) > known:
             w = self.weights[word_features(list(islice(self.number, known, None)))]
             self.table = np.concatenate((self.table, (w[:, :-2].sum(axis=1) + self.bias, w[:, -2], w[:, -1])), axis=1)
-        e = self.table[0][ids]
-        inner = np.ones(len(ids), dtype=bool)
-        inner[np.cumsum(lengths) - lengths] = False
-        k = np.flatnonzero(inner)
-        e[k] += self.table[1][ids[k - 1]]
-        e[k - 1] += self.table[2][ids[k]]
-        return e
-
-
-def toxic_features(docs: list[tuple[list[str], int]]) -> set[str]:
-    """Words and prefixes that mark toxic documents (prefixes end in '*')."""
-    counts = (Counter(), Counter())
-    for words, y in docs:
-        kinds = set(words)
-        counts[y].update(kinds | {w[:n] + "*" for w in kinds for n in range(4, 8) if len(w) >= n})
-    nt = sum(y for _, y in docs)
-    nc = len(docs) - nt
-    found = set()
-    for f, a in counts[1].items():
-        b = counts[0][f]
-        if a < 2 or (a + 0.5) / nt < MIN_RATIO * (b + 0.5) / nc:
-            continue
+        return emit(self.table, ids, lengths)[0]
+
+
+def toxic_types(words: list[str], parts: list[Part]) -> np.ndarray:
+    """Which word types mark toxic documents, by themselves or by a prefix."""
+    size = np.array([len(w) for w in words])
+    nt = int(sum(p.y.sum() for p in parts))
+    nc = sum(len(p.y) for p in parts) - nt
+    toxic = np.zeros(len(words), dtype=bool)
+    for n in (None, 4, 5, 6, 7):  # the whole word, then its prefixes
+        at = np.arange(len(words)) if n is None else np.flatnonzero(size >= n)
+        kind = np.full(len(words), -1)  # number of the word or prefix
+        kind[at] = at if n is None else np.unique(np.array([words[i][:n] for i in at], dtype=f"U{n}"), return_inverse=True)[1]
+        counts = np.zeros((2, len(words) + 1), dtype=np.int64)  # documents; the last place is that of -1
+        for p in parts:
+            for ids, y in zip(np.split(p.ids, np.cumsum(p.sizes)[:-1]), p.y):
+                counts[y, np.unique(kind[ids])] += 1
+        counts[:, -1] = 0
+        b, a = counts
+        marks = (a >= 2) & ((a + 0.5) / nt >= MIN_RATIO * (b + 0.5) / nc)
+        a, b = a[marks], b[marks]
         ea, eb = (a + b) * nt / (nt + nc), (a + b) * nc / (nt + nc)
-        if 2 * (a * np.log(a / ea) + (b * np.log(b / eb) if b else 0)) >= MIN_G2:
-            found.add(f)
-    return found
+        marks[marks] = 2 * (a * np.log(a / ea) + b * np.log(np.where(b > 0, b / eb, 1))) >= MIN_G2
+        toxic |= marks[kind]
+    return toxic
 
 
-def fit_chain(docs: list[tuple[list[str], list[int], int]], steps: int = 30) -> dict:
-    """Weights of the chain from (words, chain lengths, label) of each document."""
-    marks = toxic_features([(w, y) for w, _, y in docs])
-    number = Numbers()
-    ids = np.fromiter((number[w] for d in docs for w in d[0]), dtype=np.int64)
-    toxic = np.array([w in marks or any(w[:n] + "*" in marks for n in range(4, 8) if len(w) >= n) for w in number], dtype=bool)
-    y = toxic[ids] & np.repeat([d[2] == 1 for d in docs], [len(d[0]) for d in docs])
-    lengths = np.array([n for d in docs for n in d[1]], dtype=np.int64)
-    feats = word_features(list(number))
+def fit_chain(words: list[str], parts: list[Part], steps: int = 30) -> dict:
+    """Weights of the chain. Gradients add up over the parts, so that only the numbers of all words are held."""
+    toxic = toxic_types(words, parts)
+    feats = word_features(words)
     own, before, behind = feats[:, :-2], feats[:, -2], feats[:, -1]
-    starts = np.cumsum(lengths) - lengths
-    inner = np.ones(len(ids), dtype=bool)
-    inner[starts] = False
-    k = np.flatnonzero(inner)
-    yy = y.astype(np.int64)
-    seen = np.bincount(2 * yy[k - 1] + yy[k], minlength=4).reshape(2, 2).astype(float)
+    seen, n = np.zeros((2, 2)), sum(len(p.ids) for p in parts)
+    marked = [toxic[p.ids] & np.repeat(p.y == 1, p.sizes) for p in parts]
+    for part, y in zip(parts, marked):
+        inner = np.ones(len(y), dtype=bool)
+        inner[np.cumsum(part.lengths) - part.lengths] = False
+        k = np.flatnonzero(inner)
+        seen += np.bincount(2 * y[k - 1].astype(np.int8) + y[k], minlength=4).reshape(2, 2)
     w, t, start, bias = np.zeros(_SIZE + 1), np.zeros((2, 2)), 0.0, -3.0
     gw, gt, gs, gb = np.full(_SIZE + 1, 1e-8), np.full((2, 2), 1e-8), 1e-8, 1e-8
-    n = len(ids)
     for step in range(steps):
-        e = (w[own].sum(axis=1) + bias)[ids]
-        e[k] += w[before][ids[k - 1]]
-        e[k - 1] += w[behind][ids[k]]
-        p, expected = forward_backward(e, lengths, t, start, pairs=True)
-        d = y - p
-        by_type = np.bincount(ids, weights=d, minlength=len(feats))
+        table = (w[own].sum(axis=1) + bias, w[before], w[behind])
+        by_type, by_before, by_behind = np.zeros((3, len(words)))
+        dt, ds, db = seen.copy(), 0.0, 0.0
+        for part, y in zip(parts, marked):
+            ids = part.ids
+            e, k = emit(table, ids, part.lengths)
+            p, expected = forward_backward(e, part.lengths, t, start, pairs=True)
+            d = y - p
+            by_type += np.bincount(ids, weights=d, minlength=len(words))
+            by_before += np.bincount(ids[k - 1], weights=d[k], minlength=len(words))
+            by_behind += np.bincount(ids[k], weights=d[k - 1], minlength=len(words))
+            dt -= expected
+            ds += d[np.cumsum(part.lengths) - part.lengths].sum()
+            db += d.sum()
         g = np.bincount(own.ravel(), weights=np.repeat(by_type, own.shape[1]), minlength=_SIZE + 1)
-        g += np.bincount(before, weights=np.bincount(ids[k - 1], weights=d[k], minlength=len(feats)), minlength=_SIZE + 1)
-        g += np.bincount(behind, weights=np.bincount(ids[k], weights=d[k - 1], minlength=len(feats)), minlength=_SIZE + 1)
+        g += np.bincount(before, weights=by_before, minlength=_SIZE + 1)
+        g += np.bincount(behind, weights=by_behind, minlength=_SIZE + 1)
         g = g / n - 1e-7 * w
         g[_SIZE] = 0
-        dt, ds, db = (seen - expected) / n, d[starts].sum() / n, d.sum() / n
+        dt, ds, db = dt / n, ds / n, db / n
         gw, gt, gs, gb = gw + g * g, gt + dt * dt, gs + ds * ds, gb + db * db
         rate = 0.7
         w += rate * g / np.sqrt(gw)
         t += rate * 0.3 * dt / np.sqrt(gt)
         start += rate * 0.3 * ds / np.sqrt(gs)
         bias += rate * 0.3 * db / np.sqrt(gb)
-    return {"weights": w[:_SIZE], "bias": float(bias), "t": t, "start": float(start)}
+    return {"weights": w[:_SIZE], "bias": float(bias), "t": t, "start": float(start), "table": (w[own].sum(axis=1) + bias, w[before], w[behind])}
 
 
 def document_features(p: np.ndarray, words_of: np.ndarray, n: int) -> np.ndarray:
@@ -225,17 +273,19 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict
     # one row with words of each id, so that copies of a repeated id do not all go to the driver
     rows = rename_inputs(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where(
         F.col("text").rlike(r"[\p{L}\p{N}]")).groupBy("doc_id", "y").agg(F.min("text").alias("text")).toArrow().sort_by("doc_id")
-    data = [(*chains(t), y) for t, y in zip(rows.column("text").to_pylist(), rows.column("y").to_pylist())]
-    data = [d for d in data if d[0]]
-    if len({d[2] for d in data}) < 2:
+    number = Numbers()
+    parts = parts_of(((t, y) for b in slices(rows.to_batches(), "text")
+                      for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist())), number)
+    del rows
+    y = np.concatenate([p.y for p in parts]) if parts else np.empty(0)
+    if len(set(y.tolist())) < 2:
         return None
-    model = fit_chain(data)
-    words = [w for d in data for w in d[0]]
-    lengths = np.array([n for d in data for n in d[1]], dtype=np.int64)
-    e = Emissions(model["weights"], model["bias"]).scores(words, lengths)
-    p = forward_backward(e, lengths, model["t"], model["start"])
-    x = document_features(p, np.repeat(np.arange(len(data)), [len(d[0]) for d in data]), len(data))
-    y = np.array([d[2] for d in data])
+    model = fit_chain(list(number), parts)
+    table, features = model.pop("table"), []
+    for part in parts:
+        p = forward_backward(emit(table, part.ids, part.lengths)[0], part.lengths, model["t"], model["start"])
+        features.append(document_features(p, np.repeat(np.arange(len(part.y)), part.sizes), len(part.y)))
+    x = np.concatenate(features)
     a = np.zeros(x.shape[1])
     for _ in range(50):
         q = 1 / (1 + np.exp(-(x @ a).clip(-30, 30)))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -110,6 +111,23 @@ def test_training_takes_one_row_of_a_repeated_id(spark, monkeypatch, learn):
     assert len(taken) == 1 and taken[0] <= 30
 
 
+def test_learning_keeps_numbers_of_words(spark, monkeypatch):
+    """The driver's Python holds a few bytes a word, and the size of the parts does not change the model."""
+    r = random.Random(31)
+    texts = [". ".join(" ".join(r.choice(VOCABULARY) for _ in range(20)) for _ in range(50)) for _ in range(500)]
+    texts = [t + (". moronic scumbag" if i % 4 == 0 else "") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(len(texts))], "doc_id long, toxic int")
+    whole = op1_toxicity.learn(docs, labels)
+    monkeypatch.setattr(op1_toxicity, "WORDS", 20_000, raising=False)
+    tracemalloc.start()
+    model = op1_toxicity.learn(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * 1000 * len(texts)
+    assert np.allclose(model["weights"], whole["weights"], atol=1e-5) and np.allclose(model["document"], whole["document"])
+
+
 def test_marginals_of_a_long_sentence_are_those_of_the_whole_chain():
     rng = np.random.default_rng(5)
     lengths = np.array([300, 7, 1, 300, 95])
