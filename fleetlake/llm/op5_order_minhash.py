@@ -355,13 +355,13 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     sites = cut_lineage(sites.join(kept, "n").select("n", "packed", "places", "open"))
     ddl = "n long, labels array<long>, near array<struct<bucket: long, lacks: array<int>, width: int>>"
     apart = cut_lineage(map_arrow(sites.where("open").select("n", "packed", "places"), _profiles(similarity, None), ddl))
-    told = apart.select(F.explode("labels").alias("label")).distinct()
-    known = told.limit(TOLD + 1).toArrow().column("label").to_numpy()
+    index = cut_lineage(apart.select("n", F.explode("labels").alias("label")))  # each label becomes a row once, then rows are read
+    known = index.select("label").distinct().limit(TOLD + 1).toArrow().column("label").to_numpy()
     within = cut_lineage(map_arrow(sites.where(~F.col("open")).select("n", "packed", "places"),
                                    _profiles(similarity, np.sort(known) if len(known) <= TOLD else None), ddl))
     profiles = apart.unionByName(within)
 
-    index = profiles.select("n", F.explode("labels").alias("label"))
+    index = index.unionByName(cut_lineage(within.select("n", F.explode("labels").alias("label"))))
     held = index.groupBy("label").agg(F.count("*").alias("holders")).where("holders > 1").select(fresh("label").alias("k"), "holders")
     index = cut_lineage(index.withColumn("k", fresh("label")).join(held, "k").select("n", "label", "holders"))
     nodes = rows.groupBy("n").agg(F.first("c").alias("c"), F.first("size").alias("size"))

@@ -563,6 +563,33 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch, small, hubs, told):
     assert len(set(want)) > 20 and [found[i] for i in range(len(texts))] == want
 
 
+def test_labels_of_crowded_buckets_become_rows_once(spark, monkeypatch):
+    """All label rows that are made, over every plan that runs, are those of the listed labels, once."""
+    frame = type(spark.range(0))
+    made, listed = [], []
+    to_arrow, store = frame.toArrow, op5_order_minhash.cut_lineage
+
+    def count(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        made.append(plan.count("Generate explode(labels"))
+
+    def stored(df):
+        count(df)
+        out = store(df)
+        if {"labels", "near"} <= set(out.columns):
+            listed.append(out.agg(F.sum(F.size("labels")), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(op5_order_minhash, "cut_lineage", stored)
+    monkeypatch.setattr(frame, "toArrow", lambda df: (count(df), to_arrow(df))[1])
+    texts = crowd()
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    assert op5_order_minhash.near_duplicates(spark.createDataFrame(rows, DOCS)).count() == len(texts)
+    assert len(listed) == 2 and listed[0][0] > 0 and sum(n for _, n in listed) <= len(texts)
+    assert sum(x or 0 for x, _ in listed) <= sum(len(op5_order_minhash.labels(t)) for t in texts)
+    assert sum(made) == 2  # one for each of the two tables
+
+
 def test_recall_on_documents(spark):
     """Ids divisible by 10 against all rows, aligned plainly."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
