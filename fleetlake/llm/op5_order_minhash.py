@@ -16,8 +16,8 @@ SMALL nodes give all their pairs. Otherwise all their labels outside C are among
 none is shared, so that their overlap is |C| less the labels of C that either lacks. Nodes that
 lack few are compared with the node that lacks least; those left in other classes, and the nodes of index
 entries above SMALL, meet in rounds: up to HUBS nodes of a bucket outside its largest class with all nodes
-of other classes whose overlap is large enough (as above, or counted from the labels of both), until
-none is left.
+of other classes whose overlap can be large enough (as above, or by the bits that differ in the marks of
+both, a few words for a node), until none is left.
 Nodes that are in the largest class of all their buckets list only the labels that others list.
 Texts that differ from a common source in different places, or share only a passage, thus make no
 pairs that grow with the square of their number.
@@ -57,7 +57,8 @@ HUBS = 1024         # nodes of a larger bucket that meet the others in one round
 SAMPLE = 32         # nodes that the core of a bucket is taken from
 TOLD = 1_000_000    # labels of nodes outside the main classes that the other nodes are told at most
 CACHE = 300_000     # words a task keeps the hashes of
-MEMBER = ["bucket", "n", "size", "lacks", "width", "own"]
+MARKS = 16          # 64-bit words of the marks of a node
+MEMBER = ["bucket", "n", "size", "lacks", "width", "marks"]
 
 _WORD = re.compile(r"[^\W_]+")
 _RNG = np.random.default_rng(20240229)
@@ -278,10 +279,17 @@ def _profiles(similarity: float, told: np.ndarray | None):
     return run
 
 
-def _own_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("n", pa.int64()), ("own", pa.list_(pa.int64()))])
+def marks(s: np.ndarray) -> np.ndarray:
+    """A bit for each of 64 MARKS groups of labels, set if an odd number of the labels ``s`` is in it. Two texts
+    have at least as many labels that the other lacks as bits that differ."""
+    counts = np.bincount((_mix(s) % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("n", pa.int64()), ("marks", pa.list_(pa.int64()))])
     for b in slices(batches, "packed", rows=64):
-        yield record_batch(schema, n=b.column("n"), own=[labels(_unpack(x)).view(np.int64) for x in b.column("packed").to_pylist()])
+        yield record_batch(schema, n=b.column("n"), marks=[marks(labels(_unpack(x))) for x in b.column("packed").to_pylist()])
 
 
 def _reaches(common, total, similarity: float):
@@ -300,16 +308,17 @@ def _main_classes(members: DataFrame) -> DataFrame:
 def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
     its largest class meet all nodes of other classes for which the bound holds, and leave it; a bucket
-    whose nodes are of one class is finished. The overlap is bounded by what both lack of the core, or
-    counted where the members bring their labels (``own``)."""
+    whose nodes are of one class is finished. The overlap is bounded by what both lack of the core, or,
+    where the members bring ``marks``, by the bits that differ."""
     open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(_main_classes(members), "k").drop("k"))
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.size("lacks"), "n"))
     hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= HUBS).select(
         fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("lacks").alias("la"),
-        F.col("own").alias("oa")))
+        F.col("marks").alias("ma")))
     rows = open_.withColumn("k", fresh("bucket"))
-    common = F.when(F.col("width").isNull(), F.size(F.array_intersect("own", "oa"))).otherwise(F.col("width") - F.size(F.array_union("lacks", "la")))
     total = F.col("size") + F.col("sa")
+    differ = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("ma")[i])) for i in range(1, MARKS)), F.bit_count(F.col("marks")[0].bitwiseXOR(F.col("ma")[0])))
+    common = F.when(F.col("width").isNull(), (total - differ) / 2).otherwise(F.col("width") - F.size(F.array_union("lacks", "la")))
     bound = _reaches(F.least("size", "sa"), total, similarity) & _reaches(common, total, similarity)
     pairs = rows.join(hubs, "k").where((F.col("c") != F.col("ca")) & bound).select(F.least("a", "n").alias("a"), F.greatest("a", "n").alias("b")).distinct()
     gone = hubs.select(F.struct(F.col("k.bucket").alias("bucket"), F.col("a").alias("n")).alias("k"))
@@ -375,9 +384,9 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     pairs = cut_lineage(pairs.unionByName(star).distinct())
     crowded = index.where(F.col("holders") > SMALL).select(F.col("label").alias("bucket"), "n")
     texts_ = kept.join(crowded.select("n").distinct(), "n", "left_semi")
-    crowded = crowded.join(map_arrow(texts_.select("n", "packed"), _own_labels, "n long, own array<long>"), "n").join(nodes, "n").select(
-        "bucket", "n", "size", F.array().cast("array<int>").alias("lacks"), F.lit(None).cast("int").alias("width"), "own")
-    members = cut_lineage(near.withColumn("own", F.lit(None).cast("array<long>")).select(*MEMBER).unionByName(crowded.select(*MEMBER)))
+    crowded = crowded.join(map_arrow(texts_.select("n", "packed"), _marked, "n long, marks array<long>"), "n").join(nodes, "n").select(
+        "bucket", "n", "size", F.array().cast("array<int>").alias("lacks"), F.lit(None).cast("int").alias("width"), "marks")
+    members = cut_lineage(near.withColumn("marks", F.lit(None).cast("array<long>")).select(*MEMBER).unionByName(crowded.select(*MEMBER)))
     done = None
     while True:
         found = verified(pairs)

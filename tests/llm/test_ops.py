@@ -11,7 +11,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from fleetlake.llm import (op1_toxicity, op2_warc, op3_license, op4_bpe, op5_order_minhash, op6_packing, op7_language,
@@ -590,6 +592,38 @@ def test_labels_of_crowded_buckets_become_rows_once(spark, monkeypatch):
     assert sum(made) == 2  # one for each of the two tables
 
 
+def test_marks_bound_what_two_texts_share():
+    r = random.Random(3)
+    for _ in range(200):
+        words = prose(r.randint(5, 400), r.random()).split(" ")
+        x = op5_order_minhash.labels(" ".join(words))
+        y = op5_order_minhash.labels(" ".join(words[r.randrange(40):] + prose(r.randint(1, 200), r.random()).split(" ")))
+        differ = sum(int(i ^ j).bit_count() for i, j in zip(*(op5_order_minhash.marks(z).view(np.uint64).tolist() for z in (x, y))))
+        apart = len(x) + len(y) - 2 * len(np.intersect1d(x, y))
+        assert differ <= apart and (apart > 100 or differ >= apart / 2) and len(op5_order_minhash.marks(x)) == op5_order_minhash.MARKS
+
+
+def test_rows_of_crowded_buckets_stay_narrow(spark, monkeypatch):
+    """Rows that are dealt by bucket bring a few words for a node, not all its labels."""
+    wide, store = [], op5_order_minhash.cut_lineage
+
+    def stored(df):
+        out = store(df)
+        longs = [f.name for f in out.schema if f.dataType.simpleString() == "array<bigint>"]
+        if longs and {"bucket", "n"} <= set(out.columns):
+            wide.append(out.agg(*[F.max(F.size(x)).alias(x) for x in longs]).first())
+        return out
+
+    monkeypatch.setattr(op5_order_minhash, "cut_lineage", stored)
+    monkeypatch.setattr(op5_order_minhash, "SMALL", 3)
+    texts = crowd(60)
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.class_id for r in op5_order_minhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    want = plain_classes(texts)
+    assert [found[i] for i in range(len(texts))] == want
+    assert wide and 0 < max(x or 0 for row in wide for x in row) <= op5_order_minhash.MARKS < max(len(plain_labels(t)) for t in texts)
+
+
 def test_recall_on_documents(spark):
     """Ids divisible by 10 against all rows, aligned plainly."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
