@@ -18,6 +18,7 @@ from fleetlake.session import ensure_checkpoint_dir
 
 ROWS_PER_SLICE = 512
 BYTES_PER_SLICE = 8 << 20
+ROWS_PER_FILE = 20_000  # narrow rows that are worth a task and a file of their own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._fleetlake_shipped = True
 
 
+def in_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` narrow rows, in as many partitions as they are worth: a few rows dealt over
+    hundreds of partitions cost a task and a file each when they are written."""
+    return df.coalesce(1 + rows // ROWS_PER_FILE)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the session's shared checkpoint folder and read it back. Loops use this
     rather than ``checkpoint()``: the table has its true size, while a checkpointed frame keeps the

@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import cut_lineage, fresh, map_arrow, record_batch, rename_inputs, slices, table
+from fleetlake.llm.common import cut_lineage, fresh, in_files, map_arrow, record_batch, rename_inputs, slices, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -195,21 +195,34 @@ def _verify(similarity: float):
 
 def components(links: DataFrame) -> DataFrame:
     """(n, c): smallest node of the component of every node that has a link (a, b)."""
-    edges = cut_lineage(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    state = cut_lineage(edges.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.col("a")).alias("c")))
+    rows = 2 * links.count()
+    edges = cut_lineage(in_files(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), rows))
+    state = cut_lineage(in_files(edges.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.col("a")).alias("c")), rows))
     while True:
         seen = edges.select(fresh("b").alias("k"), F.col("a").alias("n")).join(
             state.select(F.struct(F.col("n").alias("b")).alias("k"), "c"), "k").groupBy("n").agg(F.min("c").alias("near"))
         step = state.join(seen, "n").select("n", "c", F.least("c", "near").alias("low"))
         jump = step.select(F.struct("low").alias("k"), "n", "c").join(
             state.select(F.struct(F.col("n").alias("low")).alias("k"), F.col("c").alias("up")), "k")
-        new = cut_lineage(jump.select("n", F.col("c").alias("was"), F.least("k.low", "up").alias("c")))
+        new = cut_lineage(in_files(jump.select("n", F.col("c").alias("was"), F.least("k.low", "up").alias("c")), rows))
         moved = new.where("was <> c").limit(1).count()
         state = new.select("n", "c")
         if not moved:
             return state
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (n, c) after more links (a, b): the components of the classes that the links join."""
+    ends = links
+    for x in "ab":
+        found = classes.select(F.struct(F.col("n").alias(x)).alias("k"), F.col("c").alias("of"))
+        ends = ends.withColumn("k", F.struct(x)).join(found, "k", "left").withColumn(x, F.coalesce("of", x)).drop("k", "of")
+    joined = components(cut_lineage(in_files(ends, links.count())))
+    moved = classes.withColumn("k", F.struct("c")).join(
+        joined.select(F.struct(F.col("n").alias("c")).alias("k"), F.col("c").alias("low")), "k", "left").select("n", F.coalesce("low", "c").alias("c"))
+    return cut_lineage(in_files(moved.unionByName(joined.join(classes.select("n"), "n", "left_anti")), classes.count()))
+
+
 def _labelled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members (bucket, n, ...) with the class of each node so far."""
     found = classes.select(F.struct("n").alias("k"), "c")
@@ -221,12 +234,13 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     one hub for every node of a large one. Also the members of the large buckets with their hub."""
     stats = members.groupBy("bucket").agg(F.count("*").alias("size"), F.max(F.struct("support", "n")).alias("hub"))
     stats = stats.select(fresh("bucket").alias("k"), "size", "hub")
-    sized = cut_lineage(members.withColumn("k", fresh("bucket")).join(stats, "k").drop("k"))
+    count = members.count()
+    sized = cut_lineage(in_files(members.withColumn("k", fresh("bucket")).join(stats, "k").drop("k"), count))
     small = sized.where(F.col("size") <= SMALL).select("bucket", "n")
     inside = small.join(small.select("bucket", F.col("n").alias("b")), "bucket").where("n < b").select(F.col("n").alias("a"), "b")
     best = sized.where(F.col("size") > SMALL).groupBy("n").agg(
         F.max("hub").alias("hub"), F.first("support").alias("support"), F.collect_list("bucket").alias("buckets"))
-    best = cut_lineage(best.select("n", F.col("hub.n").alias("hub"), "support", "buckets"))
+    best = cut_lineage(in_files(best.select("n", F.col("hub.n").alias("hub"), "support", "buckets"), count))
     star = best.where("hub <> n").select(F.col("hub").alias("a"), F.col("n").alias("b"))
     return inside.unionByName(star).distinct(), best.select(F.explode("buckets").alias("bucket"), "n", "support", "hub")
 
@@ -273,7 +287,10 @@ def _profiles(similarity: float, told: np.ndarray | None):
                     if len(outside) < first and len(core) - len(lacks) >= least:
                         rows.append({"bucket": place["bucket"], "lacks": lacks.tolist(), "width": len(core)})
                 mine = np.unique(np.concatenate(mine)).view(np.int64)
-                listed.append(mine if told is None else mine[np.isin(mine, told)])
+                if told is not None:  # sorted, and far longer than what a node lists
+                    at = np.searchsorted(told, mine)
+                    mine = mine[np.searchsorted(told, mine, side="right") > at]
+                listed.append(mine)
                 close.append(rows)
             yield record_batch(schema, n=b.column("n"), labels=listed, near=close)
     return run
@@ -305,16 +322,16 @@ def _main_classes(members: DataFrame) -> DataFrame:
         "classes > 1").select(fresh("bucket").alias("k"), F.col("main.c").alias("main"))
 
 
-def _next_pairs(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) between classes, and the members that stay. In each bucket up to HUBS nodes outside
+def _next_pairs(members: DataFrame, count: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between classes, and the members that stay, of ``count`` members. In each bucket up to HUBS nodes outside
     its largest class meet all nodes of other classes for which the bound holds, and leave it; a bucket
     whose nodes are of one class is finished. The overlap is bounded by what both lack of the core, or,
     where the members bring ``marks``, by the bits that differ."""
-    open_ = cut_lineage(members.withColumn("k", fresh("bucket")).join(_main_classes(members), "k").drop("k"))
+    open_ = cut_lineage(in_files(members.withColumn("k", fresh("bucket")).join(_main_classes(members), "k").drop("k"), count))
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.size("lacks"), "n"))
-    hubs = cut_lineage(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= HUBS).select(
+    hubs = cut_lineage(in_files(open_.where("c <> main").withColumn("rank", rank).where(F.col("rank") <= HUBS).select(
         fresh("bucket").alias("k"), F.col("n").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("lacks").alias("la"),
-        F.col("marks").alias("ma")))
+        F.col("marks").alias("ma")), count))
     rows = open_.withColumn("k", fresh("bucket"))
     total = F.col("size") + F.col("sa")
     differ = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("ma")[i])) for i in range(1, MARKS)), F.bit_count(F.col("marks")[0].bitwiseXOR(F.col("ma")[0])))
@@ -336,7 +353,7 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     shared = flat.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select(fresh("bucket").alias("k"), "size")
     mates = cut_lineage(flat.withColumn("k", fresh("bucket")).join(shared, "k").drop("k"))
     support = mates.groupBy("n").agg(F.sum("size").alias("support"))
-    members = cut_lineage(mates.join(support, "n").select("bucket", "n", "support"))
+    members = cut_lineage(in_files(mates.join(support, "n").select("bucket", "n", "support"), mates.count()))
     # one shuffle of texts: partially aggregated, then only the nodes with a bucket mate stay, compressed
     whole = texts.groupBy("n").agg(F.first("text").alias("text")).join(support.select("n"), "n", "left_semi")
     kept = cut_lineage(map_arrow(whole.select("n", "text"), _compress, "n long, packed binary"))
@@ -352,9 +369,10 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     classes = components(links)
 
     # the exact rest, over the large buckets that still hold several classes
-    placed_ = cut_lineage(_labelled(large, classes).join(sketches.select("n", "size"), "n"))
-    rows = cut_lineage(placed_.withColumn("k", fresh("bucket")).join(_main_classes(placed_), "k").drop("k"))
-    if not rows.limit(1).count():
+    placed_ = cut_lineage(in_files(_labelled(large, classes).join(sketches.select("n", "size"), "n"), large.count()))
+    rows = cut_lineage(in_files(placed_.withColumn("k", fresh("bucket")).join(_main_classes(placed_), "k").drop("k"), placed_.count()))
+    count = rows.count()
+    if not count:
         return classes, links
     chosen = rows.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("n"), "n"))).where(F.col("rank") <= SAMPLE)
     packs = chosen.select("bucket", fresh("n").alias("k")).join(kept.select(fresh("n").alias("k"), "packed"), "k")
@@ -372,12 +390,12 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
 
     index = index.unionByName(cut_lineage(within.select("n", F.explode("labels").alias("label"))))
     held = index.groupBy("label").agg(F.count("*").alias("holders")).where("holders > 1").select(fresh("label").alias("k"), "holders")
-    index = cut_lineage(index.withColumn("k", fresh("label")).join(held, "k").select("n", "label", "holders"))
+    index = cut_lineage(in_files(index.withColumn("k", fresh("label")).join(held, "k").select("n", "label", "holders"), index.count()))
     nodes = rows.groupBy("n").agg(F.first("c").alias("c"), F.first("size").alias("size"))
-    rare = cut_lineage(index.where(F.col("holders") <= SMALL).select("n", "label").join(nodes, "n"))
+    rare = cut_lineage(in_files(index.where(F.col("holders") <= SMALL).select("n", "label").join(nodes, "n"), index.count()))
     pairs = rare.join(rare.select("label", F.col("n").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb")), "label").where(
         "n < b AND c <> cb").where(_reaches(F.least("size", "sb"), F.col("size") + F.col("sb"), similarity)).select(F.col("n").alias("a"), "b")
-    near = cut_lineage(profiles.select("n", F.inline("near")).join(nodes, "n"))
+    near = cut_lineage(in_files(profiles.select("n", F.inline("near")).join(nodes, "n"), count))
     least = near.groupBy("bucket").agg(F.min(F.struct(F.size("lacks").alias("lack"), F.col("n").alias("a"), F.col("c").alias("ca"))).alias("least"))
     star = near.withColumn("k", fresh("bucket")).join(least.select(fresh("bucket").alias("k"), "least"), "k").where("c <> least.ca").select(
         F.least("n", "least.a").alias("a"), F.greatest("n", "least.a").alias("b"))
@@ -391,11 +409,12 @@ def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     while True:
         found = verified(pairs)
         if found.limit(1).count():
-            links = cut_lineage(links.unionByName(found))
-            classes = components(links)
-        done = pairs if done is None else cut_lineage(done.unionByName(pairs))
-        pairs, members = _next_pairs(_labelled(members, classes), similarity)
-        pairs, members = cut_lineage(pairs.join(done, ["a", "b"], "left_anti")), cut_lineage(members)
+            links = cut_lineage(in_files(links.unionByName(found), links.count()))
+            classes = _joined(classes, found)
+        done = pairs if done is None else cut_lineage(in_files(done.unionByName(pairs), done.count()))
+        count = members.count()
+        pairs, members = _next_pairs(_labelled(members, classes), count, similarity)
+        pairs, members = cut_lineage(pairs.join(done, ["a", "b"], "left_anti")), cut_lineage(in_files(members, count))
         if not members.limit(1).count() and not pairs.limit(1).count():
             return classes, links
 

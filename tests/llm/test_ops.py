@@ -624,6 +624,27 @@ def test_rows_of_crowded_buckets_stay_narrow(spark, monkeypatch):
     assert wide and 0 < max(x or 0 for row in wide for x in row) <= op5_order_minhash.MARKS < max(len(plain_labels(t)) for t in texts)
 
 
+def test_later_links_join_the_classes_there_are(spark):
+    old, new = [(1, 2), (2, 3), (5, 6), (8, 9)], [(3, 6), (9, 11), (20, 21), (6, 1)]
+    first = op5_order_minhash.components(spark.createDataFrame(old, "a long, b long"))
+    both = op5_order_minhash._joined(first, spark.createDataFrame(new, "a long, b long"))
+    want = op5_order_minhash.components(spark.createDataFrame(old + new, "a long, b long"))
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, both.collect())) == [(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (8, 8), (9, 8), (11, 8), (20, 20), (21, 20)]
+    many = spark.range(0, 100, 1, 50)
+    assert len(op5_order_minhash.cut_lineage(op5_order_minhash.in_files(many, 100)).inputFiles()) == 1
+
+
+def test_told_labels_are_looked_up():
+    told = np.sort(op5_order_minhash.labels(prose(300, 1)).view(np.int64))
+    texts = [prose(300, 1), prose(200, 2), ""]
+    batch = pa.RecordBatch.from_pylist([{"n": i, "packed": zstandard.compress(t.encode()), "places": [{"bucket": 1, "core": b""}]} for i, t in enumerate(texts)])
+    for some in (told[::2], told[:1], told[:0]):
+        every = next(op5_order_minhash._profiles(0.8, None)([batch])).column("labels").to_pylist()
+        got = next(op5_order_minhash._profiles(0.8, some)([batch])).column("labels").to_pylist()
+        assert got == [[x for x in row if x in set(some.tolist())] for row in every]
+
+
 def test_recall_on_documents(spark):
     """Ids divisible by 10 against all rows, aligned plainly."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
