@@ -101,6 +101,17 @@ def test_spellings_of_a_key_share_a_slice(spark, sliced):
     assert [sorted(str(r["banfn"]) for r in x.collect()) for x in own] == kept
 
 
+def test_reason_is_the_last_cause():
+    class Java:
+        def __init__(self, text, cause=None):
+            self.getMessage, self.getCause = lambda: text, lambda: cause
+    e = RuntimeError("An error occurred while calling o1.parquet.")
+    assert stored.reason(e) == str(e)
+    e.java_exception = Java("task failed", Java("table not readable\nat x"))
+    assert stored.reason(e) == "table not readable"
+    assert stored.reason(KeyError("missing sources: afvc")) == "missing sources: afvc"
+
+
 def test_lists_share_the_details(spark):
     asked = Counter()
 
@@ -110,7 +121,7 @@ def test_lists_share_the_details(spark):
             return super().__getitem__(name)
     t = Counting(star_tables(spark, SF, SQ._REG["written_order"][0]))
     SQ._written_order(t, SQ.STAR)
-    assert asked["afvv"] == asked["jest"] == 2  # one for the size of the job, one for its run
+    assert asked["afvc"] == asked["afvv"] == asked["jest"] == 1
     assert stored.slices_for(OR.work_order_details(t, SQ.STAR)) == 1
 
 
